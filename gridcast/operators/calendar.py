@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast import spec
-from gridcast.functions import expand
 
 LISTING_PATH = r"/([^/]+)/forecast_date=(\d{4}-\d{2}-\d{2})/forecast_cycle=(\d+)(?:/|$)"
 PARTITION_SUFFIX = r"_p(\d{4})_(\d{2})_(\d{2})$"
@@ -99,8 +98,3 @@ def recent_snapshot(raw: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     """Raw rows of the last days; compares the text partition column, so it prunes."""
     since = F.date_format(F.date_sub(F.lit(as_of).cast("date"), days), "yyyy-MM-dd")
     return raw.where(F.col("forecast_date") >= since)
-
-
-def explode_calendar(days: Column, cycles=spec.SIX_HOURLY) -> tuple[Column, Column]:
-    """Day and cycle generators for callers that build their own calendar."""
-    return F.explode(days), expand(cycles)

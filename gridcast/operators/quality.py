@@ -244,16 +244,16 @@ def _verdicts(df: DataFrame, tests: Sequence[tuple[str, Column]], severity: str)
     return counted.select(F.inline(F.array(*rows)))
 
 
-def test_not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+def check_not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return _verdicts(df, [(f"not_null_{c}", F.col(c).isNull()) for c in columns], "error")
 
 
-def test_accepted_values(df: DataFrame, accepted: Mapping[str, Sequence]) -> DataFrame:
+def check_accepted_values(df: DataFrame, accepted: Mapping[str, Sequence]) -> DataFrame:
     tests = [(f"accepted_values_{c}", ~F.col(c).isin(*values)) for c, values in accepted.items()]
     return _verdicts(df, tests, "error")
 
 
-def test_expression(df: DataFrame, rules: Mapping[str, tuple[float, float]] = spec.RANGE_RULES) -> DataFrame:
+def check_expression(df: DataFrame, rules: Mapping[str, tuple[float, float]] = spec.RANGE_RULES) -> DataFrame:
     """Range rules for the columns ``df`` has. A NULL is not a failure: not_null covers it."""
     tests = [
         (f"expression_is_true_{c}", ~((F.col(c) >= low) & (F.col(c) <= high)))
@@ -263,7 +263,7 @@ def test_expression(df: DataFrame, rules: Mapping[str, tuple[float, float]] = sp
     return _verdicts(df, tests, "warn")
 
 
-def test_unique(df: DataFrame, keys: Sequence[str], name: str | None = None) -> DataFrame:
+def check_unique(df: DataFrame, keys: Sequence[str], name: str | None = None) -> DataFrame:
     """Keys that occur more than once; keys with a NULL part are left to not_null."""
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     repeated = df.where(whole).groupBy(*keys).count().where("count > 1")

@@ -180,12 +180,14 @@ def merge_on_key(
     keys: Sequence[str],
     partition_by: Sequence[str] = spec.FACT_PARTITIONS,
     order: Iterable[Column | str] | None = None,
+    columns: Sequence[str] | None = None,
     fmt: str = "parquet",
 ) -> None:
     """Update matching keys, insert the rest, in the partitions the batch touches.
 
     ``order`` names which of several batch rows with one key wins (the first); without it
-    the batch must be unique on the key. The partition columns must be part of the key,
+    the batch must be unique on the key. ``columns`` names those that are stored, if the
+    batch carries others to order by. The partition columns must be part of the key,
     since a key then never lies outside the touched partitions. Merging the same batch
     again changes nothing.
     """
@@ -194,6 +196,8 @@ def merge_on_key(
     spark = batch.sparkSession
     if order is not None:
         batch = dedup_first(batch, keys, order)
+    if columns is not None:
+        batch = batch.select(*columns)
     if not table_exists(spark, path):
         append_partitions(batch, path, partition_by, fmt)
         return

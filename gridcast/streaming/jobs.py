@@ -53,7 +53,7 @@ def load_fact_stream(
     def load(batch: DataFrame, number: int) -> None:
         fact = to_fact(stage(batch, shape, keep=keep), model, shape, stamp(number), keep=keep)
         ordered = order if order is not None else [F.col(c).asc_nulls_last() for c in spec.FACT_METRICS[shape]]
-        merge_on_key(fact, fact_path, spec.fact_key(shape), order=ordered)
+        merge_on_key(fact, fact_path, spec.fact_key(shape), order=ordered, columns=spec.fact_columns(shape))
 
     return (
         raw.writeStream.foreachBatch(load)
