@@ -194,6 +194,7 @@ def merge_on_key(
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
     spark = batch.sparkSession
+    arrived = batch
     if order is not None:
         batch = dedup_first(batch, keys, order)
     if columns is not None:
@@ -203,7 +204,8 @@ def merge_on_key(
         return
     table = spark.read.format(fmt).load(path)
     batch = batch.select(*table.columns)
-    kept = keep_unmatched(touched_partitions(table, batch, partition_by), batch, keys)
+    # The rows as they arrived lie in the same partitions and need no dedup to tell.
+    kept = keep_unmatched(touched_partitions(table, arrived, partition_by), batch, keys)
     _writer(kept.unionByName(batch), partition_by, "overwrite", "dynamic", fmt, "snappy").save(path)
 
 

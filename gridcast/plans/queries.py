@@ -655,23 +655,44 @@ def read_back(spark, sf_dir):
 # -------------------------------------------------- calendar, retention, events
 
 
+def _partitions(spark, sf_dir):
+    """Partitions of all raw tables and their facts, found in one pass over the rows."""
+    usual, half_day = F.col("usual_cycle"), 12 * (F.col("cycle_no") % 2)
+    tables = [
+        F.when(
+            F.col("model_no") == inputs.MODEL_NO[p.model],
+            F.struct(
+                F.lit(p.source).alias("source"),
+                F.lit(p.table).alias("table_name"),
+                F.lit(p.fact).alias("fact_name"),
+                (half_day if p.shape == SPREAD else usual).cast("int").alias("forecast_cycle"),
+            ),
+        )
+        for p in spec.PRODUCTS
+    ]
+    return (
+        inputs.base(spark, sf_dir)
+        .select("model_no", "frt_date", "cycle_no")
+        .distinct()
+        .withColumn("usual_cycle", F.when(F.col("model_no") == 2, half_day).otherwise(6 * F.col("cycle_no")))
+        .select("frt_date", F.inline(F.array_compact(F.array(*tables))))
+        .distinct()
+    )
+
+
 def _partition_paths(spark, sf_dir):
     """Paths of the raw tables' partitions, as an object listing would show them."""
-    parts = []
-    for p in spec.PRODUCTS:
-        found = inputs.raw(spark, sf_dir, p.shape, p.model).select(*spec.RAW_PARTITIONS).distinct()
-        parts.append(
-            found.select(
-                F.concat_ws(
-                    "/",
-                    F.lit(f"bucket/{p.source}/{p.table}"),
-                    F.concat(F.lit("forecast_date="), "forecast_date"),
-                    F.concat(F.lit("forecast_cycle="), F.col("forecast_cycle").cast("string")),
-                    F.lit("part-0.parquet"),
-                ).alias("path")
-            )
-        )
-    return reduce(DataFrame.unionAll, parts)
+    return _partitions(spark, sf_dir).select(
+        F.concat_ws(
+            "/",
+            F.lit("bucket"),
+            "source",
+            "table_name",
+            F.concat(F.lit("forecast_date="), F.date_format("frt_date", "yyyy-MM-dd")),
+            F.concat(F.lit("forecast_cycle="), F.col("forecast_cycle").cast("string")),
+            F.lit("part-0.parquet"),
+        ).alias("path")
+    )
 
 
 @query("partition_readiness")
@@ -685,12 +706,8 @@ def partition_readiness(spark, sf_dir):
 
 
 def _partition_names(spark, sf_dir):
-    parts = []
-    for p in spec.PRODUCTS:
-        found = inputs.raw(spark, sf_dir, p.shape, p.model).select("forecast_cycle", "forecast_date").distinct()
-        name = calendar.partition_name(F.lit(p.fact), "forecast_cycle", F.col("forecast_date").cast("date"))
-        parts.append(found.select(name.alias("partition_name")))
-    return reduce(DataFrame.unionAll, parts)
+    name = calendar.partition_name("fact_name", "forecast_cycle", "frt_date")
+    return _partitions(spark, sf_dir).select(name.alias("partition_name"))
 
 
 @query("partition_calendar")

@@ -1,10 +1,11 @@
 """Forecast file indexes (byte ranges) and directory listings (readiness).
 
-Both work on one text per row with array functions, so neither needs a shuffle.
+Both work on one text per row; a listing needs no shuffle, an index one of matches only.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,42 +26,48 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
 def index_ranges(indexes: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Byte range of each wanted message of a forecast file.
 
-    ``indexes`` has file, step and text; a line reads ``n:offset:date:variable:level:forecast:``.
-    Per key the first line that holds the key and the step's forecast mark wins. Its range
-    ends one byte before the next line's offset and is open (NULL) on the last line.
+    ``indexes`` has file, step and text; a line reads ``n:offset:date:variable:level:forecast:``
+    and a key ``:variable:level:``. Per key the first line of that variable and level that
+    holds the step's forecast mark wins. Its range ends one byte before the next line's
+    offset and is open (NULL) on the last line.
+
+    Every line is paired with its successor inside the file's own row, so no sort is
+    needed; only lines that match are grouped, after a partial minimum per task.
     """
-    lines = F.filter(F.split("text", "\r\n|\n|\r"), lambda line: F.length(line) > 0)
-    # Pair each line with its successor; zipping pads the last pair with NULL.
+    keys = list(keys)
+    odd = [k for k in keys if not re.fullmatch(":[^:]+:[^:]+:", k)]
+    if odd:
+        raise ValueError(f"index keys read ':variable:level:', not {odd}")
+    # Zipping pads the last line's successor with NULL.
     paired = F.arrays_zip(F.col("lines").alias("line"), F.slice("lines", 2, F.size("lines")).alias("following"))
     mark = F.when(F.col("step") > 0, F.concat(F.col("step").cast("string"), F.lit(" hour fcst"))).otherwise(
         F.lit(ANALYSIS_MARK)
     )
+    variable_level = F.substring_index(F.substring_index("line", ":", 5), ":", -2)
+    marked = F.contains(F.col("line"), F.col("mark")) | (
+        F.startswith(F.col("key"), F.lit(PRECIPITATION)) & F.contains(F.col("line"), F.lit(ACCUMULATED_MARK))
+    )
 
-    def wanted(key: Column):
-        def test(pair: Column) -> Column:
-            line = pair["line"]
-            accumulated = F.contains(key, F.lit(PRECIPITATION)) & F.contains(line, F.lit(ACCUMULATED_MARK))
-            return F.contains(line, key) & (F.contains(line, F.col("mark")) | accumulated)
-
-        return test
-
-    def offset(line: Column) -> Column:
-        return F.split_part(line, F.lit(":"), F.lit(2)).cast("bigint")
+    def offset(line: str) -> Column:
+        return F.substring_index(F.substring_index(line, ":", 2), ":", -1).try_cast("bigint")
 
     return (
-        indexes.withColumn("lines", lines)
-        .where(F.size("lines") > 0)
-        .select("file", "step", mark.alias("mark"), paired.alias("pairs"))
-        .select("file", "step", "mark", "pairs", F.explode(F.array(*[F.lit(k) for k in keys])).alias("key"))
-        .select("file", "step", "key", F.try_element_at(F.filter("pairs", wanted(F.col("key"))), F.lit(1)).alias("hit"))
-        .where(F.col("hit").isNotNull())
+        indexes.select("file", "step", F.split("text", "\n").alias("lines"))
+        .select("file", "step", mark.alias("mark"), F.posexplode(paired).alias("line_no", "pair"))
+        .select("file", "step", "mark", "line_no", "pair.line", "pair.following")
+        .withColumn("key", F.concat(F.lit(":"), variable_level, F.lit(":")))
+        .where(F.col("key").isin(*keys) & marked)
         .select(
             "file",
             "step",
             "key",
-            offset(F.col("hit.line")).alias("range_start"),
-            (offset(F.col("hit.following")) - 1).alias("range_end"),
+            F.struct(
+                "line_no", offset("line").alias("range_start"), (offset("following") - 1).alias("range_end")
+            ).alias("at"),
         )
+        .groupBy("file", "step", "key")
+        .agg(F.min("at").alias("at"))
+        .select("file", "step", "key", "at.range_start", "at.range_end")
     )
 
 
