@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast import spec
+from gridcast.functions import expand
 
 ROUTES = tuple((f"{p.model}_{p.shape}", p.path_key) for p in spec.PRODUCTS)
 
@@ -24,11 +25,16 @@ def last_success(runs: DataFrame) -> Column:
     return runs.where(F.col("state") == "success").agg(F.max("start_date").alias("start_date")).scalar()
 
 
-def models_to_refresh(events: DataFrame, runs: DataFrame, run_start: str, fallback_minutes: int = 15) -> DataFrame:
+def models_to_refresh(
+    events: DataFrame, runs: DataFrame, run_start: str, fallback_minutes: int = 15, manual: bool = False
+) -> DataFrame:
     """Distinct models updated since the last successful run.
 
-    Without a successful run, those updated in the ``fallback_minutes`` before this one.
+    Without a successful run, those updated in the ``fallback_minutes`` before this one. A
+    ``manual`` run refreshes all models.
     """
+    if manual:
+        return events.sparkSession.range(1).select(expand([model for model, _ in ROUTES]).alias("model"))
     start = F.lit(run_start).cast("timestamp_ntz") - F.make_dt_interval(mins=F.lit(fallback_minutes))
     since = F.coalesce(last_success(runs), start)
     return (

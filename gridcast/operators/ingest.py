@@ -41,13 +41,12 @@ def flatten_grid(
     """One row per grid point of each message.
 
     A message row holds the axes ``lat`` and ``lon``, one row-major array per variable and
-    scalar columns, which are repeated. A latitude band is cut while the points are made,
+    scalar columns, which are repeated; other arrays are left out. A latitude band is cut while the points are made,
     so points outside never become rows. Only the points' own values are exploded: the
     arrays are not copied along with each row. No shuffle; a table with few, large
     messages is spread first with ``repartition``.
     """
-    arrays = {"lat", "lon", *variables}
-    scalars = [c for c in messages.columns if c not in arrays]
+    scalars = [f.name for f in messages.schema if not isinstance(f.dataType, T.ArrayType)]
 
     def row_of_points(lat: Column, i: Column) -> Column:
         def point(lon: Column, j: Column) -> Column:

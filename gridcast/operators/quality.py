@@ -33,62 +33,81 @@ def _known(c: str, data_type: str) -> Column:
 # ---------------------------------------------------------------- load profile
 
 
+def _column_measures(c: str, data_type: str) -> list[Column]:
+    """NULLs, NaNs, minimum and maximum of a column; NaN is neither NULL nor a bound."""
+    nan = _count_if(F.isnan(c)) if data_type in FLOATING else F.count_if(F.lit(False))
+    return [
+        _count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
+        nan.alias(f"{c}__nans"),
+        F.min(_known(c, data_type)).alias(f"{c}__min"),
+        F.max(_known(c, data_type)).alias(f"{c}__max"),
+    ]
+
+
+def _measure(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """One row: row count and the measures of every named column, in one scan."""
+    types = dict(df.dtypes)
+    measures = [m for c in columns for m in _column_measures(c, types[c])]
+    return df.agg(F.count(F.lit(1)).alias("rows"), *measures)
+
+
+def _profile_struct(c: str) -> Column:
+    share = F.when(F.col("rows") > 0, F.col(f"{c}__nulls") / F.col("rows") * 100.0).otherwise(0.0)
+    return F.struct(
+        F.col(f"{c}__nulls").alias("null_count"),
+        F.col(f"{c}__nans").alias("nan_count"),
+        share.alias("null_percentage"),
+        F.col(f"{c}__min").alias("min_value"),
+        F.col(f"{c}__max").alias("max_value"),
+    )
+
+
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per metric column: NULLs, NaNs, NULL share, minimum and maximum of the real values."""
-    types = dict(df.dtypes)
     columns = list(columns or metric_columns(df))
-    measures = [F.count(F.lit(1)).alias("rows")]
-    for c in columns:
-        nan = _count_if(F.isnan(c)) if types[c] in FLOATING else F.lit(0).cast("bigint")
-        measures += [
-            _count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-            nan.alias(f"{c}__nans"),
-            F.min(_known(c, types[c])).alias(f"{c}__min"),
-            F.max(_known(c, types[c])).alias(f"{c}__max"),
-        ]
     rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col("rows").alias("row_count"),
-            F.col(f"{c}__nulls").alias("null_count"),
-            F.col(f"{c}__nans").alias("nan_count"),
-            F.when(F.col("rows") > 0, F.col(f"{c}__nulls") / F.col("rows") * 100.0).otherwise(0.0).alias("null_percentage"),
-            F.col(f"{c}__min").alias("min_value"),
-            F.col(f"{c}__max").alias("max_value"),
-        )
+        F.struct(F.lit(c).alias("column_name"), F.col("rows").alias("row_count"), _profile_struct(c).alias("p"))
         for c in columns
     ]
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+    return _measure(df, columns).select(F.inline(F.array(*rows))).select("column_name", "row_count", "p.*")
 
 
-def profile_rollup(df: DataFrame) -> DataFrame:
-    """One row: NULLs over all metrics, bounds over all metrics, and the coordinates' own."""
-    types = dict(df.dtypes)
-    metrics = metric_columns(df)
-    measures = [
-        F.count(F.lit(1)).alias("records_extracted"),
-        *[_count_if(F.col(c).isNull()).alias(f"null_count_{c}") for c in ("latitude", "longitude", "valid_time")],
-        *[f(_known(c, types[c])).alias(f"{n}_{c}") for c in ("latitude", "longitude") for n, f in (("min", F.min), ("max", F.max))],
-        *[_count_if(F.col(m).isNull()).alias(f"_nulls_{m}") for m in metrics],
-        *[F.min(_known(m, types[m])).alias(f"_min_{m}") for m in metrics],
-        *[F.max(_known(m, types[m])).alias(f"_max_{m}") for m in metrics],
-    ]
+COORDINATES = ("latitude", "longitude")
+
+
+def _rollup_columns(metrics: Sequence[str]) -> list[Column]:
+    """Roll-up over measured columns: totals over metrics, and the coordinates' own."""
 
-    def over(prefix: str, combine) -> Column:
-        parts = [F.col(f"{prefix}_{m}") for m in metrics]
+    def over(suffix: str, combine) -> Column:
+        parts = [F.col(f"{m}__{suffix}") for m in metrics]
         return combine(*parts) if len(parts) > 1 else parts[0]
 
-    total = reduce(lambda a, b: a + b, [F.col(f"_nulls_{m}") for m in metrics])
-    return df.agg(*measures).select(
-        "records_extracted",
-        *[f"null_count_{c}" for c in ("latitude", "longitude", "valid_time")],
-        total.alias("null_count_metric_values"),
-        *[f"{n}_{c}" for c in ("latitude", "longitude") for n in ("min", "max")],
-        over("_min", F.least).alias("min_metric_value"),
-        over("_max", F.greatest).alias("max_metric_value"),
+    return [
+        F.col("rows").alias("records_extracted"),
+        *[F.col(f"{c}__nulls").alias(f"null_count_{c}") for c in (*COORDINATES, "valid_time")],
+        reduce(lambda a, b: a + b, [F.col(f"{m}__nulls") for m in metrics]).alias("null_count_metric_values"),
+        *[F.col(f"{c}__{n}").alias(f"{n}_{c}") for c in COORDINATES for n in ("min", "max")],
+        over("min", F.least).alias("min_metric_value"),
+        over("max", F.greatest).alias("max_metric_value"),
+    ]
+
+
+def _measured_load(df: DataFrame) -> DataFrame:
+    """Measures of coordinates and metrics, and the NULLs of the valid time."""
+    types = dict(df.dtypes)
+    columns = [*COORDINATES, *metric_columns(df)]
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        _count_if(F.col("valid_time").isNull()).alias("valid_time__nulls"),
+        *[m for c in columns for m in _column_measures(c, types[c])],
     )
 
 
+def profile_rollup(df: DataFrame) -> DataFrame:
+    """One row: NULLs over all metrics, bounds over all metrics, and the coordinates' own."""
+    return _measured_load(df).select(*_rollup_columns(metric_columns(df)))
+
+
 def coordinate_rules(rollup: DataFrame) -> DataFrame:
     """Observed against allowed bounds, one row per coordinate that has any value."""
     rows = [
@@ -157,17 +176,9 @@ def audit_row(
         }
         return spark.range(1).select(*[v.alias(k) for k, v in {**head, **stats, **tail}.items()])
 
-    rollup = profile_rollup(df).withColumn("_one", F.lit(1))
-    profile = profile_columns(df).agg(
-        F.map_from_entries(
-            F.array_sort(
-                F.collect_list(
-                    F.struct("column_name", F.struct("null_count", "nan_count", "null_percentage", "min_value", "max_value"))
-                )
-            )
-        ).alias("checks"),
-        F.lit(1).alias("_one"),
-    )
+    metrics = metric_columns(df)
+    checks = F.create_map(*[x for c in metrics for x in (F.lit(c), _profile_struct(c))])
+    rollup = _measured_load(df).select(*_rollup_columns(metrics), checks.alias("checks"), F.lit(1).alias("_one"))
     active = [k for k in keys if k in df.columns]
     if active:
         duplicates = duplicate_keys(df, active).select("duplicate_records_count", F.lit(1).alias("_one"))
@@ -200,8 +211,8 @@ def audit_row(
             ).alias("duplicate_check"),
         )
     )
-    # Three one-row results, joined on a constant.
-    joined = rollup.join(profile, "_one").join(duplicates, "_one")
+    # Two one-row results, joined on a constant.
+    joined = rollup.join(duplicates, "_one")
     stats = {"status": verdict, "records_loaded": loaded, "validation_details": details}
     columns = [*head, "status", *_AUDIT_COUNTS, *_AUDIT_BOUNDS, "validation_details", *tail]
     return joined.withColumns({**head, **stats, **tail}).select(*columns)
@@ -229,9 +240,12 @@ _AUDIT_BOUNDS = (
 # -------------------------------------------------------------- declared tests
 
 
-def _verdicts(df: DataFrame, tests: Sequence[tuple[str, Column]], severity: str) -> DataFrame:
-    """One aggregation over ``df``; one output row per (name, failing-row condition)."""
-    counted = df.agg(*[_count_if(failing).alias(f"t{i}") for i, (_, failing) in enumerate(tests)])
+Test = tuple[str, Column, str]  # name, condition under which a row fails, severity
+
+
+def _verdicts(df: DataFrame, tests: Sequence[Test]) -> DataFrame:
+    """One aggregation over ``df``; one output row per test."""
+    counted = df.agg(*[_count_if(failing).alias(f"t{i}") for i, (_, failing, _) in enumerate(tests)])
     rows = [
         F.struct(
             F.lit(name).alias("test_name"),
@@ -239,28 +253,38 @@ def _verdicts(df: DataFrame, tests: Sequence[tuple[str, Column]], severity: str)
             F.lit(severity).alias("severity"),
             (F.col(f"t{i}") == 0).alias("passed"),
         )
-        for i, (name, _) in enumerate(tests)
+        for i, (name, _, severity) in enumerate(tests)
     ]
     return counted.select(F.inline(F.array(*rows)))
 
 
-def check_not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return _verdicts(df, [(f"not_null_{c}", F.col(c).isNull()) for c in columns], "error")
+def not_null_tests(columns: Iterable[str]) -> list[Test]:
+    return [(f"not_null_{c}", F.col(c).isNull(), "error") for c in columns]
 
 
-def check_accepted_values(df: DataFrame, accepted: Mapping[str, Sequence]) -> DataFrame:
-    tests = [(f"accepted_values_{c}", ~F.col(c).isin(*values)) for c, values in accepted.items()]
-    return _verdicts(df, tests, "error")
+def accepted_value_tests(accepted: Mapping[str, Sequence]) -> list[Test]:
+    return [(f"accepted_values_{c}", ~F.col(c).isin(*values), "error") for c, values in accepted.items()]
 
 
-def check_expression(df: DataFrame, rules: Mapping[str, tuple[float, float]] = spec.RANGE_RULES) -> DataFrame:
+def range_tests(df: DataFrame, rules: Mapping[str, tuple[float, float]] = spec.RANGE_RULES) -> list[Test]:
     """Range rules for the columns ``df`` has. A NULL is not a failure: not_null covers it."""
-    tests = [
-        (f"expression_is_true_{c}", ~((F.col(c) >= low) & (F.col(c) <= high)))
+    return [
+        (f"expression_is_true_{c}", ~((F.col(c) >= low) & (F.col(c) <= high)), "warn")
         for c, (low, high) in rules.items()
         if c in df.columns
     ]
-    return _verdicts(df, tests, "warn")
+
+
+def check_not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    return _verdicts(df, not_null_tests(columns))
+
+
+def check_accepted_values(df: DataFrame, accepted: Mapping[str, Sequence]) -> DataFrame:
+    return _verdicts(df, accepted_value_tests(accepted))
+
+
+def check_expression(df: DataFrame, rules: Mapping[str, tuple[float, float]] = spec.RANGE_RULES) -> DataFrame:
+    return _verdicts(df, range_tests(df, rules))
 
 
 def check_unique(df: DataFrame, keys: Sequence[str], name: str | None = None) -> DataFrame:
@@ -276,6 +300,16 @@ def check_unique(df: DataFrame, keys: Sequence[str], name: str | None = None) ->
     )
 
 
+def check_table(
+    df: DataFrame,
+    required: Iterable[str] = (),
+    accepted: Mapping[str, Sequence] | None = None,
+    rules: Mapping[str, tuple[float, float]] = spec.RANGE_RULES,
+) -> DataFrame:
+    """Every row-wise test of a table in a single scan."""
+    return _verdicts(df, [*not_null_tests(required), *accepted_value_tests(accepted or {}), *range_tests(df, rules)])
+
+
 # ------------------------------------------------------------ published tables
 
 

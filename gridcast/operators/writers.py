@@ -2,7 +2,9 @@
 
 All of them write with one Spark job per target. Output is rebalanced on the partition
 columns first: AQE then merges small pieces and splits a partition that holds much of the
-data over several tasks, so a hot (date, cycle) is not written by one task.
+data over several tasks, so a hot (date, cycle) is not written by one task. Rows that are
+already grouped by partition are better written with ``rebalance=False``, which saves
+the shuffle.
 """
 
 from __future__ import annotations
@@ -25,9 +27,11 @@ def rebalanced(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
-def _writer(df: DataFrame, partition_by: Sequence[str], mode: str, overwrite: str, fmt: str, codec: str):
+def _writer(
+    df: DataFrame, partition_by: Sequence[str], mode: str, overwrite: str, fmt: str, codec: str, rebalance: bool = True
+):
     return (
-        rebalanced(df, partition_by)
+        (rebalanced(df, partition_by) if rebalance else df)
         .write.format(fmt)
         .mode(mode)
         .option("partitionOverwriteMode", overwrite)
@@ -79,10 +83,15 @@ def drop_partitions(spark: SparkSession, path: str, partition_by: Sequence[str],
 
 
 def append_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str] = spec.RAW_PARTITIONS, fmt: str = "parquet", codec: str = "snappy"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = spec.RAW_PARTITIONS,
+    fmt: str = "parquet",
+    codec: str = "snappy",
+    rebalance: bool = True,
 ) -> None:
     """Create the table on first write, append afterwards."""
-    _writer(df, partition_by, "append", "dynamic", fmt, codec).save(path)
+    _writer(df, partition_by, "append", "dynamic", fmt, codec, rebalance).save(path)
 
 
 def replace_partitions(
@@ -92,6 +101,7 @@ def replace_partitions(
     wipe: str = "exact",
     fmt: str = "parquet",
     codec: str = "snappy",
+    rebalance: bool = True,
 ) -> None:
     """Replace the partitions the batch holds.
 
@@ -99,19 +109,17 @@ def replace_partitions(
     also removes combinations of the batch's dates with its cycles that the batch does
     not hold, as a predicate ``date IN (..) AND cycle IN (..)`` would.
     """
-    _writer(df, partition_by, "overwrite", "dynamic", fmt, codec).save(path)
+    _writer(df, partition_by, "overwrite", "dynamic", fmt, codec, rebalance).save(path)
     if wipe == "product":
-        spark = df.sparkSession
-        # A handful of values per column, in directory-name form.
-        values = {c: {str(r[0]) for r in df.select(c).distinct().toLocalIterator()} for c in partition_by}
-        held = {
-            tuple(str(v) for v in r) for r in df.select(*partition_by).distinct().toLocalIterator()
-        }
+        # Partition values only, in directory-name form: as many rows as partitions written.
+        held = {tuple(str(v) for v in r) for r in df.select(*partition_by).distinct().toLocalIterator()}
+        values = [set(column) for column in zip(*held)]
         drop_partitions(
-            spark,
+            df.sparkSession,
             path,
             partition_by,
-            lambda p: all(p[c] in values[c] for c in partition_by) and tuple(p[c] for c in partition_by) not in held,
+            lambda p: all(p[c] in v for c, v in zip(partition_by, values))
+            and tuple(p[c] for c in partition_by) not in held,
         )
     elif wipe != "exact":
         raise ValueError(f"wipe is 'exact' or 'product', not {wipe!r}")
@@ -209,15 +217,26 @@ def merge_on_key(
     _writer(kept.unionByName(batch), partition_by, "overwrite", "dynamic", fmt, "snappy").save(path)
 
 
-def delete_insert(batch: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> None:
-    """Delete the table's rows whose key the batch holds, then insert the whole batch."""
+def delete_insert(
+    batch: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), fmt: str = "parquet"
+) -> None:
+    """Delete the table's rows whose key the batch holds, then insert the whole batch.
+
+    ``partition_by`` partitions the table and, where a key lies in one partition only
+    (as a hash over the partition columns does), limits the rewrite to the partitions the
+    batch touches. Without it the table is rewritten, which suits dimensions.
+    """
     spark = batch.sparkSession
     if not table_exists(spark, path):
-        batch.write.format(fmt).save(path)
+        overwrite_table(batch, path, partition_by, fmt)
         return
     table = spark.read.format(fmt).load(path)
     batch = batch.select(*table.columns)
-    overwrite_table(keep_unmatched(table, batch, keys).unionByName(batch), path, fmt=fmt)
+    if not partition_by:
+        overwrite_table(keep_unmatched(table, batch, keys).unionByName(batch), path, fmt=fmt)
+        return
+    kept = keep_unmatched(touched_partitions(table, batch, partition_by), batch, keys)
+    _writer(kept.unionByName(batch), partition_by, "overwrite", "dynamic", fmt, "snappy").save(path)
 
 
 def expire_partitions(spark: SparkSession, path: str, as_of: str, keep_days: int = 7, partition_by: Sequence[str] = spec.RAW_PARTITIONS) -> list[dict[str, str]]:

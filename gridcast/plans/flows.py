@@ -51,8 +51,9 @@ def ingest_cycle(
     unique = ingest.dedup_first(rows, keys, order or [F.col(c).asc_nulls_last() for c in ("latitude", "longitude", *metrics)])
     batch = ingest.evolve_to(unique, spec.raw_schema(product.shape))
     writers.replace_partitions(batch, path)
-    written = read_raw(messages.sparkSession, path, product.shape)
-    loaded = writers.touched_partitions(written, batch, spec.RAW_PARTITIONS)
+    # The messages tell which partitions were written without making the rows again.
+    stamped = ingest.derive_times(messages.select("forecast_reference_time"), step=None)
+    loaded = writers.touched_partitions(read_raw(messages.sparkSession, path, product.shape), stamped, spec.RAW_PARTITIONS)
     audit = quality.audit_row(loaded, keys=keys, model_name=product.model, layer_type=product.shape, **run)
     if audit_path:
         audit.write.mode("append").parquet(audit_path)
@@ -112,7 +113,7 @@ def unified_view(spark: SparkSession, fact_paths: dict[str, str], shape: str) ->
 def refresh_city_fact(forecast: DataFrame, staged_grid: DataFrame, stations: DataFrame, shape: str, path: str) -> None:
     """Delete and insert the city rows of a forecast, on the key with the city in it."""
     rows = city_forecast(forecast, city_points(staged_grid, stations), shape, city_in_key=True)
-    writers.delete_insert(rows, path, ["unique_key"])
+    writers.delete_insert(rows, path, ["unique_key"], spec.FACT_PARTITIONS)
 
 
 def daily_run(

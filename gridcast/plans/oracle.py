@@ -573,6 +573,28 @@ ORACLE["duplicate_keys"] = _with(
   CASE WHEN count(*) > count(DISTINCT k) THEN 'WARNING' ELSE 'SUCCESS' END AS status
 FROM (SELECT ROW({KEY_UPPER}) AS k FROM raw_upper WHERE model = 'gfs')"""
 )
+ORACLE["audit_row"] = _with(
+    "\nUNION ALL\n".join(
+        f"""SELECT model AS model_name, 'extract.' || model || '.upper' AS dag_id, 'manual' AS run_id,
+  {STAMP} AS logical_date, 'upper' AS layer_type, 'WARNING' AS status,
+  n AS records_extracted, n AS records_loaded, 0::BIGINT AS null_count_latitude, no_lon AS null_count_longitude,
+  0::BIGINT AS null_count_valid_time, no_gh AS null_count_metric_values, n - keys AS duplicate_records_count,
+  min_lat AS min_latitude, max_lat AS max_latitude, min_lon AS min_longitude, max_lon AS max_longitude,
+  least(min_gh, min_t, min_u, min_v) AS min_metric_value, greatest(max_gh, max_t, max_u, max_v) AS max_metric_value,
+  CAST(0 AS DOUBLE) AS execution_time_seconds, CAST(NULL AS VARCHAR) AS validation_error, n = keys AS keys_unique,
+  'forecast_date,forecast_cycle,step_hours,lat_i,lon_i,isobaricInhPa' AS key_columns, '{c}' AS column_name,
+  {"no_gh" if c == "gh" else "0::BIGINT"} AS null_count, 0::BIGINT AS nan_count,
+  {"no_gh" if c == "gh" else "0"} / CAST(n AS DOUBLE) * 100 AS null_percentage, min_{c} AS min_value, max_{c} AS max_value
+FROM stats"""
+        for c in ("gh", "t", "u", "v")
+    ),
+    f"""stats AS (
+  SELECT model, count(*) AS n, count(DISTINCT ROW({KEY_UPPER})) AS keys, count(*) - count(longitude) AS no_lon,
+    count(*) - count(gh) AS no_gh, min(latitude) AS min_lat, max(latitude) AS max_lat, min(longitude) AS min_lon,
+    max(longitude) AS max_lon, {", ".join(f"CAST(min({c}) AS DOUBLE) AS min_{c}, CAST(max({c}) AS DOUBLE) AS max_{c}" for c in ("gh", "t", "u", "v"))}
+  FROM raw_upper GROUP BY model
+)""",
+)
 ORACLE["verify_gold"] = _with(
     "\nUNION ALL\n".join(
         f"""SELECT 'fct_{s}_forecast' AS view_name, count(*) AS row_count, count(*) - count(valid_date) AS null_valid_date_count,

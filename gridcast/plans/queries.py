@@ -561,9 +561,11 @@ def city_incremental(spark, sf_dir):
     held = stamped.where(F.col("cycle_date") <= F.lit(LOADED_UNTIL).cast("date")).withColumn(
         "temp_kelvin", (F.col("temp_kelvin") + 100).cast("float")
     )
-    writers.delete_insert(_city(spark, sf_dir, UPPER, held, city_in_key=True), path, ["unique_key"])
+    writers.delete_insert(_city(spark, sf_dir, UPPER, held, city_in_key=True), path, ["unique_key"], spec.FACT_PARTITIONS)
     changed = unified.changed_since(stamped, spark.read.parquet(path))
-    writers.delete_insert(_city(spark, sf_dir, UPPER, changed, city_in_key=True), path, ["unique_key"])
+    writers.delete_insert(
+        _city(spark, sf_dir, UPPER, changed, city_in_key=True), path, ["unique_key"], spec.FACT_PARTITIONS
+    )
     return spark.read.parquet(path)
 
 
@@ -595,15 +597,36 @@ def duplicate_keys(spark, sf_dir):
 
 @query("audit_row")
 def audit_row(spark, sf_dir):
-    rows = inputs.raw(spark, sf_dir, UPPER, "gfs")
-    return quality.audit_row(
-        rows,
-        dag_id="extract.gfs.upper",
-        run_id="manual",
-        logical_date=STAMP,
-        model_name="gfs",
-        layer_type=UPPER,
-        keys=spec.raw_key([*rows.columns, "level"]),
+    """One audit row per model, appended to a log; read back with its JSON details parsed."""
+    path = work_path(spark, "audit_row")
+    for model in spec.MODELS:
+        rows = inputs.raw(spark, sf_dir, UPPER, model)
+        audit = quality.audit_row(
+            rows,
+            dag_id=f"extract.{model}.upper",
+            run_id="manual",
+            logical_date=STAMP,
+            model_name=model,
+            layer_type=UPPER,
+            keys=spec.raw_key([*rows.columns, "level"]),
+        )
+        audit.write.mode("append").parquet(path)
+    check = "null_count bigint, nan_count bigint, null_percentage double, min_value double, max_value double"
+    details = F.from_json(
+        "validation_details",
+        f"validation_error string, checks map<string, struct<{check.replace(' b', ':b').replace(' d', ':d')}>>, "
+        "duplicate_check struct<passed: boolean, duplicate_count: bigint, pk_columns: array<string>>",
+    )
+    log = spark.read.parquet(path).withColumn("details", details)
+    return log.drop("validation_details", "details").join(
+        log.select(
+            "model_name",
+            "details.validation_error",
+            F.col("details.duplicate_check.passed").alias("keys_unique"),
+            F.array_join("details.duplicate_check.pk_columns", ",").alias("key_columns"),
+            F.explode("details.checks").alias("column_name", "check"),
+        ).select("*", "check.*").drop("check"),
+        "model_name",
     )
 
 

@@ -18,7 +18,7 @@ ACCUMULATED_MARK = "acc fcst"
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files as (file, text)."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
     )
 

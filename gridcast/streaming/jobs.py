@@ -17,7 +17,8 @@ from gridcast.operators.writers import merge_on_key
 
 def refresh_windows(events: DataFrame, lateness: str = "10 minutes", window: str = "5 minutes") -> DataFrame:
     """Coalesced refresh windows of an event stream; a window closes when the watermark passes it."""
-    return coalesce_events(events.withWatermark("ts", lateness), window)
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need an instant
+    return coalesce_events(timed.withWatermark("ts", lateness), window)
 
 
 def stream_raw(
