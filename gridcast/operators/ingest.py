@@ -41,28 +41,32 @@ def flatten_grid(
     """One row per grid point of each message.
 
     A message row holds the axes ``lat`` and ``lon``, one row-major array per variable and
-    scalar columns, which are repeated; other arrays are left out. A latitude band is cut while the points are made,
-    so points outside never become rows. Only the points' own values are exploded: the
-    arrays are not copied along with each row. No shuffle; a table with few, large
-    messages is spread first with ``repartition``.
+    scalar columns, which are repeated; other arrays are left out. A latitude band is cut
+    before any point is made. A message is first cut into one row per latitude, each with
+    its own slice of the values, then every slice into points: neither step copies the
+    whole arrays along, and nothing is shuffled. A table with few, large messages is
+    spread first with ``repartition``.
     """
     scalars = [f.name for f in messages.schema if not isinstance(f.dataType, T.ArrayType)]
+    types = dict(messages.dtypes)
+    low, high = F.lit(-90.0 if south is None else south), F.lit(90.0 if north is None else north)
+    width = F.size("lon")
 
-    def row_of_points(lat: Column, i: Column) -> Column:
-        def point(lon: Column, j: Column) -> Column:
-            at = i * F.size("lon") + j
-            return F.struct(
-                lat.alias("latitude"), lon.alias("longitude"), *[F.get(v, at).alias(v) for v in variables]
-            )
-
-        return F.transform("lon", point)
-
-    rows = F.transform(F.col("lat"), lambda lat, i: F.struct(lat.alias("lat"), i.alias("i")))
-    if south is not None or north is not None:
-        low, high = F.lit(south if south is not None else -90.0), F.lit(north if north is not None else 90.0)
-        rows = F.filter(rows, lambda r: r["lat"].between(low, high))
-    points = F.flatten(F.transform(rows, lambda r: row_of_points(r["lat"], r["i"])))
-    return messages.select(*scalars, F.inline(points))
+    # A variable a message lacks altogether is NULL at its points.
+    present = messages.select(
+        *scalars, "lat", "lon", *[F.coalesce(v, F.array().cast(types[v])).alias(v) for v in variables]
+    )
+    indexed = F.transform("lat", lambda lat, i: F.struct(lat.alias("latitude"), i.alias("i")))
+    band = F.filter(indexed, lambda r: r["latitude"].between(low, high))
+    by_latitude = F.transform(
+        band,
+        lambda r: F.struct(
+            r["latitude"].alias("latitude"),
+            *[F.slice(F.col(v), r["i"] * width + 1, width).alias(v) for v in variables],
+        ),
+    )
+    along = F.arrays_zip(F.col("lon").alias("longitude"), *[F.col(v) for v in variables])
+    return present.select(*scalars, "lon", F.inline(by_latitude)).select(*scalars, "latitude", F.inline(along))
 
 
 def normalize_longitude(df: DataFrame, column: str = "longitude") -> DataFrame:
