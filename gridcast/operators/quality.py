@@ -330,6 +330,25 @@ def verify_gold(views: Mapping[str, DataFrame], column: str = "valid_date") -> D
     )
 
 
+def gold_audit_row(verification: DataFrame, seconds: float = 0.0, **run: str) -> DataFrame:
+    """Verification rows, one per view, as a single audit row with JSON details."""
+    details = F.map_from_entries(
+        F.collect_list(
+            F.struct("view_name", F.struct("row_count", "null_valid_date_count", "max_valid_date", "passed"))
+        )
+    )
+    summary = verification.agg(F.to_json(details).alias("details"), F.bool_and("passed").alias("passed"))
+    empty = audit_row(None, spark=verification.sparkSession, seconds=seconds, **run)
+    return (
+        empty.withColumn("_one", F.lit(1))
+        .join(summary.withColumn("_one", F.lit(1)), "_one")
+        .withColumns(
+            {"status": F.when(F.col("passed"), "SUCCESS").otherwise("WARNING"), "validation_details": F.col("details")}
+        )
+        .select(*empty.columns)
+    )
+
+
 def read_back(written: DataFrame, table: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows written against rows read back, per partition of the write."""
     sent = written.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("rows_written"))

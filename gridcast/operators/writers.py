@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -175,11 +176,12 @@ def _any_of(rows, columns: Sequence[str]) -> Column:
 
 
 def keep_unmatched(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Table rows whose key the batch does not hold.
+    """Table rows whose key the batch does not hold; NULL key parts match each other.
 
     Joins on the whole key, so rows spread evenly even if one date or point dominates.
     """
-    return table.join(batch.select(*keys), list(keys), "left_anti")
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    return table.alias("t").join(batch.select(*keys).alias("b"), reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def merge_on_key(

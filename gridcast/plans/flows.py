@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridcast import spec
 from gridcast.operators import calendar, ingest, quality, writers
 from gridcast.operators.dims import city_points
+from gridcast.operators.events import models_to_refresh
 from gridcast.operators.facts import latest_window, rows_above_mark, to_fact, window_rows
 from gridcast.operators.staging import stage
 from gridcast.operators.unified import city_forecast, unify
@@ -116,6 +117,26 @@ def refresh_city_fact(forecast: DataFrame, staged_grid: DataFrame, stations: Dat
     writers.delete_insert(rows, path, ["unique_key"], spec.FACT_PARTITIONS)
 
 
+def refresh_updated(
+    spark: SparkSession,
+    events: DataFrame,
+    runs: DataFrame,
+    run_start: str,
+    root: str,
+    as_of: str,
+    stamp: str,
+    rule: str = "append",
+    manual: bool = False,
+) -> list[str]:
+    """Load the facts of the models updated since the last successful run; returns their names."""
+    # Never more than the eight models.
+    updated = {r.model for r in models_to_refresh(events, runs, run_start, manual=manual).collect()}
+    loaded = [p for p in spec.PRODUCTS if f"{p.model}_{p.shape}" in updated]
+    for p in loaded:
+        load_fact(spark, p, f"{root}/raw/{p.table}", f"{root}/gold/{p.fact}", rule, as_of, stamp)
+    return [p.fact for p in loaded]
+
+
 def daily_run(
     spark: SparkSession,
     root: str,

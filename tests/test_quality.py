@@ -84,6 +84,12 @@ def test_gold_verification(spark):
     df = spark.createDataFrame([("2026-03-26",), (None,)], "d string").selectExpr("cast(d as date) valid_date")
     got = {r.view_name: r.status for r in quality.verify_gold({"ok": df.dropna(), "nulls": df, "empty": df.limit(0)}).collect()}
     assert got == {"ok": "SUCCESS", "nulls": "WARNING", "empty": "WARNING"}
+    for views, status in (({"ok": df.dropna()}, "SUCCESS"), ({"ok": df.dropna(), "nulls": df}, "WARNING")):
+        row = quality.gold_audit_row(quality.verify_gold(views), **RUN).first()
+        assert row.status == status
+        assert json.loads(row.validation_details)["ok"] == {
+            "row_count": 1, "null_valid_date_count": 0, "max_valid_date": "2026-03-26", "passed": True
+        }
 
 
 def test_read_back_reports_lost_rows(spark):

@@ -8,6 +8,7 @@ from gridcast.operators import dims, ingest, writers
 from gridcast.operators.events import coalesce_events
 from gridcast.operators.staging import stage
 from gridcast.plans import flows, inputs
+from gridcast.plans.views import register_views
 from gridcast.sources.tables import read_raw
 from gridcast.streaming.jobs import refresh_windows
 
@@ -103,6 +104,19 @@ def test_unknown_load_rule(spark):
         flows.load_fact(spark, GFS_UPPER, "a", "b", "guess", "2026-03-26", inputs.STAMP)
 
 
+def test_refresh_loads_only_what_was_updated(spark, sf_dir, fresh):
+    root = fresh()
+    writers.append_partitions(inputs.raw(spark, sf_dir, spec.UPPER, "gfs"), f"{root}/raw/gfs_upper")
+    event = spark.createDataFrame([("2026-03-26 11:59:00", "s3://x/gfs_raw/gfs_upper/")], "t string, uri string").select(
+        F.col("t").cast("timestamp_ntz").alias("ts"), "uri"
+    )
+    runs = spark.createDataFrame([], "state string, start_date timestamp_ntz")
+    args = (root, "2026-03-26", inputs.STAMP)
+    assert flows.refresh_updated(spark, event, runs, "2026-03-26 12:00:00", *args) == ["fct_gfs_upper"]
+    assert flows.refresh_updated(spark, event, runs, "2026-03-26 13:00:00", *args) == []
+    assert spark.read.parquet(f"{root}/gold/fct_gfs_upper").count() > 0
+
+
 def test_daily_run(spark, sf_dir, fresh):
     root = fresh()
     for p in spec.PRODUCTS:
@@ -121,6 +135,17 @@ def test_daily_run(spark, sf_dir, fresh):
     with pytest.raises(RuntimeError, match="missing"):
         flows.daily_run(spark, root, F.lit("2026-04-20 12:00:00").cast("timestamp"), "2026-04-20", inputs.STAMP)
 
+    names = register_views(spark, root, "2026-03-26", inputs.STAMP)
+    assert len(names) == 7 + 7 + 7 + 1 + 3 + 6
+    got = spark.sql(
+        """SELECT f.weather_model, count(*) AS n, sum(CASE WHEN s.lat_i IS NULL THEN 1 ELSE 0 END) AS unknown
+           FROM fct_upper_forecast f LEFT JOIN dim_grid_points s ON f.lat_i = s.lat_i AND f.lon_i = s.lon_i
+           WHERE f.cycle_date = DATE'2026-03-25' GROUP BY 1"""
+    )
+    assert {r.weather_model: r.unknown for r in got.collect()}["gfs"] == 0
+    assert spark.sql("SELECT count(*) AS n FROM fct_upper_forecast_cities c JOIN ref_weather_station USING (lat_i, lon_i)").count() == 1
+    assert spark.table("stg_ecmwf_ifs_spread").count() > 0 and spark.table("dim_times").count() == 64
+
     forecast = flows.unified_view(spark, {"gfs": f"{root}/gold/fct_gfs_upper"}, spec.UPPER)
     staged = stage(inputs.raw(spark, "/root/testdata/sf0.01", spec.UPPER, "gfs"), spec.UPPER)
     path = fresh()

@@ -63,6 +63,13 @@ def test_merge_leaves_unmatched_repeats_alone(spark, table):
     assert rows(read(spark, table)).count(("a", 0, 1, 1)) == 2
 
 
+def test_merge_matches_null_key_parts(spark, table):
+    batch = spark.createDataFrame([("a", 0, None, 7)], DDL)
+    for _ in range(2):
+        writers.merge_on_key(batch, table, ["d", "h", "k"], PART)
+        assert read(spark, table).where("k is null").count() == 1
+
+
 def test_merge_orders_repeated_keys_and_drops_helpers(spark, table):
     batch = spark.createDataFrame([("a", 0, 1, 7, 2), ("a", 0, 1, 8, 1)], DDL + ", n int")
     writers.merge_on_key(batch, table, ["d", "h", "k"], PART, order=["n"], columns=["d", "h", "k", "v"])
