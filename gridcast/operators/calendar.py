@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast import spec
+from gridcast.session import literal_table
 
 LISTING_PATH = r"/([^/]+)/forecast_date=(\d{4}-\d{2}-\d{2})/forecast_cycle=(\d+)(?:/|$)"
 PARTITION_SUFFIX = r"_p(\d{4})_(\d{2})_(\d{2})$"
@@ -18,17 +19,10 @@ def local_day(instant: Column, zone: str = "America/New_York") -> Column:
 
 def product_table(spark: SparkSession) -> DataFrame:
     """The eight products as rows; literals, so Spark knows how small they are."""
-    rows = [
-        F.struct(
-            F.lit(p.table).alias("table_name"),
-            F.lit(p.fact).alias("fact_name"),
-            F.lit(p.published).alias("published"),
-            F.array(*[F.lit(c) for c in p.cycles]).alias("cycles"),
-            F.array(*[F.lit(c) for c in p.fact_cycles]).alias("fact_cycles"),
-        )
-        for p in spec.PRODUCTS
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    columns = ("table_name", "fact_name", "published", "cycles", "fact_cycles")
+    return literal_table(
+        spark, columns, [(p.table, p.fact, p.published, p.cycles, p.fact_cycles) for p in spec.PRODUCTS]
+    )
 
 
 def parse_listing(listing: DataFrame, path: str = "path") -> DataFrame:

@@ -12,6 +12,7 @@ from gridcast import spec
 from gridcast.functions import expand
 from gridcast.operators.facts import window_rows
 from gridcast.operators.ingest import station_grid
+from gridcast.session import literal_table
 
 GRID_COLUMNS = ("lat_i", "lon_i", "lat", "lon")
 STATION_COLUMNS = ("city_name", "state", "region", "market_weight", "associated_hub")
@@ -19,16 +20,9 @@ STATION_COLUMNS = ("city_name", "state", "region", "market_weight", "associated_
 
 def cities(spark: SparkSession) -> DataFrame:
     """The demand cities with their coast limits, as literals Spark can see the size of."""
-    names = ("city_name", "state", "region", "market_weight", "associated_hub", "latitude", "longitude")
-    rows = [
-        F.struct(
-            *[F.lit(v).alias(n) for n, v in zip(names, city)],
-            F.lit(spec.EAST_LIMITS.get(city[0])).cast("double").alias("east_limit"),
-            F.lit(spec.WEST_LIMITS.get(city[0])).cast("double").alias("west_limit"),
-        )
-        for city in spec.CITIES
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    columns = (*STATION_COLUMNS, "latitude", "longitude", "east_limit", "west_limit")
+    rows = [(*city, spec.EAST_LIMITS.get(city[0]), spec.WEST_LIMITS.get(city[0])) for city in spec.CITIES]
+    return literal_table(spark, columns, rows)
 
 
 def stations(spark: SparkSession) -> DataFrame:

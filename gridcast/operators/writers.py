@@ -220,13 +220,19 @@ def merge_on_key(
 
 
 def delete_insert(
-    batch: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), fmt: str = "parquet"
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str] = (),
+    touches: DataFrame | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Delete the table's rows whose key the batch holds, then insert the whole batch.
 
     ``partition_by`` partitions the table and, where a key lies in one partition only
     (as a hash over the partition columns does), limits the rewrite to the partitions the
-    batch touches. Without it the table is rewritten, which suits dimensions.
+    batch touches. Without it the table is rewritten, which suits dimensions. ``touches``
+    is a frame with at least the batch's partition values that is cheaper to read.
     """
     spark = batch.sparkSession
     if not table_exists(spark, path):
@@ -237,7 +243,8 @@ def delete_insert(
     if not partition_by:
         overwrite_table(keep_unmatched(table, batch, keys).unionByName(batch), path, fmt=fmt)
         return
-    kept = keep_unmatched(touched_partitions(table, batch, partition_by), batch, keys)
+    touched = touched_partitions(table, batch if touches is None else touches, partition_by)
+    kept = keep_unmatched(touched, batch, keys)
     _writer(kept.unionByName(batch), partition_by, "overwrite", "dynamic", fmt, "snappy").save(path)
 
 

@@ -23,104 +23,97 @@ ORDINAL = ("src_ord", "src_id", "src_seq", "src_part", "src_supp", "src_qty", "s
 MODEL_NO = {"gfs": 0, "aifs": 1, "ifs": 2}
 
 
+# Schemas of the given tables, declared so that no job is needed to infer them.
+SCHEMAS = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    zero = F.lit(0).cast("double")
-    repeats = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return li.select(
-        F.explode(repeats).alias("src_ord"),
-        F.col("l_orderkey").alias("src_id"),
-        F.col("l_linenumber").alias("src_seq"),
-        F.col("l_partkey").alias("src_part"),
-        F.col("l_suppkey").alias("src_supp"),
-        F.col("l_quantity").alias("src_qty"),
-        F.col("l_tax").alias("src_tax"),
-        F.col("l_discount").alias("src_disc"),
-        (F.col("l_suppkey") % 3).cast("int").alias("model_no"),
-        F.when(F.col("l_quantity") == 50, F.lit(-538099.0))
-        .otherwise(F.lit(25.0) + (F.col("l_partkey") % 96) * F.lit(0.25))
-        .alias("latitude"),
-        F.when(F.col("l_discount") != zero, F.lit(235.0) + (F.col("l_orderkey") % 224) * F.lit(0.25)).alias(
-            "longitude_360"
-        ),
-        F.date_add(F.lit("2026-03-20").cast("date"), F.col("l_linenumber") % 7).alias("frt_date"),
-        (F.col("l_quantity").cast("int") % 4).alias("cycle_no"),
-        (F.col("l_suppkey") % 4).cast("int").alias("step_no"),
-        (F.col("l_orderkey") % 3).cast("int").alias("level_no"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "explode(if(l_orderkey % 50 = 0, array(0, 1), array(0))) AS src_ord",
+        "l_orderkey AS src_id",
+        "l_linenumber AS src_seq",
+        "l_partkey AS src_part",
+        "l_suppkey AS src_supp",
+        "l_quantity AS src_qty",
+        "l_tax AS src_tax",
+        "l_discount AS src_disc",
+        "CAST(l_suppkey % 3 AS INT) AS model_no",
+        "if(l_quantity = 50, -538099D, 25D + (l_partkey % 96) * 0.25D) AS latitude",
+        "if(l_discount = 0D, NULL, 235D + (l_orderkey % 224) * 0.25D) AS longitude_360",
+        "date_add(DATE'2026-03-20', CAST(l_linenumber % 7 AS INT)) AS frt_date",
+        "CAST(l_quantity AS INT) % 4 AS cycle_no",
+        "CAST(l_suppkey % 4 AS INT) AS step_no",
+        "CAST(l_orderkey % 3 AS INT) AS level_no",
     )
 
 
-def _pick(index: str, values) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), F.col(index))
-
-
-def _placed(df: DataFrame, cycle: Column, step: Column) -> DataFrame:
-    """Add coordinates, times and partition columns of a raw row."""
-    hours = F.col("forecast_cycle")
-    return (
-        df.withColumns({"forecast_cycle": cycle.cast("int"), "step_hours": step.cast("int")})
-        .withColumn("longitude", F.when(F.col("longitude_360") >= 180, F.col("longitude_360") - 360).otherwise(F.col("longitude_360")))
-        .withColumn("forecast_reference_time", F.col("frt_date").cast("timestamp") + F.make_dt_interval(hours=hours))
-        .withColumns(
-            {
-                "valid_time": F.col("forecast_reference_time") + F.make_dt_interval(hours=F.col("step_hours")),
-                "forecast_date": F.date_format("frt_date", "yyyy-MM-dd"),
-                "lat_i": grid_index_f32("latitude", 90),
-                "lon_i": grid_index_f32("longitude", 180),
-            }
-        )
+_USUAL = ("if(model_no = 2, 12 * (cycle_no % 2), 6 * cycle_no)", "get(array(192, 240, 288, 360), step_no)")
+_HALF_DAY = ("12 * (cycle_no % 2)", "if(step_no < 2, 240, 360)")
+
+
+def _placed(df: DataFrame, cycle: str, step: str, metrics: dict[str, str]) -> DataFrame:
+    """Add coordinates, times, partition columns and metrics of a raw row."""
+    return df.select(
+        "*",
+        F.expr(f"{cycle} AS forecast_cycle"),
+        F.expr(f"{step} AS step_hours"),
+        F.expr("if(longitude_360 >= 180, longitude_360 - 360, longitude_360) AS longitude"),
+        F.expr("date_format(frt_date, 'yyyy-MM-dd') AS forecast_date"),
+        *[F.expr(f"{e} AS {m}") for m, e in metrics.items()],
+    ).select(
+        "*",
+        F.expr("CAST(frt_date AS TIMESTAMP) + make_dt_interval(0, forecast_cycle) AS forecast_reference_time"),
+        F.expr("CAST(frt_date AS TIMESTAMP) + make_dt_interval(0, forecast_cycle + step_hours) AS valid_time"),
+        grid_index_f32("latitude", 90).alias("lat_i"),
+        grid_index_f32("longitude", 180).alias("lon_i"),
     )
 
 
-def _known_height(value: Column) -> Column:
-    return F.when(F.col("src_tax") != F.lit(0).cast("double"), value.cast("float"))
-
-
-def _usual_cycle() -> Column:
-    return F.when(F.col("model_no") == 2, 12 * (F.col("cycle_no") % 2)).otherwise(6 * F.col("cycle_no"))
-
-
 def all_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _placed(base(spark, sf_dir), _usual_cycle(), _pick("step_no", spec.STEPS))
-    return df.withColumns(
-        {
-            "isobaricInhPa": _pick("level_no", (250, 500, 850)),
-            "gh": _known_height(4800 + F.col("src_part") % 1200 + F.col("src_ord")),
-            "t": (230 + F.col("src_qty")).cast("float"),
-            "u": (F.col("src_supp") % 120 - 60).cast("float"),
-            "v": (F.col("src_part") % 90 - 45).cast("float"),
-        }
-    )
+    metrics = {
+        "isobaricInhPa": "get(array(250, 500, 850), level_no)",
+        "gh": "if(src_tax = 0D, NULL, CAST(4800 + src_part % 1200 + src_ord AS FLOAT))",
+        "t": "CAST(230 + src_qty AS FLOAT)",
+        "u": "CAST(src_supp % 120 - 60 AS FLOAT)",
+        "v": "CAST(src_part % 90 - 45 AS FLOAT)",
+    }
+    return _placed(base(spark, sf_dir), *_USUAL, metrics)
 
 
 def all_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _placed(base(spark, sf_dir), _usual_cycle(), _pick("step_no", spec.STEPS))
-    return df.withColumns(
-        {
-            "t2m": (250 + F.col("src_qty")).cast("float"),
-            "d2m": (240 + F.col("src_qty")).cast("float"),
-            "msl": _known_height(98000 + F.col("src_part") % 6000 + F.col("src_ord")),
-            "tp": F.col("src_disc").cast("float"),
-            "heightAboveGround": F.lit(2.0),
-            "surface": F.lit(0.0),
-        }
-    )
+    metrics = {
+        "t2m": "CAST(250 + src_qty AS FLOAT)",
+        "d2m": "CAST(240 + src_qty AS FLOAT)",
+        "msl": "if(src_tax = 0D, NULL, CAST(98000 + src_part % 6000 + src_ord AS FLOAT))",
+        "tp": "CAST(src_disc AS FLOAT)",
+        "heightAboveGround": "2D",
+        "surface": "0D",
+    }
+    return _placed(base(spark, sf_dir), *_USUAL, metrics)
 
 
 def all_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = base(spark, sf_dir).where(F.col("model_no").isin(1, 2))
-    df = _placed(df, 12 * (F.col("cycle_no") % 2), F.when(F.col("step_no") < 2, 240).otherwise(360))
-    return df.withColumns(
-        {
-            "isobaricInhPa": F.when(F.col("level_no") == 0, 500).otherwise(850),
-            "gh": F.col("src_qty").cast("float"),
-            "t": F.col("src_seq").cast("float"),
-        }
-    )
+    metrics = {
+        "isobaricInhPa": "if(level_no = 0, 500, 850)",
+        "gh": "CAST(src_qty AS FLOAT)",
+        "t": "CAST(src_seq AS FLOAT)",
+    }
+    return _placed(base(spark, sf_dir).where("model_no IN (1, 2)"), *_HALF_DAY, metrics)
 
 
 _ALL = {spec.UPPER: all_upper, spec.SURFACE: all_surface, spec.SPREAD: all_spread}
@@ -133,7 +126,7 @@ def raw(spark: SparkSession, sf_dir: str, shape: str, model: str | None = None,
     columns = [f.name for f in spec.raw_schema(shape)] + (list(ORDINAL) if ordinal else [])
     if model:
         return df.where(F.col("model_no") == MODEL_NO[model]).select(*columns)
-    return df.select(_pick("model_no", spec.MODELS).alias("model"), *columns)
+    return df.select(F.expr("get(array('gfs', 'aifs', 'ifs'), model_no) AS model"), *columns)
 
 
 def asset_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,7 +144,7 @@ DESCRIBED = ("lineitem", "orders", "customer", "supplier", "part", "nation", "re
 
 @query("schema_map")
 def schema_map(spark, sf_dir):
-    described = [describe.describe(inputs.table(spark, sf_dir, t), t) for t in DESCRIBED]
+    described = [describe.describe(spark.read.parquet(f"{sf_dir}/{t}.parquet"), t) for t in DESCRIBED]
     return reduce(DataFrame.unionByName, described)
 
 
@@ -563,9 +563,8 @@ def city_incremental(spark, sf_dir):
     )
     writers.delete_insert(_city(spark, sf_dir, UPPER, held, city_in_key=True), path, ["unique_key"], spec.FACT_PARTITIONS)
     changed = unified.changed_since(stamped, spark.read.parquet(path))
-    writers.delete_insert(
-        _city(spark, sf_dir, UPPER, changed, city_in_key=True), path, ["unique_key"], spec.FACT_PARTITIONS
-    )
+    rows = _city(spark, sf_dir, UPPER, changed, city_in_key=True)
+    writers.delete_insert(rows, path, ["unique_key"], spec.FACT_PARTITIONS, touches=changed)
     return spark.read.parquet(path)
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,3 +62,19 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table below the shared folder."""
     return f"{shared_dir(spark)}/gridcast/{name}-{uuid.uuid4().hex}"
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, (list, tuple)):
+        return f"array({', '.join(map(_literal, value))})"
+    return f"{value!r}D" if isinstance(value, float) else str(value).lower()
+
+
+def literal_table(spark: SparkSession, columns: Iterable[str], rows: Iterable[tuple]) -> DataFrame:
+    """A small fixed table as part of the plan, so that Spark knows its size."""
+    values = ", ".join(f"({', '.join(map(_literal, row))})" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
