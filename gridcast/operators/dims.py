@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast import spec
-from gridcast.functions import expand
+from gridcast.functions import expand, hours
 from gridcast.operators.facts import window_rows
 from gridcast.operators.ingest import station_grid
 from gridcast.session import literal_table
@@ -100,7 +100,7 @@ def time_dimension(anchor: DataFrame, days: int) -> DataFrame:
         .withColumn("step", expand(spec.STEPS))
         .withColumn(
             "valid",
-            F.col("cycle_date").cast("timestamp") + F.make_dt_interval(hours=F.col("cycle_hour") + F.col("step")),
+            F.col("cycle_date").cast("timestamp") + hours(F.col("cycle_hour") + F.col("step")),
         )
         .select(
             "cycle_date",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast import spec
-from gridcast.functions import cycle_time, millimetre
+from gridcast.functions import cycle_number, millimetre
 
 
 def stamp_column(stamp: datetime | str) -> Column:
@@ -42,14 +42,14 @@ def rows_above_mark(
     empty window ``null_mark="epoch"`` takes every row, ``"block"`` takes none (the
     table then waits for a full refresh).
     """
-    time = cycle_time("cycle_date", "cycle_hour")
-    newest = F.max(time)
+    number = cycle_number("cycle_date", "cycle_hour")
+    newest = F.max(number)
     if null_mark == "epoch":
-        newest = F.coalesce(newest, F.lit("1970-01-01 00:00:00").cast("timestamp"))
+        newest = F.coalesce(newest, F.lit(0))
     elif null_mark != "block":
         raise ValueError(f"null_mark is 'epoch' or 'block', not {null_mark!r}")
     mark = window_rows(target, as_of, days).agg(newest.alias("mark")).scalar()
-    return window_rows(source, as_of, days).where(time > mark)
+    return window_rows(source, as_of, days).where(number > mark)
 
 
 def latest_window(
@@ -60,10 +60,10 @@ def latest_window(
 
     ``limit`` is an optional row cap of the table, taken in a stated order.
     """
-    time = cycle_time("cycle_date", "cycle_hour")
+    number = cycle_number("cycle_date", "cycle_hour")
     recent = window_rows(source, as_of, days)
-    newest = recent.agg(F.max(time).alias("newest")).scalar()
-    rows = recent.where(time >= newest - F.make_dt_interval(days=F.lit(span_days)))
+    newest = recent.agg(F.max(number).alias("newest")).scalar()
+    rows = recent.where(number >= newest - 24 * span_days)
     if limit is not None:
         rows = rows.orderBy(*(order or rows.columns)).limit(limit)
     return rows

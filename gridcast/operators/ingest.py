@@ -102,7 +102,7 @@ def derive_times(df: DataFrame, step: str | None = "step") -> DataFrame:
     time itself.
     """
     frt = F.col("forecast_reference_time")
-    times = {"forecast_date": F.date_format(frt, "yyyy-MM-dd"), "forecast_cycle": F.hour(frt)}
+    times = {"forecast_date": frt.cast("date").cast("string"), "forecast_cycle": F.hour(frt)}
     if step and step in df.columns:
         hours = F.extract(F.lit("DAY"), F.col(step)) * 24 + F.extract(F.lit("HOUR"), F.col(step))
         times |= {"valid_time": frt + F.col(step), "step_hours": hours.cast("int")}
@@ -203,7 +203,7 @@ def resolve_cycle(triggers: DataFrame, own_cycles: bool = False) -> DataFrame:
         known = F.coalesce(F.try_element_at(cycles, F.col("task")), F.array(*[F.lit(c) for c in spec.SIX_HOURLY]))
         resolved = F.array_max(F.filter(known, lambda c: c <= hour))
     else:
-        resolved = (F.bround(hour / 6) * 6).cast("int")
+        resolved = (F.rint(hour / 6) * 6).cast("int")
     return (
         df.withColumn("_resolved", resolved)
         .withColumns(

@@ -28,12 +28,31 @@ def with_hash_key(df: DataFrame, shape: str, city: bool = False) -> DataFrame:
     return df.select(key.alias("unique_key"), *df.columns)
 
 
-def city_forecast(forecast: DataFrame, points: DataFrame, shape: str, city_in_key: bool = False) -> DataFrame:
+def near(forecast: DataFrame, stations: DataFrame) -> DataFrame:
+    """Forecast rows in the latitude band of the stations.
+
+    The band's ends are scalar subqueries, known before the scan starts: on tables laid
+    down by place the scan skips every row group outside.
+    """
+    low, high = (stations.agg(f("lat_i").alias("lat_i")).scalar() for f in (F.min, F.max))
+    return forecast.where((F.col("lat_i") >= low) & (F.col("lat_i") <= high))
+
+
+def city_forecast(
+    forecast: DataFrame,
+    points: DataFrame,
+    shape: str,
+    city_in_key: bool = False,
+    stations: DataFrame | None = None,
+) -> DataFrame:
     """Forecast rows at the demand cities.
 
-    ``points`` is a grid dimension or its city rows. The hash is computed after the join,
-    on the few rows that remain.
+    ``points`` is a grid dimension or its city rows; ``stations``, if given, narrows the
+    scan to their latitudes first. The hash is computed after the join, on the few rows
+    that remain.
     """
+    if stations is not None:
+        forecast = near(forecast, stations)
     about = points.where("is_city").select(*spec.GRID_KEY, *STATION_COLUMNS)
     joined = forecast.join(about, list(spec.GRID_KEY)).select(*spec.fact_columns(shape), *STATION_COLUMNS)
     return with_hash_key(joined, shape, city=city_in_key)

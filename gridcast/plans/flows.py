@@ -113,7 +113,7 @@ def unified_view(spark: SparkSession, fact_paths: dict[str, str], shape: str) ->
 
 def refresh_city_fact(forecast: DataFrame, staged_grid: DataFrame, stations: DataFrame, shape: str, path: str) -> None:
     """Delete and insert the city rows of a forecast, on the key with the city in it."""
-    rows = city_forecast(forecast, city_points(staged_grid, stations), shape, city_in_key=True)
+    rows = city_forecast(forecast, city_points(staged_grid, stations), shape, city_in_key=True, stations=stations)
     writers.delete_insert(rows, path, ["unique_key"], spec.FACT_PARTITIONS, touches=forecast)
 
 

@@ -73,12 +73,12 @@ def _placed(df: DataFrame, cycle: str, step: str, metrics: dict[str, str]) -> Da
         F.expr(f"{cycle} AS forecast_cycle"),
         F.expr(f"{step} AS step_hours"),
         F.expr("if(longitude_360 >= 180, longitude_360 - 360, longitude_360) AS longitude"),
-        F.expr("date_format(frt_date, 'yyyy-MM-dd') AS forecast_date"),
+        F.expr("CAST(frt_date AS STRING) AS forecast_date"),
         *[F.expr(f"{e} AS {m}") for m, e in metrics.items()],
     ).select(
         "*",
-        F.expr("CAST(frt_date AS TIMESTAMP) + make_dt_interval(0, forecast_cycle) AS forecast_reference_time"),
-        F.expr("CAST(frt_date AS TIMESTAMP) + make_dt_interval(0, forecast_cycle + step_hours) AS valid_time"),
+        F.expr("CAST(frt_date AS TIMESTAMP) + INTERVAL '1' HOUR * forecast_cycle AS forecast_reference_time"),
+        F.expr("CAST(frt_date AS TIMESTAMP) + INTERVAL '1' HOUR * (forecast_cycle + step_hours) AS valid_time"),
         grid_index_f32("latitude", 90).alias("lat_i"),
         grid_index_f32("longitude", 180).alias("lon_i"),
     )

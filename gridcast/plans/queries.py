@@ -517,9 +517,10 @@ def unified_spread(spark, sf_dir):
 
 
 def _city(spark, sf_dir, shape, forecast=None, city_in_key=False):
-    points = dims.city_points(_staged(spark, sf_dir, UPPER, "gfs"), dims.stations(spark))
+    stations = dims.stations(spark)
+    points = dims.city_points(_staged(spark, sf_dir, UPPER, "gfs"), stations)
     forecast = _unified(spark, sf_dir, shape) if forecast is None else forecast
-    return unified.city_forecast(forecast, points, shape, city_in_key)
+    return unified.city_forecast(forecast, points, shape, city_in_key, stations)
 
 
 @query("city_upper")

@@ -48,7 +48,9 @@ def register_views(spark: SparkSession, root: str, as_of: str, stamp: str, since
     for shape, by_model in facts.items():
         forecast = made[f"fct_{shape}_forecast"] = unify(by_model, shape)
         if grid is not None:
-            made[f"fct_{shape}_forecast_cities"] = city_forecast(forecast, dims.city_points(grid, stations), shape)
+            made[f"fct_{shape}_forecast_cities"] = city_forecast(
+                forecast, dims.city_points(grid, stations), shape, stations=stations
+            )
     for name, df in made.items():
         df.createOrReplaceTempView(name)
     return list(made)

@@ -37,7 +37,7 @@ def read_external(spark: SparkSession, paths: str | list[str], shape: str) -> Da
     )
     return df.withColumns(
         {
-            "forecast_date": F.date_format("forecast_reference_time", "yyyy-MM-dd"),
+            "forecast_date": F.col("forecast_reference_time").cast("date").cast("string"),
             "forecast_cycle": F.hour("forecast_reference_time"),
         }
     )

@@ -108,6 +108,15 @@ def test_shared_point_has_two_keys_only_with_the_city(spark):
     assert unified.city_forecast(fact, point, spec.UPPER, city_in_key=True).select("unique_key").distinct().count() == 2
 
 
+def test_station_band_reaches_the_scan(spark, fresh):
+    path = fresh()
+    spark.range(0, 180_001, 250).select(F.col("id").cast("int").alias("lat_i")).write.parquet(path)
+    df = unified.near(spark.read.parquet(path), dims.stations(spark))
+    assert df.count() == (137_750 - 115_500) // 250 + 1
+    scan = df._jdf.queryExecution().executedPlan().toString().split("DataFilters: ")[1]
+    assert "Subquery" in scan
+
+
 def test_changed_since(spark):
     df = spark.createDataFrame([(datetime(2026, 3, d), d) for d in (1, 2, 3)], "dbt_updated_at timestamp, v int")
     assert values(unified.changed_since(df, df.where("v <= 2"))) == [2, 3]

@@ -129,6 +129,23 @@ def test_repartition_fact_runs_once(spark, fresh):
     assert writers.partition_dirs(spark, target, ("cycle_hour", "cycle_date"))[0]["cycle_hour"] == "0"
 
 
+def test_rows_are_laid_down_by_place_with_one_sort(spark, fresh):
+    path = fresh()
+    df = spark.range(20_000).select(
+        (F.col("id") % 2).cast("int").alias("h"),
+        (F.hash("id") % 1000).alias("lat_i"),
+        F.hash(F.col("id") + 1).alias("lon_i"),
+        F.expr("nullif(if(id % 3 = 0, 'a', 'b'), if(id = 7, 'b', 'c')) AS d"),
+    )
+    plan = writers.clustered(df, PART)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
+    writers.append_partitions(df, path, PART)
+    for f in spark.read.parquet(path).inputFiles():
+        index = [r.lat_i for r in spark.read.parquet(f).collect()]
+        assert index == sorted(index)
+    assert spark.read.parquet(path).where("d IS NULL").count() == 1
+
+
 def test_export_is_zstd(spark, fresh):
     path = fresh()
     writers.export_parquet(spark.createDataFrame(START, DDL), path, PART)
