@@ -310,6 +310,27 @@ def check_table(
     return _verdicts(df, [*not_null_tests(required), *accepted_value_tests(accepted or {}), *range_tests(df, rules)])
 
 
+def check_fact(df: DataFrame, model: str, shape: str) -> DataFrame:
+    """All declared tests of one fact table: one scan, and one shuffle for its key."""
+    required = [c for c in spec.fact_columns(shape) if c in df.columns]
+    rowwise = check_table(df, required, spec.accepted_values(model, shape))
+    return rowwise.unionByName(check_unique(df, spec.fact_key(shape)))
+
+
+def check_seed(df: DataFrame, name: str) -> DataFrame:
+    """Declared tests of a seed: its key is there and unique, its words are known ones."""
+    keys = spec.SEED_KEYS[name]
+    accepted = {"logic_type": spec.ACCEPTED_LOGIC} if "logic_type" in df.columns else {}
+    return check_table(df, keys, accepted, {}).unionByName(check_unique(df, keys))
+
+
+def check_times(df: DataFrame) -> DataFrame:
+    """Declared tests of the time dimension."""
+    return check_table(df, spec.TIME_KEY, {"cycle_hour": spec.SIX_HOURLY}, {}).unionByName(
+        check_unique(df, spec.TIME_KEY)
+    )
+
+
 # ------------------------------------------------------------ published tables
 
 

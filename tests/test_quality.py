@@ -2,7 +2,9 @@ import json
 
 import pytest
 
-from gridcast.operators import quality
+from gridcast.operators import dims, facts, quality
+from gridcast.operators.staging import stage
+from gridcast.plans import inputs
 
 RUN = dict(dag_id="d", run_id="r", logical_date="2026-03-26 00:00:00", model_name="gfs", layer_type="upper")
 DDL = "latitude double, longitude double, valid_time timestamp, lat_i int, gh float, t float"
@@ -80,6 +82,31 @@ def test_whole_table_is_one_scan(spark):
     assert checks._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
 
 
+def failures(df):
+    return {r.test_name: r.failures for r in df.collect()}
+
+
+def test_declared_tests_of_a_fact(spark, sf_dir):
+    rows = facts.to_fact(stage(inputs.raw(spark, sf_dir, "upper", "ifs"), "upper"), "ifs", "upper", inputs.STAMP)
+    got = failures(quality.check_fact(rows, "ifs", "upper"))
+    assert len(got) == 15 + 3 + 6 + 1
+    assert got["accepted_values_cycle_hour"] == got["not_null_lat_i"] == 0
+    assert got["not_null_geopotential_height_m"] == rows.where("geopotential_height_m IS NULL").count() > 0
+    assert failures(quality.check_fact(rows, "aifs", "upper"))["accepted_values_weather_model"] == rows.count()
+
+
+def test_declared_tests_of_seeds_and_times(spark):
+    assert set(failures(quality.check_seed(dims.stations(spark), "weather_station")).values()) == {0}
+    seed = spark.createDataFrame([("a", "MAX"), ("a", "GT"), (None, "MIN")], "threshold_id string, logic_type string")
+    assert failures(quality.check_seed(seed, "physical_thresholds")) == {
+        "not_null_threshold_id": 1,
+        "accepted_values_logic_type": 1,
+        "unique_threshold_id": 1,
+    }
+    anchor = spark.range(1).selectExpr("DATE'2026-03-26' AS as_of", "TIMESTAMP'2026-03-26 12:00:00' AS dbt_updated_at")
+    assert set(failures(quality.check_times(dims.time_dimension(anchor, 4))).values()) == {0}
+
+
 def test_gold_verification(spark):
     df = spark.createDataFrame([("2026-03-26",), (None,)], "d string").selectExpr("cast(d as date) valid_date")
     got = {r.view_name: r.status for r in quality.verify_gold({"ok": df.dropna(), "nulls": df, "empty": df.limit(0)}).collect()}
