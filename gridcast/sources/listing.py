@@ -61,13 +61,13 @@ def index_ranges(indexes: DataFrame, keys: Iterable[str]) -> DataFrame:
             "file",
             "step",
             "key",
-            F.struct(
-                "line_no", offset("line").alias("range_start"), (offset("following") - 1).alias("range_end")
-            ).alias("at"),
+            "line_no",
+            offset("line").alias("range_start"),
+            (offset("following") - 1).alias("range_end"),
         )
         .groupBy("file", "step", "key")
-        .agg(F.min("at").alias("at"))
-        .select("file", "step", "key", "at.range_start", "at.range_end")
+        # Two numbers by line rather than one struct: these aggregate by hash, without a sort.
+        .agg(*[F.min_by(c, "line_no").alias(c) for c in ("range_start", "range_end")])
     )
 
 
