@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import mixing, quality_rules, suffix_dedup
+from gridcast.llm import mixing, passage_dedup, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +28,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.remove_passages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
+    "op10_passage_dedup": op10_passage_dedup,
 }
