@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import mixing, passage_dedup, quality_rules, suffix_dedup
+from gridcast.llm import mixing, passage_dedup, quality_classifier, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
     "op10_passage_dedup": op10_passage_dedup,
