@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import mixing, passage_dedup, quality_classifier, quality_rules, suffix_dedup
+from gridcast.llm import exact_search, mixing, passage_dedup, quality_classifier, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = exact_search.vectors_of(_table(spark, sf_dir, "embeddings"))
+    return exact_search.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.clean_documents(_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -37,6 +42,7 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_search": op1_exact_search,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_suffix_dedup": op7_suffix_dedup,
