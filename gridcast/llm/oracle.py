@@ -104,4 +104,31 @@ FROM sized s JOIN budget b ON s.source IS NOT DISTINCT FROM b.source
 LEFT JOIN threshold t ON s.source IS NOT DISTINCT FROM t.source
 """
 
-ORACLE: dict[str, str] = {"op1_exact_search": OP1, "op4_quality_rules": OP4, "op8_mixing": OP8}
+# The SQL for the n-gram join compares every pair of sets that share an n-gram.
+OP9 = f"""
+WITH RECURSIVE split AS (
+  SELECT row_number() OVER () AS rid, doc_id, {WORDS.format("text")} AS w FROM documents
+), gram AS (
+  SELECT DISTINCT rid, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS g
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM split WHERE len(w) > 0)
+), size AS (
+  SELECT rid, count(*) AS n FROM gram GROUP BY rid
+), pair AS (
+  SELECT a, b FROM (SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM gram x JOIN gram y ON x.g = y.g AND x.rid <> y.rid GROUP BY ALL)
+  JOIN size s ON s.rid = a JOIN size t ON t.rid = b WHERE c * 1000 >= 800 * (s.n + t.n - c)
+), reach AS (
+  SELECT rid AS a, rid AS b FROM size UNION SELECT reach.a, pair.b FROM reach JOIN pair ON reach.b = pair.a
+), class AS (
+  SELECT a AS rid, min(doc_id) AS class_id FROM reach JOIN split ON split.rid = b GROUP BY a
+), same AS (
+  SELECT rid, min(doc_id) OVER (PARTITION BY gs) AS copy_id
+  FROM (SELECT rid, list(g ORDER BY g) AS gs FROM gram GROUP BY rid) JOIN split USING (rid)
+), links AS (
+  SELECT a AS rid, count(*) AS n FROM pair GROUP BY a
+)
+SELECT doc_id, CASE WHEN len(w) > 0 THEN class_id ELSE doc_id END AS class_id, CASE WHEN len(w) > 0 THEN copy_id ELSE doc_id END AS copy_id,
+  coalesce(n, 0) AS n_links
+FROM split LEFT JOIN class USING (rid) LEFT JOIN same USING (rid) LEFT JOIN links USING (rid)
+"""
+
+ORACLE: dict[str, str] = {"op1_exact_search": OP1, "op4_quality_rules": OP4, "op8_mixing": OP8, "op9_ngram_join": OP9}

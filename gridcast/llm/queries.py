@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import exact_search, mixing, passage_dedup, quality_classifier, quality_rules, suffix_dedup
+from gridcast.llm import exact_search, mixing, ngram_join, passage_dedup, quality_classifier, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(_table(spark, sf_dir, "documents"))
+
+
 def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup.remove_passages(_table(spark, sf_dir, "documents"))
 
@@ -47,5 +51,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
+    "op9_ngram_join": op9_ngram_join,
     "op10_passage_dedup": op10_passage_dedup,
 }
