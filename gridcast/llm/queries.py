@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import exact_search, mixing, ngram_join, passage_dedup, quality_classifier, quality_rules, suffix_dedup
+from gridcast.llm import exact_search, mixing, ngram_join, passage_dedup, piece_sampling, quality_classifier, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_search.search(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op3_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.clean_documents(_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -47,6 +51,7 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_search": op1_exact_search,
+    "op3_piece_sampling": op3_piece_sampling,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_suffix_dedup": op7_suffix_dedup,
