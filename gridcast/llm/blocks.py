@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,17 +21,22 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def in_blocks(docs: DataFrame, block_bytes: int, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> tuple[DataFrame, int, int]:
-    """(rows of block, doc_id, text as bytes and the carried columns; number of blocks; number of rows)."""
+    """(rows of block, doc_id, text as bytes, a hash of it and the carried columns; number of blocks; number of rows)."""
     size, n = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count(F.lit(1))).first()
     blocks = max(1, -(-int(size) // block_bytes))
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     where = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(blocks)).cast("int")
     rows = docs.select(
-        where.alias("block"), F.col(key).cast("long").alias("doc_id"), data.alias("text"), *(F.col(c).alias(f"_c_{c}") for c in carry)
+        where.alias("block"), F.col(key).cast("long").alias("doc_id"), data.alias("text"), F.xxhash64(data).alias("order"), *(F.col(c).alias(f"_c_{c}") for c in carry)
     )
     return rows, blocks, int(n)
 
 
+def in_order(table: pa.Table) -> pa.Table:
+    """The rows of a block in the same order in every pass: a shuffle hands them out in any."""
+    return table.take(pa.compute.sort_indices(table, [("doc_id", "ascending"), ("order", "ascending")]))
+
+
 def ids(table: pa.Table) -> np.ndarray:
     column = table.column("doc_id")
     return column.fill_null(NULL_ID).to_numpy().astype(np.int64)
