@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-from bisect import bisect_right
 from collections import defaultdict
 
 import numpy as np
@@ -39,6 +38,7 @@ LENGTH = 50
 GRAM = 24
 BLOCK_BYTES = 8 << 20
 HOT = 4096
+MOST = 1 << 18  # suffixes in a run
 SAMPLE_DOCS = 3000  # for the splitters of the ranges, which only balance the work
 SAMPLE_EACH = 6
 RUNS = "range int, kind int, block int, run binary"
@@ -89,45 +89,71 @@ def _all_anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def _front_code(entries: list, inside: list) -> bytes:
-    """A sorted run. entries: (suffix, before) in order; inside: of each, [(document id, its number, place), ...]."""
-    shared, tails, last = [], [], b""
-    for s, _ in entries:
-        n, most = 0, min(len(s), len(last))
-        if s[:most] == last[:most]:
-            n = most
-        else:
-            while s[n] == last[n]:
-                n += 1
-        shared.append(n)
-        tails.append(s[n:])
-        last = s
-    return pickle.dumps(
-        (
-            np.array(shared, np.uint8).tobytes(),
-            np.array([len(t) for t in tails], np.uint8).tobytes(),
-            b"".join(tails),
-            np.array([len(b) for _, b in entries], np.uint8).tobytes(),
-            b"".join([b for _, b in entries]),
-            np.array([len(x) for x in inside], np.int32).tobytes(),
-            np.array([y for x in inside for y in x], np.int64).reshape(-1, 3).T.tobytes(),
-        ),
-        5,
-    )
+def _rows_at(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
+    """One row of `width` bytes per start: data[start:start + length], then zeros."""
+    padded = np.r_[data, np.zeros(width, np.uint8)]
+    rows = np.lib.stride_tricks.sliding_window_view(padded, width)[starts]
+    rows[np.arange(width) >= lengths[:, None]] = 0
+    return rows
+
+
+class _Sorted:
+    """Suffixes of one block in order, equal ones (with equal bytes before) merged; `where` holds the occurrences."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray, first: np.ndarray, end: np.ndarray, where: np.ndarray):
+        n, most = end - at, at - first
+        key = np.zeros((len(at), 80), np.uint8)
+        key[:, :LENGTH] = _rows_at(data, at, n, LENGTH)
+        key[:, LENGTH] = n  # zeros at the end of a suffix are told from padding
+        key[:, LENGTH + 1 : 78] = _rows_at(data, first, most, LENGTH - GRAM + 1)[:, : 78 - LENGTH - 1]
+        key[:, 78] = most
+        columns = key.view(">u8")
+        order = np.lexsort(columns.T[::-1])
+        key, columns = key[order], columns[order]
+        new = np.r_[True, (columns[1:] != columns[:-1]).any(1)] if len(key) else np.zeros(0, bool)
+        self.bounds = np.r_[np.flatnonzero(new), len(key)]
+        self.where = where[order]
+        key = key[new]
+        self.suffix, self.size = key[:, :LENGTH], key[:, LENGTH].astype(np.int64)
+        self.before, self.most = key[:, LENGTH + 1 : 78], key[:, 78].astype(np.int64)
+
+    def front_code(self, i: int, j: int) -> bytes:
+        """Suffixes i to j as a run: the bytes shared with the one before, and the rest."""
+        s, n, b, m = self.suffix[i:j], self.size[i:j], self.before[i:j], self.most[i:j]
+        shared = np.zeros(j - i, np.int64)
+        differs = s[1:] != s[:-1]
+        shared[1:] = np.minimum(np.where(differs.any(1), differs.argmax(1), LENGTH), np.minimum(n[1:], n[:-1]))
+        column = np.arange(LENGTH)
+        tails = s[(column >= shared[:, None]) & (column < n[:, None])]
+        befores = b[np.arange(b.shape[1]) < m[:, None]]
+        lo, hi = self.bounds[i], self.bounds[j]
+        return pickle.dumps(
+            (
+                shared.astype(np.uint8).tobytes(),
+                (n - shared).astype(np.uint8).tobytes(),
+                tails.tobytes(),
+                m.astype(np.uint8).tobytes(),
+                befores.tobytes(),
+                np.diff(self.bounds[i : j + 1]).astype(np.int32).tobytes(),
+                self.where[lo:hi, 0].tobytes(),
+                self.where[lo:hi, 1:].T.astype(np.int32).tobytes(),
+            ),
+            5,
+        )
 
 
 class _Run:
     """A front-coded run, read from its start; `suffix` is the head and `shared` what it shares with the one before."""
 
     def __init__(self, block: int, packed: bytes):
-        shared, lengths, self.tails, before, befores, counts, inside = pickle.loads(packed)
+        shared, lengths, self.tails, before, befores, counts, who, inside = pickle.loads(packed)
         self.block, self.shared_all, self.lengths = block, shared, lengths
         ends = np.cumsum(np.frombuffer(before, np.uint8), dtype=np.int64).tolist()
         self.before = [befores[i:j] for i, j in zip([0, *ends], ends)]
-        self.ids, self.numbers, self.places = np.frombuffer(inside, np.int64).reshape(3, -1)
-        self.bounds = np.r_[0, np.cumsum(np.frombuffer(counts, np.int32))]
-        self.least = np.minimum.reduceat(self.ids, self.bounds[:-1]).tolist() if len(self.ids) else []
-        self.most = np.maximum.reduceat(self.ids, self.bounds[:-1]).tolist() if len(self.ids) else []
+        who, bounds = np.frombuffer(who, np.int64), np.r_[0, np.cumsum(np.frombuffer(counts, np.int32))]
+        self.least, self.most = (f.reduceat(who, bounds[:-1]).tolist() for f in (np.minimum, np.maximum))
+        self.ids, self.bounds = who.tolist(), bounds.tolist()
+        self.numbers, self.places = np.frombuffer(inside, np.int32).reshape(2, -1).tolist()
         self.at, self.byte, self.suffix = -1, 0, b""
 
     def advance(self) -> int:
@@ -204,26 +230,50 @@ def merge_runs(runs: list[_Run]):
             node >>= 1
 
 
-def _least_by_string(group: list) -> list | None:
-    """For each (suffix, before, least id, ...) of a group: (strings' steps back from the anchor) -> least id, as a
-    list of (first step, last step, id). None if one document holds all."""
-    kinds: dict = {}
-    for s, b, low, high, *_ in group:
-        was = kinds.get((s, b))
-        kinds[s, b] = (min(was[0], low), max(was[1], high)) if was else (low, high)
-    if min(x[0] for x in kinds.values()) == max(x[1] for x in kinds.values()):
-        return None
+FEW = 8
+
+
+def _least_by_string(kinds: dict) -> dict:
+    """(suffix, before) -> least id of its documents, for the suffixes of one gram.
+
+    Gives (suffix, before) -> [(first step, last step, id)]: the least id that has the string which starts so many steps
+    before the anchor. Two suffixes share the strings whose steps are within their common bytes before the anchor and
+    leave no more than their common bytes after it: one stretch of steps. For many suffixes a table of strings is
+    shorter work than all pairs.
+    """
     if len(kinds) == 1:
-        (s, b), (low, _) = next(iter(kinds.items()))
-        return [[(LENGTH - len(s), len(b), low)]] * len(group)
+        return {(s, b): [(LENGTH - len(s), len(b), low)] for (s, b), low in kinds.items()}
+    steps: dict = {}
+    if len(kinds) <= FEW:
+        ordered = sorted(kinds.items(), key=lambda x: x[1])
+        for (s, b), low in ordered:
+            out, first, last = [], LENGTH - len(s), len(b)
+            open_steps = [(first, last)]
+            for (t, c), other in ordered:
+                if other >= low or not open_steps:
+                    break
+                lo, hi = LENGTH - _common(s, t, GRAM), _common_end(b, c)
+                rest = []
+                for x, y in open_steps:
+                    i, j = max(x, lo), min(y, hi)
+                    if i <= j:
+                        out.append((i, j, other))
+                        if x < i:
+                            rest.append((x, i - 1))
+                        if j < y:
+                            rest.append((j + 1, y))
+                    else:
+                        rest.append((x, y))
+                open_steps = rest
+            steps[s, b] = out + [(x, y, low) for x, y in open_steps]
+        return steps
     least: dict = {}
-    for (s, b), (low, _) in kinds.items():
+    for (s, b), low in kinds.items():
         m = len(b)
         for j in range(LENGTH - len(s), m + 1):
             string = b[m - j :] + s[: LENGTH - j]
             if least.get(string, low) >= low:
                 least[string] = low
-    steps = {}
     for s, b in kinds:
         m, out = len(b), []
         for j in range(LENGTH - len(s), m + 1):
@@ -233,20 +283,34 @@ def _least_by_string(group: list) -> list | None:
             else:
                 out.append((j, j, low))
         steps[s, b] = out
-    return [steps[s, b] for s, b, *_ in group]
+    return steps
+
+
+def _common_end(a: bytes, b: bytes) -> int:
+    n, most = 0, min(len(a), len(b))
+    if a[len(a) - most :] == b[len(b) - most :]:
+        return most
+    while a[-1 - n] == b[-1 - n]:
+        n += 1
+    return n
 
 
 def _remove_in(group: list, runs: list[_Run], found: dict) -> None:
-    steps = _least_by_string(group)
-    if steps is None:
-        return
-    for (_, _, _, high, r, at), own in zip(group, steps):
+    """Notes the removed stretches of a group: all suffixes with one gram (or all equal strings)."""
+    kinds: dict = {}
+    for what, low, *_ in group:
+        if kinds.get(what, low) >= low:
+            kinds[what] = low
+    steps = _least_by_string(kinds)
+    for what, _, high, r, at in group:
         run = runs[r]
-        for first, last, low in own:
+        for first, last, low in steps[what]:
             if low < high:
-                for k in range(int(run.bounds[at]), int(run.bounds[at + 1])):
-                    if run.ids[k] > low:
-                        found[run.block].append((run.numbers[k], run.places[k] - last, run.places[k] - first + LENGTH))
+                ids, note = run.ids, found[run.block]
+                for k in range(run.bounds[at], run.bounds[at + 1]):
+                    if ids[k] > low:
+                        place = run.places[k]
+                        note.append((run.numbers[k], place - last, place - first + LENGTH))
 
 
 def _merge_range(table: pa.Table) -> pa.Table:
@@ -255,64 +319,48 @@ def _merge_range(table: pa.Table) -> pa.Table:
     same = LENGTH if kind else GRAM
     found: dict = defaultdict(list)
     group: list = []
+    low = high = 0
     for shared, r, at in merge_runs(runs):
         run = runs[r]
         if shared < same and group:
-            if len(group) > 1 or group[0][2] < group[0][3]:
+            if low < high:  # else one document holds all
                 _remove_in(group, runs, found)
             group = []
-        group.append((run.suffix, run.before[at], run.least[at], run.most[at], r, at))
-    if group:
+        least, most = run.least[at], run.most[at]
+        low, high = (min(low, least), max(high, most)) if group else (least, most)
+        group.append(((run.suffix, run.before[at]), least, most, r, at))
+    if group and low < high:
         _remove_in(group, runs, found)
     return pa.table(
         {
             "block": pa.array(list(found), pa.int32()),
-            "stretches": pa.array([np.array(x, np.int64).T.astype(np.int32).tobytes() for x in found.values()], pa.binary()),
+            "stretches": pa.array([np.array(x, np.int32).T.tobytes() for x in found.values()], pa.binary()),
         }
     )
 
 
 def _send_runs(table: pa.Table, states: pa.Table, buckets: int, splitters: list[bytes]) -> pa.Table:
+    table = B.in_order(table)
     block = table.column("block")[0].as_py()
     data, offsets = B.flat(table)
     at, lo, hi, doc, gram = _all_anchors(data, offsets)
     state = B.states_by_hash(states, gram)
     doc_ids = B.ids(table)
-    body = data.tobytes()
     rows = []
-    for kind in (0, 1):
+    for kind, prefix in ((0, GRAM), (1, LENGTH)):
         use = np.flatnonzero(state == kind + 1)
-        a, f, t = at[use], lo[use], hi[use]
-        d = doc[use]
-        if kind:
+        a, f, t, d = at[use], lo[use], hi[use], doc[use]
+        if kind:  # each string by itself
             n = t - f + 1
             a = f = t = np.repeat(f, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             d = np.repeat(d, n)
-        place = (a - offsets[d]).tolist()
-        suffixes = [
-            (body[x : z + LENGTH], body[y:x], i, k, p)
-            for x, y, z, i, k, p in zip(a.tolist(), f.tolist(), t.tolist(), doc_ids[d].tolist(), d.tolist(), place)
-        ]
-        suffixes.sort()
-        bounds = sorted({s[:GRAM] for s in splitters}) if not kind else splitters
-        entries, inside, here, limit, prefix = [], [], 0, None, GRAM if not kind else LENGTH
-
-        def close():
-            if entries:
-                rows.append((here, kind, _front_code(entries, inside)))  # noqa: B023
-
-        for s, b, *where in suffixes:
-            if limit is None or limit and s[:prefix] >= limit:
-                close()
-                entries, inside = [], []
-                here = bisect_right(bounds, s[:prefix])
-                limit = bounds[here] if here < len(bounds) else b""
-            if entries and entries[-1] == (s, b):
-                inside[-1].append(where)
-            else:
-                entries.append((s, b))
-                inside.append([where])
-        close()
+        for i in range(0, len(a), MOST):  # a run is bounded, however many strings a block has
+            k = slice(i, i + MOST)
+            run = _Sorted(data, a[k], f[k], t[k] + LENGTH, np.stack([doc_ids[d[k]], d[k], a[k] - offsets[d[k]]], axis=1))
+            bounds = np.array(sorted({s[:prefix] for s in splitters}), f"S{prefix}")
+            heads = np.ascontiguousarray(run.suffix[:, :prefix]).view(f"S{prefix}").ravel()
+            cuts = [0, *np.searchsorted(heads, bounds, "left").tolist(), len(heads)]
+            rows += [(r, kind, run.front_code(x, y)) for r, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y]
     return pa.table(
         {
             "range": pa.array([r[0] for r in rows], pa.int32()),
@@ -324,6 +372,7 @@ def _send_runs(table: pa.Table, states: pa.Table, buckets: int, splitters: list[
 
 
 def _cut(table: pa.Table, stretches: pa.Table, keep_text: bool) -> pa.Table:
+    table = B.in_order(table)
     data, offsets = B.flat(table)
     covered = np.zeros(len(data) + 1, np.int32)
     for packed in stretches.column("stretches").to_pylist():
