@@ -3,13 +3,12 @@
 The lattice of a text has an arc for each vocabulary piece at each place where it stands; a piece of rank r weighs
 (r + 2) ** -alpha. The forward pass sums the weights of all paths to each place, the backward pass draws the last piece
 of a path in proportion to what leads there, then the one before it, and so on: an exact sample of a segmentation with
-probability in proportion to its weight. All draws come from a hash of a seed, the row key, the place of the word in the
-text and the step, so a row has the same sample wherever and whenever it is encoded.
+probability in proportion to its weight. All draws come from a hash of a seed, the row key, the place in the text
+and the step, so a row has the same sample wherever and whenever it is encoded.
 
-No piece has a space inside or after other characters, so a path never crosses the start of a run of spaces, and the
-lattice falls into independent parts: spaces and the characters up to the next space. The forward pass is made once for
-each distinct part (in a bounded table of each worker), and the backward pass steps through all parts of a batch
-together.
+Where no arc crosses from one character to the next (as between words, and between most characters of a script without
+spaces), the lattice falls into independent stretches. All stretches of a batch go through both passes together, one
+place at a time, so the work is in arrays.
 
 Lossless: a space in front is added and taken away again, characters without a piece become byte pieces, and so does a
 literal U+2581, the vocabulary's sign for a space. Null gives null, an empty text no pieces. Equal rows get equal pieces.
@@ -18,7 +17,6 @@ literal U+2581, the vocabulary's sign for a space. Null gives null, an empty tex
 from __future__ import annotations
 
 import math
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -32,13 +30,11 @@ from gridcast.llm.blocks import mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 13
-TABLE = 150_000  # distinct parts that a worker keeps
-LONG = 64  # longer parts are drawn one by one and not kept
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 SPACE = "▁"
+STOP = "\0"
 ONE = 1 << 30
-_PART = re.compile(" *[^ ]+| +")
-_GOLD, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+GOLD, _STEP = np.uint64(0x9E3779B97F4A7C15), 0xC2B2AE3D27D4EB4F
 
 Pieces = tuple[tuple[str, float, str], ...]
 
@@ -52,148 +48,181 @@ def load_pieces(path: str = MODEL) -> Pieces:
     return tuple((model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.get_piece_size()))
 
 
+class _Trie:
+    """The vocabulary as a table of (state, character) -> state, looked up for many places at a time."""
+
+    def __init__(self, words: dict[str, int]):
+        chars = sorted({c for w in words for c in w})
+        self.letter = np.zeros(0x110002, np.int64)  # number of each code point, 0 for those in no piece
+        self.letter[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        number = {c: i + 1 for i, c in enumerate(chars)}
+        self.width = len(chars) + 1
+        step: dict[int, int] = {}
+        ends = [-1]
+        for w, i in words.items():
+            at = 0
+            for c in w:
+                key = at * self.width + number[c]
+                if key not in step:
+                    step[key] = len(ends)
+                    ends.append(-1)
+                at = step[key]
+            ends[at] = i
+        self.piece = np.array(ends, np.int32)
+        bits = max(4, (8 * len(step)).bit_length())
+        self.shift, self.keys, self.states = np.uint64(64 - bits), np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        for key, state in step.items():
+            at = (key * int(GOLD) % 2**64) >> int(self.shift)
+            while self.keys[at] >= 0:
+                at = (at + 1) % len(self.keys)
+            self.keys[at], self.states[at] = key, state
+
+    def step(self, states: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Next states, -1 where there is none."""
+        keys = states * self.width + letters
+        at = (keys.astype(np.uint64) * GOLD >> self.shift).astype(np.int64)
+        there = self.keys[at]
+        out = np.where(there == keys, self.states[at], -1).astype(np.int64)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) % len(self.keys)
+            there = self.keys[at[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.states[at[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
+
+
 class Lattice:
-    """Forward tables of text parts for one vocabulary."""
+    """Samples segmentations by one vocabulary."""
 
     def __init__(self, pieces: Pieces, alpha: float = ALPHA):
-        self.bytes_of = [int(p[1:-1], 16) if k == "byte" else -1 for p, _, k in pieces]
-        self.byte_id = {b: i for i, b in enumerate(self.bytes_of) if b >= 0}
+        bytes_of = [int(p[1:-1], 16) if k == "byte" else -1 for p, _, k in pieces]
+        self.byte_id = {b: i for i, b in enumerate(bytes_of) if b >= 0}
         if len(self.byte_id) != 256:
             raise ValueError("the vocabulary lacks byte pieces")
-        self.arcs = {p.replace(SPACE, " "): (i, -alpha * math.log(2 - s)) for i, (p, s, k) in enumerate(pieces) if k == "piece"}
-        if any(" " in p.lstrip(" ") for p in self.arcs):
-            raise ValueError("a piece has a space after other characters")
-        self.longest = max(map(len, self.arcs))
+        words = {p.replace(SPACE, " "): i for i, (p, _, k) in enumerate(pieces) if k == "piece"}
+        self.trie = _Trie(words)
+        self.longest = max(map(len, words))
+        self.weight = np.array([-alpha * math.log(2 - s) if k == "piece" else 0.0 for _, s, k in pieces])
         self.worst = -alpha * math.log(2 + len(pieces))
-        self.texts = [bytes([self.bytes_of[i]]) if k == "byte" else p.replace(SPACE, " ").encode() if k == "piece" else b"" for i, (p, _, k) in enumerate(pieces)]
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.first: list[int] = []  # node of each part's end
-        self.nodes = 0
-        self.upto: list[int] = []  # of each arc: its node * ONE + the cumulated probability
-        self.back: list[int] = []  # characters that the arc takes
-        self.piece: list[int] = []  # its id, or -1 - code point for a character as several bytes
-        self.arrays = None
-
-    def forward(self, part: str):
-        """For each place 1..n: the arcs that end there as (cumulated probability in parts of ONE, characters, id)."""
-        reach = [0.0]
-        for e in range(1, len(part) + 1):
-            found = []
-            for s in range(max(0, e - self.longest), e):
-                arc = self.arcs.get(part[s:e])
-                if arc:
-                    found.append((reach[s] + arc[1], e - s, arc[0]))
-            if part[e - 1] not in self.arcs:
-                data = part[e - 1].encode()
-                found.append((reach[e - 1] + len(data) * self.worst, 1, self.byte_id[data[0]] if len(data) == 1 else -1 - ord(part[e - 1])))
-            top = max(found)[0]
-            weights = [math.exp(w - top) for w, *_ in found]
-            total = sum(weights)
-            reach.append(top + math.log(total))
-            run, out = 0.0, []
-            for w, (_, n, i) in zip(weights, found):
-                run += w / total
-                out.append((round(run * ONE), n, i))
-            out[-1] = (ONE, *out[-1][1:])
-            yield out
-
-    def add(self, part: str) -> int:
-        for arcs in self.forward(part):
-            for p, n, i in arcs:
-                self.upto.append(self.nodes * ONE + p)
-                self.back.append(n)
-                self.piece.append(i)
-            self.nodes += 1
-        self.number[part] = len(self.first)
-        self.first.append(self.nodes - 1)
-        self.arrays = None
-        return len(self.first) - 1
-
-    def tables(self):
-        if self.arrays is None:
-            self.arrays = tuple(np.array(x, np.int64) for x in (self.first, self.upto, self.back, self.piece))
-        return self.arrays
-
-    def draw_one(self, part: str, key: int) -> list[int]:
-        table = list(self.forward(part))
-        at, step, out = len(part), 0, []
-        while at:
-            u = int(_uniform(np.array([key], np.uint64), step)[0])
-            n, i = next((n, i) for p, n, i in table[at - 1] if p > u)
-            out.append(i)
-            at -= n
-            step += 1
-        return out[::-1]
+        self.texts = [bytes([bytes_of[i]]) if k == "byte" else p.replace(SPACE, " ").encode() if k == "piece" else b"" for i, (p, _, k) in enumerate(pieces)]
+
+    def arcs(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each character and length: log weight (-inf without an arc) and piece of the arc that ends with the
+        character; whether an arc crosses from it to the next one. A piece of -1 - c is code point c as bytes."""
+        n = len(points)
+        weight = np.full((n, self.longest), -np.inf, np.float32)
+        piece = np.zeros((n, self.longest), np.int32)
+        letters = self.trie.letter[points]
+        crossed = np.zeros(n + 1, np.int32)
+        start, states, size = np.arange(n), np.zeros(n, np.int64), 0
+        while len(start) and size < self.longest:
+            fits = start + size < n
+            start, states = start[fits], states[fits]
+            states = self.trie.step(states, letters[start + size])
+            on = states >= 0
+            start, states = start[on], states[on]
+            size += 1
+            ids = self.trie.piece[states]
+            whole = np.flatnonzero(ids >= 0)
+            end = start[whole] + size - 1
+            weight[end, size - 1] = self.weight[ids[whole]]
+            piece[end, size - 1] = ids[whole]
+            if size > 1:
+                crossed[start[whole]] += 1  # starts of one length differ, and so do ends
+                crossed[end] -= 1
+        for i in np.flatnonzero(weight[:, 0] == -np.inf).tolist():
+            c = int(points[i])
+            if c < 0x110000:
+                data = chr(c).encode()
+                weight[i, 0] = len(data) * self.worst
+                piece[i, 0] = self.byte_id[data[0]] if len(data) == 1 else -1 - c
+        return weight, piece, np.cumsum(crossed)[:-1] > 0
 
     def sample(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pieces of the texts one after another, and the number of pieces of each."""
-        if len(self.number) > TABLE:
-            self.clear()
-        parts = [_PART.findall(" " + t) if t else [] for t in texts]
-        count = np.array([len(p) for p in parts], np.int64)
-        doc = np.repeat(np.arange(len(texts)), count)
-        place = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-        seeds = mix(keys[doc] + place.astype(np.uint64) * _GOLD)
-        number, long = self.number, []
-        which = np.empty(len(doc), np.int64)
-        at = 0
-        for own in parts:
-            for part in own:
-                n = number.get(part)
-                if n is None:
-                    if len(part) > LONG:
-                        long.append((at, part))
-                        n = -1
-                    else:
-                        n = self.add(part)
-                which[at] = n
-                at += 1
-        drawn = {i: self.draw_one(part, int(seeds[i])) for i, part in long}
-        sizes = np.zeros(len(doc), np.int64)
-        steps = []
-        if self.first:
-            first, upto, back, piece = self.tables()
-            live = np.flatnonzero(which >= 0)
-            left = np.diff(np.r_[-1, first])[which[live]]  # characters still to take
-            end = first[which[live]] + 1 - left  # node of the part's first character
-            step = 0
-            while len(live):
-                node = end + left - 1
-                arc = np.searchsorted(upto, node * ONE + _uniform(seeds[live], step), "right")
-                steps.append((live, piece[arc]))
-                left = left - back[arc]
-                sizes[live] += 1
-                more = left > 0
-                live, left, end = live[more], left[more], end[more]
-                step += 1
-        for i, own in drawn.items():
-            sizes[i] = len(own)
+        points = np.frombuffer("".join([STOP + " " + t if t else STOP for t in texts]).encode("utf-32-le"), np.uint32).astype(np.int64)
+        starts = np.cumsum([0] + [len(t) + 2 if t else 1 for t in texts])
+        points[starts[:-1]] = 0x110000  # in front of each text; no arc crosses it
+        weight, piece, crossed = self.arcs(points)
+        stop = np.zeros(len(points), bool)
+        stop[starts[:-1]] = True
+
+        # between places that no arc crosses, the lattice falls into independent stretches
+        opens = np.flatnonzero(np.r_[True, ~crossed[:-1]]) if len(points) else np.zeros(0, np.int64)
+        length = np.diff(np.r_[opens, len(points)])
+        place = np.arange(len(points)) - np.repeat(opens, length)
+        chance = self.forward(weight, place)
+
+        real = ~stop[opens]
+        opens, length = opens[real], length[real]
+        doc = np.searchsorted(starts, opens, "right") - 1
+        seeds = mix(keys[doc] + (opens - starts[doc]).astype(np.uint64) * GOLD)
+        sizes, steps = np.zeros(len(opens), np.int64), []
+        live, left, step = np.arange(len(opens)), length.copy(), 0
+        while len(live):
+            at = opens[live] + left - 1
+            drawn = _uniform(seeds[live], step)
+            taken = (chance[at] <= drawn[:, None]).sum(1)
+            steps.append((live, piece[at, taken]))
+            sizes[live] += 1
+            left = left - taken - 1
+            more = left > 0
+            live, left = live[more], left[more]
+            step += 1
         ends = np.cumsum(sizes)
-        out = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+        out = np.empty(int(sizes.sum()), np.int64)
         for step, (live, ids) in enumerate(steps):
             out[ends[live] - 1 - step] = ids
-        for i, own in drawn.items():
-            out[ends[i] - len(own) : ends[i]] = own
         per_doc = np.bincount(doc, sizes, len(texts)).astype(np.int64)
         if (out < 0).any():
-            wide = [[self.byte_id[b] for b in chr(-1 - x).encode()] if x < 0 else [x] for x in out.tolist()]
-            width = np.array([len(w) for w in wide], np.int64)
             owner = np.repeat(np.arange(len(texts)), per_doc)
-            per_doc = np.bincount(owner, width, len(texts)).astype(np.int64)
-            out = np.array([x for w in wide for x in w], np.int64)
+            several = {x: [self.byte_id[b] for b in chr(-1 - x).encode()] for x in np.unique(out[out < 0]).tolist()}
+            wide = np.ones(len(out), np.int64)
+            for x, ids in several.items():
+                wide[out == x] = len(ids)
+            first = np.cumsum(wide) - wide
+            more = np.repeat(out, wide)
+            for x, ids in several.items():
+                for k, i in enumerate(ids):
+                    more[first[out == x] + k] = i
+            out, per_doc = more, np.bincount(owner, wide, len(texts)).astype(np.int64)
         return out, per_doc
 
+    def forward(self, weight: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """For each character, the cumulated chances (in parts of ONE) of the lengths of the arc that ends a path to it.
+
+        `place` counts the characters since the stretch began; all stretches advance together, one place at a time.
+        """
+        chance = np.full(weight.shape, ONE, np.int32)
+        reach = np.zeros(len(place))
+        order = np.argsort(place.astype(np.uint16) if place.max(initial=0) < 65536 else place, kind="stable")
+        bounds = np.searchsorted(place[order], np.arange(place.max(initial=-1) + 2))
+        for e, (i, j) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
+            at = order[i:j]
+            if e == 0:
+                reach[at] = weight[at, 0]
+                continue
+            k = min(e + 1, self.longest)
+            x = weight[at, :k].astype(np.float64)
+            before = min(e, k)
+            x[:, :before] += reach[at[:, None] - 1 - np.arange(before)]
+            top = x.max(1)
+            x = np.exp((x - top[:, None]).astype(np.float32))
+            total = np.cumsum(x, axis=1, dtype=np.float64)
+            reach[at] = top + np.log(total[:, -1])
+            chance[at, : k - 1] = np.rint(total[:, :-1] / total[:, -1:] * ONE)
+        return chance
+
     def decode(self, ids: list[int]) -> str:
         texts = self.texts
         return b"".join([texts[i] for i in ids])[1:].decode("utf-8", "replace")
 
 
 def _uniform(seeds: np.ndarray, step: int) -> np.ndarray:
-    """Whole numbers from 0 to ONE - 1. Whole, so that a draw doesn't depend on the size of a node's number."""
-    return (mix(seeds + np.uint64(step + 1) * _STEP) >> np.uint64(34)).astype(np.int64)
+    """Whole numbers from 0 to ONE - 1."""
+    return (mix(seeds + np.uint64((step + 1) * _STEP % 2**64)) >> np.uint64(34)).astype(np.int32)
 
 
 @lru_cache(2)
