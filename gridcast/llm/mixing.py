@@ -78,6 +78,36 @@ def _with_sources(rows: DataFrame, sources: DataFrame, small: bool) -> DataFrame
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row per row of `docs`: doc_id, source, size, source_size, target, copies, taken (= size * copies)."""
+    sized, table, small = _plan(docs, key, text, source)
+    extra = F.when(F.coalesce("_below", F.lit(False)), 1).otherwise(0)
+    copies = F.col("copies") + extra
+    return _with_sources(sized, table, small).withColumn("_below", _below()).select(
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
+    )
+
+
+def mix_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, with their own columns."""
+    _, table, small = _plan(docs, key, text, source)
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_key"), F.col(source).alias("source"))
+    digits = {f"_d{i}": hash_digit(F.col("_key"), i) for i in range(LEVELS)}
+    times = (F.col("copies") + F.when(F.coalesce(_below(), F.lit(False)), 1).otherwise(0)).cast("int")
+    rows = _with_sources(own.withColumns(digits), table, small).withColumn("_times", times).where("_times > 0")
+    return rows.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select("_row.*")
+
+
+def _below() -> Column:
+    """Whether a row's hash is below the threshold of its source, or in the last boundary bucket where that is taken."""
+    below, same = F.lit(False), F.lit(True)
+    for k in range(LEVELS):
+        below = below | (same & (F.col(f"_d{k}") < F.col(f"_t{k}")))
+        same = same & (F.col(f"_d{k}") == F.col(f"_t{k}"))
+    return below | (same & F.col("_edge"))
+
+
+def _plan(docs: DataFrame, key: str, text: str, source: str) -> tuple[DataFrame, DataFrame, bool]:
+    """(id, source, size and hash digits of each row; target, copies and threshold of each source; whether the latter
+    is small)."""
     digits = {f"_d{i}": hash_digit(F.col("doc_id"), i) for i in range(LEVELS)}
     sized = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), count_words(F.col(text)).alias("size"))
     sized = checkpointed(sized.withColumns(digits))
@@ -112,18 +142,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         if i < LEVELS - 1:
             inside = _with_sources(sized, bounds.drop("_before", "rest"), small).where(edge).select(sized.columns)
 
-    below, same = F.lit(False), F.lit(True)
-    for k in range(LEVELS):
-        below = below | (same & (F.col(f"_d{k}") < F.col(f"_t{k}")))
-        same = same & (F.col(f"_d{k}") == F.col(f"_t{k}"))
     take_edge = (F.col("rest") - F.col("_before")) * 2 > F.col("_words")
-    thresholds = [F.col(f"_t{k}") for k in range(LEVELS)]
-    limits = bounds.select("source", *thresholds, take_edge.alias("_edge"))
-    table = _with_sources_outer(sources, limits)
-    extra = F.when(F.coalesce(below | (same & F.col("_edge")), F.lit(False)), 1).otherwise(0)
-    return _with_sources(sized, table, small).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("copies") + extra).alias("copies"), (F.col("size") * (F.col("copies") + extra)).alias("taken")
-    )
+    limits = bounds.select("source", *(f"_t{k}" for k in range(LEVELS)), take_edge.alias("_edge"))
+    return sized, _with_sources_outer(sources, limits), small
 
 
 def _with_sources_outer(sources: DataFrame, limits: DataFrame) -> DataFrame:

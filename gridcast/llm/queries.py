@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from gridcast.llm import exact_search, mixing, ngram_join, passage_dedup, piece_sampling, quality_classifier, quality_rules, suffix_dedup
 
 
@@ -49,6 +50,10 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup.remove_passages(_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_search": op1_exact_search,
     "op3_piece_sampling": op3_piece_sampling,
@@ -58,4 +63,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_ngram_join": op9_ngram_join,
     "op10_passage_dedup": op10_passage_dedup,
+    "pipeline": pipeline,
 }
