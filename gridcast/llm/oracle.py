@@ -65,6 +65,35 @@ FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
 QUALIFY rank <= 10
 """
 
+_TURN = "'<|' || coalesce({0}.role, '') || '|>' || chr(10) || coalesce({0}.text, '') || '<|end|>' || chr(10)"
+OP6 = f"""
+WITH side AS (
+  SELECT floor(conv_id / 2)::BIGINT AS pair_id, conv_id % 2 = 0 AS chosen, turn, role, text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), common AS (
+  SELECT p.pair_id, coalesce(min(k) - 1, any_value(p.n)) AS n FROM (SELECT pair_id, max(k) AS n FROM side GROUP BY pair_id) p
+  LEFT JOIN (
+    SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.k, r.k) AS k
+    FROM (FROM side WHERE chosen) c FULL JOIN (FROM side WHERE NOT chosen) r ON c.pair_id = r.pair_id AND c.k = r.k
+    WHERE c.k IS NULL OR r.k IS NULL OR c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text
+  ) d ON d.pair_id = p.pair_id GROUP BY p.pair_id
+), placed AS (
+  SELECT s.*, n, {_TURN.format("s")} AS body,
+    sum(length({_TURN.format("s")})) OVER (PARTITION BY s.pair_id, chosen, k > n ORDER BY k) AS upto
+  FROM side s JOIN common USING (pair_id)
+), made AS (
+  SELECT pair_id, n::INT AS n_common,
+    coalesce(string_agg(body, '' ORDER BY k) FILTER (chosen AND k <= n), '') AS prompt,
+    CASE WHEN bool_or(chosen) THEN coalesce(string_agg(body, '' ORDER BY k) FILTER (chosen AND k > n), '') END AS chosen,
+    CASE WHEN bool_or(NOT chosen) THEN coalesce(string_agg(body, '' ORDER BY k) FILTER (NOT chosen AND k > n), '') END AS rejected,
+    CASE WHEN bool_or(chosen) THEN coalesce(string_agg((upto - length(coalesce(text, '')) - 8)::BIGINT || '-' || upto::BIGINT, ',' ORDER BY k) FILTER (chosen AND k > n AND role = 'assistant'), '') END AS chosen_spans,
+    CASE WHEN bool_or(NOT chosen) THEN coalesce(string_agg((upto - length(coalesce(text, '')) - 8)::BIGINT || '-' || upto::BIGINT, ',' ORDER BY k) FILTER (NOT chosen AND k > n AND role = 'assistant'), '') END AS rejected_spans
+  FROM placed GROUP BY pair_id, n
+)
+SELECT *, coalesce(chosen_spans <> '' AND rejected_spans <> '' AND chosen <> rejected, false) AS usable FROM made
+"""
+
 OP8 = f"""
 WITH sized AS (
   SELECT doc_id, source, len({WORDS.format("text")}) AS size,
@@ -131,4 +160,4 @@ SELECT doc_id, CASE WHEN len(w) > 0 THEN class_id ELSE doc_id END AS class_id, C
 FROM split LEFT JOIN class USING (rid) LEFT JOIN same USING (rid) LEFT JOIN links USING (rid)
 """
 
-ORACLE: dict[str, str] = {"op1_exact_search": OP1, "op4_quality_rules": OP4, "op8_mixing": OP8, "op9_ngram_join": OP9}
+ORACLE: dict[str, str] = {"op1_exact_search": OP1, "op4_quality_rules": OP4, "op6_chat_format": OP6, "op8_mixing": OP8, "op9_ngram_join": OP9}

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridcast.llm import exact_search, mixing, ngram_join, passage_dedup, piece_sampling, quality_classifier, quality_rules, suffix_dedup
+from gridcast.llm import chat_format, exact_search, mixing, ngram_join, passage_dedup, piece_sampling, quality_classifier, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +35,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k and 2k + 1 as the chosen and the rejected one of pair k."""
+    turns = _table(spark, sf_dir, "conversations")
+    return chat_format.preference_pairs(turns, F.floor(F.col("conv_id") / 2), F.col("conv_id") % 2 == 0)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_piece_sampling": op3_piece_sampling,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_chat_format": op6_chat_format,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
     "op9_ngram_join": op9_ngram_join,
