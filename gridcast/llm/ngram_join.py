@@ -231,7 +231,10 @@ def similar(
     banded = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     buckets = banded.groupBy("band", "hash").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
     in_bucket = checkpointed(banded.join(buckets, ["band", "hash"]))
-    candidates = components(in_bucket.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    # one edge from each node to its least hub, and one from that to each of its others: many nodes share those
+    hubs = in_bucket.groupBy("node").agg(F.collect_set("hub").alias("hubs")).withColumn("least", F.array_min("hubs"))  # at most `bands`
+    between = hubs.select(F.explode("hubs").alias("a"), F.col("least").alias("b"))
+    candidates = components(hubs.select(F.col("node").alias("a"), F.col("least").alias("b")).unionByName(between).where("a <> b").distinct())
 
     # components cut into chunks
     sized = candidates.join(nodes.select("node", "id", "text_hash", "members", "grams"), "node")
