@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridcast.llm import chat_format, exact_search, mixing, ngram_join, passage_dedup, piece_sampling, quality_classifier, quality_rules, suffix_dedup
+from gridcast.llm import chat_format, exact_search, license_scan, mixing, ngram_join, passage_dedup, piece_sampling, quality_classifier, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_search.search(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.fit(license_scan.sample_lines(docs)))
+
+
 def op3_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_search": op1_exact_search,
+    "op2_license_scan": op2_license_scan,
     "op3_piece_sampling": op3_piece_sampling,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
