@@ -52,18 +52,9 @@ def rows_above_mark(
     return window_rows(source, as_of, days).where(number > mark)
 
 
-def latest_window(
-    source: DataFrame, as_of: str, days: int = 1, span_days: int = 1, limit: int | None = None,
-    order: tuple[str, ...] = (),
-) -> DataFrame:
-    """Rows within ``span_days`` of the newest cycle of the source's own window.
-
-    ``limit`` is an optional row cap of the table, taken in a stated order.
-    """
+def latest_window(source: DataFrame, as_of: str, days: int = 1, span_days: int = 1) -> DataFrame:
+    """Rows within ``span_days`` of the newest cycle of the source's own window."""
     number = cycle_number("cycle_date", "cycle_hour")
     recent = window_rows(source, as_of, days)
     newest = recent.agg(F.max(number).alias("newest")).scalar()
-    rows = recent.where(number >= newest - 24 * span_days)
-    if limit is not None:
-        rows = rows.orderBy(*(order or rows.columns)).limit(limit)
-    return rows
+    return recent.where(number >= newest - 24 * span_days)

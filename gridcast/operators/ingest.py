@@ -244,13 +244,17 @@ def scale_z500(df: DataFrame, field: Sequence[str], value: str = "gh", level: st
     return at_500.join(means, list(field)).withColumn("z500_dam", scaled).drop("field_mean")
 
 
+# Fixed-point indexes of a thousandth of a degree: the largest of each axis.
+LAT_CELLS, LON_CELLS = 180_000, 360_000
+
+
 def _axis_cells(grid: DataFrame, index: str, bin_width: int) -> DataFrame:
     """Axis values with the index interval each is nearest to, spread over coarse bins.
 
-    An axis has at most 180,001 (latitude) or 360,001 (longitude) fixed-point values, which
-    bounds the global sort and the table that comes out of it.
+    The caller keeps to the globe, so an axis has at most LAT_CELLS + 1 or LON_CELLS + 1 values,
+    which bounds the global sort and the table that comes out of it.
     """
-    axis = grid.select(index).where(F.col(index).isNotNull()).distinct()
+    axis = grid.select(index).distinct()
     whole = Window.orderBy(index)
     before, after = F.lag(index).over(whole), F.lead(index).over(whole)
     # Interval bounds in half index units keep midpoints whole; a tie goes to the higher value.
@@ -260,7 +264,7 @@ def _axis_cells(grid: DataFrame, index: str, bin_width: int) -> DataFrame:
         F.coalesce(after + F.col(index), F.lit(2**30)).alias("high"),
     )
     first = F.greatest(F.floor(F.col("low") / (2 * bin_width)), F.lit(-1))
-    last = F.least(F.floor(F.col("high") / (2 * bin_width)), F.lit(400_000 // bin_width))
+    last = F.least(F.floor(F.col("high") / (2 * bin_width)), F.lit(LON_CELLS // bin_width + 1))
     return cells.select(index, "low", "high", F.explode(F.sequence(first, last)).alias("bin"))
 
 
@@ -272,6 +276,12 @@ def sample_nearest(points: DataFrame, grid: DataFrame, value: str, bin_width: in
     are first brought into the grid's [-180, 180). Finding the axis value is an equi-join
     on one-degree bins; the lookup an equi-join on the cell.
     """
+    # What lies off the globe is no cell; of several rows for one cell the least value counts.
+    grid = (
+        grid.where(F.col("lat_i").between(0, LAT_CELLS) & F.col("lon_i").between(0, LON_CELLS))
+        .groupBy("lat_i", "lon_i")
+        .agg(F.min(F.col(value).cast("double")).alias("_value"))
+    )
     lat_cells = _axis_cells(grid, "lat_i", bin_width)
     lon_cells = _axis_cells(grid, "lon_i", bin_width)
 
@@ -279,19 +289,18 @@ def sample_nearest(points: DataFrame, grid: DataFrame, value: str, bin_width: in
         # Twice the exact fixed-point position, to compare with the half-unit bounds.
         placed = df.withColumn("_at2", at * 2)
         bins = F.least(
-            F.greatest(F.floor(F.col("_at2") / (2 * bin_width)), F.lit(-1)), F.lit(400_000 // bin_width)
+            F.greatest(F.floor(F.col("_at2") / (2 * bin_width)), F.lit(-1)), F.lit(LON_CELLS // bin_width + 1)
         )
         placed = placed.withColumn("_bin", bins)
         match = (
             (placed["_bin"] == cells["bin"]) & (placed["_at2"] >= cells["low"]) & (placed["_at2"] < cells["high"])
         )
-        # Bounded by the number of axis values (above): safe to broadcast at any data size.
-        return placed.join(F.broadcast(cells), match, "left").drop("_at2", "_bin", "bin", "low", "high")
+        return placed.join(cells, match, "left").drop("_at2", "_bin", "bin", "low", "high")
 
     lat_at = (F.col("latitude") + 90) * 1000
     lon_at = (wrap_longitude("longitude") + 180) * 1000
     snapped = snap(snap(points, lat_cells, "lat_i", lat_at), lon_cells, "lon_i", lon_at)
-    known = grid.select("lat_i", "lon_i", F.col(value).cast("double").alias("sampled"))
+    known = grid.withColumnRenamed("_value", "sampled")
     return snapped.join(known, ["lat_i", "lon_i"], "left").withColumn(
         "sampled", F.coalesce(F.nanvl("sampled", F.lit(0.0)), F.lit(0.0))
     )

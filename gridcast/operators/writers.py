@@ -14,15 +14,12 @@ from datetime import date, timedelta
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridcast import spec
 from gridcast.operators.ingest import dedup_first
 
-# Beyond this many touched partitions a load prunes by join instead of by literals.
-MAX_PARTITION_LITERALS = 10_000
-
 # Fixed value: directory name of a NULL partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -46,11 +43,11 @@ def clustered(df: DataFrame, partition_by: Sequence[str], rebalance: bool = True
 
 
 def _writer(
-    df: DataFrame, partition_by: Sequence[str], mode: str, overwrite: str, fmt: str, codec: str, rebalance: bool = True
+    df: DataFrame, partition_by: Sequence[str], mode: str, overwrite: str, codec: str, rebalance: bool = True
 ):
     return (
         clustered(df, partition_by, rebalance)
-        .write.format(fmt)
+        .write.format("parquet")
         .mode(mode)
         .option("partitionOverwriteMode", overwrite)
         .option("compression", codec)
@@ -67,8 +64,9 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds files or partitions; what a failed first write leaves behind is hidden and no table."""
     fs, where = _file_system(spark, path)
-    return fs.exists(where)
+    return fs.exists(where) and any(str(s.getPath().getName())[0] not in "_." for s in fs.listStatus(where))
 
 
 def partition_dirs(spark: SparkSession, path: str, partition_by: Sequence[str]) -> list[dict[str, str]]:
@@ -104,12 +102,11 @@ def append_partitions(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = spec.RAW_PARTITIONS,
-    fmt: str = "parquet",
     codec: str = "snappy",
     rebalance: bool = True,
 ) -> None:
     """Create the table on first write, append afterwards."""
-    _writer(df, partition_by, "append", "dynamic", fmt, codec, rebalance).save(path)
+    _writer(df, partition_by, "append", "dynamic", codec, rebalance).save(path)
 
 
 def replace_partitions(
@@ -117,7 +114,6 @@ def replace_partitions(
     path: str,
     partition_by: Sequence[str] = spec.RAW_PARTITIONS,
     wipe: str = "exact",
-    fmt: str = "parquet",
     codec: str = "snappy",
     rebalance: bool = True,
 ) -> None:
@@ -127,7 +123,7 @@ def replace_partitions(
     also removes combinations of the batch's dates with its cycles that the batch does
     not hold, as a predicate ``date IN (..) AND cycle IN (..)`` would.
     """
-    _writer(df, partition_by, "overwrite", "dynamic", fmt, codec, rebalance).save(path)
+    _writer(df, partition_by, "overwrite", "dynamic", codec, rebalance).save(path)
     if wipe == "product":
         # Partition values only, in directory-name form: as many rows as partitions written.
         held = {tuple(str(v) for v in r) for r in df.select(*partition_by).distinct().toLocalIterator()}
@@ -145,60 +141,56 @@ def replace_partitions(
 
 def export_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = spec.RAW_PARTITIONS) -> None:
     """Hive-partitioned ZSTD files; partitions of the batch are overwritten, others stay."""
-    _writer(df, partition_by, "overwrite", "dynamic", "parquet", "zstd").save(path)
+    _writer(df, partition_by, "overwrite", "dynamic", "zstd").save(path)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Rebuild a table. The new files are written beside the old ones and swapped in, so
-    the query may read the table it replaces and a failed job leaves it untouched."""
+    the query may read the table it replaces and a failed job leaves it untouched.
+
+    A file system reports a failed rename by its result. If the swap fails half way, the
+    old table is put back and the error names what lies where.
+    """
     spark = df.sparkSession
     fresh = f"{path}__{uuid4().hex}"
-    writer = (clustered(df, partition_by) if partition_by else df).write.format(fmt).mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(fresh)
+    writer = (clustered(df, partition_by) if partition_by else df).write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(fresh)
     fs, current = _file_system(spark, path)
+    made = _file_system(spark, fresh)[1]
     retired = _file_system(spark, f"{path}__{uuid4().hex}")[1]
     replaced = fs.exists(current)
-    if replaced:
-        fs.rename(current, retired)
-    fs.rename(_file_system(spark, fresh)[1], current)
+    if replaced and not fs.rename(current, retired):
+        fs.delete(made, True)
+        raise OSError(f"{path} could not be moved aside; it is unchanged")
+    if not fs.rename(made, current):
+        back = not replaced or fs.rename(retired, current)
+        raise OSError(f"{fresh} could not be moved to {path}; " + ("the old table is back" if back else f"the old table is at {retired}"))
     if replaced:
         fs.delete(retired, True)
 
 
 def touched_partitions(table: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """The table's rows in the partitions the batch touches.
+    """The table's rows in the partitions the batch touches; NULL partition values match each other.
 
-    The touched values become literals, which prune the scan, as long as there are few;
-    past the limit the same rows are chosen by a semi join.
+    The least and the greatest first partition value of the batch prune the scan, a null-safe semi join on the touched
+    values then takes exactly those partitions. Both are the same for one touched partition and for a backfill of years.
     """
+    first = partition_by[0]
     values = batch.select(*partition_by).distinct()
-    few = values.take(MAX_PARTITION_LITERALS + 1)
-    if len(few) > MAX_PARTITION_LITERALS:
-        return table.join(values, list(partition_by), "left_semi")
-    return table.where(_any_of(few, partition_by))
-
-
-def _any_of(rows, columns: Sequence[str]) -> Column:
-    """Condition "columns equal one of these rows", grouped by the first column."""
-    grouped: dict = {}
-    for row in rows:
-        grouped.setdefault(row[0], []).append(row[1:])
-    condition = F.lit(False)
-    for head, tails in grouped.items():
-        here = F.col(columns[0]) == F.lit(head)
-        if len(columns) > 1:
-            here = here & _any_of(tails, columns[1:])
-        condition = condition | here
-    return condition
-
-
-def keep_unmatched(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Table rows whose key the batch does not hold; NULL key parts match each other.
-
-    Joins on the whole key, so rows spread evenly even if one date or point dominates.
+    low, high = (values.agg(f(first).alias("v")).scalar() for f in (F.min, F.max))
+    near = table.where(F.col(first).between(low, high) | F.col(first).isNull())
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"b.{c}")) for c in partition_by]
+    return near.alias("t").join(values.alias("b"), reduce(lambda a, b: a & b, same), "left_semi")
+
+
+def _both_sides(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the batch (_side 0) and of the table (_side 1), and in _first the least side that has the row's key.
+
+    One window over the whole key, so both sides are shuffled once, and evenly even if one date or point dominates.
+    NULL key parts match each other.
     """
-    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    return table.alias("t").join(batch.select(*keys).alias("b"), reduce(lambda a, b: a & b, same), "left_anti")
+    sides = batch.withColumn("_side", F.lit(0)).unionByName(table.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    return sides.withColumn("_first", F.min("_side").over(Window.partitionBy(*keys)))
 
 
 def merge_on_key(
@@ -208,7 +200,6 @@ def merge_on_key(
     partition_by: Sequence[str] = spec.FACT_PARTITIONS,
     order: Iterable[Column | str] | None = None,
     columns: Sequence[str] | None = None,
-    fmt: str = "parquet",
 ) -> None:
     """Update matching keys, insert the rest, in the partitions the batch touches.
 
@@ -221,19 +212,17 @@ def merge_on_key(
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
     spark = batch.sparkSession
-    arrived = batch
-    if order is not None:
-        batch = dedup_first(batch, keys, order)
-    if columns is not None:
-        batch = batch.select(*columns)
     if not table_exists(spark, path):
-        append_partitions(batch, path, partition_by, fmt)
+        batch = dedup_first(batch, keys, order) if order is not None else batch
+        append_partitions(batch.select(*columns) if columns is not None else batch, path, partition_by)
         return
-    table = spark.read.format(fmt).load(path)
-    batch = batch.select(*table.columns)
-    # The rows as they arrived lie in the same partitions and need no dedup to tell.
-    kept = keep_unmatched(touched_partitions(table, arrived, partition_by), batch, keys)
-    _writer(kept.unionByName(batch), partition_by, "overwrite", "dynamic", fmt, "snappy").save(path)
+    table = spark.read.parquet(path)
+    both = _both_sides(touched_partitions(table, batch, partition_by), batch, keys)
+    if order is not None:
+        best = Window.partitionBy(*keys).orderBy("_side", *order)
+        both = both.withColumn("_n", F.row_number().over(best)).where("_side = _first and (_side = 1 or _n = 1)")
+    rows = both.where("_side = _first").select(*table.columns)
+    _writer(rows, partition_by, "overwrite", "dynamic", "snappy").save(path)
 
 
 def delete_insert(
@@ -242,7 +231,6 @@ def delete_insert(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     touches: DataFrame | None = None,
-    fmt: str = "parquet",
 ) -> None:
     """Delete the table's rows whose key the batch holds, then insert the whole batch.
 
@@ -253,16 +241,15 @@ def delete_insert(
     """
     spark = batch.sparkSession
     if not table_exists(spark, path):
-        overwrite_table(batch, path, partition_by, fmt)
-        return
-    table = spark.read.format(fmt).load(path)
-    batch = batch.select(*table.columns)
-    if not partition_by:
-        overwrite_table(keep_unmatched(table, batch, keys).unionByName(batch), path, fmt=fmt)
+        overwrite_table(batch, path, partition_by)
         return
-    touched = touched_partitions(table, batch if touches is None else touches, partition_by)
-    kept = keep_unmatched(touched, batch, keys)
-    _writer(kept.unionByName(batch), partition_by, "overwrite", "dynamic", fmt, "snappy").save(path)
+    table = spark.read.parquet(path)
+    old = touched_partitions(table, batch if touches is None else touches, partition_by) if partition_by else table
+    rows = _both_sides(old, batch.select(*table.columns), keys).where("_side = _first").select(*table.columns)
+    if partition_by:
+        _writer(rows, partition_by, "overwrite", "dynamic", "snappy").save(path)
+    else:
+        overwrite_table(rows, path)
 
 
 def expire_partitions(spark: SparkSession, path: str, as_of: str, keep_days: int = 7, partition_by: Sequence[str] = spec.RAW_PARTITIONS) -> list[dict[str, str]]:

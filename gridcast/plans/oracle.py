@@ -475,6 +475,11 @@ ORACLE["stream_ingest"] = _merged(
       CAST(temp_kelvin + 1 AS FLOAT) - {ZERO_C} AS temp_celsius) FROM ({_late})""",
     ORD,
 )
+ORACLE["merge_backfill"] = """
+WITH o AS (SELECT CASE WHEN o_orderkey % 97 <> 0 THEN DATE '1992-01-01' + CAST((CAST(o_orderdate AS DATE) - DATE '1992-01-01') % 1100 AS INTEGER) END AS day, o_orderkey, o_totalprice, o_orderstatus FROM orders)
+SELECT day, o_orderkey, o_totalprice + 1 AS o_totalprice, 'B' AS o_orderstatus FROM o WHERE o_orderkey % 2 = 0
+UNION ALL SELECT * FROM o WHERE o_orderkey % 2 <> 0 AND o_orderkey % 3 <> 0
+"""
 ORACLE["fact_append_window"] = _with(
     f"""SELECT * FROM ({_fact("surface", "gfs")}) WHERE cycle_date >= {AS_OF} - 3
 UNION ALL

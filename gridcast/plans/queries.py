@@ -420,6 +420,19 @@ def fact_merge(spark, sf_dir):
     return spark.read.parquet(path).select(*columns)
 
 
+@query("merge_backfill")
+def merge_backfill(spark, sf_dir):
+    """A merge that touches over a thousand dates, and rows without a date."""
+    path = work_path(spark, "merge_backfill")
+    start = F.lit("1992-01-01").cast("date")
+    day = F.when(F.col("o_orderkey") % 97 != 0, F.date_add(start, F.date_diff("o_orderdate", start) % 1100))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(day.alias("day"), "o_orderkey", "o_totalprice", "o_orderstatus")
+    writers.merge_on_key(orders.where("o_orderkey % 3 <> 0"), path, ["day", "o_orderkey"], ["day"])
+    later = orders.where("o_orderkey % 2 = 0").withColumns({"o_totalprice": F.col("o_totalprice") + 1, "o_orderstatus": F.lit("B")})
+    writers.merge_on_key(later, path, ["day", "o_orderkey"], ["day"], order=["o_orderstatus"])
+    return spark.read.parquet(path).select(*orders.columns)
+
+
 @query("fact_append_window")
 def fact_append_window(spark, sf_dir):
     """First load of three days, then an append of one: the overlap is there twice."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -47,13 +48,17 @@ def local_session(cpus: int | str = "*", app: str = "gridcast", memory: str = "1
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only where ``spark.checkpoint.dir`` is unset (a single machine, as in tests) is a
-    folder of our own used.
+    Where ``spark.checkpoint.dir`` is unset, a session on a single machine (as in tests) uses
+    a folder of its own. On a cluster that folder would be another one on every executor, so
+    there it is an error.
     """
     global _own_shared
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
     if _own_shared is None:
         _own_shared = tempfile.mkdtemp(prefix="gridcast-")
     return _own_shared

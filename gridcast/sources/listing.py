@@ -1,6 +1,6 @@
 """Forecast file indexes (byte ranges) and directory listings (readiness).
 
-Both work on one text per row; a listing needs no shuffle, an index one of matches only.
+Both work on one text per row and need no shuffle.
 """
 
 from __future__ import annotations
@@ -31,43 +31,45 @@ def index_ranges(indexes: DataFrame, keys: Iterable[str]) -> DataFrame:
     holds the step's forecast mark wins. Its range ends one byte before the next line's
     offset and is open (NULL) on the last line.
 
-    Every line is paired with its successor inside the file's own row, so no sort is
-    needed; only lines that match are grouped, after a partial minimum per task.
+    All lines of a file are in its own row: each is paired with its successor there, lines
+    of other variables are filtered away, and the first match of each key is picked, all in
+    arrays. One row per match leaves, so nothing is shuffled.
     """
     keys = list(keys)
     odd = [k for k in keys if not re.fullmatch(":[^:]+:[^:]+:", k)]
     if odd:
         raise ValueError(f"index keys read ':variable:level:', not {odd}")
-    # Zipping pads the last line's successor with NULL.
-    paired = F.arrays_zip(F.col("lines").alias("line"), F.slice("lines", 2, F.size("lines")).alias("following"))
     mark = F.when(F.col("step") > 0, F.concat(F.col("step").cast("string"), F.lit(" hour fcst"))).otherwise(
         F.lit(ANALYSIS_MARK)
     )
-    variable_level = F.substring_index(F.substring_index("line", ":", 5), ":", -2)
-    marked = F.contains(F.col("line"), F.col("mark")) | (
-        F.startswith(F.col("key"), F.lit(PRECIPITATION)) & F.contains(F.col("line"), F.lit(ACCUMULATED_MARK))
-    )
 
-    def offset(line: str) -> Column:
+    def key_of(line: Column) -> Column:
+        return F.concat(F.lit(":"), F.substring_index(F.substring_index(line, ":", 5), ":", -2), F.lit(":"))
+
+    def wanted(pair: Column) -> Column:
+        line = pair["line"]
+        marked = F.contains(line, F.col("mark")) | (
+            F.startswith(key_of(line), F.lit(PRECIPITATION)) & F.contains(line, F.lit(ACCUMULATED_MARK))
+        )
+        return key_of(line).isin(*keys) & marked
+
+    def offset(line: Column) -> Column:
         return F.substring_index(F.substring_index(line, ":", 2), ":", -1).try_cast("bigint")
 
+    # Zipping pads the last line's successor with NULL.
+    paired = F.arrays_zip(F.col("lines").alias("line"), F.slice("lines", 2, F.size("lines")).alias("following"))
+    found = F.transform(
+        F.filter("pairs", wanted),
+        lambda p: F.struct(key_of(p["line"]).alias("key"), offset(p["line"]).alias("range_start"), (offset(p["following"]) - 1).alias("range_end")),
+    )
+    # A line is the first of its key if the keys before it lack that key.
+    firsts = F.filter("found", lambda m, i: F.array_position("found.key", m["key"]) == i + 1)
     return (
-        indexes.select("file", "step", F.split("text", "\n").alias("lines"))
-        .select("file", "step", mark.alias("mark"), F.posexplode(paired).alias("line_no", "pair"))
-        .select("file", "step", "mark", "line_no", "pair.line", "pair.following")
-        .withColumn("key", F.concat(F.lit(":"), variable_level, F.lit(":")))
-        .where(F.col("key").isin(*keys) & marked)
-        .select(
-            "file",
-            "step",
-            "key",
-            "line_no",
-            offset("line").alias("range_start"),
-            (offset("following") - 1).alias("range_end"),
-        )
-        .groupBy("file", "step", "key")
-        # Two numbers by line rather than one struct: these aggregate by hash, without a sort.
-        .agg(*[F.min_by(c, "line_no").alias(c) for c in ("range_start", "range_end")])
+        indexes.select("file", "step", mark.alias("mark"), F.split("text", "\n").alias("lines"))
+        .select("file", "step", "mark", paired.alias("pairs"))
+        .select("file", "step", found.alias("found"))
+        .select("file", "step", F.inline(firsts))
+        .select("file", "step", "key", "range_start", "range_end")
     )
 
 

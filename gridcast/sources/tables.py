@@ -9,7 +9,7 @@ from gridcast import spec
 
 
 def read_raw(
-    spark: SparkSession, path: str, shape: str, since: str | None = None, fmt: str = "parquet"
+    spark: SparkSession, path: str, shape: str, since: str | None = None
 ) -> DataFrame:
     """Scan a raw table partitioned by (forecast_date, forecast_cycle).
 
@@ -17,10 +17,7 @@ def read_raw(
     ISO date compared with the partition column: it prunes partitions, which a filter on
     the derived cycle_date could not.
     """
-    reader = spark.read.format(fmt)
-    if fmt == "parquet":  # formats with a catalogue of their own carry their schema
-        reader = reader.schema(spec.raw_schema(shape))
-    df = reader.load(path)
+    df = spark.read.schema(spec.raw_schema(shape)).parquet(path)
     return df.where(F.col("forecast_date") >= since) if since else df
 
 

@@ -41,9 +41,8 @@ def test_mark_and_rows_see_one_snapshot_after_append(cycles):
     assert values(facts.rows_above_mark(cycles, target.union(new), AS_OF)) == []
 
 
-def test_latest_window_and_limit(cycles):
+def test_latest_window(cycles):
     assert values(facts.latest_window(cycles, AS_OF)) == [2512, 2600, 2612]
-    assert values(facts.latest_window(cycles, AS_OF, limit=2, order=("cycle_date", "cycle_hour"))) == [2512, 2600]
 
 
 def test_window_rows(cycles):

@@ -185,3 +185,11 @@ def test_city_stations(spark):
     assert shared == {"Washington", "Baltimore"}
     chicago = got.where("city_name = 'Chicago'").agg(F.max("lon")).first()[0]
     assert chicago == -87.5
+
+
+def test_nearest_ignores_rows_off_the_globe_and_repeated_cells(spark):
+    cells = [(90_000, 180_000, 5.0), (90_000, 180_000, 3.0), (90_000, 181_000, 7.0), (2**29, 180_000, 9.0), (-(2**29), 10, 9.0), (None, 5, 1.0)]
+    grid = spark.createDataFrame(cells, "lat_i int, lon_i int, t double")
+    points = spark.createDataFrame([("p", 0.0, 0.0), ("q", 0.1, 0.9)], "name string, latitude double, longitude double")
+    found = ingest.sample_nearest(points, grid, "t")
+    assert {r.name: r.sampled for r in found.collect()} == {"p": 3.0, "q": 7.0} and found.count() == 2

@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as registry
+from gridcast.plans.oracle import ORACLE as ORACLES
+from gridcast.plans.queries import QUERIES
 from tests.oracle import compare, duck
 
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -20,6 +20,7 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= registry.queries().keys() and ORACLES.keys() <= registry.oracle_sql().keys()
 
 
 def test_entry_is_the_city_forecast(spark):

@@ -1,3 +1,6 @@
+import re
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,13 +84,65 @@ def test_merge_needs_partitions_in_the_key(spark, table):
         writers.merge_on_key(spark.createDataFrame(START, DDL), table, ["k"], PART)
 
 
-def test_touched_partitions_same_by_literals_and_by_join(spark, table, monkeypatch):
-    batch = spark.createDataFrame([("a", 6, 0, 0), ("b", 0, 0, 0)], DDL)
-    by_literals = writers.touched_partitions(read(spark, table), batch, PART)
-    assert "PartitionFilters: [((" in by_literals._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(writers, "MAX_PARTITION_LITERALS", 1)
-    by_join = writers.touched_partitions(read(spark, table), batch, PART)
-    assert rows(by_literals) == rows(by_join) == [("a", 6, 2, 1), ("b", 0, 3, 1)]
+def test_touched_partitions_prune_and_match_null(spark, table):
+    writers.append_partitions(spark.createDataFrame([(None, 0, 9, 9), ("a", None, 8, 8)], DDL), table, PART)
+    batch = spark.createDataFrame([("a", 6, 0, 0), (None, 0, 0, 0)], DDL)
+    found = writers.touched_partitions(read(spark, table), batch, PART)
+    assert sorted(map(tuple, found.select("d", "h", "k", "v").collect()), key=str) == [("a", 6, 2, 1), (None, 0, 9, 9)]
+    assert "PartitionFilters: [(((d" in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("load", ["merge", "delete_insert"])
+def test_rows_with_null_partition_values_stay(spark, fresh, load):
+    path = fresh()
+    ddl = "d date, h int, k int, v int"
+    old = spark.createDataFrame([(date(2026, 3, 1), 0, 1, 1), (None, 0, 2, 1), (None, None, 3, 1)], ddl)
+    new = spark.createDataFrame([(None, 0, 4, 2), (None, None, 3, 2)], ddl)
+    for batch in (old, new):
+        if load == "merge":
+            writers.merge_on_key(batch, path, ["d", "h", "k"], PART)
+        else:
+            writers.delete_insert(batch, path, ["d", "h", "k"], PART)
+    got = sorted((r.k, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 1), (2, 1), (3, 2), (4, 2)]
+
+
+def test_merge_shuffles_each_side_once(spark, table, monkeypatch):
+    plans = []
+    monkeypatch.setattr(writers, "_writer", lambda df, *a, **k: plans.append(df) or type("W", (), {"save": lambda self, p: None})())
+    batch = spark.range(5).select(F.lit("a").alias("d"), F.lit(0).alias("h"), F.col("id").cast("int").alias("k"), F.lit(1).alias("v"))
+    writers.merge_on_key(batch, table, ["d", "h", "k"], PART, order=["v"])
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(d#\d+, h#\d+, k#\d+", plan)) == 1
+
+
+def test_a_failed_first_write_is_no_table(spark, fresh):
+    path = fresh()
+    with pytest.raises(Exception):
+        spark.range(3).select(F.raise_error(F.lit("no")).alias("v")).write.parquet(path)
+    spark.range(0).write.mode("overwrite").parquet(f"{path}/_temporary/0")
+    assert not writers.table_exists(spark, path)
+
+
+def test_a_failed_swap_puts_the_table_back(spark, table, monkeypatch):
+    real = writers._file_system
+    moves = []
+
+    class Stubborn:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def rename(self, a, b):
+            moves.append(1)
+            return False if len(moves) == 2 else self.fs.rename(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    monkeypatch.setattr(writers, "_file_system", lambda s, p: (Stubborn(real(s, p)[0]), real(s, p)[1]))
+    with pytest.raises(OSError, match="the old table is back"):
+        writers.overwrite_table(spark.createDataFrame([("z", 0, 9, 9)], DDL), table, PART)
+    assert rows(read(spark, table)) == START
 
 
 @pytest.mark.parametrize("partition_by", [(), PART])
