@@ -7,6 +7,8 @@ and hash bucket), never in one row per position. All hashes are 64-bit polynomia
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -143,6 +145,16 @@ def bucket_slices(sorted_hashes: np.ndarray, buckets: int):
             yield int(at[i]), slice(i, j)
 
 
+def pack(value) -> bytes:
+    """Arrays' bytes in one cell of a row, compressed: they are text or sorted numbers, and cross the network."""
+    data = pickle.dumps(value, 5)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def unpack(data: bytes):
+    return pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd"))
+
+
 MARKS = "bucket int, block int, hashes binary, counts binary"
 STATES = "block int, bucket int, states binary"
 SHARED = 128  # flag in a count: two documents of the block have the hash

@@ -31,7 +31,7 @@ from gridcast.llm import blocks as B
 LENGTH = 50
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 WINDOWS = "bucket int, block int, windows binary"
 LEAST = "block int, least binary"
 

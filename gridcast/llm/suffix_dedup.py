@@ -24,7 +24,6 @@ Rows with one id never remove from each other. Strings never cross documents.
 from __future__ import annotations
 
 import hashlib
-import pickle
 from collections import defaultdict
 
 import numpy as np
@@ -36,7 +35,7 @@ from gridcast.llm import blocks as B
 
 LENGTH = 50
 GRAM = 24
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 HOT = 4096
 MOST = 1 << 18  # suffixes in a run
 SAMPLE_DOCS = 3000  # for the splitters of the ranges, which only balance the work
@@ -127,7 +126,7 @@ class _Sorted:
         tails = s[(column >= shared[:, None]) & (column < n[:, None])]
         befores = b[np.arange(b.shape[1]) < m[:, None]]
         lo, hi = self.bounds[i], self.bounds[j]
-        return pickle.dumps(
+        return B.pack(
             (
                 shared.astype(np.uint8).tobytes(),
                 (n - shared).astype(np.uint8).tobytes(),
@@ -137,8 +136,7 @@ class _Sorted:
                 np.diff(self.bounds[i : j + 1]).astype(np.int32).tobytes(),
                 self.where[lo:hi, 0].tobytes(),
                 self.where[lo:hi, 1:].T.astype(np.int32).tobytes(),
-            ),
-            5,
+            )
         )
 
 
@@ -146,7 +144,7 @@ class _Run:
     """A front-coded run, read from its start; `suffix` is the head and `shared` what it shares with the one before."""
 
     def __init__(self, block: int, packed: bytes):
-        shared, lengths, self.tails, before, befores, counts, who, inside = pickle.loads(packed)
+        shared, lengths, self.tails, before, befores, counts, who, inside = B.unpack(packed)
         self.block, self.shared_all, self.lengths = block, shared, lengths
         ends = np.cumsum(np.frombuffer(before, np.uint8), dtype=np.int64).tolist()
         self.before = [befores[i:j] for i, j in zip([0, *ends], ends)]
@@ -334,7 +332,7 @@ def _merge_range(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "block": pa.array(list(found), pa.int32()),
-            "stretches": pa.array([np.array(x, np.int32).T.tobytes() for x in found.values()], pa.binary()),
+            "stretches": pa.array([B.pack(np.array(x, np.int32).T.tobytes()) for x in found.values()], pa.binary()),
         }
     )
 
@@ -376,7 +374,7 @@ def _cut(table: pa.Table, stretches: pa.Table, keep_text: bool) -> pa.Table:
     data, offsets = B.flat(table)
     covered = np.zeros(len(data) + 1, np.int32)
     for packed in stretches.column("stretches").to_pylist():
-        number, start, end = np.frombuffer(packed, np.int32).reshape(3, -1)
+        number, start, end = np.frombuffer(B.unpack(packed), np.int32).reshape(3, -1)
         base = offsets[number]
         np.add.at(covered, base + start, 1)
         np.add.at(covered, base + end, -1)
