@@ -526,20 +526,27 @@ for _shape in spec.SHAPES:
 ORACLE["hash_key"] = _with(
     f"SELECT {_hash('upper')} AS unique_key, {', '.join(spec.hash_key_columns('upper'))} FROM ({_unified('upper')})"
 )
-ORACLE["city_incremental"] = _with(
-    f"""SELECT * FROM ({_city("upper", "SELECT * FROM stamped WHERE dbt_updated_at >= (SELECT max(dbt_updated_at) FROM held_city)", True)})
+_STAMPED_AT = f"""CASE WHEN cycle_date < DATE '2026-03-24' THEN TIMESTAMP '2026-03-23 12:00:00'
+    WHEN cycle_date < DATE '2026-03-25' THEN {EARLIER} ELSE {STAMP} END AS dbt_updated_at"""
+for _shape, _kelvin in (("upper", "temp_kelvin"), ("surface", "temp_2m_kelvin"), ("spread", "temp_spread_kelvin")):
+    _first = "\nUNION ALL\n".join(
+        f"""SELECT * FROM ({_fact(_shape, p.model, keep=ORD)})
+  QUALIFY row_number() OVER (PARTITION BY {", ".join(spec.fact_key(_shape))} ORDER BY {ORD}) = 1"""
+        for p in spec.PRODUCTS
+        if p.shape == _shape
+    )
+    ORACLE["city_incremental" + ("" if _shape == "upper" else f"_{_shape}")] = _with(
+        f"""SELECT * FROM ({_city(_shape, "SELECT * FROM stamped WHERE dbt_updated_at >= (SELECT max(dbt_updated_at) FROM held_city)", True)})
 UNION ALL
 SELECT * FROM held_city WHERE dbt_updated_at < (SELECT max(dbt_updated_at) FROM held_city)""",
-    CITIES,
-    STATIONS,
-    DIM,
-    f"""stamped AS (
-  SELECT {_FCOLS.replace("dbt_updated_at", "CASE WHEN cycle_date < DATE '2026-03-24' THEN TIMESTAMP '2026-03-23 12:00:00' WHEN cycle_date < DATE '2026-03-25' THEN " + EARLIER + " ELSE " + STAMP + " END AS dbt_updated_at")}
-  FROM (SELECT * FROM ({_fact("upper", "gfs", keep=ORD)}) WHERE geopotential_height_m IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY {_FKEY} ORDER BY {ORD}) = 1)
+        CITIES,
+        STATIONS,
+        DIM,
+        f"""stamped AS (
+  SELECT {", ".join(spec.fact_columns(_shape)).replace("dbt_updated_at", _STAMPED_AT)} FROM ({_first})
 )""",
-    f"""held_city AS ({_city("upper", "SELECT * REPLACE (CAST(temp_kelvin + 100 AS FLOAT) AS temp_kelvin) FROM stamped WHERE cycle_date <= DATE '2026-03-24'", True)})""",
-)
+        f"""held_city AS ({_city(_shape, f"SELECT * REPLACE (CAST({_kelvin} + 100 AS FLOAT) AS {_kelvin}) FROM stamped WHERE cycle_date <= DATE '2026-03-24'", True)})""",
+    )
 
 # ---------------------------------------------------------------- quality
 

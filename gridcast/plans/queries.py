@@ -557,31 +557,51 @@ def hash_key_query(spark, sf_dir):
     return df.select(hash_key(spec.hash_key_columns(UPPER)).alias("unique_key"), *spec.hash_key_columns(UPPER))
 
 
-@query("city_incremental")
-def city_incremental(spark, sf_dir):
+def _city_incremental(spark, sf_dir, shape):
     """The earlier load holds old days; rows stamped since then are deleted and inserted."""
-    path = work_path(spark, "city_incremental")
-    forecast = ingest.dedup_first(
-        _fact(spark, sf_dir, UPPER, "gfs", keep=ORDINAL).where(F.col("geopotential_height_m").isNotNull()),
-        spec.fact_key(UPPER),
-        FIRST,
-    ).select(*spec.fact_columns(UPPER))
+    path = work_path(spark, f"city_incremental_{shape}")
+    forecast = unified.unify(
+        {
+            p.model: ingest.dedup_first(_fact(spark, sf_dir, shape, p.model, keep=ORDINAL), spec.fact_key(shape), FIRST).select(
+                *spec.fact_columns(shape)
+            )
+            for p in spec.PRODUCTS
+            if p.shape == shape
+        },
+        shape,
+    )
     stamped = forecast.withColumn(
         "dbt_updated_at",
         F.when(F.col("cycle_date") < F.lit("2026-03-24").cast("date"), facts.stamp_column("2026-03-23 12:00:00"))
         .when(F.col("cycle_date") < F.lit("2026-03-25").cast("date"), facts.stamp_column(EARLIER_STAMP))
         .otherwise(facts.stamp_column(STAMP)),
     )
+    kelvin = next(c for c in spec.FACT_METRICS[shape] if c.endswith("kelvin"))
     held = stamped.where(F.col("cycle_date") <= F.lit(LOADED_UNTIL).cast("date")).withColumn(
-        "temp_kelvin", (F.col("temp_kelvin") + 100).cast("float")
+        kelvin, (F.col(kelvin) + 100).cast("float")
     )
-    writers.delete_insert(_city(spark, sf_dir, UPPER, held, city_in_key=True), path, ["unique_key"], spec.FACT_PARTITIONS)
+    writers.delete_insert(_city(spark, sf_dir, shape, held, city_in_key=True), path, ["unique_key"], spec.FACT_PARTITIONS)
     changed = unified.changed_since(stamped, spark.read.parquet(path))
-    rows = _city(spark, sf_dir, UPPER, changed, city_in_key=True)
-    writers.delete_insert(rows, path, ["unique_key"], spec.FACT_PARTITIONS, touches=changed)
+    rows = _city(spark, sf_dir, shape, changed, city_in_key=True)
+    writers.delete_insert(rows, path, ["unique_key"], spec.FACT_PARTITIONS)
     return spark.read.parquet(path)
 
 
+@query("city_incremental")
+def city_incremental(spark, sf_dir):
+    return _city_incremental(spark, sf_dir, UPPER)
+
+
+@query("city_incremental_surface")
+def city_incremental_surface(spark, sf_dir):
+    return _city_incremental(spark, sf_dir, SURFACE)
+
+
+@query("city_incremental_spread")
+def city_incremental_spread(spark, sf_dir):
+    return _city_incremental(spark, sf_dir, SPREAD)
+
+
 # -------------------------------------------------------------------- quality
 
 
