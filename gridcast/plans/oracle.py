@@ -207,21 +207,21 @@ ORACLE: dict[str, str] = {}
 # ---------------------------------------------------- scans, sources, sinks
 
 ORACLE["raw_scan"] = _with(
-    f"SELECT {COLS['upper']} FROM raw_upper WHERE model = 'gfs' AND forecast_date >= '2026-03-23'"
+    f"SELECT {COLS['upper']} FROM raw_upper WHERE forecast_date >= '2026-03-23'"
 )
-ORACLE["ext_scan"] = _with(f"SELECT {COLS['upper']} FROM raw_upper WHERE model = 'ifs'")
+ORACLE["ext_scan"] = _with(f"SELECT {COLS['upper']} FROM raw_upper")
 ORACLE["seed_load"] = f"WITH {CUSTOMER_CITIES}, {STATIONS} SELECT * FROM stations"
 ORACLE["station_grid"] = ORACLE["seed_load"]
-ORACLE["raw_append"] = _with(f"SELECT {COLS['surface']} FROM raw_surface WHERE model = 'gfs'")
+ORACLE["raw_append"] = _with(f"SELECT {COLS['surface']} FROM raw_surface")
 
 
 def _replaced(untouched: str) -> str:
     pair = "((forecast_date = '2026-03-24' AND forecast_cycle = 6) OR (forecast_date = '2026-03-25' AND forecast_cycle = 12))"
     bumped = COLS["upper"].replace(" t,", " CAST(t + 1 AS FLOAT) AS t,")
     return _with(
-        f"""SELECT {COLS['upper']} FROM raw_upper WHERE model = 'gfs' AND {untouched}
+        f"""SELECT {COLS['upper']} FROM raw_upper WHERE {untouched}
 UNION ALL
-SELECT {bumped} FROM raw_upper WHERE model = 'gfs' AND gh IS NOT NULL AND {pair}"""
+SELECT {bumped} FROM raw_upper WHERE gh IS NOT NULL AND {pair}"""
     )
 
 
@@ -231,7 +231,7 @@ ORACLE["partition_replace"] = _replaced(
 ORACLE["partition_replace_product"] = _replaced(
     "NOT (forecast_date IN ('2026-03-24', '2026-03-25') AND forecast_cycle IN (6, 12))"
 )
-ORACLE["parquet_export"] = _with(f"SELECT {COLS['spread']} FROM raw_spread WHERE model = 'ifs'")
+ORACLE["parquet_export"] = _with(f"SELECT {COLS['spread']} FROM raw_spread")
 
 _KEY_VALUES = ", ".join(f"('{k}')" for k in spec.INDEX_KEYS["upper"] + spec.INDEX_KEYS["surface"])
 ORACLE["index_ranges"] = f"""WITH words AS (
@@ -327,14 +327,14 @@ ORACLE["time_derive"] = _with(
 FROM raw_upper"""
 )
 ORACLE["dedup_first"] = _with(
-    f"""SELECT {COLS['upper']} FROM raw_upper WHERE model = 'gfs'
+    f"""SELECT {COLS['upper']} FROM raw_upper
 QUALIFY row_number() OVER (PARTITION BY {KEY_UPPER} ORDER BY {ORD}) = 1"""
 )
 ORACLE["union_by_name"] = _with(
     """SELECT latitude, longitude, forecast_reference_time, valid_time, step_hours, lat_i, lon_i, t2m,
   CASE WHEN step_hours <> 240 THEN d2m END AS d2m, msl, CASE WHEN step_hours <> 192 THEN tp END AS tp,
   "heightAboveGround", CASE WHEN step_hours <> 240 THEN surface END AS surface, forecast_date, forecast_cycle
-FROM raw_surface WHERE model = 'gfs'"""
+FROM raw_surface"""
 )
 ORACLE["rename_mandatory"] = ORACLE["raw_append"]
 ORACLE["z_to_gh"] = _with(
@@ -347,7 +347,7 @@ _EVOLVED = (
     .replace(" u,", " CASE WHEN forecast_date < '2026-03-24' THEN u END AS u,")
     .replace(" v,", " CASE WHEN forecast_date >= '2026-03-24' THEN v END AS v,")
 )
-ORACLE["schema_evolve"] = _with(f"SELECT {_EVOLVED} FROM raw_upper WHERE model = 'gfs'")
+ORACLE["schema_evolve"] = _with(f"SELECT {_EVOLVED} FROM raw_upper")
 ORACLE["schema_strict"] = ORACLE["parquet_export"]
 ORACLE["product_filter"] = _with(
     """SELECT model, forecast_date, forecast_cycle, step_hours, lat_i, lon_i, gh, t FROM raw_upper
@@ -387,7 +387,7 @@ ORACLE["nearest_sample"] = _with(
     """SELECT p.lat_i, p.lon_i, p.city_name, p.latitude, p.longitude, COALESCE(CAST(g.t2m AS DOUBLE), 0) AS sampled
 FROM placed_points p LEFT JOIN grid g ON p.lat_i = g.lat_i AND p.lon_i = g.lon_i""",
     CUSTOMER_CITIES,
-    "grid AS (SELECT lat_i, lon_i, max(t2m) AS t2m FROM raw_surface WHERE model = 'gfs' AND latitude >= -90 GROUP BY 1, 2)",
+    "grid AS (SELECT lat_i, lon_i, max(t2m) AS t2m FROM raw_surface WHERE latitude >= -90 GROUP BY 1, 2)",
     """lat_near AS (
   SELECT city_name, a.lat_i FROM cities c CROSS JOIN (SELECT DISTINCT lat_i FROM grid) a
   QUALIFY row_number() OVER (PARTITION BY city_name ORDER BY abs((c.latitude + 90) * 1000 - a.lat_i), a.lat_i DESC) = 1
@@ -557,7 +557,7 @@ ORACLE["profile_columns"] = _with(
   (count(*) - count({c})) / CAST(count(*) AS DOUBLE) * 100 AS null_percentage,
   CAST(min({c}){" FILTER (WHERE src_qty <> 30)" if c == "t" else ""} AS DOUBLE) AS min_value,
   CAST(max({c}){" FILTER (WHERE src_qty <> 30)" if c == "t" else ""} AS DOUBLE) AS max_value
-FROM raw_upper WHERE model = 'gfs'"""
+FROM raw_upper"""
         for c in ("gh", "t", "u", "v")
     )
 )
@@ -569,21 +569,21 @@ ORACLE["profile_rollup"] = _with(
   max(longitude) AS max_longitude,
   CAST(least(min(t2m), min(d2m), min(msl), min(tp)) AS DOUBLE) AS min_metric_value,
   CAST(greatest(max(t2m), max(d2m), max(msl), max(tp)) AS DOUBLE) AS max_metric_value
-FROM raw_surface WHERE model = 'gfs'"""
+FROM raw_surface"""
 )
 ORACLE["coord_rule"] = _with(
     "\nUNION ALL\n".join(
         f"""SELECT '{c}' AS column_name, min({c}) AS min_value, max({c}) AS max_value, CAST({lo} AS DOUBLE) AS rule_min,
   CAST({hi} AS DOUBLE) AS rule_max, min({c}) >= {lo} AND max({c}) <= {hi} AS passed,
   CASE WHEN min({c}) >= {lo} AND max({c}) <= {hi} THEN 'SUCCESS' ELSE 'WARNING' END AS status
-FROM raw_upper WHERE model = 'gfs'"""
+FROM raw_upper"""
         for c, (lo, hi) in spec.COORDINATE_RULES.items()
     )
 )
 ORACLE["duplicate_keys"] = _with(
     f"""SELECT count(*) AS row_count, count(*) - count(DISTINCT k) AS duplicate_records_count,
   CASE WHEN count(*) > count(DISTINCT k) THEN 'WARNING' ELSE 'SUCCESS' END AS status
-FROM (SELECT ROW({KEY_UPPER}) AS k FROM raw_upper WHERE model = 'gfs')"""
+FROM (SELECT ROW({KEY_UPPER}) AS k FROM raw_upper)"""
 )
 ORACLE["audit_row"] = _with(
     "\nUNION ALL\n".join(
@@ -667,7 +667,7 @@ ORACLE["test_expression"] = _tests(
 )
 ORACLE["read_back"] = _with(
     """SELECT forecast_date, forecast_cycle, count(*) AS rows_written, count(*) AS rows_read, TRUE AS passed
-FROM raw_upper WHERE model = 'aifs' GROUP BY 1, 2"""
+FROM raw_upper GROUP BY 1, 2"""
 )
 
 # ------------------------------------------- calendar, retention, events
@@ -695,7 +695,7 @@ ORACLE["partition_calendar"] = _with(
     f"parts AS ({_PARTS})",
 )
 ORACLE["retention_raw"] = _with(
-    f"SELECT {COLS['surface']} FROM raw_surface WHERE model = 'aifs' AND forecast_date >= '2026-03-23'"
+    f"SELECT {COLS['surface']} FROM raw_surface WHERE forecast_date >= '2026-03-23'"
 )
 ORACLE["retention_gold"] = _with(
     f"""SELECT {_PNAME.format("forecast_cycle", "forecast_date")} AS partition_name, CAST(forecast_date AS DATE) AS partition_date
@@ -707,7 +707,7 @@ ORACLE["repartition_fact"] = _with(
 FROM ({_fact("upper", "aifs")}) GROUP BY 1, 2"""
 )
 ORACLE["recent_snapshot"] = _with(
-    f"SELECT {COLS['spread']} FROM raw_spread WHERE model = 'ifs' AND forecast_date >= '2026-03-23'"
+    f"SELECT {COLS['spread']} FROM raw_spread WHERE forecast_date >= '2026-03-23'"
 )
 
 _ROUTED = """CASE event_type WHEN 'view' THEN 'gfs_upper' WHEN 'click' THEN 'gfs_surface' WHEN 'signup' THEN 'aifs_upper'

@@ -54,9 +54,9 @@ def _unified(spark, sf_dir, shape) -> DataFrame:
     return unified.unify({m: _fact(spark, sf_dir, shape, m) for m in models}, shape)
 
 
-def _written_raw(spark, sf_dir, shape, model, name) -> str:
+def _written_raw(spark, sf_dir, shape, name) -> str:
     path = work_path(spark, name)
-    writers.append_partitions(inputs.raw(spark, sf_dir, shape, model), path)
+    writers.append_partitions(inputs.raw(spark, sf_dir, shape).drop("model"), path)
     return path
 
 
@@ -65,13 +65,13 @@ def _written_raw(spark, sf_dir, shape, model, name) -> str:
 
 @query("raw_scan")
 def raw_scan(spark, sf_dir):
-    path = _written_raw(spark, sf_dir, UPPER, "gfs", "raw_scan")
+    path = _written_raw(spark, sf_dir, UPPER, "raw_scan")
     return tables.read_raw(spark, path, UPPER, since="2026-03-23")
 
 
 @query("ext_scan")
 def ext_scan(spark, sf_dir):
-    path = _written_raw(spark, sf_dir, UPPER, "ifs", "ext_scan")
+    path = _written_raw(spark, sf_dir, UPPER, "ext_scan")
     return tables.read_external(spark, f"{path}/forecast_date=2026-03-2*", UPPER)
 
 
@@ -85,7 +85,7 @@ def seed_load(spark, sf_dir):
 @query("raw_append")
 def raw_append(spark, sf_dir):
     path = work_path(spark, "raw_append")
-    batches = inputs.raw(spark, sf_dir, SURFACE, "gfs")
+    batches = inputs.raw(spark, sf_dir, SURFACE).drop("model")
     for part in (F.col("forecast_cycle") < 12, F.col("forecast_cycle") >= 12):
         writers.append_partitions(batches.where(part), path)
     return tables.read_raw(spark, path, SURFACE)
@@ -94,7 +94,7 @@ def raw_append(spark, sf_dir):
 def _replace(spark, sf_dir, wipe):
     """A table holds early cycles; a batch with two (date, cycle) pairs replaces partitions."""
     path = work_path(spark, f"partition_replace_{wipe}")
-    rows = inputs.raw(spark, sf_dir, UPPER, "gfs")
+    rows = inputs.raw(spark, sf_dir, UPPER).drop("model")
     writers.append_partitions(rows, path)
     pairs = ((F.col("forecast_date") == "2026-03-24") & (F.col("forecast_cycle") == 6)) | (
         (F.col("forecast_date") == "2026-03-25") & (F.col("forecast_cycle") == 12)
@@ -117,7 +117,7 @@ def partition_replace_product(spark, sf_dir):
 @query("parquet_export")
 def parquet_export(spark, sf_dir):
     path = work_path(spark, "parquet_export")
-    rows = inputs.raw(spark, sf_dir, SPREAD, "ifs")
+    rows = inputs.raw(spark, sf_dir, SPREAD).drop("model")
     writers.export_parquet(rows, path)
     # Exporting one day again leaves the other days and does not double this one.
     writers.export_parquet(rows.where("forecast_date = '2026-03-22'"), path)
@@ -210,13 +210,13 @@ def time_derive(spark, sf_dir):
 
 @query("dedup_first")
 def dedup_first(spark, sf_dir):
-    df = inputs.raw(spark, sf_dir, UPPER, "gfs", ordinal=True)
+    df = inputs.raw(spark, sf_dir, UPPER, ordinal=True).drop("model")
     return _stored(ingest.dedup_first(df, spec.raw_key(df.columns), FIRST), UPPER)
 
 
 @query("union_by_name")
 def union_by_name(spark, sf_dir):
-    rows = inputs.raw(spark, sf_dir, SURFACE, "gfs")
+    rows = inputs.raw(spark, sf_dir, SURFACE).drop("model")
     batches = [
         rows.where("step_hours = 192").drop("tp"),
         rows.where("step_hours = 240").drop("d2m", "surface"),
@@ -227,7 +227,7 @@ def union_by_name(spark, sf_dir):
 
 @query("rename_mandatory")
 def rename_mandatory(spark, sf_dir):
-    rows = inputs.raw(spark, sf_dir, SURFACE, "gfs").withColumnsRenamed(
+    rows = inputs.raw(spark, sf_dir, SURFACE).drop("model").withColumnsRenamed(
         {"t2m": "2t", "d2m": "2d", "msl": "prmsl", "tp": "apcp"}
     )
     return ingest.require_variables(ingest.canonical_names(rows), SURFACE)
@@ -242,7 +242,7 @@ def z_to_gh(spark, sf_dir):
 @query("schema_evolve")
 def schema_evolve(spark, sf_dir):
     path = work_path(spark, "schema_evolve")
-    rows = inputs.raw(spark, sf_dir, UPPER, "gfs")
+    rows = inputs.raw(spark, sf_dir, UPPER).drop("model")
     first = rows.drop("v")
     writers.append_partitions(first.where("forecast_date < '2026-03-24'"), path)
     batch = ingest.evolve_to(rows.drop("u").where("forecast_date >= '2026-03-24'"), first.schema)
@@ -252,7 +252,7 @@ def schema_evolve(spark, sf_dir):
 
 @query("schema_strict")
 def schema_strict(spark, sf_dir):
-    rows = inputs.raw(spark, sf_dir, SPREAD, "ifs")
+    rows = inputs.raw(spark, sf_dir, SPREAD).drop("model")
     loose = rows.select(*[F.col(c).cast("double").alias(c) if t == "float" else F.col(c) for c, t in reversed(rows.dtypes)])
     return ingest.align_strict(loose, spec.raw_schema(SPREAD))
 
@@ -300,7 +300,7 @@ def nearest_sample(spark, sf_dir):
     points = inputs.customer_cities(spark, sf_dir).select("city_name", "latitude", "longitude")
     # One composite field: the warmest value of each cell; some cells have none.
     grid = (
-        inputs.raw(spark, sf_dir, SURFACE, "gfs")
+        inputs.raw(spark, sf_dir, SURFACE).drop("model")
         .where(F.col("latitude") >= -90)
         .groupBy("lat_i", "lon_i")
         .agg(F.max("t2m").alias("t2m"))
@@ -607,24 +607,24 @@ def city_incremental_spread(spark, sf_dir):
 
 @query("profile_columns")
 def profile_columns(spark, sf_dir):
-    rows = inputs.raw(spark, sf_dir, UPPER, "gfs")
+    rows = inputs.raw(spark, sf_dir, UPPER).drop("model")
     nan = F.when(F.col("t") == 260, F.lit("NaN").cast("float")).otherwise(F.col("t"))
     return quality.profile_columns(rows.withColumn("t", nan))
 
 
 @query("profile_rollup")
 def profile_rollup(spark, sf_dir):
-    return quality.profile_rollup(inputs.raw(spark, sf_dir, SURFACE, "gfs"))
+    return quality.profile_rollup(inputs.raw(spark, sf_dir, SURFACE).drop("model"))
 
 
 @query("coord_rule")
 def coord_rule(spark, sf_dir):
-    return quality.coordinate_rules(quality.profile_rollup(inputs.raw(spark, sf_dir, UPPER, "gfs")))
+    return quality.coordinate_rules(quality.profile_rollup(inputs.raw(spark, sf_dir, UPPER).drop("model")))
 
 
 @query("duplicate_keys")
 def duplicate_keys(spark, sf_dir):
-    rows = inputs.raw(spark, sf_dir, UPPER, "gfs")
+    rows = inputs.raw(spark, sf_dir, UPPER).drop("model")
     return quality.duplicate_keys(rows, spec.raw_key(rows.columns))
 
 
@@ -703,7 +703,7 @@ def expression(spark, sf_dir):
 @query("read_back")
 def read_back(spark, sf_dir):
     path = work_path(spark, "read_back")
-    rows = inputs.raw(spark, sf_dir, UPPER, "aifs")
+    rows = inputs.raw(spark, sf_dir, UPPER).drop("model")
     writers.append_partitions(rows, path)
     return quality.read_back(rows, tables.read_raw(spark, path, UPPER), spec.RAW_PARTITIONS)
 
@@ -774,7 +774,7 @@ def partition_calendar(spark, sf_dir):
 
 @query("retention_raw")
 def retention_raw(spark, sf_dir):
-    path = _written_raw(spark, sf_dir, SURFACE, "aifs", "retention_raw")
+    path = _written_raw(spark, sf_dir, SURFACE, "retention_raw")
     writers.expire_partitions(spark, path, as_of="2026-03-30", keep_days=7)
     return tables.read_raw(spark, path, SURFACE)
 
@@ -798,7 +798,7 @@ def repartition_fact(spark, sf_dir):
 @query("recent_snapshot")
 def recent_snapshot(spark, sf_dir):
     path = work_path(spark, "recent_snapshot")
-    raw = inputs.raw(spark, sf_dir, SPREAD, "ifs")
+    raw = inputs.raw(spark, sf_dir, SPREAD).drop("model")
     writers.overwrite_table(calendar.recent_snapshot(raw, as_of="2026-03-30"), path)
     return spark.read.parquet(path)
 
