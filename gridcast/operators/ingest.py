@@ -32,6 +32,10 @@ class SchemaMismatch(ValueError):
 # ------------------------------------------------------------- grid to rows
 
 
+class EmptyBatch(ValueError):
+    """Nothing of a delivery is left to store."""
+
+
 def flatten_grid(
     messages: DataFrame,
     variables: Sequence[str],

@@ -9,6 +9,7 @@ the shuffle.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
 from functools import reduce
@@ -16,6 +17,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridcast import spec
 from gridcast.operators.ingest import dedup_first
@@ -95,6 +97,38 @@ def drop_partitions(spark: SparkSession, path: str, partition_by: Sequence[str],
     return dropped
 
 
+# ------------------------------------------------------------- schema of a table
+
+# Hidden from scans by its underscore.
+SCHEMA_FILE = "_table_schema.json"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept beside a table's partitions, if there is one."""
+    fs, where = _file_system(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return T.StructType.fromJson(json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """Notes the columns of a batch beside the table: those known keep place and type, new ones follow."""
+    known = stored_schema(spark, path) or T.StructType()
+    fields = [*known, *(f for f in schema if f.name not in known.names)]
+    if len(fields) > len(known):
+        fs, where = _file_system(spark, f"{path}/{SCHEMA_FILE}")
+        stream = fs.create(where, True)
+        try:
+            stream.write(bytearray(T.StructType(fields).json(), "utf-8"))
+        finally:
+            stream.close()
+    return T.StructType(fields)
+
+
 # ------------------------------------------------------------- write strategies
 
 

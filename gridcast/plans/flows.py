@@ -10,12 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast import spec
-from gridcast.operators import calendar, ingest, quality, writers
-from gridcast.operators.dims import city_points
+from gridcast.operators import calendar, dims, ingest, quality, writers
 from gridcast.operators.events import models_to_refresh
-from gridcast.operators.facts import latest_window, rows_above_mark, to_fact, window_rows
+from gridcast.operators.facts import latest_window, rows_above_mark, stamp_column, to_fact, window_rows
 from gridcast.operators.staging import stage
-from gridcast.operators.unified import city_forecast, unify
+from gridcast.operators.unified import changed_since, city_forecast, unify
 from gridcast.sources.tables import read_raw
 
 LOAD_RULES = ("append", "append_strict", "latest", "merge", "window", "refresh")
@@ -37,28 +36,43 @@ def ingest_cycle(
     interval and, off the surface, isobaricInhPa. ``spread_over`` deals few, large messages
     to that many tasks before they are flattened.
     """
+    spark = messages.sparkSession
+    about = {"model_name": product.model, "layer_type": product.shape, **run}
+    try:
+        keys = _store_cycle(messages, product, path, variables, order, spread_over)
+    except Exception as e:
+        if audit_path:
+            failed = quality.audit_row(None, spark=spark, status="FAILED", error=f"{type(e).__name__}: {e}"[:1000], **about)
+            failed.write.mode("append").parquet(audit_path)
+        raise
+    # The messages tell which partitions were written without making the rows again.
+    stamped = ingest.derive_times(messages.select("forecast_reference_time"), step=None)
+    loaded = writers.touched_partitions(read_raw(spark, path, product.shape), stamped, spec.RAW_PARTITIONS)
+    audit = quality.audit_row(loaded, keys=keys, **about)
+    if audit_path:
+        audit.write.mode("append").parquet(audit_path)
+    return audit
+
+
+def _store_cycle(messages, product, path, variables, order, spread_over) -> list[str]:
+    """Writes the partitions of a cycle; returns the key of its rows."""
     if spread_over:
         messages = messages.repartition(spread_over)
     points = ingest.flatten_grid(messages, variables, spec.CROP_SOUTH, spec.CROP_NORTH)
     points = ingest.geopotential_to_height(ingest.canonical_names(points))
     if product.model == "gfs":
         ingest.require_variables(points, product.shape)
-    metrics = [c for c, t in points.dtypes if c in spec.raw_schema(product.shape).names and t in ("float", "double")]
-    metrics = [m for m in metrics if m not in ("latitude", "longitude", "heightAboveGround", "surface")]
-    rows = ingest.derive_times(
-        ingest.add_index(ingest.drop_missing_target(ingest.normalize_longitude(points)), metrics)
-    )
+    metrics = [c for c, t in points.dtypes if c not in spec.NOT_METRICS and t in ("float", "double")]
+    points = ingest.drop_missing_target(ingest.normalize_longitude(points))
+    if points.isEmpty():  # stops at the first row
+        raise ingest.EmptyBatch(f"no row of {product.table} lies in the kept band and has its variable")
+    rows = ingest.derive_times(ingest.add_index(points, metrics))
     keys = spec.raw_key(rows.columns)
     unique = ingest.dedup_first(rows, keys, order or [F.col(c).asc_nulls_last() for c in ("latitude", "longitude", *metrics)])
     batch = ingest.evolve_to(unique, spec.raw_schema(product.shape))
     writers.replace_partitions(batch, path)
-    # The messages tell which partitions were written without making the rows again.
-    stamped = ingest.derive_times(messages.select("forecast_reference_time"), step=None)
-    loaded = writers.touched_partitions(read_raw(messages.sparkSession, path, product.shape), stamped, spec.RAW_PARTITIONS)
-    audit = quality.audit_row(loaded, keys=keys, model_name=product.model, layer_type=product.shape, **run)
-    if audit_path:
-        audit.write.mode("append").parquet(audit_path)
-    return audit
+    writers.keep_schema(messages.sparkSession, path, batch.schema)
+    return keys
 
 
 def load_fact(
@@ -111,10 +125,45 @@ def unified_view(spark: SparkSession, fact_paths: dict[str, str], shape: str) ->
     return unify({m: spark.read.parquet(p) for m, p in fact_paths.items()}, shape)
 
 
-def refresh_city_fact(forecast: DataFrame, staged_grid: DataFrame, stations: DataFrame, shape: str, path: str) -> None:
-    """Delete and insert the city rows of a forecast, on the key with the city in it."""
-    rows = city_forecast(forecast, city_points(staged_grid, stations), shape, city_in_key=True, stations=stations)
-    writers.delete_insert(rows, path, ["unique_key"], spec.FACT_PARTITIONS, touches=forecast)
+def store_dimensions(spark: SparkSession, root: str, as_of: str, stamp: str) -> dict[str, int]:
+    """Grid points, locations and valid times as tables below gold/; returns the rows added to each.
+
+    The grid dimension and the locations don't change: where their table is there, nothing is read again. Times are
+    built for four days and then refreshed by two, each valid time once.
+    """
+    added = {}
+    surfaces = [p for p in spec.PRODUCTS if p.shape == spec.SURFACE and p.published]
+    staged = lambda p: stage(read_raw(spark, f"{root}/raw/{p.table}", p.shape), p.shape)
+    grid, places, times = (f"{root}/gold/{n}" for n in ("dim_grid_points", "dim_locations", "dim_times"))
+    known = {path: writers.table_exists(spark, path) for path in (grid, places, times)}
+    if not known[grid]:
+        writers.overwrite_table(dims.grid_dimension(staged(spec.product("gfs", spec.UPPER)), dims.stations(spark)), grid)
+    existing = spark.read.parquet(places) if known[places] else None
+    new = dims.location_dimension([] if known[places] else [staged(p) for p in surfaces], as_of, existing)
+    if not known[places]:
+        writers.append_partitions(new, places, ())
+    anchor = spark.range(1).select(F.lit(as_of).cast("date").alias("as_of"), stamp_column(stamp).alias("dbt_updated_at"))
+    fresh = dims.time_dimension(anchor, days=2 if known[times] else 4)
+    writers.delete_insert(fresh, times, spec.TIME_KEY)
+    for path in (grid, places):
+        added[path.rsplit("/", 1)[1]] = 0 if known[path] else spark.read.parquet(path).count()
+    return added | {"dim_times": fresh.count()}
+
+
+def refresh_city_fact(
+    forecast: DataFrame, points: DataFrame, stations: DataFrame, shape: str, path: str, since: str | None = None
+) -> None:
+    """Delete and insert the city rows of a forecast, on the key with the city in it.
+
+    ``points`` is the stored grid dimension, or its city rows. Where the city fact is there, only rows stamped since its
+    newest stamp are read and only their partitions are rewritten; ``since`` (a date) lets the scan prune older cycles.
+    """
+    spark = forecast.sparkSession
+    if writers.table_exists(spark, path):
+        forecast = changed_since(forecast, spark.read.parquet(path))
+        forecast = forecast.where(F.col("cycle_date") >= F.lit(since).cast("date")) if since else forecast
+    rows = city_forecast(forecast, points, shape, city_in_key=True, stations=stations)
+    writers.delete_insert(rows, path, ["unique_key"], spec.FACT_PARTITIONS)
 
 
 def refresh_updated(
@@ -144,28 +193,43 @@ def daily_run(
     as_of: str,
     stamp: str,
     rule: str = "merge",
+    keep_days: int | None = None,
 ) -> DataFrame:
-    """Readiness, then every fact, then the check of the unified views.
+    """Readiness, facts, dimensions, city facts, partition calendar, check of the unified views, audit, retention.
 
-    ``root`` holds raw/<table> and receives gold/<fact>. Returns the verification rows; if
-    partitions of the previous day are missing, raises before anything is written.
+    ``root`` holds raw/<table> and receives gold/<fact>, gold/fct_<shape>_forecast_cities, the dimensions,
+    gold/partition_calendar and audit/gold. Raw partitions older than ``keep_days`` go last. Returns the verification
+    rows; if partitions of the previous day are missing, raises before anything is written.
     """
     tables = [p for p in spec.PRODUCTS if p.published]
     found = None
     for p in tables:
         listing = writers.partition_listing(spark, f"{root}/raw/{p.table}", spec.RAW_PARTITIONS)
         found = listing if found is None else found.unionAll(listing)
-    missing = calendar.missing_partitions(calendar.parse_listing(found), instant, calendar.product_table(spark))
+    products = calendar.product_table(spark)
+    missing = calendar.missing_partitions(calendar.parse_listing(found), instant, products)
     # At most one row per product and cycle.
     absent = missing.collect()
     if absent:
         raise RuntimeError(f"{len(absent)} partitions are missing, first: {absent[0]}")
     for p in tables:
         load_fact(spark, p, f"{root}/raw/{p.table}", f"{root}/gold/{p.fact}", rule, as_of, stamp)
+    store_dimensions(spark, root, as_of, stamp)
     views = {
-        f"fct_{shape}_forecast": unified_view(
-            spark, {p.model: f"{root}/gold/{p.fact}" for p in tables if p.shape == shape}, shape
-        )
+        shape: unified_view(spark, {p.model: f"{root}/gold/{p.fact}" for p in tables if p.shape == shape}, shape)
         for shape in spec.SHAPES
     }
-    return quality.verify_gold(views)
+    stations, grid = dims.stations(spark), spark.read.parquet(f"{root}/gold/dim_grid_points")
+    for shape, view in views.items():
+        refresh_city_fact(view, grid, stations, shape, f"{root}/gold/fct_{shape}_forecast_cities")
+    planned = calendar.partition_calendar(products, F.lit(as_of).cast("date"))
+    writers.overwrite_table(planned, f"{root}/gold/partition_calendar")
+    checked = quality.verify_gold({f"fct_{shape}_forecast": view for shape, view in views.items()})
+    audit = quality.gold_audit_row(
+        checked, dag_id="daily_run", run_id=as_of, logical_date=as_of, model_name="all", layer_type="gold"
+    )
+    audit.write.mode("append").parquet(f"{root}/audit/gold")
+    if keep_days is not None:
+        for p in tables:
+            writers.expire_partitions(spark, f"{root}/raw/{p.table}", as_of, keep_days)
+    return checked

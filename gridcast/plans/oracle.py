@@ -347,7 +347,9 @@ _EVOLVED = (
     .replace(" u,", " CASE WHEN forecast_date < '2026-03-24' THEN u END AS u,")
     .replace(" v,", " CASE WHEN forecast_date >= '2026-03-24' THEN v END AS v,")
 )
-ORACLE["schema_evolve"] = _with(f"SELECT {_EVOLVED} FROM raw_upper")
+ORACLE["schema_evolve"] = _with(
+    f"""SELECT {_EVOLVED}, CASE WHEN forecast_date >= '2026-03-24' THEN CAST(t / CAST(1000 AS DOUBLE) AS FLOAT) END AS q FROM raw_upper"""
+)
 ORACLE["schema_strict"] = ORACLE["parquet_export"]
 ORACLE["product_filter"] = _with(
     """SELECT model, forecast_date, forecast_cycle, step_hours, lat_i, lon_i, gh, t FROM raw_upper
@@ -509,6 +511,7 @@ ORACLE["dim_locations"] = _with(
         f"SELECT lat_i, lon_i, lat, lon FROM ({_stage('surface', m)}) WHERE {_SLICE}" for m in ("gfs", "ifs", "aifs")
     )
 )
+ORACLE["dim_locations_again"] = ORACLE["dim_locations"]
 ORACLE["dim_times"] = f"""WITH {BASE}, combos AS (
   SELECT CAST(m.d - i AS DATE) AS cycle_date, h AS cycle_hour, s AS step
   FROM (SELECT max(frt_date) AS d FROM base) m

@@ -241,12 +241,16 @@ def z_to_gh(spark, sf_dir):
 
 @query("schema_evolve")
 def schema_evolve(spark, sf_dir):
+    """A later batch lacks u and brings q, a column of no declared schema, which can be read back."""
     path = work_path(spark, "schema_evolve")
     rows = inputs.raw(spark, sf_dir, UPPER).drop("model")
     first = rows.drop("v")
     writers.append_partitions(first.where("forecast_date < '2026-03-24'"), path)
-    batch = ingest.evolve_to(rows.drop("u").where("forecast_date >= '2026-03-24'"), first.schema)
+    writers.keep_schema(spark, path, first.schema)
+    later = rows.drop("u").where("forecast_date >= '2026-03-24'").withColumn("q", (F.col("t") / 1000).cast("float"))
+    batch = ingest.evolve_to(later, first.schema)
     writers.replace_partitions(batch, path)
+    writers.keep_schema(spark, path, batch.schema)
     return tables.read_raw(spark, path, UPPER)
 
 
@@ -509,6 +513,16 @@ def _anchor(spark, sf_dir):
     )
 
 
+@query("dim_locations_again")
+def dim_locations_again(spark, sf_dir):
+    """The location table built once; a second load has nothing to add to it."""
+    path = work_path(spark, "dim_locations_again")
+    staged = [_staged(spark, sf_dir, SURFACE, m) for m in ("gfs", "ifs", "aifs")]
+    writers.append_partitions(dims.location_dimension(staged, AS_OF), path, ())
+    writers.append_partitions(dims.location_dimension([], AS_OF, existing=spark.read.parquet(path)), path, ())
+    return spark.read.parquet(path)
+
+
 @query("dim_times")
 def dim_times(spark, sf_dir):
     return dims.time_dimension(_anchor(spark, sf_dir), days=4)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridcast import spec
+from gridcast.operators.writers import stored_schema
 
 
 def read_raw(
@@ -15,9 +17,13 @@ def read_raw(
 
     The schema is declared, so nothing is inferred and the date stays text. ``since`` is an
     ISO date compared with the partition column: it prunes partitions, which a filter on
-    the derived cycle_date could not.
+    the derived cycle_date could not. Columns that loads added to the table come after the
+    declared ones (see ``writers.keep_schema``).
     """
-    df = spark.read.schema(spec.raw_schema(shape)).parquet(path)
+    declared = spec.raw_schema(shape)
+    added = [f for f in stored_schema(spark, path) or () if f.name not in declared.names]
+    df = spark.read.schema(T.StructType([*declared, *added])).parquet(path)
+    df = df.select(*declared.names, *[f.name for f in added])
     return df.where(F.col("forecast_date") >= since) if since else df
 
 

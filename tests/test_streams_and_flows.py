@@ -73,6 +73,26 @@ def test_ingest_needs_its_variables(messages, fresh):
         flows.ingest_cycle(messages, GFS_UPPER, fresh(), ["gh", "t"], RUN)
 
 
+def test_a_failed_load_leaves_an_audit_row(spark, messages, fresh):
+    path, audit_path = fresh(), fresh()
+    with pytest.raises(ingest.MissingVariables):
+        flows.ingest_cycle(messages, GFS_UPPER, path, ["gh", "t"], RUN, audit_path)
+    south = messages.withColumn("lat", F.transform("lat", lambda x: -80 - F.abs(x) / 100))
+    with pytest.raises(ingest.EmptyBatch):
+        flows.ingest_cycle(south, GFS_UPPER, path, ["gh", "t", "u", "v"], RUN, audit_path)
+    rows = spark.read.parquet(audit_path).collect()
+    assert [r.status for r in rows] == ["FAILED"] * 2 and any("EmptyBatch" in r.validation_details for r in rows)
+    assert not writers.table_exists(spark, path)
+
+
+def test_a_new_variable_can_be_read_back(spark, messages, fresh):
+    path = fresh()
+    more = messages.withColumn("q", F.col("t"))
+    flows.ingest_cycle(more, GFS_UPPER, path, ["gh", "t", "u", "v", "q"], RUN)
+    raw = read_raw(spark, path, spec.UPPER)
+    assert raw.columns[-1] == "q" and raw.where("q is null").count() == raw.where("t is null").count()
+
+
 def raw_table(spark, sf_dir, fresh, product):
     path = fresh()
     writers.append_partitions(inputs.raw(spark, sf_dir, product.shape, product.model), path)
@@ -135,6 +155,21 @@ def test_daily_run(spark, sf_dir, fresh):
     with pytest.raises(RuntimeError, match="missing"):
         flows.daily_run(spark, root, F.lit("2026-04-20 12:00:00").cast("timestamp"), "2026-04-20", inputs.STAMP)
 
+    def count(name):
+        there = writers.table_exists(spark, f"{root}/{name}")  # a city fact without rows has no partitions
+        return spark.read.parquet(f"{root}/{name}").count() if there else 0
+
+    first = {n: count(f"gold/{n}") for n in ("dim_grid_points", "dim_locations", "dim_times", "partition_calendar")}
+    assert all(first.values()) and first["dim_times"] == 64
+    cities = {s: count(f"gold/fct_{s}_forecast_cities") for s in spec.SHAPES}
+    assert spark.read.parquet(f"{root}/audit/gold").first().status == "SUCCESS"
+    flows.daily_run(spark, root, instant, "2026-03-26", inputs.STAMP, keep_days=2)
+    assert {n: count(f"gold/{n}") for n in first} == first  # nothing is added twice
+    assert {s: count(f"gold/fct_{s}_forecast_cities") for s in spec.SHAPES} == cities
+    assert count("audit/gold") == 2
+    dates = {p["forecast_date"] for p in writers.partition_dirs(spark, f"{root}/raw/gfs_upper", spec.RAW_PARTITIONS)}
+    assert dates and min(dates) >= "2026-03-24"
+
     names = register_views(spark, root, "2026-03-26", inputs.STAMP)
     assert len(names) == 7 + 7 + 7 + 1 + 3 + 6
     got = spark.sql(
@@ -148,8 +183,9 @@ def test_daily_run(spark, sf_dir, fresh):
 
     forecast = flows.unified_view(spark, {"gfs": f"{root}/gold/fct_gfs_upper"}, spec.UPPER)
     staged = stage(inputs.raw(spark, "/root/testdata/sf0.01", spec.UPPER, "gfs"), spec.UPPER)
+    points = dims.city_points(staged, dims.stations(spark))
     path = fresh()
     for _ in range(2):
-        flows.refresh_city_fact(forecast, staged, dims.stations(spark), spec.UPPER, path)
+        flows.refresh_city_fact(forecast, points, dims.stations(spark), spec.UPPER, path)
     city = spark.read.parquet(path)
     assert city.count() == city.select("unique_key").distinct().count()
