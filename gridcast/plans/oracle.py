@@ -631,8 +631,12 @@ def _tests(parts: list[str], **ctes: str) -> str:
 
 
 ORACLE["test_not_null"] = _tests(
-    [_test(f"not_null_{c}", f"count(*) FILTER (WHERE {c} IS NULL)", "unified") for c in spec.fact_columns("upper")],
-    unified=_unified("upper"),
+    [
+        _test(f"not_null_{c}", f"count(*) FILTER (WHERE {c} IS NULL)", f"unified_{s}")
+        for s in spec.SHAPES
+        for c in spec.fact_columns(s)
+    ],
+    **{f"unified_{s}": _unified(s) for s in spec.SHAPES},
 )
 ORACLE["test_unique"] = _tests(
     [

@@ -684,8 +684,11 @@ def verify_gold(spark, sf_dir):
 
 @query("test_not_null")
 def not_null(spark, sf_dir):
-    df = _unified(spark, sf_dir, UPPER)
-    return quality.check_not_null(df, df.columns)
+    checks = []
+    for shape in spec.SHAPES:
+        df = _unified(spark, sf_dir, shape)
+        checks.append(quality.check_not_null(df, df.columns))
+    return reduce(DataFrame.unionByName, checks)
 
 
 @query("test_unique")
