@@ -27,14 +27,16 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, the one with the least id; documents without words all stay."""
-    found = ngram_join.similar(docs)
-    leaders = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_leader")).distinct()
-    kept = docs.select(*COLUMNS).join(leaders, F.col("doc_id").eqNullSafe(F.col("_leader")), "left_semi")
-    # rows that share the id of a class: one of them stays
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "lang", "source")
-    has_words = F.rlike(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
-    return kept.withColumn("_n", F.row_number().over(first)).where((F.col("_n") == 1) | F.col("doc_id").isNull() | ~has_words).drop("_n")
+    """One document of each class of near copies, the one with the least id (null ids last) and then the least hash of its
+    text; documents without words all stay. The classes are those of the texts: rows may share an id or have none."""
+    rows = docs.select(*COLUMNS, F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), ngram_join.text_hash().alias("_hash"))
+    words = F.rlike(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
+    # Rows with one id and text are copies too. The limit to the first row works per task, before the shuffle.
+    first = Window.partitionBy("_none", "_id", "_hash").orderBy("lang", "source", "n_chars")
+    single = rows.where(words).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    leader = F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), F.col("text_hash").alias("_hash")
+    kept = single.join(ngram_join.leaders(docs).select(*leader), ["_none", "_id", "_hash"], "left_semi")
+    return kept.select(*COLUMNS).unionByName(rows.where(~words).select(*COLUMNS))
 
 
 def trim(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

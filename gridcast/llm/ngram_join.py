@@ -210,11 +210,13 @@ def _check(table: pa.Table, n: int, per_mille: int) -> pa.Table:
     return pa.table({"node": pa.array(node, pa.binary()), "other": pa.array(other, pa.binary()), "links": pa.array(links, pa.int64())})
 
 
-def similar(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, chunk: int = CHUNK, chunk_grams: int = CHUNK_GRAMS
-) -> DataFrame:
-    """One row per row of `docs`: doc_id, class_id (least id of all documents it is linked to, directly or by way of
-    others), copy_id (least id of the documents with its n-gram set), n_links (documents linked to it directly)."""
+def text_hash(text: str = "text"):
+    """What tells the texts of one id apart; a text of null is an empty one."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
+def _linked(docs: DataFrame, key: str, text: str, n: int, threshold: float, recall: float, chunk: int, chunk_grams: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(row signatures; nodes; links and forests of the checked chunks; label of each node that has a link)."""
     bands, rows = bands_for(threshold, recall, HASHES)
     signed = checkpointed(signatures(docs, n, bands, rows, key, text))
     nodes = checkpointed(
@@ -265,8 +267,26 @@ def similar(
         .groupBy("label", "first", "second")
         .applyInArrow(lambda t: _check(t, n, per_mille), "node binary, other binary, links long")
     )
-    classes = components(checked.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    return signed, nodes, checked, components(checked.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
 
+
+def leaders(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, chunk: int = CHUNK, chunk_grams: int = CHUNK_GRAMS
+) -> DataFrame:
+    """doc_id, text_hash: of each class of documents with words the least id, nulls last, and then the least hash. A
+    class is what the links join, whatever ids its rows have."""
+    _, nodes, _, classes = _linked(docs, key, text, n, threshold, recall, chunk, chunk_grams)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
+    named = nodes.join(classes, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(first)
+    return named.select(F.col("first.id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"))
+
+
+def similar(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, chunk: int = CHUNK, chunk_grams: int = CHUNK_GRAMS
+) -> DataFrame:
+    """One row per row of `docs`: doc_id, class_id (least id of all documents it is linked to, directly or by way of
+    others), copy_id (least id of the documents with its n-gram set), n_links (documents linked to it directly)."""
+    signed, nodes, checked, classes = _linked(docs, key, text, n, threshold, recall, chunk, chunk_grams)
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     linked = classes.join(nodes.select("node", "id"), "node")
     names = linked.groupBy("label").agg(F.min("id").alias("class_id"))

@@ -96,3 +96,14 @@ def test_odd_rows(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{empty}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{empty}/labels.parquet")
     assert c.run(spark, str(empty)).count() == 0
+
+
+def test_classes_are_of_texts_not_of_ids(spark):
+    line = lambda k: " ".join(f"word{k}x{i}" for i in range(60))
+    rows = [(7, line(1)), (7, line(2)), (7, line(2)), (8, line(2) + " end"), (9, line(9))]  # one id, unlike texts
+    rows += [(None, line(3)), (None, line(3)), (None, line(3) + " end"), (None, line(4)), (None, line(9)), (None, line(9) + " end")]
+    rows += [(None, None), (None, " "), (5, ""), (5, "")]
+    out = c.deduplicate(spark, spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA), "").collect()
+    class_of = lambda t: " ".join((t or "").split()[:60])
+    got = sorted([(r.doc_id, class_of(r.text)) for r in out], key=str)
+    assert got == sorted([(7, line(1)), (7, line(2)), (9, line(9)), (None, line(3)), (None, line(4)), (None, ""), (None, ""), (5, ""), (5, "")], key=str)
