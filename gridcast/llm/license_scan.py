@@ -1,19 +1,24 @@
 """Licence scans by a trained paragraph classifier.
 
-A paragraph is a line with words. Its features are the words and word pairs, in lower case, that occur in the notices of
-`TEMPLATES`; a multinomial logistic regression over these sparse counts tells the licence families and an `unknown`
-class apart. It is trained here: families learn from their notices with words dropped, cut and put between words of the
-corpus; unknown learns from a bounded sample of the corpus' own lines (`SAMPLE_LINES`) and from mixtures of single
-notice words. The probability from which a family counts is set on held-out unknown lines so that at most `FALSE_RATE`
-of them pass. A prediction stands only if a notice of that family confirms it: `CONFIRM` of the notice's word pairs must
-be in the paragraph.
+A paragraph is a line with words, or a run of words in consecutive lines with words: notices are often wrapped. Its
+features are the words and word pairs, in lower case, that occur in the notices of `TEMPLATES`; a multinomial logistic
+regression over these sparse counts tells the licence families and an `unknown` class apart. It is trained here:
+families learn from their notices with words dropped, cut and put between words of the corpus; unknown learns from a
+bounded sample of the corpus' own lines (`SAMPLE_LINES`) and from mixtures of single notice words. The probability from
+which a family counts is set on held-out unknown lines so that at most `FALSE_RATE` of them pass. A prediction stands
+only if a notice of that family confirms it: `CONFIRM` of the notice's word pairs must be in the paragraph.
 
 Scanning is one pass without a shuffle: the words of a batch are hashed in arrays, and only lines that hold a word pair
-of some notice are scored. Null and empty texts have no paragraphs. Repeated lines count each time.
+of some notice are scored. Stretches of lines, and lines longer than `WINDOW` words, are also searched in windows, so
+placed that every notice lies in one whole: a run of words about as long as a notice that holds enough of its pairs is
+scored like a line. A word pair in the text supports one notice only, the one with most pairs first and lines before
+runs, so a notice counts once and a part of it makes no other notice. Null and empty texts have no paragraphs. Repeated
+lines count each time.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from dataclasses import dataclass
 
@@ -28,6 +33,9 @@ SAMPLE_DOCS = 2000
 SAMPLE_LINES = 4000
 FALSE_RATE = 0.001
 CONFIRM = 0.6
+WINDOW = 96
+STRIDE = 32
+SLACK = 1.5  # words that a wrapped notice may take, by its pairs
 EACH = 150  # training paragraphs a notice
 STEPS = 300
 
@@ -64,9 +72,8 @@ _IN_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] =
 _SHIFT = np.uint64(1)
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words and of the word pairs within a line, and the line number of each. Lines end with a line feed
-    or with their document."""
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word and the number of its line. Lines end with a line feed or with their document."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     inside = _IN_WORD[data]
@@ -81,10 +88,19 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     closes[:-1] &= ~inside[1:] | (line[1:] != line[:-1])
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     words = B.run_hashes(B.BYTES[_LOWER[data]], starts, ends)
-    at = line[starts]
+    return words, line[starts]
+
+
+def _pairs(words: np.ndarray) -> np.ndarray:
+    """Hash of each word with the next."""
+    return B.mix((words[:-1] << _SHIFT) ^ B.mix(words[1:]))
+
+
+def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and of the word pairs within a line, and the line number of each."""
+    words, at = _words(data, offsets)
     same = at[1:] == at[:-1]
-    pairs = B.mix((words[:-1] << _SHIFT) ^ B.mix(words[1:]))[same]
-    return np.r_[words, pairs], np.r_[at, at[1:][same]]
+    return np.r_[words, _pairs(words)[same]], np.r_[at, at[1:][same]]
 
 
 def _grams_of(text: str) -> np.ndarray:
@@ -125,6 +141,11 @@ def _vocabulary() -> tuple[np.ndarray, np.ndarray, dict]:
 
 
 VOCABULARY, PAIRS, NOTICES = _vocabulary()
+NOTICE_FAMILY = np.array([k for k, f in enumerate(FAMILIES) for _ in NOTICES[f]])
+MEMBERS = np.array([np.isin(VOCABULARY, notice) for f in FAMILIES for notice in NOTICES[f]]).astype(np.float32)
+SIZES = MEMBERS.sum(1)
+FAMILY_PAIRS = [np.flatnonzero(MEMBERS[NOTICE_FAMILY == k].any(0)) for k in range(UNKNOWN)]
+LEAST_PAIRS = int(np.ceil(CONFIRM * SIZES.min()))
 
 
 def _count(rows: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
@@ -187,9 +208,10 @@ def sample_lines(docs: DataFrame, text: str = "text") -> list[str]:
     return [r.line for r in lines.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_LINES).collect()]
 
 
-def _scan(data: np.ndarray, offsets: np.ndarray, scanner: Scanner) -> list[tuple[int, int, float]]:
-    """(document, family, probability) of each paragraph with a confirmed notice, in order."""
-    grams, line = _grams(data, offsets)
+def _scan_lines(words: np.ndarray, line: np.ndarray, scanner: Scanner) -> list[tuple[int, int, float]]:
+    """(line, family, probability) of each line with a confirmed notice, in order."""
+    same = line[1:] == line[:-1]
+    grams, line = np.r_[words, _pairs(words)[same]], np.r_[line, line[1:][same]]
     at = scanner.known(grams)
     hit = at >= 0
     if not hit.any():
@@ -200,8 +222,6 @@ def _scan(data: np.ndarray, offsets: np.ndarray, scanner: Scanner) -> list[tuple
     where = np.searchsorted(wanted, line[hit])
     where = np.minimum(where, len(wanted) - 1)
     use = wanted[where] == line[hit]
-    starts = np.r_[np.flatnonzero(data == 10) + 1, offsets]
-    starts = np.r_[0, np.sort(starts[(starts > 0) & (starts < len(data))])]
     out = []
     grams, row, column = grams[hit][use], where[use], at[hit][use]
     order = np.argsort(row, kind="stable")
@@ -215,13 +235,110 @@ def _scan(data: np.ndarray, offsets: np.ndarray, scanner: Scanner) -> list[tuple
         best = p.argmax(1)
         for k in np.flatnonzero(p.max(1) >= scanner.least).tolist():
             if _confirmed(grams[bounds[i + k] : bounds[i + k + 1]], FAMILIES[best[k]]):
-                place = starts[wanted[i + k]]
-                out.append((int(np.searchsorted(offsets, place, "right")) - 1, int(best[k]), float(p[k, best[k]])))
+                out.append((int(wanted[i + k]), int(best[k]), float(p[k, best[k]])))
     return out
 
 
+def _windows(line: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word (exclusive) of the windows over each stretch of lines. `opens` has the
+    number of the stretch of each line."""
+    stretch = opens[line]
+    starts = np.flatnonzero(np.r_[True, stretch[1:] != stretch[:-1]])
+    ends = np.r_[starts[1:], len(line)]
+    wide = (line[starts] != line[ends - 1]) | (ends - starts > WINDOW)  # a short single line is scanned as such
+    starts, ends = starts[wide], ends[wide]
+    each = np.maximum(1, -(-(ends - starts - WINDOW) // STRIDE) + 1)
+    nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    first = np.repeat(starts, each) + nth * STRIDE
+    return first, np.minimum(first + WINDOW, np.repeat(ends, each))
+
+
+def _held(pair: np.ndarray, notice: int) -> tuple[int, int, int]:
+    """(distinct pairs of the notice, first, last) in the run of words, no longer than SLACK notices, that holds most."""
+    places = np.flatnonzero(MEMBERS[notice][pair] * (pair >= 0)).tolist()
+    kinds, times, best, i = pair[places].tolist(), {}, (0, 0, 0), 0
+    for j, place in enumerate(places):
+        times[kinds[j]] = times.get(kinds[j], 0) + 1
+        while place - places[i] >= SLACK * SIZES[notice]:
+            times[kinds[i]] -= 1
+            if not times[kinds[i]]:
+                del times[kinds[i]]
+            i += 1
+        if len(times) > best[0]:
+            best = (len(times), places[i], place)
+    return best
+
+
+def _found(words: np.ndarray, line: np.ndarray, first: np.ndarray, last: np.ndarray, scanner: Scanner) -> list[tuple[int, int, float]]:
+    """(first word, family, probability) of each notice, in lines and in windows."""
+    word, pair = scanner.known(words), scanner.known(_pairs(words))
+    pair[(pair >= 0) & ~scanner.pairs[pair]] = -1
+    waiting = []  # (- pairs of the notice, in a window, first word, end, family or notice, probability)
+    for k, family, p in _scan_lines(words, line, scanner):
+        i, j = (int(x) for x in np.searchsorted(line, [k, k + 1]))
+        held = MEMBERS[:, np.unique(pair[i : j - 1][pair[i : j - 1] >= 0])].sum(1)
+        waiting.append((-int(held[(NOTICE_FAMILY == family) & (held >= CONFIRM * SIZES)].max()), False, i, j, family, p))
+    before = np.r_[0, np.cumsum(pair >= 0)]
+    some = before[last - 1] - before[first] >= LEAST_PAIRS
+    first, last = first[some], last[some]
+    for i in range(0, len(first), 1024):
+        a, b = first[i : i + 1024, None], last[i : i + 1024, None]
+        place = a + np.arange(WINDOW)
+        inside = place < b - 1
+        counts = np.zeros((len(a), len(scanner.vocabulary) + 1), np.float32)
+        row = np.broadcast_to(np.arange(len(a))[:, None], place.shape)
+        counts[row[inside], pair[place[inside]]] = 1  # what is unknown goes to the last column
+        for k, notice in np.argwhere(counts[:, :-1] @ MEMBERS.T >= CONFIRM * SIZES).tolist():
+            a, b = int(first[i + k]), int(last[i + k])
+            waiting.append((-_held(pair[a : b - 1], notice)[0], True, a, b, notice, 0.0))
+    heapq.heapify(waiting)
+    out = []
+    while waiting:
+        least, window, a, b, which, p = heapq.heappop(waiting)
+        if not window:
+            here, family = pair[a : b - 1], which
+            if not _confirmed(scanner.vocabulary[here[here >= 0]], FAMILIES[family]):
+                continue
+        else:
+            held, i, j = _held(pair[a : b - 1], which)
+            if held < CONFIRM * SIZES[which]:
+                continue
+            if held < -least:  # another notice has used some of its pairs
+                heapq.heappush(waiting, (-held, *(window, a, b, which, p)))
+                continue
+            here, family = pair[a + i : a + j + 1], int(NOTICE_FAMILY[which])
+            counts = np.zeros((1, len(scanner.vocabulary)))
+            known = np.r_[word[a + i : a + j + 2], here]
+            counts[0, known[known >= 0]] = 1
+            chances = scanner.probabilities(counts)[0, :UNKNOWN]
+            p = float(chances[family])
+            if chances.argmax() != family or p < scanner.least:
+                for x, y in ((a, a + i + 1), (a + i + 1, b)):  # there may be one before or after it
+                    heapq.heappush(waiting, (-held, window, x, y, which, 0.0))
+                continue
+            heapq.heappush(waiting, (-held, window, a, b, which, p))  # there may be more of them
+            a += i
+        out.append((a, family, p))
+        here[np.isin(here, FAMILY_PAIRS[family])] = -1
+    return out
+
+
+def _scan(data: np.ndarray, offsets: np.ndarray, scanner: Scanner) -> list[tuple[int, int, float]]:
+    """(document, family, probability) of each notice."""
+    words, line = _words(data, offsets)
+    if not len(words):
+        return []
+    starts = np.r_[np.flatnonzero(data == 10) + 1, offsets]
+    starts = np.r_[0, np.sort(starts[(starts > 0) & (starts < len(data))])]
+    document = np.searchsorted(offsets, starts, "right") - 1
+    full = np.zeros(len(starts), bool)
+    full[line] = True
+    first, last = _windows(line, np.cumsum(~full | np.r_[True, document[1:] != document[:-1]]))
+    return [(int(document[line[a]]), family, p) for a, family, p in _found(words, line, first, last, scanner)]
+
+
 def scan(docs: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of `docs`: doc_id, n_notices, families (distinct, in order of the name, joined by commas; empty
+    """One row per row of `docs`: doc_id, n_notices (lines with a notice, and notices wrapped over lines), families (distinct, in order of the name, joined by commas; empty
     if there is none), probability (of the surest notice, null if there is none)."""
 
     def made(batches):

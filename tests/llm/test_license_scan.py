@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from gridcast.llm import license_scan as s
 
@@ -30,3 +31,19 @@ def test_families_and_odd_texts(spark):
     assert {r.n_notices for r in rows if r.doc_id == len(texts) - 1} <= {2, 3}
     assert all((r.probability is None) == (r.n_notices == 0) for r in rows)
     assert s.scan(spark.createDataFrame([], SCHEMA), s.fit([])).count() == 0
+
+
+def test_wrapped_notices(spark):
+    scanner = s.fit(["The weather is nice today.", "We went to the public library with a version of the story."] * 50)
+    longest = {f: max(notices, key=len) for f, notices in s.TEMPLATES.items()}
+    wrap = lambda t, width, mark="": "\n".join(mark + x for x in textwrap.wrap(t, width))
+    prose = wrap("we talked about other things for a while and nothing of note came of it " * 40, 70)
+    cases = [(wrap(t, width, mark), f, 1) for f, t in longest.items() for width in (30, 50, 72) for mark in ("", "# ", " * ")]
+    cases += [(f"{prose}\n{wrap(t, 60)}\n{prose}", f, 1) for f, t in longest.items()]  # no blank line around
+    cases += [(f"{prose.replace(chr(10), ' ')} {t} {prose.replace(chr(10), ' ')}", f, 1) for f, t in longest.items()]  # one long line
+    two = wrap(longest["gpl"], 40)
+    cases += [(f"{two}\n\n{two}", "gpl", 2), (f"{two}\n{prose}\n{two}", "gpl", 2), (f"{two}\n{wrap(longest['bsd'], 40)}", "bsd,gpl", 2)]
+    cases += [(f"Released under the MIT License.\n{two}", "gpl,mit", 2), (longest["bsd"].replace("provided", "\n\n").replace("source", "\n\n"), "", 0), (prose, "", 0)]
+    got = s.scan(spark.createDataFrame([(i, t, "") for i, (t, *_) in enumerate(cases)], SCHEMA), scanner).collect()
+    wrong = [(cases[r.doc_id], r.families, r.n_notices) for r in got if (r.families, r.n_notices) != cases[r.doc_id][1:]]
+    assert len(got) == len(cases) and not wrong
