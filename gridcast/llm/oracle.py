@@ -160,4 +160,72 @@ SELECT doc_id, CASE WHEN len(w) > 0 THEN class_id ELSE doc_id END AS class_id, C
 FROM split LEFT JOIN class USING (rid) LEFT JOIN same USING (rid) LEFT JOIN links USING (rid)
 """
 
-ORACLE: dict[str, str] = {"op1_exact_search": OP1, "op4_quality_rules": OP4, "op6_chat_format": OP6, "op8_mixing": OP8, "op9_ngram_join": OP9}
+OP12 = f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {WORDS.format("text")} AS w FROM documents
+), failed AS (
+  SELECT doc_id, part,
+    (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * (coalesce(doc_id, 9223372036854775807) > min(coalesce(doc_id, 9223372036854775807)) OVER (PARTITION BY t))::INT AS mask
+  FROM doc
+), known AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad FROM labels GROUP BY doc_id
+), cell AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+  FROM failed LEFT JOIN known USING (doc_id) GROUP BY part, mask
+), letter AS (
+  SELECT f, (1 << (ascii(f) - 65)) AS bit FROM (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f)
+), perm AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), stage AS (
+  SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS before
+  FROM perm, (SELECT unnest(range(1, 6)) AS step)
+)
+SELECT part, filter_order, step,
+  sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN bad ELSE 0 END)::BIGINT AS toxic_lost,
+  sum(CASE WHEN mask & bit <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+FROM cell, stage GROUP BY part, filter_order, step
+"""
+
+OP13 = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT doc_id, t, u, len(u) AS n,
+    ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS k1, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS k2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM cut
+), piece AS (
+  SELECT doc_id, t, n, array_to_string(u[1:least(k1, k2)], '') AS p, array_to_string(u[least(k1, k2) + 1:greatest(k1, k2)], '') AS m,
+    array_to_string(u[greatest(k1, k2) + 1:], '') AS s,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+         WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM piece
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_exact_search": OP1,
+    "op4_quality_rules": OP4,
+    "op6_chat_format": OP6,
+    "op8_mixing": OP8,
+    "op9_ngram_join": OP9,
+    "op12_filter_audit": OP12,
+    "op13_fill_middle": OP13,
+}

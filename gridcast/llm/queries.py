@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridcast.llm import chat_format, exact_search, license_scan, mixing, ngram_join, passage_dedup, piece_sampling, quality_classifier, quality_rules, suffix_dedup
+from gridcast.llm import (
+    chat_format,
+    exact_search,
+    fill_middle,
+    filter_audit,
+    license_scan,
+    mixing,
+    ngram_join,
+    passage_dedup,
+    piece_sampling,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +76,18 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup.remove_passages(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -77,5 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_ngram_join": op9_ngram_join,
     "op10_passage_dedup": op10_passage_dedup,
+    "op11_toxicity": op11_toxicity,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_fill_middle": op13_fill_middle,
     "pipeline": pipeline,
 }

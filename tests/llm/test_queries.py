@@ -28,5 +28,5 @@ def test_sampled_pieces_give_the_texts_back(spark, sf_dir):
 
 def test_all_are_registered():
     numbers = {n.split("_")[0] for n in QUERIES}
-    assert numbers == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert numbers == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert QUERIES.keys() <= registry.queries().keys() and ORACLE.keys() <= registry.oracle_sql().keys()
