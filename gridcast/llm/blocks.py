@@ -23,11 +23,13 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def in_blocks(docs: DataFrame, block_bytes: int, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> tuple[DataFrame, int, int]:
-    """(rows of block, doc_id, text as bytes, a hash of it and the carried columns; number of blocks; number of rows)."""
+    """(rows of block, doc_id, text as bytes, a hash of it and the carried columns; number of blocks; number of rows).
+
+    The input partition is part of a block's hash, so that rows repeated in every way don't all meet in one block."""
     size, n = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count(F.lit(1))).first()
     blocks = max(1, -(-int(size) // block_bytes))
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    where = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(blocks)).cast("int")
+    where = F.pmod(F.xxhash64(F.col(key), F.col(text), F.spark_partition_id()), F.lit(blocks)).cast("int")
     rows = docs.select(
         where.alias("block"), F.col(key).cast("long").alias("doc_id"), data.alias("text"), F.xxhash64(data).alias("order"), *(F.col(c).alias(f"_c_{c}") for c in carry)
     )

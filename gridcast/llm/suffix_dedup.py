@@ -12,10 +12,13 @@ A byte goes if a string of `LENGTH` bytes that covers it also starts in a docume
 3. Each range merges its sorted runs with a loser tree that keeps, for every run, how many bytes its head shares with
    the last winner. Unequal numbers decide a match without looking at a byte; equal ones compare from there on.
 4. Suffixes with one gram leave the tree side by side. Among them the strings of each anchor find the least document id
-   with the same string; the occurrences in other documents go back to their blocks as removed stretches.
+   with the same string; a suffix that has it in a later document is answered to its block with that id.
+5. Each block looks up all its occurrences of the suffixes it got an answer for, and removes those with greater ids.
 
 A gram with `HOT` occurrences or more would make a group of unbounded size, so its strings go each as a suffix of its
-own: then only equal strings form a group, and each block sends one of them. Both ways are exact.
+own: then only equal strings form a group. Both ways are exact. A block sends a suffix once, with the place of one
+occurrence, the least and the greatest id; its other occurrences never leave it, so that a range has one entry a block for
+a string, however often documents have it.
 
 Null text is empty; ids that are null sort last and are equal to each other, so they don't remove from one another.
 Rows with one id never remove from each other. Strings never cross documents.
@@ -24,6 +27,7 @@ Rows with one id never remove from each other. Strings never cross documents.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -37,11 +41,11 @@ LENGTH = 50
 GRAM = 24
 BLOCK_BYTES = 4 << 20
 HOT = 4096
-MOST = 1 << 18  # suffixes in a run
+MOST = 1 << 17  # suffixes in a run
 SAMPLE_DOCS = 3000  # for the splitters of the ranges, which only balance the work
 SAMPLE_EACH = 6
 RUNS = "range int, kind int, block int, run binary"
-STRETCHES = "block int, stretches binary"
+ANSWERS = "block int, kind int, answers binary"
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
@@ -74,7 +78,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, first: int = 0) -> tuple[np.n
     hi = starts[np.r_[cut, len(starts)] - 1]
     at = at[np.r_[0, cut]]
     doc = np.searchsorted(offsets, at, "right") - 1 + first
-    return at, lo, hi, doc, grams[at]
+    return at, lo, hi, doc, B.mix(grams[at])  # least hashes crowd at the low end; mixed again they spread over all buckets
 
 
 def _all_anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -97,9 +101,12 @@ def _rows_at(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: i
 
 
 class _Sorted:
-    """Suffixes of one block in order, equal ones (with equal bytes before) merged; `where` holds the occurrences."""
+    """Suffixes of one block in order, equal ones (with equal bytes before) merged.
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, first: np.ndarray, end: np.ndarray, where: np.ndarray):
+    `order` holds the occurrences, and those of suffix i are order[bounds[i]:bounds[i + 1]].
+    """
+
+    def __init__(self, data: np.ndarray, at: np.ndarray, first: np.ndarray, end: np.ndarray):
         n, most = end - at, at - first
         key = np.zeros((len(at), 80), np.uint8)
         key[:, :LENGTH] = _rows_at(data, at, n, LENGTH)
@@ -111,13 +118,16 @@ class _Sorted:
         key, columns = key[order], columns[order]
         new = np.r_[True, (columns[1:] != columns[:-1]).any(1)] if len(key) else np.zeros(0, bool)
         self.bounds = np.r_[np.flatnonzero(new), len(key)]
-        self.where = where[order]
+        self.order = order
         key = key[new]
         self.suffix, self.size = key[:, :LENGTH], key[:, LENGTH].astype(np.int64)
         self.before, self.most = key[:, LENGTH + 1 : 78], key[:, 78].astype(np.int64)
 
-    def front_code(self, i: int, j: int) -> bytes:
-        """Suffixes i to j as a run: the bytes shared with the one before, and the rest."""
+    def front_code(self, i: int, j: int, doc_ids: np.ndarray, first: np.ndarray) -> bytes:
+        """Suffixes i to j as a run: the bytes shared with the one before, the rest, and what an answer needs.
+
+        `doc_ids` are the ids of the occurrences, `first` the starts of their first strings in the block.
+        """
         s, n, b, m = self.suffix[i:j], self.size[i:j], self.before[i:j], self.most[i:j]
         shared = np.zeros(j - i, np.int64)
         differs = s[1:] != s[:-1]
@@ -125,35 +135,36 @@ class _Sorted:
         column = np.arange(LENGTH)
         tails = s[(column >= shared[:, None]) & (column < n[:, None])]
         befores = b[np.arange(b.shape[1]) < m[:, None]]
-        lo, hi = self.bounds[i], self.bounds[j]
+        lo = self.bounds[i]
+        own, starts = self.order[lo : self.bounds[j]], self.bounds[i:j] - lo
+        who = doc_ids[own]
         return B.pack(
             (
                 shared.astype(np.uint8).tobytes(),
                 (n - shared).astype(np.uint8).tobytes(),
                 tails.tobytes(),
-                m.astype(np.uint8).tobytes(),
+                np.r_[0, np.cumsum(m)].astype(np.int64).tobytes(),
                 befores.tobytes(),
-                np.diff(self.bounds[i : j + 1]).astype(np.int32).tobytes(),
-                self.where[lo:hi, 0].tobytes(),
-                self.where[lo:hi, 1:].T.astype(np.int32).tobytes(),
+                np.minimum.reduceat(who, starts).tobytes(),
+                np.maximum.reduceat(who, starts).tobytes(),
+                first[own[starts]].astype(np.int64).tobytes(),
             )
         )
 
 
 class _Run:
-    """A front-coded run, read from its start; `suffix` is the head and `shared` what it shares with the one before."""
+    """A front-coded run, read from its start; `suffix` is the head. The numbers stay packed until they are asked for."""
 
     def __init__(self, block: int, packed: bytes):
-        shared, lengths, self.tails, before, befores, counts, who, inside = B.unpack(packed)
-        self.block, self.shared_all, self.lengths = block, shared, lengths
-        ends = np.cumsum(np.frombuffer(before, np.uint8), dtype=np.int64).tolist()
-        self.before = [befores[i:j] for i, j in zip([0, *ends], ends)]
-        who, bounds = np.frombuffer(who, np.int64), np.r_[0, np.cumsum(np.frombuffer(counts, np.int32))]
-        self.least, self.most = (f.reduceat(who, bounds[:-1]).tolist() for f in (np.minimum, np.maximum))
-        self.ids, self.bounds = who.tolist(), bounds.tolist()
-        self.numbers, self.places = np.frombuffer(inside, np.int32).reshape(2, -1).tolist()
+        self.block = block
+        self.shared_all, self.lengths, self.tails, ends, self.befores, *numbers = B.unpack(packed)
+        self.ends = memoryview(ends).cast("q")
+        self.least, self.most, self.places = (memoryview(x).cast("q") for x in numbers)
         self.at, self.byte, self.suffix = -1, 0, b""
 
+    def before(self, i: int) -> bytes:
+        return self.befores[self.ends[i] : self.ends[i + 1]]
+
     def advance(self) -> int:
         """Moves to the next suffix; the bytes it shares with the last one, or -1 at the end."""
         self.at += 1
@@ -294,28 +305,24 @@ def _common_end(a: bytes, b: bytes) -> int:
 
 
 def _remove_in(group: list, runs: list[_Run], found: dict) -> None:
-    """Notes the removed stretches of a group: all suffixes with one gram (or all equal strings)."""
+    """Answers a group: all suffixes with one gram (or all equal strings). Of each suffix that a later document of its
+    block has: place of one occurrence, first and last step of the strings concerned, least id that has them."""
     kinds: dict = {}
     for what, low, *_ in group:
         if kinds.get(what, low) >= low:
             kinds[what] = low
     steps = _least_by_string(kinds)
     for what, _, high, r, at in group:
-        run = runs[r]
         for first, last, low in steps[what]:
             if low < high:
-                ids, note = run.ids, found[run.block]
-                for k in range(run.bounds[at], run.bounds[at + 1]):
-                    if ids[k] > low:
-                        place = run.places[k]
-                        note.append((run.numbers[k], place - last, place - first + LENGTH))
+                found[runs[r].block].extend((runs[r].places[at], first, last, low))
 
 
 def _merge_range(table: pa.Table) -> pa.Table:
     kind = table.column("kind")[0].as_py()
     runs = [_Run(b, x) for b, x in sorted(zip(table.column("block").to_pylist(), table.column("run").to_pylist()))]
     same = LENGTH if kind else GRAM
-    found: dict = defaultdict(list)
+    found: dict = defaultdict(lambda: array("q"))
     group: list = []
     low = high = 0
     for shared, r, at in merge_runs(runs):
@@ -326,17 +333,27 @@ def _merge_range(table: pa.Table) -> pa.Table:
             group = []
         least, most = run.least[at], run.most[at]
         low, high = (min(low, least), max(high, most)) if group else (least, most)
-        group.append(((run.suffix, run.before[at]), least, most, r, at))
+        group.append(((run.suffix, run.before(at)), least, most, r, at))
     if group and low < high:
         _remove_in(group, runs, found)
     return pa.table(
         {
             "block": pa.array(list(found), pa.int32()),
-            "stretches": pa.array([B.pack(np.array(x, np.int32).T.tobytes()) for x in found.values()], pa.binary()),
+            "kind": pa.array([kind] * len(found), pa.int32()),
+            "answers": pa.array([B.pack(x.tobytes()) for x in found.values()], pa.binary()),
         }
     )
 
 
+def _suffixes(kind: int, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Place, first and last string and document of the suffixes of anchors; of kind 1, each string is one by itself."""
+    if not kind:
+        return at, lo, hi, doc
+    n = hi - lo + 1
+    strings = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return strings, strings, strings, np.repeat(doc, n)
+
+
 def _send_runs(table: pa.Table, states: pa.Table, buckets: int, splitters: list[bytes]) -> pa.Table:
     table = B.in_order(table)
     block = table.column("block")[0].as_py()
@@ -347,18 +364,14 @@ def _send_runs(table: pa.Table, states: pa.Table, buckets: int, splitters: list[
     rows = []
     for kind, prefix in ((0, GRAM), (1, LENGTH)):
         use = np.flatnonzero(state == kind + 1)
-        a, f, t, d = at[use], lo[use], hi[use], doc[use]
-        if kind:  # each string by itself
-            n = t - f + 1
-            a = f = t = np.repeat(f, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            d = np.repeat(d, n)
+        a, f, t, d = _suffixes(kind, at[use], lo[use], hi[use], doc[use])
         for i in range(0, len(a), MOST):  # a run is bounded, however many strings a block has
             k = slice(i, i + MOST)
-            run = _Sorted(data, a[k], f[k], t[k] + LENGTH, np.stack([doc_ids[d[k]], d[k], a[k] - offsets[d[k]]], axis=1))
+            run = _Sorted(data, a[k], f[k], t[k] + LENGTH)
             bounds = np.array(sorted({s[:prefix] for s in splitters}), f"S{prefix}")
             heads = np.ascontiguousarray(run.suffix[:, :prefix]).view(f"S{prefix}").ravel()
             cuts = [0, *np.searchsorted(heads, bounds, "left").tolist(), len(heads)]
-            rows += [(r, kind, run.front_code(x, y)) for r, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y]
+            rows += [(r, kind, run.front_code(x, y, doc_ids[d[k]], f[k])) for r, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y]
     return pa.table(
         {
             "range": pa.array([r[0] for r in rows], pa.int32()),
@@ -369,15 +382,52 @@ def _send_runs(table: pa.Table, states: pa.Table, buckets: int, splitters: list[
     )
 
 
-def _cut(table: pa.Table, stretches: pa.Table, keep_text: bool) -> pa.Table:
+def _cover(table: pa.Table, answers: pa.Table, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Changes, byte by byte, of the number of removed strings that cover it."""
+    covered = np.zeros(len(data) + 1, np.int32)
+    if not answers.num_rows:
+        return covered
+    at, lo, hi, doc, gram = _all_anchors(data, offsets)
+    doc_ids = B.ids(table)
+    kinds = answers.column("kind").to_numpy()
+    packed = answers.column("answers").to_pylist()
+    for kind in np.unique(kinds).tolist():
+        told = np.concatenate([np.frombuffer(B.unpack(x), np.int64) for x, k in zip(packed, kinds.tolist()) if k == kind]).reshape(-1, 4)
+        # All anchors with a gram that an answer is about; the bytes then tell which occurrences are equal.
+        about = np.unique(gram[np.searchsorted(lo, told[:, 0], "right") - 1])
+        slot = np.minimum(np.searchsorted(about, gram), len(about) - 1)
+        use = np.flatnonzero(about[slot] == gram)
+        use = use[np.argsort(slot[use], kind="stable")]
+        begins = np.searchsorted(slot[use], np.arange(len(about) + 1))
+        slot_of = np.searchsorted(about, gram[np.searchsorted(lo, told[:, 0], "right") - 1])
+        told = told[np.argsort(slot_of, kind="stable")]
+        told_begins = np.searchsorted(np.sort(slot_of), np.arange(len(about) + 1))
+        i = 0
+        while i < len(about):  # whole grams, about MOST anchors at a time
+            j = max(i + 1, int(np.searchsorted(begins, begins[i] + MOST, "right")) - 1)
+            mine = use[begins[i] : begins[j]]
+            a, f, t, d = _suffixes(kind, at[mine], lo[mine], hi[mine], doc[mine])
+            run = _Sorted(data, a, f, t + LENGTH)
+            group = np.empty(len(a), np.int64)
+            group[run.order] = np.repeat(np.arange(len(run.bounds) - 1), np.diff(run.bounds))
+            by_first = np.argsort(f, kind="stable")
+            asked = told[told_begins[i] : told_begins[j]]
+            g = group[by_first[np.searchsorted(f[by_first], asked[:, 0])]]
+            n = run.bounds[g + 1] - run.bounds[g]
+            occurrence = run.order[np.repeat(run.bounds[g], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            first, last, low = (np.repeat(asked[:, c], n) for c in (1, 2, 3))
+            later = doc_ids[d[occurrence]] > low
+            place = a[occurrence[later]]
+            np.add.at(covered, place - last[later], 1)
+            np.add.at(covered, place - first[later] + LENGTH, -1)
+            i = j
+    return covered
+
+
+def _cut(table: pa.Table, answers: pa.Table, keep_text: bool) -> pa.Table:
     table = B.in_order(table)
     data, offsets = B.flat(table)
-    covered = np.zeros(len(data) + 1, np.int32)
-    for packed in stretches.column("stretches").to_pylist():
-        number, start, end = np.frombuffer(B.unpack(packed), np.int32).reshape(3, -1)
-        base = offsets[number]
-        np.add.at(covered, base + start, 1)
-        np.add.at(covered, base + end, -1)
+    covered = _cover(table, answers, data, offsets)
     gone = np.cumsum(covered)[:-1] > 0
     total = np.r_[0, np.cumsum(gone)]
     n_removed = total[offsets[1:]] - total[offsets[:-1]]
@@ -440,7 +490,7 @@ def remove_repeats(
         return _send_runs(table, back, n_blocks, splitters)
 
     runs = rows.groupBy("block").cogroup(states.groupBy("block")).applyInArrow(send, RUNS)
-    stretches = runs.groupBy("range", "kind").applyInArrow(_merge_range, STRETCHES)
+    answers = runs.groupBy("range", "kind").applyInArrow(_merge_range, ANSWERS)
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * keep_text
     out += "".join(f", _c_{c} {kind}" for c, kind in docs.dtypes if c in carry)
-    return rows.groupBy("block").cogroup(stretches.groupBy("block")).applyInArrow(lambda t, s: _cut(t, s, keep_text), out)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda t, s: _cut(t, s, keep_text), out)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.blocks import NULL_ID
+from gridcast.llm.words import early
 
 RANGE_BYTES = 4 << 20  # of text, about, in a range
 FLUSH_BYTES = 16 << 20  # of distinct text in a task's own trie
@@ -187,8 +188,9 @@ def flag_copies(docs: DataFrame, part: str, judge: Callable[[bytes], int], copy:
     """
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), data.alias("text"))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    drawn = rows.select(F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, PREFIX).alias("text")).orderBy("h", "text").limit(SAMPLE_DOCS)
+    size, n = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    hashed = rows.select(F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, PREFIX).alias("text")).where(early(F.col("h"), SAMPLE_DOCS, int(n)))
+    drawn = hashed.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(SAMPLE_DOCS)  # repeated rows count once
     routes = Routes([bytes(r.text) for r in drawn.collect()], max(1, -(-int(size) // range_bytes)))
     routed = rows.mapInArrow(lambda b: _local(b, routes, judge, copy), "route long, text binary, " + COLUMNS)
     return routed.repartition("route").sortWithinPartitions("route").mapInArrow(lambda b: _ranges(b, copy), COLUMNS)

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from gridcast.llm import blocks as B
 from gridcast.llm.quality_classifier import held_out
 from gridcast.llm.stored import checkpointed
+from gridcast.llm.words import early
 
 POSITIVES = 5_000
 UNLABELLED = 10_000
@@ -171,7 +172,8 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     """(_positive, text) of the documents to learn from; one document can be in both classes."""
 
     def drawn(ids: DataFrame, n: int, positive: int) -> DataFrame:
-        known = ids.select(F.col(key).alias("_id")).where(F.col("_id").isNotNull() & ~held_out(F.col("_id"))).distinct()
+        known = ids.select(F.col(key).alias("_id")).where(F.col("_id").isNotNull() & ~held_out(F.col("_id")))
+        known = known.where(early(F.xxhash64("_id"), n, known.count())).distinct()
         return known.orderBy(F.xxhash64("_id"), "_id").limit(n).withColumn("_positive", F.lit(positive))
 
     # At most `positives` + `unlabelled` rows of two numbers.

@@ -27,3 +27,12 @@ def count_chars(text: Column, chars: str) -> Column:
     for c in chars:
         rest = F.replace(rest, F.lit(c), F.lit(""))
     return F.length(text) - F.length(rest)
+
+
+def early(number: Column, rows: int, total: int) -> Column:
+    """Whether a hash lies so low that about four times `rows` of `total` rows do.
+
+    Ahead of a sort by the hash with a limit: else every task hands on as many rows as the limit allows, and what the last
+    task (or the driver) gets would grow with the number of tasks.
+    """
+    return F.shiftrightunsigned(number, 33) < F.lit(int(min(1.0, 4 * rows / max(total, 1)) * 2**31))

@@ -1,7 +1,13 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 import pytest
 
+from gridcast.llm import blocks as B
+from gridcast.llm import suffix_dedup
 from gridcast.llm.suffix_dedup import remove_repeats
 from tests.llm.brute import repeats_in_bytes
 
@@ -42,3 +48,42 @@ def test_carries_columns_and_text(spark):
     assert rows[1].kept_text == text and rows[1]._c_lang == "en" and rows[1]._c_block == 3
     assert rows[2].kept_text == "x" and rows[2].n_spans == 1
     assert rows[3].kept_text == "" and rows[3].n_bytes == 0
+
+
+def test_buckets_are_even():
+    r = np.random.default_rng(5)
+    data = r.integers(97, 123, 1 << 20).astype(np.uint8)
+    gram = suffix_dedup._all_anchors(data, np.arange(0, len(data) + 1, 4096))[-1]
+    for buckets in (10, 128):
+        n = np.bincount(B.bucket_of(gram, buckets), minlength=buckets)
+        assert n.max() < 2 * len(gram) / buckets and n.min() > 0
+
+
+@pytest.mark.parametrize("hot", [4096, 3])
+def test_a_block_sends_a_frequent_string_once(hot):
+    """However many documents have a passage, the run of a block has one entry for each of its suffixes."""
+    r = random.Random(3)
+    passage = "".join(r.choice("abcdef ") for _ in range(200))
+
+    def sent(copies):
+        texts = [passage.encode()] * copies
+        table = pa.table({"block": pa.array([0] * copies, pa.int32()), "doc_id": list(range(copies)), "text": pa.array(texts, pa.binary()), "order": [0] * copies})
+        *_, doc, gram = suffix_dedup._all_anchors(*B.flat(table))
+        marks = B.marks_of(0, gram, doc, 1)
+        states = B.states_of(marks, hot)
+        runs = suffix_dedup._send_runs(table, states, 1, [])
+        return sum(len(B.unpack(x)[0]) for x in runs.column("run").to_pylist()), runs
+
+    few, _ = sent(50)
+    many, runs = sent(3000)
+    assert many == few
+    answers = suffix_dedup._merge_range(runs.filter(pc.equal(runs.column("kind"), runs.column("kind")[0])).append_column("x", runs.column("range")))
+    assert sum(len(B.unpack(x)) for x in answers.column("answers").to_pylist()) < 32 * 20 * 200
+
+
+def test_blocks_are_shuffled_once(spark):
+    df = spark.createDataFrame([(i, "some text " * i, "x", 7) for i in range(50)], SCHEMA)
+    plan = remove_repeats(df, block_bytes=2000)
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ReusedExchange") == 2
