@@ -17,11 +17,15 @@ from pyspark.sql import functions as F
 from gridcast.llm import mixing, ngram_join, piece_sampling, quality_classifier, suffix_dedup
 from gridcast.session import shared_dir
 
+# A stage that hands whole rows to Python takes them in batches of so many bytes.
+BATCH_BYTES = "8m"
+
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pairwise ranking, learnt from their labels, puts at or above its threshold."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     ranking = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_classifier.score_documents(docs.select(*COLUMNS), ranking).where("_score >= 0.5").drop("_score")
 
