@@ -364,6 +364,7 @@ def _send_runs(table: pa.Table, states: pa.Table, buckets: int, splitters: list[
     rows = []
     for kind, prefix in ((0, GRAM), (1, LENGTH)):
         use = np.flatnonzero(state == kind + 1)
+        use = use[np.argsort(gram[use], kind="stable")]  # equal strings stand together, so runs hardly share any
         a, f, t, d = _suffixes(kind, at[use], lo[use], hi[use], doc[use])
         for i in range(0, len(a), MOST):  # a run is bounded, however many strings a block has
             k = slice(i, i + MOST)
