@@ -41,9 +41,13 @@ def flatten_grid(
     variables: Sequence[str],
     south: float | None = None,
     north: float | None = None,
+    ordinal: bool = False,
 ) -> DataFrame:
     """One row per grid point of each message.
 
+    ``ordinal`` adds the place of a point in its message, lat_n and lon_n (from 0). With a column that tells the order of
+    the messages they are the order of input, which the values of a row don't give.
+
     A message row holds the axes ``lat`` and ``lon``, one row-major array per variable and
     scalar columns, which are repeated; other arrays are left out. A latitude band is cut
     before any point is made. A message is first cut into one row per latitude, each with
@@ -66,11 +70,16 @@ def flatten_grid(
         band,
         lambda r: F.struct(
             r["latitude"].alias("latitude"),
+            *([r["i"].alias("lat_n")] if ordinal else []),
             *[F.slice(F.col(v), r["i"] * width + 1, width).alias(v) for v in variables],
         ),
     )
     along = F.arrays_zip(F.col("lon").alias("longitude"), *[F.col(v) for v in variables])
-    return present.select(*scalars, "lon", F.inline(by_latitude)).select(*scalars, "latitude", F.inline(along))
+    rows = present.select(*scalars, "lon", F.inline(by_latitude))
+    if not ordinal:
+        return rows.select(*scalars, "latitude", F.inline(along))
+    numbered = F.transform(along, lambda x, i: F.struct(i.alias("lon_n"), x["longitude"].alias("longitude"), *[x[v].alias(v) for v in variables]))
+    return rows.select(*scalars, "latitude", "lat_n", F.inline(numbered))
 
 
 def normalize_longitude(df: DataFrame, column: str = "longitude") -> DataFrame:

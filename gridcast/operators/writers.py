@@ -15,7 +15,7 @@ from datetime import date, timedelta
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,14 +217,15 @@ def touched_partitions(table: DataFrame, batch: DataFrame, partition_by: Sequenc
     return near.alias("t").join(values.alias("b"), reduce(lambda a, b: a & b, same), "left_semi")
 
 
-def _both_sides(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the batch (_side 0) and of the table (_side 1), and in _first the least side that has the row's key.
+def _unmatched(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The table's rows whose key the batch does not hold; NULL key parts match each other.
 
-    One window over the whole key, so both sides are shuffled once, and evenly even if one date or point dominates.
-    NULL key parts match each other.
+    The batch's keys are reduced to one row a key per task before they are shuffled, and the table's rows of one key only
+    stream past them: a key that repeats without bound, on either side, gathers nowhere. A small batch is broadcast by
+    Spark's size check, and the table is then not shuffled at all.
     """
-    sides = batch.withColumn("_side", F.lit(0)).unionByName(table.withColumn("_side", F.lit(1)), allowMissingColumns=True)
-    return sides.withColumn("_first", F.min("_side").over(Window.partitionBy(*keys)))
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    return table.alias("t").join(batch.select(*keys).distinct().alias("b"), reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def merge_on_key(
@@ -251,14 +252,36 @@ def merge_on_key(
         append_partitions(batch.select(*columns) if columns is not None else batch, path, partition_by)
         return
     table = spark.read.parquet(path)
-    both = _both_sides(touched_partitions(table, batch, partition_by), batch, keys)
-    if order is not None:
-        best = Window.partitionBy(*keys).orderBy("_side", *order)
-        both = both.withColumn("_n", F.row_number().over(best)).where("_side = _first and (_side = 1 or _n = 1)")
-    rows = both.where("_side = _first").select(*table.columns)
+    kept = _unmatched(touched_partitions(table, batch, partition_by), batch, keys)
+    best = dedup_first(batch, keys, order) if order is not None else batch
+    rows = best.select(*table.columns).unionByName(kept.select(*table.columns))
     _writer(rows, partition_by, "overwrite", "dynamic", "snappy").save(path)
 
 
+def merge_by_arrival(
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    arrival: Sequence[Column | str],
+    partition_by: Sequence[str] = spec.FACT_PARTITIONS,
+) -> None:
+    """Keep, of each key, the row that comes first in the order of arrival, whether the batch or the table has it.
+
+    The columns that `arrival` sorts by are stored with the rows. As the least row of a union is the least of the least
+    rows, the table does not depend on how its input was cut into batches, in which order these came, or how often one
+    was repeated. One shuffle, ahead of which each task reduces a key to one row.
+    """
+    if not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be part of the merge key")
+    spark = batch.sparkSession
+    if not table_exists(spark, path):
+        append_partitions(dedup_first(batch, keys, arrival), path, partition_by)
+        return
+    table = spark.read.parquet(path)
+    both = touched_partitions(table, batch, partition_by).unionByName(batch.select(*table.columns))
+    _writer(dedup_first(both, keys, arrival), partition_by, "overwrite", "dynamic", "snappy").save(path)
+
+
 def delete_insert(
     batch: DataFrame,
     path: str,
@@ -279,7 +302,7 @@ def delete_insert(
         return
     table = spark.read.parquet(path)
     old = touched_partitions(table, batch if touches is None else touches, partition_by) if partition_by else table
-    rows = _both_sides(old, batch.select(*table.columns), keys).where("_side = _first").select(*table.columns)
+    rows = batch.select(*table.columns).unionByName(_unmatched(old, batch, keys).select(*table.columns))
     if partition_by:
         _writer(rows, partition_by, "overwrite", "dynamic", "snappy").save(path)
     else:

@@ -27,7 +27,7 @@ def ingest_cycle(
     variables: Sequence[str],
     run: dict[str, str],
     audit_path: str | None = None,
-    order: Sequence[Column | str] = (),
+    order: Sequence[str] = (),
     spread_over: int | None = None,
 ) -> DataFrame:
     """Decoded messages of one product into its raw table; returns the audit row.
@@ -35,6 +35,9 @@ def ingest_cycle(
     ``messages`` has lat, lon, one array per variable, forecast_reference_time, a step
     interval and, off the surface, isobaricInhPa. ``spread_over`` deals few, large messages
     to that many tasks before they are flattened.
+
+    Of repeated points the first in the order of input stays. ``order`` names the columns of ``messages``
+    that tell the order of the messages, which are not stored; within a message points follow its axes. Messages that tie go by their values.
     """
     spark = messages.sparkSession
     about = {"model_name": product.model, "layer_type": product.shape, **run}
@@ -58,17 +61,20 @@ def _store_cycle(messages, product, path, variables, order, spread_over) -> list
     """Writes the partitions of a cycle; returns the key of its rows."""
     if spread_over:
         messages = messages.repartition(spread_over)
-    points = ingest.flatten_grid(messages, variables, spec.CROP_SOUTH, spec.CROP_NORTH)
+    ranked = messages.withColumn("_order", F.struct(*order)) if order else messages
+    points = ingest.flatten_grid(ranked, variables, spec.CROP_SOUTH, spec.CROP_NORTH, ordinal=True)
     points = ingest.geopotential_to_height(ingest.canonical_names(points))
     if product.model == "gfs":
         ingest.require_variables(points, product.shape)
-    metrics = [c for c, t in points.dtypes if c not in spec.NOT_METRICS and t in ("float", "double")]
+    about = [c for c in ("_order", "lat_n", "lon_n") if c in points.columns]
+    metrics = [c for c, t in points.dtypes if c not in (*spec.NOT_METRICS, *order) and t in ("float", "double")]
     points = ingest.drop_missing_target(ingest.normalize_longitude(points))
     if points.isEmpty():  # stops at the first row
         raise ingest.EmptyBatch(f"no row of {product.table} lies in the kept band and has its variable")
     rows = ingest.derive_times(ingest.add_index(points, metrics))
     keys = spec.raw_key(rows.columns)
-    unique = ingest.dedup_first(rows, keys, order or [F.col(c).asc_nulls_last() for c in ("latitude", "longitude", *metrics)])
+    values = [F.col(c).asc_nulls_last() for c in ("latitude", "longitude", *metrics)]
+    unique = ingest.dedup_first(rows, keys, [*about, *values]).drop(*about, *order)
     batch = ingest.evolve_to(unique, spec.raw_schema(product.shape))
     writers.replace_partitions(batch, path)
     writers.keep_schema(messages.sparkSession, path, batch.schema)

@@ -389,7 +389,7 @@ ORACLE["nearest_sample"] = _with(
     """SELECT p.lat_i, p.lon_i, p.city_name, p.latitude, p.longitude, COALESCE(CAST(g.t2m AS DOUBLE), 0) AS sampled
 FROM placed_points p LEFT JOIN grid g ON p.lat_i = g.lat_i AND p.lon_i = g.lon_i""",
     CUSTOMER_CITIES,
-    "grid AS (SELECT lat_i, lon_i, max(t2m) AS t2m FROM raw_surface WHERE latitude >= -90 GROUP BY 1, 2)",
+    "grid AS (SELECT lat_i, lon_i, min(t2m) AS t2m FROM raw_surface WHERE lat_i BETWEEN 0 AND 180000 AND lon_i BETWEEN 0 AND 360000 GROUP BY 1, 2)",
     """lat_near AS (
   SELECT city_name, a.lat_i FROM cities c CROSS JOIN (SELECT DISTINCT lat_i FROM grid) a
   QUALIFY row_number() OVER (PARTITION BY city_name ORDER BY abs((c.latitude + 90) * 1000 - a.lat_i), a.lat_i DESC) = 1
@@ -430,22 +430,28 @@ ORACLE["recent_window"] = _with(f"SELECT model, {COLS['upper']} FROM raw_upper W
 
 # ------------------------------------------------------------- fact loads
 
-ORACLE["fact_append_hwm"] = _with(
+def _each(shape: str, sql) -> str:
+    """The union of one query a model."""
+    models = ("aifs", "ifs") if shape == "spread" else ("gfs", "aifs", "ifs")
+    return "\nUNION ALL\n".join(f"SELECT * FROM ({sql(m)})" for m in models)
+
+
+ORACLE["fact_append_hwm"] = _each("upper", lambda m: _with(
     f"""SELECT * FROM loaded
 UNION ALL
-SELECT f.* FROM ({_fact("upper", "gfs")}) f
+SELECT f.* FROM ({_fact("upper", m)}) f
 WHERE cycle_date >= {AS_OF} - 7 AND {CYCLE_TIME} > (SELECT max({CYCLE_TIME}) FROM loaded)""",
-    f"loaded AS ({_fact('upper', 'gfs', EARLIER, chr(99) + 'ycle_date <= DATE ' + repr('2026-03-24'))})",
-)
-ORACLE["fact_append_hwm_strict"] = _with(
-    f"""SELECT f.*, 'current' AS target FROM ({_fact("spread", "ifs")}) f
+    f"loaded AS ({_fact('upper', m, EARLIER, chr(99) + 'ycle_date <= DATE ' + repr('2026-03-24'))})",
+))
+ORACLE["fact_append_hwm_strict"] = _each("spread", lambda m: _with(
+    f"""SELECT f.*, 'current' AS target FROM ({_fact("spread", m)}) f
 WHERE cycle_date >= {AS_OF} - 4 AND {CYCLE_TIME} > (
-  SELECT max({CYCLE_TIME}) FROM ({_fact("spread", "ifs")}) WHERE cycle_date BETWEEN {AS_OF} - 4 AND DATE '2026-03-24')"""
-)
-ORACLE["fact_latest_window"] = _with(
+  SELECT max({CYCLE_TIME}) FROM ({_fact("spread", m)}) WHERE cycle_date BETWEEN {AS_OF} - 4 AND DATE '2026-03-24')"""
+))
+ORACLE["fact_latest_window"] = _each("upper", lambda m: _with(
     f"""SELECT * FROM recent WHERE {CYCLE_TIME} >= (SELECT max({CYCLE_TIME}) FROM recent) - INTERVAL '1' DAY""",
-    f"recent AS (SELECT * FROM ({_fact('upper', 'gfs')}) WHERE cycle_date >= {AS_OF} - 1)",
-)
+    f"recent AS (SELECT * FROM ({_fact('upper', m)}) WHERE cycle_date >= {AS_OF} - 1)",
+))
 _FKEY = ", ".join(spec.fact_key("upper"))
 _FCOLS = ", ".join(spec.fact_columns("upper"))
 
@@ -463,39 +469,48 @@ SELECT {_FCOLS} FROM early WHERE NOT EXISTS (
     )
 
 
-ORACLE["fact_merge"] = _merged(
-    "gfs",
-    _fact("upper", "gfs", EARLIER, keep=ORD),
-    _fact("upper", "gfs", STAMP, f"cycle_date >= {AS_OF} - 1 AND forecast_step_hours > 192", keep=ORD),
+ORACLE["fact_merge"] = _each("upper", lambda m: _merged(
+    m,
+    _fact("upper", m, EARLIER, keep=ORD),
+    _fact("upper", m, STAMP, f"cycle_date >= {AS_OF} - 1 AND forecast_step_hours > 192", keep=ORD),
     ORD_DESC,
-)
-_late = _fact("upper", "ifs", STAMP, "forecast_step_hours > 240", keep=ORD)
-ORACLE["stream_ingest"] = _merged(
-    "ifs",
-    _fact("upper", "ifs", EARLIER, "forecast_step_hours < 360", keep=ORD),
+))
+ORACLE["stream_ingest"] = _each("upper", lambda m: _merged(
+    m,
+    _fact("upper", m, EARLIER, "forecast_step_hours < 360", keep=ORD),
     f"""SELECT * REPLACE (CAST(temp_kelvin + 1 AS FLOAT) AS temp_kelvin,
-      CAST(temp_kelvin + 1 AS FLOAT) - {ZERO_C} AS temp_celsius) FROM ({_late})""",
+      CAST(temp_kelvin + 1 AS FLOAT) - {ZERO_C} AS temp_celsius) FROM ({_fact("upper", m, STAMP, "forecast_step_hours > 240", keep=ORD)})""",
     ORD,
-)
+))
+ORACLE["stream_ingest_cuts"] = f"SELECT *, unnest(['deliveries', 'files']) AS cut FROM ({ORACLE['stream_ingest']})"
 ORACLE["merge_backfill"] = """
 WITH o AS (SELECT CASE WHEN o_orderkey % 97 <> 0 THEN DATE '1992-01-01' + CAST((CAST(o_orderdate AS DATE) - DATE '1992-01-01') % 1100 AS INTEGER) END AS day, o_orderkey, o_totalprice, o_orderstatus FROM orders)
-SELECT day, o_orderkey, o_totalprice + 1 AS o_totalprice, 'B' AS o_orderstatus FROM o WHERE o_orderkey % 2 = 0
+SELECT day, o_orderkey, o_totalprice + 1 AS o_totalprice, 'B' AS o_orderstatus FROM o WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0
 UNION ALL SELECT * FROM o WHERE o_orderkey % 2 <> 0 AND o_orderkey % 3 <> 0
 """
-ORACLE["fact_append_window"] = _with(
-    f"""SELECT * FROM ({_fact("surface", "gfs")}) WHERE cycle_date >= {AS_OF} - 3
-UNION ALL
-SELECT * FROM ({_fact("surface", "gfs")}) WHERE cycle_date >= {AS_OF} - 1"""
+ORACLE["merge_hot_key"] = """
+WITH keyed AS (
+  SELECT CASE WHEN l_suppkey % 3 > 0 THEN CAST(date_trunc('month', l_shipdate) AS DATE) ELSE DATE '1995-01-01' END AS month,
+    CASE WHEN l_suppkey % 3 > 0 THEN l_partkey ELSE -1 END AS part, l_extendedprice, l_orderkey, l_linenumber, l_returnflag
+  FROM lineitem
 )
+SELECT * FROM keyed
+QUALIFY row_number() OVER (PARTITION BY month, part ORDER BY l_returnflag = 'R' DESC, l_extendedprice DESC, l_orderkey, l_linenumber) = 1
+"""
+ORACLE["fact_append_window"] = _each("surface", lambda m: _with(
+    f"""SELECT * FROM ({_fact("surface", m)}) WHERE cycle_date >= {AS_OF} - 3
+UNION ALL
+SELECT * FROM ({_fact("surface", m)}) WHERE cycle_date >= {AS_OF} - 1"""
+))
 _LOC = "SELECT DISTINCT lat_i, lon_i, lat, lon"
-ORACLE["delete_insert"] = _with(
-    """SELECT lat_i, lon_i, CAST(lat + 100 AS FLOAT) AS lat, lon FROM latest
+ORACLE["delete_insert"] = _each("surface", lambda m: _with(
+    f"""SELECT lat_i, lon_i, CAST(lat + 100 AS FLOAT) AS lat, lon, '{m}' AS weather_model FROM latest
 UNION ALL
-SELECT * FROM everything e WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.lat_i = e.lat_i AND l.lon_i = e.lon_i)""",
-    f"everything AS ({_LOC} FROM ({_stage('surface', 'gfs')}))",
-    f"latest AS ({_LOC} FROM ({_stage('surface', 'gfs')}) WHERE cycle_date >= {AS_OF})",
-)
-ORACLE["full_refresh"] = _with(_fact("spread", "ifs", where="pressure_level_hpa = 500"))
+SELECT *, '{m}' FROM everything e WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.lat_i = e.lat_i AND l.lon_i = e.lon_i)""",
+    f"everything AS ({_LOC} FROM ({_stage('surface', m)}))",
+    f"latest AS ({_LOC} FROM ({_stage('surface', m)}) WHERE cycle_date >= {AS_OF})",
+))
+ORACLE["full_refresh"] = _each("spread", lambda m: _with(_fact("spread", m, where="pressure_level_hpa = 500")))
 ORACLE["fact_surface_project"] = _with(_fact("surface", "gfs"))
 for _p in spec.PRODUCTS:
     if (_p.model, _p.shape) != ("gfs", "surface"):
@@ -649,17 +664,23 @@ ORACLE["test_unique"] = _tests(
     ],
     **{f"unified_{s}": _unified(s) for s in spec.SHAPES},
 )
-ORACLE["test_accepted_values"] = _tests(
-    [
-        _test(f"accepted_values_{c}", f"count(*) FILTER (WHERE {c} NOT IN ({v}))", "unified")
-        for c, v in (
-            ("weather_model", "'gfs', 'aifs'"),
-            ("cycle_hour", "0, 12"),
-            ("forecast_step_hours", "192, 240, 288, 360"),
-            ("pressure_level_hpa", "500, 850"),
-        )
-    ],
-    unified=_unified("upper"),
+ORACLE["test_accepted_values"] = "\nUNION ALL\n".join(
+    f"SELECT *, '{s}' AS shape FROM ("
+    + _tests(
+        [
+            _test(f"accepted_values_{c}", f"count(*) FILTER (WHERE {c} NOT IN ({v}))", "unified")
+            for c, v in (
+                ("weather_model", "'gfs', 'aifs'"),
+                ("cycle_hour", "0, 12"),
+                ("forecast_step_hours", "192, 240, 288, 360"),
+                ("pressure_level_hpa", "500, 850"),
+            )
+            if c in spec.fact_columns(s)
+        ],
+        unified=_unified(s),
+    )
+    + ")"
+    for s in spec.SHAPES
 )
 ORACLE["test_expression"] = _tests(
     [
@@ -710,8 +731,8 @@ FROM parts WHERE forecast_date < '2026-03-24'""",
     f"parts AS ({_PARTS})",
 )
 ORACLE["repartition_fact"] = _with(
-    f"""SELECT cycle_hour, cycle_date, count(*) AS rows_before, count(*) AS rows_after
-FROM ({_fact("upper", "aifs")}) GROUP BY 1, 2"""
+    f"""SELECT weather_model, cycle_hour, cycle_date, count(*) AS rows_before, count(*) AS rows_after
+FROM ({_unified("upper")}) GROUP BY 1, 2, 3"""
 )
 ORACLE["recent_snapshot"] = _with(
     f"SELECT {COLS['spread']} FROM raw_spread WHERE forecast_date >= '2026-03-23'"
@@ -727,3 +748,34 @@ ORACLE["event_coalesce"] = f"""SELECT time_bucket(INTERVAL '5' MINUTE, ts) AS wi
   time_bucket(INTERVAL '5' MINUTE, ts) + INTERVAL '5' MINUTE AS window_end,
   string_agg(DISTINCT {_ROUTED}, ',' ORDER BY {_ROUTED}) AS models, count(*) AS events
 FROM events WHERE event_type <> 'error' GROUP BY 1, 2"""
+
+# A window opens with the first event that lies in none: a chain from one opening event to the next.
+ORACLE["event_coalesce_first"] = f"""WITH RECURSIVE routed AS (
+  SELECT ts, {_ROUTED} AS model FROM events WHERE event_type <> 'error' AND ts IS NOT NULL
+), opened AS (
+  SELECT min(ts) AS t FROM routed
+  UNION ALL
+  SELECT (SELECT min(r.ts) FROM routed r WHERE r.ts >= o.t + INTERVAL '5' MINUTE) FROM opened o WHERE o.t IS NOT NULL
+)
+SELECT o.t AS window_start, o.t + INTERVAL '5' MINUTE AS window_end,
+  string_agg(DISTINCT r.model, ',' ORDER BY r.model) AS models, count(*) AS events
+FROM routed r ASOF JOIN (SELECT t FROM opened WHERE t IS NOT NULL) o ON r.ts >= o.t GROUP BY 1, 2"""
+ORACLE["ingest_order"] = """WITH cells AS (
+  SELECT vec_id, label, embedding, unnest(range(0, 64)) AS k FROM embeddings
+), points AS (
+  SELECT vec_id, k, -11.0 + label * 0.25 + (k // 8) * 0.25 AS latitude, 178.0 + (k % 8) * 0.5 AS lon,
+    embedding[k + 1] AS gh, embedding[64 - k] AS t,
+    TIMESTAMP '2026-03-26 00:00:00' + (vec_id % 4 * 6) * INTERVAL '1' HOUR AS frt, [250, 500, 850][(vec_id % 3 + 1)::INT] AS level
+  FROM cells
+), first_rows AS (
+  SELECT * FROM points WHERE latitude >= -10 AND latitude <= 90
+  QUALIFY row_number() OVER (PARTITION BY frt, level, latitude, lon ORDER BY vec_id DESC, k) = 1
+), wrapped AS (
+  SELECT *, CASE WHEN lon >= 180 THEN lon - 360 ELSE lon END AS longitude FROM first_rows
+)
+SELECT CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, frt AS forecast_reference_time,
+  frt + INTERVAL '240' HOUR AS valid_time, 240 AS step_hours,
+  CAST(ROUND((latitude + 90) * 1000) AS INTEGER) AS lat_i, CAST(ROUND((longitude + 180) * 1000) AS INTEGER) AS lon_i,
+  CAST(level AS INTEGER) AS "isobaricInhPa", gh, t, gh AS u, t AS v,
+  '2026-03-26' AS forecast_date, CAST(EXTRACT(HOUR FROM frt) AS INTEGER) AS forecast_cycle
+FROM wrapped"""

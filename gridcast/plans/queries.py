@@ -12,11 +12,11 @@ from gridcast import spec
 from gridcast.functions import hash_key
 from gridcast.operators import calendar, dims, events, facts, ingest, quality, unified, writers
 from gridcast.operators.staging import geo_guard, recent_window, region_box, stage
-from gridcast.plans import inputs
+from gridcast.plans import flows, inputs
 from gridcast.plans.inputs import AS_OF, EARLIER_STAMP, ORDINAL, STAMP
 from gridcast.session import configure, work_path
 from gridcast.sources import describe, listing, seeds, tables
-from gridcast.streaming.jobs import load_fact_stream, stream_raw
+from gridcast.streaming.jobs import load_arrivals_stream, load_fact_stream, stream_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -170,6 +170,22 @@ def grid_flatten(spark, sf_dir):
     return ingest.normalize_longitude(points)
 
 
+@query("ingest_order")
+def ingest_order(spark, sf_dir):
+    """Messages that repeat each other's points into a raw table: of a point the latest message's value stays."""
+    path = work_path(spark, "ingest_order")
+    messages = _grid_messages(spark, sf_dir).select(
+        (-F.col("message_id")).alias("arrived"),
+        (F.lit("2026-03-26 00:00:00").cast("timestamp") + F.make_dt_interval(hours=(F.col("message_id") % 4 * 6).cast("int"))).alias("forecast_reference_time"),
+        F.make_dt_interval(hours=F.lit(240)).alias("step"),
+        F.get(F.array(F.lit(250), F.lit(500), F.lit(850)), (F.col("message_id") % 3).cast("int")).alias("isobaricInhPa"),
+        "lat", "lon", "gh", "t", F.col("gh").alias("u"), F.col("t").alias("v"),
+    )
+    about = {"dag_id": "ingest_order", "run_id": AS_OF, "logical_date": AS_OF}
+    flows.ingest_cycle(messages, spec.product("gfs", UPPER), path, ["gh", "t", "u", "v"], about, order=["arrived"])
+    return tables.read_raw(spark, path, UPPER)
+
+
 def _plain(spark, sf_dir, *columns):
     return inputs.all_upper(spark, sf_dir).select(*ORDINAL, *columns)
 
@@ -302,13 +318,8 @@ def z500_scale(spark, sf_dir):
 @query("nearest_sample")
 def nearest_sample(spark, sf_dir):
     points = inputs.customer_cities(spark, sf_dir).select("city_name", "latitude", "longitude")
-    # One composite field: the warmest value of each cell; some cells have none.
-    grid = (
-        inputs.raw(spark, sf_dir, SURFACE).drop("model")
-        .where(F.col("latitude") >= -90)
-        .groupBy("lat_i", "lon_i")
-        .agg(F.max("t2m").alias("t2m"))
-    )
+    # The raw rows of all models and times; of several rows for a cell the least value counts.
+    grid = inputs.raw(spark, sf_dir, SURFACE).drop("model")
     return ingest.sample_nearest(points, grid, "t2m")
 
 
@@ -384,88 +395,136 @@ def _loaded(fact: DataFrame) -> DataFrame:
     return fact.where(F.col("cycle_date") <= F.lit(LOADED_UNTIL).cast("date"))
 
 
+def _each(shape: str, load: Callable[[str], DataFrame]) -> DataFrame:
+    """What a load makes of each model's rows: every model has a table of its own."""
+    models = spec.MODELS if shape != SPREAD else ("aifs", "ifs")
+    return reduce(DataFrame.unionByName, [load(m) for m in models])
+
+
 @query("fact_append_hwm")
 def fact_append_hwm(spark, sf_dir):
     """Append to a written table by its high-water mark; the result is the table."""
-    path = work_path(spark, "fact_append_hwm")
-    writers.append_partitions(_loaded(_fact(spark, sf_dir, UPPER, "gfs", EARLIER_STAMP)), path, spec.FACT_PARTITIONS)
-    target = spark.read.parquet(path)
-    new = facts.rows_above_mark(_fact(spark, sf_dir, UPPER, "gfs"), target, AS_OF, days=7)
-    writers.append_partitions(new, path, spec.FACT_PARTITIONS)
-    return spark.read.parquet(path).select(*spec.fact_columns(UPPER))
+
+    def load(model):
+        path = work_path(spark, f"fact_append_hwm_{model}")
+        writers.append_partitions(_loaded(_fact(spark, sf_dir, UPPER, model, EARLIER_STAMP)), path, spec.FACT_PARTITIONS)
+        target = spark.read.parquet(path)
+        new = facts.rows_above_mark(_fact(spark, sf_dir, UPPER, model), target, AS_OF, days=7)
+        writers.append_partitions(new, path, spec.FACT_PARTITIONS)
+        return spark.read.parquet(path).select(*spec.fact_columns(UPPER))
+
+    return _each(UPPER, load)
 
 
 @query("fact_append_hwm_strict")
 def fact_append_hwm_strict(spark, sf_dir):
     """Rows taken for a target with cycles in the window, and none for one without."""
-    fact = _fact(spark, sf_dir, SPREAD, "ifs")
-    stale = fact.where(F.col("cycle_date") < F.lit("2026-03-22").cast("date"))
-    taken = facts.rows_above_mark(fact, _loaded(fact), AS_OF, days=4, null_mark="block")
-    blocked = facts.rows_above_mark(fact, stale, AS_OF, days=4, null_mark="block")
-    return taken.withColumn("target", F.lit("current")).unionByName(blocked.withColumn("target", F.lit("stale")))
+
+    def load(model):
+        fact = _fact(spark, sf_dir, SPREAD, model)
+        stale = fact.where(F.col("cycle_date") < F.lit("2026-03-22").cast("date"))
+        taken = facts.rows_above_mark(fact, _loaded(fact), AS_OF, days=4, null_mark="block")
+        blocked = facts.rows_above_mark(fact, stale, AS_OF, days=4, null_mark="block")
+        return taken.withColumn("target", F.lit("current")).unionByName(blocked.withColumn("target", F.lit("stale")))
+
+    return _each(SPREAD, load)
 
 
 @query("fact_latest_window")
 def fact_latest_window(spark, sf_dir):
-    return facts.latest_window(_fact(spark, sf_dir, UPPER, "gfs"), AS_OF)
+    return _each(UPPER, lambda model: facts.latest_window(_fact(spark, sf_dir, UPPER, model), AS_OF))
 
 
 @query("fact_merge")
 def fact_merge(spark, sf_dir):
     """First load keeps the first row per key; the merge of the last days the last row."""
-    path = work_path(spark, "fact_merge")
     keys, columns = spec.fact_key(UPPER), spec.fact_columns(UPPER)
-    rows = _fact(spark, sf_dir, UPPER, "gfs", EARLIER_STAMP, keep=ORDINAL)
-    writers.merge_on_key(rows, path, keys, order=FIRST, columns=columns)
-    late = facts.window_rows(_fact(spark, sf_dir, UPPER, "gfs", STAMP, keep=ORDINAL), AS_OF, 1)
-    late = late.where("forecast_step_hours > 192")
-    last = [F.col(c).desc() for c in ORDINAL]
-    writers.merge_on_key(late, path, keys, order=last, columns=columns)
-    return spark.read.parquet(path).select(*columns)
+
+    def load(model):
+        path = work_path(spark, f"fact_merge_{model}")
+        rows = _fact(spark, sf_dir, UPPER, model, EARLIER_STAMP, keep=ORDINAL)
+        writers.merge_on_key(rows, path, keys, order=FIRST, columns=columns)
+        late = facts.window_rows(_fact(spark, sf_dir, UPPER, model, STAMP, keep=ORDINAL), AS_OF, 1)
+        late = late.where("forecast_step_hours > 192")
+        last = [F.col(c).desc() for c in ORDINAL]
+        writers.merge_on_key(late, path, keys, order=last, columns=columns)
+        return spark.read.parquet(path).select(*columns)
+
+    return _each(UPPER, load)
 
 
 @query("merge_backfill")
 def merge_backfill(spark, sf_dir):
-    """A merge that touches over a thousand dates, and rows without a date."""
+    """A merge that touches over a thousand dates, and rows without a date. Its two batches hold all orders."""
     path = work_path(spark, "merge_backfill")
     start = F.lit("1992-01-01").cast("date")
     day = F.when(F.col("o_orderkey") % 97 != 0, F.date_add(start, F.date_diff("o_orderdate", start) % 1100))
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(day.alias("day"), "o_orderkey", "o_totalprice", "o_orderstatus")
     writers.merge_on_key(orders.where("o_orderkey % 3 <> 0"), path, ["day", "o_orderkey"], ["day"])
-    later = orders.where("o_orderkey % 2 = 0").withColumns({"o_totalprice": F.col("o_totalprice") + 1, "o_orderstatus": F.lit("B")})
+    later = orders.where("o_orderkey % 2 = 0 or o_orderkey % 3 = 0").withColumns({"o_totalprice": F.col("o_totalprice") + 1, "o_orderstatus": F.lit("B")})
     writers.merge_on_key(later, path, ["day", "o_orderkey"], ["day"], order=["o_orderstatus"])
     return spark.read.parquet(path).select(*orders.columns)
 
 
+@query("merge_hot_key")
+def merge_hot_key(spark, sf_dir):
+    """Line items keyed by ship month and part, where a third of all rows are delivered under one key of one month.
+
+    The dearest row of a key wins; the later delivery, the returned items, replaces what it holds."""
+    path = work_path(spark, "merge_hot_key")
+    usual = F.col("l_suppkey") % 3 > 0
+    hot = inputs.table(spark, sf_dir, "lineitem").select(
+        F.when(usual, F.trunc("l_shipdate", "month")).otherwise(F.lit("1995-01-01").cast("date")).alias("month"),
+        F.when(usual, F.col("l_partkey")).otherwise(F.lit(-1)).alias("part"),
+        "l_extendedprice", "l_orderkey", "l_linenumber", "l_returnflag",
+    )
+    order = [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber"]
+    writers.merge_on_key(hot.where("l_returnflag <> 'R'"), path, ["month", "part"], ["month"], order)
+    writers.merge_on_key(hot.where("l_returnflag = 'R'"), path, ["month", "part"], ["month"], order)
+    return spark.read.parquet(path).select(*hot.columns)
+
+
 @query("fact_append_window")
 def fact_append_window(spark, sf_dir):
     """First load of three days, then an append of one: the overlap is there twice."""
-    path = work_path(spark, "fact_append_window")
-    fact = _fact(spark, sf_dir, SURFACE, "gfs")
-    for days in (3, 1):
-        writers.append_partitions(facts.window_rows(fact, AS_OF, days), path, spec.FACT_PARTITIONS)
-    return spark.read.parquet(path).select(*spec.fact_columns(SURFACE))
+
+    def load(model):
+        path = work_path(spark, f"fact_append_window_{model}")
+        fact = _fact(spark, sf_dir, SURFACE, model)
+        for days in (3, 1):
+            writers.append_partitions(facts.window_rows(fact, AS_OF, days), path, spec.FACT_PARTITIONS)
+        return spark.read.parquet(path).select(*spec.fact_columns(SURFACE))
+
+    return _each(SURFACE, load)
 
 
 @query("delete_insert")
 def delete_insert(spark, sf_dir):
     """Locations of all days, then those of the last day again with shifted coordinates."""
-    path = work_path(spark, "delete_insert")
-    staged = _staged(spark, sf_dir, SURFACE, "gfs")
-    writers.delete_insert(dims.grid_points(staged), path, spec.GRID_KEY)
-    latest = dims.grid_points(facts.window_rows(staged, AS_OF, 0)).withColumn("lat", (F.col("lat") + 100).cast("float"))
-    writers.delete_insert(latest, path, spec.GRID_KEY)
-    return spark.read.parquet(path)
+
+    def load(model):
+        path = work_path(spark, f"delete_insert_{model}")
+        staged = _staged(spark, sf_dir, SURFACE, model)
+        writers.delete_insert(dims.grid_points(staged), path, spec.GRID_KEY)
+        latest = dims.grid_points(facts.window_rows(staged, AS_OF, 0)).withColumn("lat", (F.col("lat") + 100).cast("float"))
+        writers.delete_insert(latest, path, spec.GRID_KEY)
+        return spark.read.parquet(path).withColumn("weather_model", F.lit(model))
+
+    return _each(SURFACE, load)
 
 
 @query("full_refresh")
 def full_refresh(spark, sf_dir):
     """Rebuild a table from a query that reads the table itself."""
-    path = work_path(spark, "full_refresh")
-    writers.overwrite_table(_fact(spark, sf_dir, SPREAD, "ifs"), path, spec.FACT_PARTITIONS)
-    again = spark.read.parquet(path).where("pressure_level_hpa = 500")
-    writers.overwrite_table(again, path, spec.FACT_PARTITIONS)
-    return spark.read.parquet(path).select(*spec.fact_columns(SPREAD))
+
+    def load(model):
+        path = work_path(spark, f"full_refresh_{model}")
+        writers.overwrite_table(_fact(spark, sf_dir, SPREAD, model), path, spec.FACT_PARTITIONS)
+        again = spark.read.parquet(path).where("pressure_level_hpa = 500")
+        writers.overwrite_table(again, path, spec.FACT_PARTITIONS)
+        return spark.read.parquet(path).select(*spec.fact_columns(SPREAD))
+
+    return _each(SPREAD, load)
 
 
 @query("fact_surface_project")
@@ -708,7 +767,12 @@ def accepted_values(spark, sf_dir):
         "forecast_step_hours": spec.STEPS,
         "pressure_level_hpa": (500, 850),
     }
-    return quality.check_accepted_values(_unified(spark, sf_dir, UPPER), accepted)
+    checks = []
+    for shape in spec.SHAPES:
+        df = _unified(spark, sf_dir, shape)
+        own = {c: v for c, v in accepted.items() if c in df.columns}
+        checks.append(quality.check_accepted_values(df, own).withColumn("shape", F.lit(shape)))
+    return reduce(DataFrame.unionByName, checks)
 
 
 @query("test_expression")
@@ -803,13 +867,18 @@ def retention_gold(spark, sf_dir):
 
 @query("repartition_fact")
 def repartition_fact(spark, sf_dir):
-    source, target = work_path(spark, "repartition_source"), work_path(spark, "repartition_target")
-    _fact(spark, sf_dir, UPPER, "aifs").write.parquet(source)
-    for _ in range(2):  # the second call finds the work done
-        writers.repartition_fact(spark, source, target)
-    before = spark.read.parquet(source).groupBy("cycle_hour", "cycle_date").agg(F.count(F.lit(1)).alias("rows_before"))
-    after = spark.read.parquet(target).groupBy("cycle_hour", "cycle_date").agg(F.count(F.lit(1)).alias("rows_after"))
-    return before.join(after, ["cycle_hour", "cycle_date"], "full")
+    keys = ["weather_model", "cycle_hour", "cycle_date"]
+
+    def load(model):
+        source, target = (work_path(spark, f"repartition_{n}_{model}") for n in ("source", "target"))
+        _fact(spark, sf_dir, UPPER, model).write.parquet(source)
+        for _ in range(2):  # the second call finds the work done
+            writers.repartition_fact(spark, source, target)
+        before = spark.read.parquet(source).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_before"))
+        after = spark.read.parquet(target).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_after"))
+        return before.join(after, keys, "full")
+
+    return _each(UPPER, load)
 
 
 @query("recent_snapshot")
@@ -832,28 +901,66 @@ def event_coalesce(spark, sf_dir):
     return events.coalesce_events(inputs.asset_events(spark, sf_dir))
 
 
+@query("event_coalesce_first")
+def event_coalesce_first(spark, sf_dir):
+    return events.coalesce_from_first(inputs.asset_events(spark, sf_dir))
+
+
+def _deliveries(spark, sf_dir, model):
+    """Two deliveries of raw files; the second one brings other temperatures."""
+    rows = inputs.raw(spark, sf_dir, UPPER, model, ordinal=True)
+    return rows.where("step_hours < 360"), rows.where("step_hours > 240").withColumn("t", (F.col("t") + 1).cast("float"))
+
+
 @query("stream_ingest")
 def stream_ingest(spark, sf_dir):
     """Two deliveries of raw files, each followed by a run of the stream."""
-    raw_path, fact_path, checkpoint = (work_path(spark, f"stream_{n}") for n in ("raw", "fact", "checkpoint"))
-    rows = inputs.raw(spark, sf_dir, UPPER, "ifs", ordinal=True)
-    extra = ", ".join(f"{n} {t}" for n, t in rows.select(*ORDINAL).dtypes)
-    deliveries = (rows.where("step_hours < 360"), rows.where("step_hours > 240").withColumn("t", (F.col("t") + 1).cast("float")))
-    for number, delivery in enumerate(deliveries):
-        writers.append_partitions(delivery, raw_path)
-        stamp = (EARLIER_STAMP, STAMP)[number]
-        stream = load_fact_stream(
-            stream_raw(spark, raw_path, UPPER, extra=extra),
-            "ifs",
-            UPPER,
-            fact_path,
-            checkpoint,
-            stamp=lambda _, s=stamp: s,
-            order=FIRST,
-            keep=ORDINAL,
-        )
-        stream.awaitTermination()
-    return spark.read.parquet(fact_path).select(*spec.fact_columns(UPPER))
+
+    def load(model):
+        raw_path, fact_path, checkpoint = (work_path(spark, f"stream_{n}_{model}") for n in ("raw", "fact", "checkpoint"))
+        for number, delivery in enumerate(_deliveries(spark, sf_dir, model)):
+            extra = ", ".join(f"{n} {t}" for n, t in delivery.select(*ORDINAL).dtypes)
+            writers.append_partitions(delivery, raw_path)
+            stamp = (EARLIER_STAMP, STAMP)[number]
+            stream = load_fact_stream(
+                stream_raw(spark, raw_path, UPPER, extra=extra),
+                model,
+                UPPER,
+                fact_path,
+                checkpoint,
+                stamp=lambda _, s=stamp: s,
+                order=FIRST,
+                keep=ORDINAL,
+            )
+            stream.awaitTermination()
+        return spark.read.parquet(fact_path).select(*spec.fact_columns(UPPER))
+
+    return _each(UPPER, load)
+
+
+@query("stream_ingest_cuts")
+def stream_ingest_cuts(spark, sf_dir):
+    """The same deliveries by arrival: a run after each, and one run over all files in several micro-batches."""
+    stored = ("delivery", *ORDINAL)
+    arrival = [F.desc("delivery"), *FIRST]
+    stamp = F.when(F.col("delivery") == 0, F.lit(EARLIER_STAMP)).otherwise(F.lit(STAMP)).cast("timestamp")
+
+    def load(model, cut):
+        raw_path, fact_path, checkpoint = (work_path(spark, f"cuts_{cut}_{n}_{model}") for n in ("raw", "fact", "checkpoint"))
+
+        def run(extra):
+            stream = stream_raw(spark, raw_path, UPPER, files_per_trigger=20 if cut == "files" else None, extra=extra)
+            load_arrivals_stream(stream, model, UPPER, fact_path, checkpoint, arrival, stored, stamp).awaitTermination()
+
+        for number, delivery in enumerate(_deliveries(spark, sf_dir, model)):
+            delivery = delivery.withColumn("delivery", F.lit(number))
+            extra = ", ".join(f"{n} {t}" for n, t in delivery.select(*stored).dtypes)
+            writers.append_partitions(delivery, raw_path)
+            if cut == "deliveries" or number == 1:
+                run(extra)
+        return spark.read.parquet(fact_path).select(*spec.fact_columns(UPPER)).withColumn("cut", F.lit(cut))
+
+    return _each(UPPER, lambda model: load(model, "deliveries").unionByName(load(model, "files")))
 
 
 # ------------------------------------------------------------ reference data

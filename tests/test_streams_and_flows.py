@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,12 +6,12 @@ from pyspark.sql import functions as F
 
 from gridcast import spec
 from gridcast.operators import dims, ingest, writers
-from gridcast.operators.events import coalesce_events
+from gridcast.operators.events import coalesce_events, coalesce_from_first
 from gridcast.operators.staging import stage
 from gridcast.plans import flows, inputs
 from gridcast.plans.views import register_views
 from gridcast.sources.tables import read_raw
-from gridcast.streaming.jobs import refresh_windows
+from gridcast.streaming.jobs import refresh_windows, windows_from_first
 
 GFS_UPPER = spec.product("gfs", spec.UPPER)
 RUN = dict(dag_id="d", run_id="r", logical_date="2026-03-26 00:00:00")
@@ -38,6 +39,60 @@ def test_stream_of_events_equals_the_batch_up_to_the_watermark(spark, sf_dir, fr
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
+URI = "s3://b/weather_data/delta_lake/gfs_raw/gfs_{}/"
+
+
+def plain_windows(events):
+    """Windows of (time, model) by one loop over the events."""
+    out = []
+    for ts, model in sorted(events):
+        if not out or ts >= out[-1][0] + timedelta(minutes=5):
+            out.append([ts, set(), 0])
+        out[-1][1].add(model)
+        out[-1][2] += 1
+    return [(a, a + timedelta(minutes=5), ",".join(sorted(m)), n) for a, m, n in out]
+
+
+def bursts(n=400, seed=3):
+    """Events in bursts and pauses: ties, gaps of exactly five minutes, long unbroken stretches."""
+    r, at, out = random.Random(seed), datetime(2026, 3, 26), []
+    for _ in range(n):
+        at += timedelta(seconds=r.choice([0, 1, 20, 90, 150, 299, 300, 301, 700]))
+        out.append((at, r.choice(["upper", "surface"])))
+    return out
+
+
+def as_rows(spark, events):
+    return spark.createDataFrame([(ts, URI.format(kind)) for ts, kind in events], "ts timestamp_ntz, uri string")
+
+
+def test_windows_opened_by_an_event(spark):
+    events = bursts()
+    df = as_rows(spark, events).unionAll(spark.createDataFrame([(None, URI.format("upper")), (events[0][0], "s3://b/other/")], "ts timestamp_ntz, uri string"))
+    got = sorted(tuple(r) for r in coalesce_from_first(df.repartition(5)).collect())
+    assert got == plain_windows([(ts, f"gfs_{kind}") for ts, kind in events])
+    assert coalesce_from_first(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cuts", [1, 4])
+def test_stream_of_windows_opened_by_an_event(spark, fresh, cuts):
+    """However the events are cut into micro-batches, and shuffled within the lateness, the windows are the same."""
+    source, sink, checkpoint = fresh(), fresh(), fresh()
+    events = bursts(120)
+    r = random.Random(cuts)
+    late = sorted(events, key=lambda e: e[0] + timedelta(minutes=r.random() * 8))
+    last = events[-1][0]
+    step = -(-len(late) // cuts)
+    for i in range(0, len(late), step):
+        as_rows(spark, late[i : i + step]).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("ts timestamp_ntz, uri string").parquet(source)
+        query = windows_from_first(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        query.trigger(availableNow=True).start(sink).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
+    expected = plain_windows([(ts, f"gfs_{kind}") for ts, kind in events])
+    assert got == [w for w in expected if w[1] <= last - timedelta(minutes=10)] and len(got) > 10
+
+
 @pytest.fixture(scope="module")
 def messages(spark):
     """Two messages of one cycle on a 4 x 4 grid, one of them twice."""
@@ -68,6 +123,21 @@ def test_ingest_of_a_cycle(spark, messages, fresh):
     assert spark.read.parquet(audit_path).count() == 2
 
 
+def test_the_order_of_messages_decides_between_repeats(spark, messages, fresh):
+    """The third message repeats the first; with other values it wins or loses by its place, not by the values."""
+    path = fresh()
+    for first in (1, 3):
+        numbered = messages.where("isobaricInhPa = 500").withColumn("n", F.monotonically_increasing_id())
+        least = numbered.agg(F.min("n")).first()[0]
+        arrived = F.when(F.col("n") == least, 2).otherwise(first).alias("arrived")
+        gh = F.when(F.col("n") == least, F.col("gh")).otherwise(F.transform("gh", lambda x: x + 100)).alias("gh")
+        given = numbered.select(arrived, gh, *[c for c in messages.columns if c != "gh"])
+        flows.ingest_cycle(given, GFS_UPPER, path, ["gh", "t", "u", "v"], RUN, order=["arrived"])
+        rows = read_raw(spark, path, spec.UPPER)
+        assert rows.columns == spec.raw_schema(spec.UPPER).names and rows.count() == 12
+        assert rows.agg(F.min("gh")).first()[0] == (100.0 if first == 1 else 0.0)
+
+
 def test_ingest_needs_its_variables(messages, fresh):
     with pytest.raises(ingest.MissingVariables):
         flows.ingest_cycle(messages, GFS_UPPER, fresh(), ["gh", "t"], RUN)

@@ -107,13 +107,40 @@ def test_rows_with_null_partition_values_stay(spark, fresh, load):
     assert got == [(1, 1), (2, 1), (3, 2), (4, 2)]
 
 
-def test_merge_shuffles_each_side_once(spark, table, monkeypatch):
+def test_a_hot_key_gathers_nowhere(spark, table, monkeypatch):
+    """Before any shuffle by key, each task reduces the batch to one row a key; the table goes through no window."""
     plans = []
     monkeypatch.setattr(writers, "_writer", lambda df, *a, **k: plans.append(df) or type("W", (), {"save": lambda self, p: None})())
+    monkeypatch.setattr(writers, "overwrite_table", lambda df, *a, **k: plans.append(df))
     batch = spark.range(5).select(F.lit("a").alias("d"), F.lit(0).alias("h"), F.col("id").cast("int").alias("k"), F.lit(1).alias("v"))
     writers.merge_on_key(batch, table, ["d", "h", "k"], PART, order=["v"])
-    plan = plans[0]._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
-    assert len(re.findall(r"Exchange hashpartitioning\(d#\d+, h#\d+, k#\d+", plan)) == 1
+    writers.merge_by_arrival(batch, table, ["d", "h", "k"], ["v"], PART)
+    writers.delete_insert(batch, table, ["d", "h", "k"], PART)
+    for df, windows in zip(plans, (1, 1, 0)):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+        assert len(re.findall(r"\bWindow \[", plan)) == windows
+        assert len(re.findall(r"WindowGroupLimit .*Partial", plan)) == windows
+
+
+def test_merge_of_a_hot_key(spark, table):
+    """A third of the batch is one key: the first row wins, and a repeat of the load changes nothing."""
+    hot = spark.range(3000).select(
+        F.lit("a").alias("d"), F.lit(0).alias("h"), F.when(F.col("id") % 3 > 0, F.col("id") + 100).otherwise(1).cast("int").alias("k"), (5000 - F.col("id")).cast("int").alias("v")
+    )
+    for _ in range(2):
+        writers.merge_on_key(hot, table, ["d", "h", "k"], PART, order=["v"])
+        got = read(spark, table).where("k = 1 and d = 'a' and h = 0").collect()
+        assert [r.v for r in got] == [5000 - 2997] and read(spark, table).count() == 2000 + len(START)
+
+
+@pytest.mark.parametrize("cuts", [[[0, 1, 2, 3, 4, 5]], [[5, 0], [1, 3], [4], [2]], [[3], [2], [1], [0], [5], [4], [4], [0]]])
+def test_merge_by_arrival_does_not_depend_on_the_cuts(spark, fresh, cuts):
+    path = fresh()
+    given = [("a", 0, 1, 10, 2), ("a", 0, 1, 11, 1), ("a", 0, 1, 12, 3), ("a", 0, 2, 13, 1), ("b", 6, None, 14, 1), ("b", 6, None, 15, 2)]
+    for cut in cuts:
+        batch = spark.createDataFrame([given[i] for i in cut], DDL + ", n int")
+        writers.merge_by_arrival(batch, path, ["d", "h", "k"], [F.desc("n")], PART)
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [12, 13, 15]
 
 
 def test_a_failed_first_write_is_no_table(spark, fresh):
