@@ -33,11 +33,11 @@ LONG = np.iinfo(np.int64)
 
 
 def vectors_of(table: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """vec_id, v (whole numbers as doubles): the rows that take part."""
+    """vec_id, v (whole numbers as doubles), n: the rows that take part, and how many are alike in both."""
     wide = F.col(vector).cast("array<double>")
     fine = F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = table.where(F.col(key).isNotNull() & wide.isNotNull() & fine)
-    return rows.select(F.col(key).cast("long").alias("vec_id"), F.transform(wide, _floor).alias("v")).distinct()
+    return rows.select(F.col(key).cast("long").alias("vec_id"), F.transform(wide, _floor).alias("v")).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _floor(x):
@@ -120,7 +120,8 @@ def _search(queries: pa.Table, candidates: pa.Table, width: int, pivots: int, k:
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = PIVOTS, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
     """For each row of `queries` its k best of `vectors`, itself left out: query_id, rank, vec_id, score.
 
-    Both as `vectors_of` gives them. Ties go to the smaller id; with fewer than k candidates all are returned.
+    Both as `vectors_of` gives them. Ties go to the smaller id; with fewer than k candidates all are returned. Every row is
+    a candidate: a vector that n rows have can take n of the k places. A query that several rows ask is answered once.
     """
     n, width = vectors.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     n_queries = queries.count()
@@ -139,7 +140,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = PI
     at = lambda blocks: F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")
     each = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = with_pivots(queries).select("vec_id", "v", "p", F.xxhash64("v").alias("version"), at(q_blocks).alias("qb"), each(c_blocks).alias("cb"))
-    right = with_pivots(vectors).select("vec_id", "v", "p", at(c_blocks).alias("cb"), each(q_blocks).alias("qb"))
+    # Of rows alike no more than k can be among the k best.
+    every = vectors.select("vec_id", "v", F.explode(F.array_repeat(F.lit(0), F.least("n", F.lit(k)).cast("int"))))
+    right = with_pivots(every).select("vec_id", "v", "p", at(c_blocks).alias("cb"), each(q_blocks).alias("qb"))
     found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(lambda a, b: _search(a, b, width, len(far), k), "query_id long, version long, vec_id long, score long")
     order = Window.partitionBy("query_id", "version").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

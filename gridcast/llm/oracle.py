@@ -55,13 +55,13 @@ FROM split JOIN by_doc USING (rid) LEFT JOIN covered USING (rid)
 
 OP1 = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
 )
 SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id, q.v ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id)::INT AS rank,
   c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+FROM (SELECT DISTINCT vec_id, v FROM v WHERE vec_id % 100 = 0) q JOIN v c ON q.vec_id <> c.vec_id
 QUALIFY rank <= 10
 """
 
