@@ -31,11 +31,11 @@ def index_ranges(indexes: DataFrame, keys: Iterable[str]) -> DataFrame:
     holds the step's forecast mark wins. Its range ends one byte before the next line's
     offset and is open (NULL) on the last line.
 
-    All lines of a file are in its own row: each is paired with its successor there, lines
-    of other variables are filtered away, and the first match of each key is picked, all in
-    arrays. One row per match leaves, so nothing is shuffled.
+    One regular expression with all keys runs over the text of a file and yields only its
+    wanted lines, each with the head of the line that follows; the first match of each key is
+    then picked by its place among them. One row per match leaves, so nothing is shuffled.
     """
-    keys = list(keys)
+    keys = list(dict.fromkeys(keys))
     odd = [k for k in keys if not re.fullmatch(":[^:]+:[^:]+:", k)]
     if odd:
         raise ValueError(f"index keys read ':variable:level:', not {odd}")
@@ -43,36 +43,45 @@ def index_ranges(indexes: DataFrame, keys: Iterable[str]) -> DataFrame:
         F.lit(ANALYSIS_MARK)
     )
 
-    def key_of(line: Column) -> Column:
-        return F.concat(F.lit(":"), F.substring_index(F.substring_index(line, ":", 5), ":", -2), F.lit(":"))
+    def field(line: Column, n: int) -> Column:
+        return F.split_part(line, F.lit(":"), F.lit(n))
 
-    def wanted(pair: Column) -> Column:
-        line = pair["line"]
-        marked = F.contains(line, F.col("mark")) | (
-            F.startswith(key_of(line), F.lit(PRECIPITATION)) & F.contains(line, F.lit(ACCUMULATED_MARK))
-        )
-        return key_of(line).isin(*keys) & marked
-
-    def offset(line: Column) -> Column:
-        return F.substring_index(F.substring_index(line, ":", 2), ":", -1).try_cast("bigint")
-
-    # Zipping pads the last line's successor with NULL.
-    paired = F.arrays_zip(F.col("lines").alias("line"), F.slice("lines", 2, F.size("lines")).alias("following"))
     found = F.transform(
-        F.filter("pairs", wanted),
-        lambda p: F.struct(key_of(p["line"]).alias("key"), offset(p["line"]).alias("range_start"), (offset(p["following"]) - 1).alias("range_end")),
+        F.regexp_extract_all("text", wanted_lines(keys, mark), F.lit(1)),
+        lambda pair: F.struct(
+            F.concat(F.lit(":"), field(pair, 4), F.lit(":"), field(pair, 5), F.lit(":")).alias("key"),
+            field(pair, 2).try_cast("bigint").alias("range_start"),
+            (field(F.split_part(pair, F.lit("\n"), F.lit(2)), 2).try_cast("bigint") - 1).alias("range_end"),
+        ),
+    )
+    first = F.transform(
+        F.array(*map(F.lit, keys)), lambda k: F.get("found", F.array_position("found.key", k).cast("int") - 1)
     )
-    # A line is the first of its key if the keys before it lack that key.
-    firsts = F.filter("found", lambda m, i: F.array_position("found.key", m["key"]) == i + 1)
     return (
-        indexes.select("file", "step", mark.alias("mark"), F.split("text", "\n").alias("lines"))
-        .select("file", "step", "mark", paired.alias("pairs"))
-        .select("file", "step", found.alias("found"))
-        .select("file", "step", F.inline(firsts))
+        indexes.select("file", "step", found.alias("found"))
+        .select("file", "step", F.inline(F.filter(first, lambda m: m.isNotNull())))
         .select("file", "step", "key", "range_start", "range_end")
     )
 
 
+def wanted_lines(keys: Iterable[str], mark: Column) -> Column:
+    """Pattern whose first group is a line of one of the keys with the step's mark, and the head of the next line.
+
+    The group lies in a look-ahead, so that the next line can match too.
+    """
+    # (?md): lines end at a line feed only. Fields are taken whole, never given back.
+    fields = "[^:\n]*+:" * 3
+
+    def of(some: Iterable[str]) -> str:
+        return f"(?={fields}(?:" + "|".join(re.escape(k.strip(":")) for k in some) + "):)"
+
+    accumulated = [k for k in keys if k.startswith(PRECIPITATION)]
+    other = f"|{of(accumulated)}(?=[^\n]*{ACCUMULATED_MARK})" if accumulated else ""
+    return F.concat(
+        F.lit(f"(?md)^{of(keys)}(?:(?=[^\n]*"), mark, F.lit(f"){other})(?=([^\n]*+(?:\n[^:\n]*+:[^:\n]*+)?))")
+    )
+
+
 def link_texts(html: Column | str) -> Column:
     """Trimmed text of every anchor of a page, inner tags removed, empty ones left out."""
     anchors = F.regexp_extract_all(html, F.lit(r"(?is)<a\b[^>]*>(.*?)</a>"), F.lit(1))

@@ -30,6 +30,13 @@ def test_index_of_the_analysis_step_and_crlf(spark):
     assert [tuple(r) for r in listing.index_ranges(df, KEYS).collect()] == [("f", 0, ":HGT:500 mb:", 0, 69)]
 
 
+def test_index_lines_that_follow_each_other_and_lines_cut_short(spark):
+    text = "1:0:d=x:HGT:500 mb:24 hour fcst:\n2:70:d=x:HGT:500 mb:240 hour fcst:\n3:90:d=x:TMP:850 mb:240 hour fcst:\nx\n4:99\n5:120:d=x:APCP:surface:1-2 day acc fcst:\n"
+    df = spark.createDataFrame([("f", 240, text), ("none", 240, None)], "file string, step int, text string")
+    got = {r.key: (r.range_start, r.range_end) for r in listing.index_ranges(df, KEYS).collect()}
+    assert got == {":HGT:500 mb:": (70, 89), ":TMP:850 mb:": (90, None), ":APCP:surface:": (120, None)}
+
+
 def test_index_keys_are_checked(spark):
     df = spark.createDataFrame([("f", 0, "")], "file string, step int, text string")
     with pytest.raises(ValueError):
