@@ -1,16 +1,21 @@
 """Mix sources to target weights with hash thresholds, without sorting a row.
 
-Each document has a hash of its id as a number of `LEVELS` digits. Words are summed by source and first digit, which
+Each document has a hash of its id and text, cut into `LEVELS` digits. Words are summed by source and first digit, which
 gives one histogram per source; the bucket in which the running sum passes the budget is the boundary. Only its rows
-are summed again by the next digit, and so on. In the end a document is taken if its hash is below the threshold of its
-source; the last boundary bucket goes in if that brings the source closer to its target. Budgets are nested: a smaller
-target takes a subset. Documents with one id share a hash and are taken or left together.
+are summed again by the next digit, and so on. The last digit is the rest of the hash, so that the last boundary bucket
+holds the rows of one id and text alone. In the end a document is taken if its hash is below the threshold of its
+source; of the rows in the last bucket, which are alike, as many are taken as bring the source closest to its target.
+Budgets are nested: a smaller target takes a subset.
+
+Rows alike may be a third of all rows. They are numbered without gathering them: by task within the source, after
+the number of those that earlier tasks hold.
 
 A third of all rows in one source is harmless: sums are partial before the shuffle (one row per task, source and
 bucket), and rows get their source's numbers by a broadcast join. The table of sources is broadcast only when its
 counted size is small; otherwise the join shuffles, and adaptive execution splits the hot source.
 
-A null text has size 0, a null source is a source of its own (last in order), a null id hashes as the text "null".
+A null text has size 0 and hashes as an empty one, a null source is a source of its own (last in order), a null id
+hashes as the text "null".
 """
 
 from __future__ import annotations
@@ -24,14 +29,20 @@ from gridcast.llm.words import count_words
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 DIGITS = 3  # hexadecimal digits a level: 4,096 buckets
-LEVELS = 3
+LEVELS = 4  # the last takes the rest of the hash
 MAX_BROADCAST_SOURCES = 10_000
 
 
-def hash_digit(key: Column, level: int) -> Column:
-    """Digit `level` (from 0) of the hash of a key, between 0 and 16**DIGITS - 1."""
-    name = F.coalesce(key.cast("string"), F.lit("null"))
-    return F.conv(F.substring(F.md5(name), level * DIGITS + 1, DIGITS), 16, 10).cast("int")
+def hash_digits(key: Column, text: Column) -> dict[str, Column]:
+    """The digits _d0, _d1, .. of the hash of an id and a text; all but the last between 0 and 16**DIGITS - 1."""
+    name = F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(":"), F.coalesce(text, F.lit("")))
+    parts = {f"_d{i}": F.conv(F.substring("_h", i * DIGITS + 1, DIGITS), 16, 10).cast("int") for i in range(LEVELS - 1)}
+    return {"_h": F.md5(name), **parts, f"_d{LEVELS - 1}": F.substring("_h", (LEVELS - 1) * DIGITS + 1, 32)}
+
+
+def _with_digits(df: DataFrame, key: str, text: str) -> DataFrame:
+    hashed, *digits = hash_digits(F.col(key), F.col(text)).items()
+    return df.withColumn(*hashed).withColumns(dict(digits)).drop("_h")
 
 
 def targets(sources: DataFrame) -> DataFrame:
@@ -79,38 +90,59 @@ def _with_sources(rows: DataFrame, sources: DataFrame, small: bool) -> DataFrame
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row per row of `docs`: doc_id, source, size, source_size, target, copies, taken (= size * copies)."""
     sized, table, small = _plan(docs, key, text, source)
-    extra = F.when(F.coalesce("_below", F.lit(False)), 1).otherwise(0)
-    copies = F.col("copies") + extra
-    return _with_sources(sized, table, small).withColumn("_below", _below()).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
+    rows = _with_copies(sized, table, small)
+    return rows.select(
+        "doc_id", "source", "size", "source_size", "target", F.col("_times").alias("copies"), (F.col("size") * F.col("_times")).alias("taken")
     )
 
 
 def mix_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of `docs` as often as the mix takes them, with their own columns."""
     _, table, small = _plan(docs, key, text, source)
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_key"), F.col(source).alias("source"))
-    digits = {f"_d{i}": hash_digit(F.col("_key"), i) for i in range(LEVELS)}
-    times = (F.col("copies") + F.when(F.coalesce(_below(), F.lit(False)), 1).otherwise(0)).cast("int")
-    rows = _with_sources(own.withColumns(digits), table, small).withColumn("_times", times).where("_times > 0")
-    return rows.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select("_row.*")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    own = docs.select(whole.alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(source).alias("source"))
+    own = _with_digits(own, "_key", "_text").drop("_key", "_text")
+    rows = _with_copies(own, table, small).where("_times > 0")
+    return rows.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))).select("_row.*")
 
 
-def _below() -> Column:
-    """Whether a row's hash is below the threshold of its source, or in the last boundary bucket where that is taken."""
+def _with_copies(rows: DataFrame, table: DataFrame, small: bool) -> DataFrame:
+    """`_times` beside each row: the full copies of its source, and one more if its hash is below the threshold."""
     below, same = F.lit(False), F.lit(True)
     for k in range(LEVELS):
         below = below | (same & (F.col(f"_d{k}") < F.col(f"_t{k}")))
         same = same & (F.col(f"_d{k}") == F.col(f"_t{k}"))
-    return below | (same & F.col("_edge"))
+    joined = _with_sources(rows, table, small).withColumns(
+        {"_below": F.coalesce(below, F.lit(False)), "_same": F.coalesce(same, F.lit(False))}
+    )
+    copies, take, alike = F.col("copies"), F.col("_take"), F.col("_alike")
+    partly = (take > 0) & (take < alike)
+    whole = (F.col("_below") | (F.col("_same") & (take >= alike))).cast("long")
+    clear = joined.withColumn("_times", copies + F.coalesce(whole, F.lit(0)))
+    if table.where(partly).isEmpty():  # no source ends within rows alike
+        return clear
+    tied = F.col("_same") & F.coalesce(partly, F.lit(False))
+    # Rows alike of which some are taken: numbered by task, after those of the tasks before.
+    some = checkpointed(joined.where(tied)).withColumn("_part", F.spark_partition_id())
+    held = some.groupBy("source", "_part").count()
+    tasks = Window.partitionBy("source").orderBy("_part")
+    held = held.select(
+        F.col("source").alias("_source"), F.col("_part").alias("_task"), (F.sum("count").over(tasks) - F.col("count")).alias("_earlier")
+    )
+    numbered = some.withColumn("_n", F.row_number().over(Window.partitionBy("source", "_part").orderBy(F.lit(0))))
+    numbered = numbered.join(held, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_part") == F.col("_task")))
+    one = (F.col("_n") + F.col("_earlier") <= take).cast("long")
+    numbered = numbered.withColumn("_times", copies + one).drop("_n", "_earlier", "_source", "_task", "_part")
+    return clear.where(~tied).unionByName(numbered)
 
 
 def _plan(docs: DataFrame, key: str, text: str, source: str) -> tuple[DataFrame, DataFrame, bool]:
     """(id, source, size and hash digits of each row; target, copies and threshold of each source; whether the latter
     is small)."""
-    digits = {f"_d{i}": hash_digit(F.col("doc_id"), i) for i in range(LEVELS)}
-    sized = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), count_words(F.col(text)).alias("size"))
-    sized = checkpointed(sized.withColumns(digits))
+    sized = docs.select(
+        F.col(key).alias("doc_id"), F.col(source).alias("source"), count_words(F.col(text)).alias("size"), F.col(text).alias("_text")
+    )
+    sized = checkpointed(_with_digits(sized, "doc_id", "_text").drop("_text"))
     sources = checkpointed(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))
     small = sources.count() <= MAX_BROADCAST_SOURCES
 
@@ -118,13 +150,13 @@ def _plan(docs: DataFrame, key: str, text: str, source: str) -> tuple[DataFrame,
     inside = sized
     for i in range(LEVELS):
         running = Window.partitionBy("source").orderBy(f"_d{i}")
-        sums = inside.groupBy("source", f"_d{i}").agg(F.sum("size").alias("_words"))
+        sums = inside.groupBy("source", f"_d{i}").agg(F.sum("size").alias("_words"), F.count(F.lit(1)).alias("_alike"))
         passed = (
-            _with_sources(sums, bounds, small)
+            _with_sources(sums, bounds.drop("_words", "_alike"), small)
             .withColumn("_cum", F.sum("_words").over(running) + F.col("_before"))
             .where(F.col("_cum") > F.col("rest"))
             .groupBy("source")
-            .agg(F.min(F.struct(f"_d{i}", (F.col("_cum") - F.col("_words")).alias("_b"), "_words", "rest", *(f"_t{k}" for k in range(i)))).alias("_m"))
+            .agg(F.min(F.struct(f"_d{i}", (F.col("_cum") - F.col("_words")).alias("_b"), "_words", "_alike", "rest", *(f"_t{k}" for k in range(i)))).alias("_m"))
         )
         bounds = checkpointed(
             passed.select(
@@ -133,17 +165,20 @@ def _plan(docs: DataFrame, key: str, text: str, source: str) -> tuple[DataFrame,
                 F.col(f"_m._d{i}").alias(f"_t{i}"),
                 F.col("_m._b").alias("_before"),
                 F.col("_m._words").alias("_words"),
+                F.col("_m._alike").alias("_alike"),
                 F.col("_m.rest").alias("rest"),
-            ).drop(*(["_words"] if i < LEVELS - 1 else []))
+            )
         )
         edge = F.lit(True)
         for k in range(i + 1):
             edge = edge & (F.col(f"_d{k}") == F.col(f"_t{k}"))
         if i < LEVELS - 1:
-            inside = _with_sources(sized, bounds.drop("_before", "rest"), small).where(edge).select(sized.columns)
+            inside = _with_sources(sized, bounds.drop("_before", "rest", "_words", "_alike"), small).where(edge).select(sized.columns)
 
-    take_edge = (F.col("rest") - F.col("_before")) * 2 > F.col("_words")
-    limits = bounds.select("source", *(f"_t{k}" for k in range(LEVELS)), take_edge.alias("_edge"))
+    # Rows alike have one size; the threshold's bucket has words, since the running sum passes the budget in it.
+    each = F.col("_words") / F.col("_alike")
+    take = F.least("_alike", F.greatest(F.lit(0), F.ceil((F.col("rest") - F.col("_before")) / each - 0.5)))
+    limits = bounds.select("source", *(f"_t{k}" for k in range(LEVELS)), take.alias("_take"), "_alike")
     return sized, _with_sources_outer(sources, limits), small
 
 

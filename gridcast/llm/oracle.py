@@ -97,8 +97,8 @@ SELECT *, coalesce(chosen_spans <> '' AND rejected_spans <> '' AND chosen <> rej
 OP8 = f"""
 WITH sized AS (
   SELECT doc_id, source, len({WORDS.format("text")}) AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 9))::BIGINT AS h,
-    row_number() OVER () AS rid
+    md5(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')) AS h,
+    row_number() OVER (PARTITION BY source, doc_id, coalesce(text, '')) AS n
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -119,16 +119,16 @@ WITH sized AS (
 ), budget AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS copies FROM target
 ), running AS (
-  SELECT source, h, words, sum(words) OVER (PARTITION BY source ORDER BY h) AS cum
-  FROM (SELECT source, h, sum(size) AS words FROM sized GROUP BY ALL)
+  SELECT source, h, words, alike, sum(words) OVER (PARTITION BY source ORDER BY h) AS cum
+  FROM (SELECT source, h, sum(size) AS words, count(*) AS alike FROM sized GROUP BY source, h)
 ), threshold AS (
   SELECT b.source, min(h) AS h,
-    arg_min((target - copies * source_size - (cum - words)) * 2 > words, h) AS take_edge
+    arg_min(ceil((target - copies * source_size - (cum - words)) / (words / alike) - 0.5), h) AS take
   FROM running r JOIN budget b ON r.source IS NOT DISTINCT FROM b.source
   WHERE cum > target - copies * source_size GROUP BY b.source
 )
 SELECT doc_id, size, source_size, target,
-  (size * (copies + CASE WHEN s.h < t.h OR (s.h = t.h AND take_edge) THEN 1 ELSE 0 END))::BIGINT AS taken
+  (size * (copies + CASE WHEN s.h < t.h OR (s.h = t.h AND s.n <= take) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM sized s JOIN budget b ON s.source IS NOT DISTINCT FROM b.source
 LEFT JOIN threshold t ON s.source IS NOT DISTINCT FROM t.source
 """

@@ -4,6 +4,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from gridcast.llm import mixing, quality_rules
 from gridcast.llm.oracle import ORACLE
@@ -59,6 +60,21 @@ def test_a_smaller_target_takes_a_subset(spark):
     assert a <= b or b <= a
 
 
+def test_rows_of_one_id_come_near_the_target(spark, tmp_path):
+    """A source of rows without an id, some alike in every way, and one whose rows are all one row."""
+    rows = [(None, "ten words " * 5, "en", "alike", 1)] * 401 + [(None, "w " * (1 + i % 9), "en", "null ids", 1) for i in range(300)]
+    rows += [(7, f"one id {i}", "en", "one id", 1) for i in range(500)] + [(i, "w " * 40, "fr", None, 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert compare(QUERIES["op8_mixing"](spark, str(tmp_path)), ORACLE["op8_mixing"], con) == []
+    got = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("size")).collect()
+    assert all(abs(r.taken - r.target) <= r.size for r in got)
+    copies = mixing.mix_rows(docs).groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))).alias("taken")).collect()
+    assert {r.source: r.taken for r in copies} == {r.source: r.taken for r in got}
+
+
 @pytest.mark.parametrize("name", ["op4_quality_rules", "op6_chat_format", "op8_mixing"])
 def test_native_plans_have_no_python(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
