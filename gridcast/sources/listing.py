@@ -46,40 +46,44 @@ def index_ranges(indexes: DataFrame, keys: Iterable[str]) -> DataFrame:
     def field(line: Column, n: int) -> Column:
         return F.split_part(line, F.lit(":"), F.lit(n))
 
-    found = F.transform(
-        F.regexp_extract_all("text", wanted_lines(keys, mark), F.lit(1)),
-        lambda pair: F.struct(
-            F.concat(F.lit(":"), field(pair, 4), F.lit(":"), field(pair, 5), F.lit(":")).alias("key"),
-            field(pair, 2).try_cast("bigint").alias("range_start"),
-            (field(F.split_part(pair, F.lit("\n"), F.lit(2)), 2).try_cast("bigint") - 1).alias("range_end"),
-        ),
-    )
-    first = F.transform(
-        F.array(*map(F.lit, keys)), lambda k: F.get("found", F.array_position("found.key", k).cast("int") - 1)
-    )
+    lines = F.regexp_extract_all("text", wanted_lines(keys, mark), F.lit(1))
+    # Variable and level of every wanted line; the rest is read from the first line of each key only.
+    found = F.transform("lines", lambda pair: F.substring_index(F.substring_index(pair, ":", 5), ":", -2))
+    place = F.transform(F.array(*[F.lit(k.strip(":")) for k in keys]), lambda k: F.array_position("found", k).cast("int"))
+    picked = F.inline(F.arrays_zip(F.array(*map(F.lit, keys)).alias("key"), F.col("place")))
+    pair = F.get("lines", F.col("place") - 1)
+    following = F.split_part(pair, F.lit("\n"), F.lit(2))
     return (
-        indexes.select("file", "step", found.alias("found"))
-        .select("file", "step", F.inline(F.filter(first, lambda m: m.isNotNull())))
-        .select("file", "step", "key", "range_start", "range_end")
+        indexes.select("file", "step", lines.alias("lines"))
+        .select("file", "step", "lines", found.alias("found"))
+        .select("file", "step", "lines", place.alias("place"))
+        .select("file", "step", "lines", picked)
+        .where("place > 0")
+        .select("file", "step", "key", pair.alias("pair"), following.alias("following"))
+        .select(
+            "file",
+            "step",
+            "key",
+            field(F.col("pair"), 2).try_cast("bigint").alias("range_start"),
+            (field(F.col("following"), 2).try_cast("bigint") - 1).alias("range_end"),
+        )
     )
 
 
 def wanted_lines(keys: Iterable[str], mark: Column) -> Column:
-    """Pattern whose first group is a line of one of the keys with the step's mark, and the head of the next line.
+    """Pattern whose first group is a line of one of the keys with the step's mark after it, and the head of the next line.
 
     The group lies in a look-ahead, so that the next line can match too.
     """
-    # (?md): lines end at a line feed only. Fields are taken whole, never given back.
-    fields = "[^:\n]*+:" * 3
 
     def of(some: Iterable[str]) -> str:
-        return f"(?={fields}(?:" + "|".join(re.escape(k.strip(":")) for k in some) + "):)"
+        return "(?:" + "|".join(re.escape(k.strip(":")) for k in some) + "):"
 
     accumulated = [k for k in keys if k.startswith(PRECIPITATION)]
     other = f"|{of(accumulated)}(?=[^\n]*{ACCUMULATED_MARK})" if accumulated else ""
-    return F.concat(
-        F.lit(f"(?md)^{of(keys)}(?:(?=[^\n]*"), mark, F.lit(f"){other})(?=([^\n]*+(?:\n[^:\n]*+:[^:\n]*+)?))")
-    )
+    # (?md): lines end at a line feed only. The three fields before the key are taken whole, never given back.
+    head = "(?md)^(?=(" + "[^:\n]*+:" * 3 + f"(?:{of(keys)}(?=[^\n]*"
+    return F.concat(F.lit(head), mark, F.lit(f"){other})[^\n]*+(?:\n[^:\n]*+:[^:\n]*+)?))"))
 
 
 def link_texts(html: Column | str) -> Column:
