@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from gridcast.llm import blocks as B
 
-SAMPLE_DOCS = 2000
+STRETCH = 2000  # characters of a piece of a line in the sample
 SAMPLE_LINES = 4000
 FALSE_RATE = 0.001
 CONFIRM = 0.6
@@ -199,13 +199,14 @@ def fit(lines: list[str], seed: int = 3) -> Scanner:
     return Scanner(VOCABULARY, PAIRS, w, b, least)
 
 
-def sample_lines(docs: DataFrame, text: str = "text") -> list[str]:
-    """At most SAMPLE_LINES lines of the corpus, of at most 2,000 characters each: the material for the unknown class."""
-    n = docs.count()
-    few = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    few = few if n <= SAMPLE_DOCS else few.sample(fraction=SAMPLE_DOCS / n, seed=17)
-    lines = few.select(F.explode(F.slice(F.split("_t", "\n"), 1, 4)).alias("line")).where("line <> ''").select(F.substring("line", 1, 2000).alias("line"))
-    return [r.line for r in lines.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_LINES).collect()]
+def sample_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> list[str]:
+    """SAMPLE_LINES pieces of lines, the material for the unknown class: a bounded sample that is the same however the
+    corpus is split into files. Every line of every document is a candidate, cut into pieces of STRETCH characters where
+    it is longer; those with the least hashes of id, place and piece are taken, first within each task."""
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"[^\\n]{{1,{STRETCH}}}"), F.lit(0))
+    every = docs.select(F.col(key).cast("string").alias("id"), F.posexplode(pieces).alias("place", "line"))
+    least = every.select("line", F.xxhash64("id", "place", "line").alias("h")).orderBy("h", "line").limit(SAMPLE_LINES)
+    return [r.line for r in least.collect()]
 
 
 def _scan_lines(words: np.ndarray, line: np.ndarray, scanner: Scanner) -> list[tuple[int, int, float]]:

@@ -47,3 +47,13 @@ def test_wrapped_notices(spark):
     got = s.scan(spark.createDataFrame([(i, t, "") for i, (t, *_) in enumerate(cases)], SCHEMA), scanner).collect()
     wrong = [(cases[r.doc_id], r.families, r.n_notices) for r in got if (r.families, r.n_notices) != cases[r.doc_id][1:]]
     assert len(got) == len(cases) and not wrong
+
+
+def test_the_sample_takes_lines_from_all_places_whatever_the_files(spark):
+    rows = [(i, "\n".join(f"line {j} of {i}" for j in range(60)) + "\n" + f"long {i} " * 900, "") for i in range(200)]
+    rows += [(None, None, ""), (900, "", ""), (901, "\n\n", "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sample = s.sample_lines(docs.repartition(2))
+    assert sample == s.sample_lines(docs.repartition(7)) and len(sample) == s.SAMPLE_LINES
+    assert any(x.startswith("line 59 ") for x in sample) and max(map(len, sample)) <= s.STRETCH
+    assert any(x.startswith("long") or " long" in x for x in sample) and s.sample_lines(docs.where("doc_id > 800")) == []
