@@ -205,8 +205,12 @@ def sample_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> li
     it is longer; those with the least hashes of id, place and piece are taken, first within each task."""
     pieces = F.regexp_extract_all(F.col(text), F.lit(f"[^\\n]{{1,{STRETCH}}}"), F.lit(0))
     every = docs.select(F.col(key).cast("string").alias("id"), F.posexplode(pieces).alias("place", "line"))
-    least = every.select("line", F.xxhash64("id", "place", "line").alias("h")).orderBy("h", "line").limit(SAMPLE_LINES)
-    return [r.line for r in least.collect()]
+    hashed = every.select("line", F.xxhash64("id", "place", "line").alias("h"))
+    # First the hashes alone, so that tasks send the driver numbers and not texts; then the texts up to the last of them.
+    bound = hashed.select("h").orderBy("h").limit(SAMPLE_LINES).agg(F.max("h").alias("h")).first().h
+    if bound is None:
+        return []
+    return [r.line for r in hashed.where(F.col("h") <= bound).orderBy("h", "line").limit(SAMPLE_LINES).collect()]
 
 
 def _scan_lines(words: np.ndarray, line: np.ndarray, scanner: Scanner) -> list[tuple[int, int, float]]:
