@@ -165,11 +165,32 @@ def geopotential_to_height(df: DataFrame, z: str = "z", gh: str = "gh") -> DataF
 # ------------------------------------------------------- schema of the target
 
 
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+_REAL = (T.FloatType(), T.DoubleType())
+
+
+def wider(a: T.DataType, b: T.DataType, name: str = "column") -> T.DataType:
+    """The least type that holds the values of both: whole numbers grow to the longer, all other pairs of numbers to double."""
+    if a == b:
+        return a
+    if a in _WHOLE and b in _WHOLE:
+        return max(a, b, key=_WHOLE.index)
+    if {a, b} <= {*_WHOLE, *_REAL}:
+        return T.DoubleType()
+    raise SchemaMismatch(f"{name} is {a.simpleString()} in one place and {b.simpleString()} in another")
+
+
 def evolve_to(df: DataFrame, table_schema: T.StructType) -> DataFrame:
-    """Table columns first, in table order, NULL where the batch lacks one; then new columns."""
-    have = set(df.columns)
+    """Table columns first, in table order, NULL where the batch lacks one; then new columns.
+
+    A column that both have gets the wider of its two types; types that have no wider one are an error.
+    """
+    own = {f.name: f.dataType for f in df.schema}
     known = [
-        F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in table_schema
+        F.col(f.name).cast(wider(own[f.name], f.dataType, f.name)).alias(f.name)
+        if f.name in own
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in table_schema
     ]
     extra = [c for c in df.columns if c not in set(table_schema.names)]
     return df.select(*known, *extra)

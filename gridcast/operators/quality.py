@@ -75,7 +75,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 COORDINATES = ("latitude", "longitude")
 
 
-def _rollup_columns(metrics: Sequence[str]) -> list[Column]:
+def rollup_columns(metrics: Sequence[str]) -> list[Column]:
     """Roll-up over measured columns: totals over metrics, and the coordinates' own."""
 
     def over(suffix: str, combine) -> Column:
@@ -92,11 +92,11 @@ def _rollup_columns(metrics: Sequence[str]) -> list[Column]:
     ]
 
 
-def _measured_load(df: DataFrame) -> DataFrame:
-    """Measures of coordinates and metrics, and the NULLs of the valid time."""
+def measured_load(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Measures of coordinates and metrics, and the NULLs of the valid time: one row, or one per value of ``by``."""
     types = dict(df.dtypes)
-    columns = [*COORDINATES, *metric_columns(df)]
-    return df.agg(
+    columns = [*COORDINATES, *[c for c in metric_columns(df) if c not in by]]
+    return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
         _count_if(F.col("valid_time").isNull()).alias("valid_time__nulls"),
         *[m for c in columns for m in _column_measures(c, types[c])],
@@ -105,7 +105,7 @@ def _measured_load(df: DataFrame) -> DataFrame:
 
 def profile_rollup(df: DataFrame) -> DataFrame:
     """One row: NULLs over all metrics, bounds over all metrics, and the coordinates' own."""
-    return _measured_load(df).select(*_rollup_columns(metric_columns(df)))
+    return measured_load(df).select(*rollup_columns(metric_columns(df)))
 
 
 def coordinate_rules(rollup: DataFrame) -> DataFrame:
@@ -178,7 +178,7 @@ def audit_row(
 
     metrics = metric_columns(df)
     checks = F.create_map(*[x for c in metrics for x in (F.lit(c), _profile_struct(c))])
-    rollup = _measured_load(df).select(*_rollup_columns(metrics), checks.alias("checks"), F.lit(1).alias("_one"))
+    rollup = measured_load(df).select(*rollup_columns(metrics), checks.alias("checks"), F.lit(1).alias("_one"))
     active = [k for k in keys if k in df.columns]
     if active:
         duplicates = duplicate_keys(df, active).select("duplicate_records_count", F.lit(1).alias("_one"))
@@ -336,14 +336,28 @@ def check_times(df: DataFrame) -> DataFrame:
 
 def verify_gold(views: Mapping[str, DataFrame], column: str = "valid_date") -> DataFrame:
     """Rows, NULL valid dates and freshness of each published view."""
+    return gold_verdicts({name: measured_gold(df, column=column) for name, df in views.items()})
+
+
+def measured_gold(df: DataFrame, by: Sequence[str] = (), column: str = "valid_date") -> DataFrame:
+    """Rows, NULL valid dates and the newest one: one row, or one per value of ``by``."""
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"),
+        _count_if(F.col(column).isNull()).alias("valid_date__nulls"),
+        F.max(column).alias("valid_date__max"),
+    )
+
+
+def gold_verdicts(measured: Mapping[str, DataFrame]) -> DataFrame:
+    """The verdict on each view from its one row of measures."""
     results = [
-        df.agg(
+        df.select(
             F.lit(name).alias("view_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            _count_if(F.col(column).isNull()).alias("null_valid_date_count"),
-            F.max(column).alias("max_valid_date"),
+            F.col("rows").alias("row_count"),
+            F.col("valid_date__nulls").alias("null_valid_date_count"),
+            F.col("valid_date__max").alias("max_valid_date"),
         )
-        for name, df in views.items()
+        for name, df in measured.items()
     ]
     passed = (F.col("row_count") > 0) & (F.col("null_valid_date_count") == 0)
     return reduce(DataFrame.unionByName, results).withColumns(

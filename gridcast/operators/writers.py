@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcast import spec
-from gridcast.operators.ingest import dedup_first
+from gridcast.operators.ingest import SchemaMismatch, dedup_first, wider
 
 # Fixed value: directory name of a NULL partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -116,10 +116,20 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 
 def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
-    """Notes the columns of a batch beside the table: those known keep place and type, new ones follow."""
+    """Notes the columns of a batch beside the table: those known keep their place, new ones follow.
+
+    A column takes the wider of its noted and its new type (see ``ingest.wider``), and readers then see all files in it.
+    Call it before the batch is written: files of the narrower type can be read in the wider one, not the other way
+    round. Long integers can't be read as doubles; that widening is an error, and needs the table to be rewritten.
+    """
     known = stored_schema(spark, path) or T.StructType()
-    fields = [*known, *(f for f in schema if f.name not in known.names)]
-    if len(fields) > len(known):
+    fresh = {f.name: f.dataType for f in schema}
+    fields = [T.StructField(f.name, wider(f.dataType, fresh.get(f.name, f.dataType), f.name)) for f in known]
+    for old, new in zip(known, fields):
+        if old.dataType == T.LongType() and new.dataType != old.dataType:
+            raise SchemaMismatch(f"{new.name} is a long integer in {path}; rewrite the table before it can hold doubles")
+    fields += [f for f in schema if f.name not in known.names]
+    if [(f.name, f.dataType) for f in fields] != [(f.name, f.dataType) for f in known]:
         fs, where = _file_system(spark, f"{path}/{SCHEMA_FILE}")
         stream = fs.create(where, True)
         try:

@@ -10,15 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast import spec
-from gridcast.operators import calendar, dims, ingest, quality, writers
+from gridcast.operators import calendar, dims, ingest, profiles, quality, writers
 from gridcast.operators.events import models_to_refresh
 from gridcast.operators.facts import latest_window, rows_above_mark, stamp_column, to_fact, window_rows
 from gridcast.operators.staging import stage
 from gridcast.operators.unified import changed_since, city_forecast, unify
+from gridcast.sources.footers import partition_rows
 from gridcast.sources.tables import read_raw
 
 LOAD_RULES = ("append", "append_strict", "latest", "merge", "window", "refresh")
 
+# Days before the run's day that a load changes in a table that is there; the other rules rebuild it.
+LOAD_DAYS = {"append": 7, "append_strict": 4, "merge": 1, "window": 1}
+
 
 def ingest_cycle(
     messages: DataFrame,
@@ -76,8 +80,8 @@ def _store_cycle(messages, product, path, variables, order, spread_over) -> list
     values = [F.col(c).asc_nulls_last() for c in ("latitude", "longitude", *metrics)]
     unique = ingest.dedup_first(rows, keys, [*about, *values]).drop(*about, *order)
     batch = ingest.evolve_to(unique, spec.raw_schema(product.shape))
-    writers.replace_partitions(batch, path)
     writers.keep_schema(messages.sparkSession, path, batch.schema)
+    writers.replace_partitions(batch, path)
     return keys
 
 
@@ -101,7 +105,7 @@ def load_fact(
     if rule not in LOAD_RULES:
         raise ValueError(f"load rule is one of {LOAD_RULES}, not {rule!r}")
     exists = writers.table_exists(spark, fact_path)
-    default_days = {"append": 7, "append_strict": 4, "latest": 1, "merge": 1, "window": 1 if exists else 3}
+    default_days = LOAD_DAYS | {"latest": 1, "window": LOAD_DAYS["window"] if exists else 3}
     days = default_days.get(rule) if days is None else days
     first_append = rule.startswith("append") and not exists
     since = None
@@ -120,7 +124,7 @@ def load_fact(
         writers.append_partitions(window_rows(fact, as_of, days), fact_path, spec.FACT_PARTITIONS)
     else:
         if not first_append:
-            target = spark.read.parquet(fact_path)
+            target = partition_rows(spark, fact_path, spec.FACT_PARTITIONS)
             mark = "block" if rule == "append_strict" else "epoch"
             fact = rows_above_mark(fact, target, as_of, days, mark)
         writers.append_partitions(fact, fact_path, spec.FACT_PARTITIONS)
@@ -200,12 +204,16 @@ def daily_run(
     stamp: str,
     rule: str = "merge",
     keep_days: int | None = None,
+    recheck: bool = False,
 ) -> DataFrame:
     """Readiness, facts, dimensions, city facts, partition calendar, check of the unified views, audit, retention.
 
     ``root`` holds raw/<table> and receives gold/<fact>, gold/fct_<shape>_forecast_cities, the dimensions,
     gold/partition_calendar and audit/gold. Raw partitions older than ``keep_days`` go last. Returns the verification
     rows; if partitions of the previous day are missing, raises before anything is written.
+
+    The check keeps a profile per cycle in audit/profile_<shape> and measures only the cycles that the load can have
+    changed. ``recheck`` measures all, which a backfill past the load's own days needs.
     """
     tables = [p for p in spec.PRODUCTS if p.published]
     found = None
@@ -218,6 +226,7 @@ def daily_run(
     absent = missing.collect()
     if absent:
         raise RuntimeError(f"{len(absent)} partitions are missing, first: {absent[0]}")
+    whole = recheck or rule not in LOAD_DAYS or not all(writers.table_exists(spark, f"{root}/gold/{p.fact}") for p in tables)
     for p in tables:
         load_fact(spark, p, f"{root}/raw/{p.table}", f"{root}/gold/{p.fact}", rule, as_of, stamp)
     store_dimensions(spark, root, as_of, stamp)
@@ -230,7 +239,14 @@ def daily_run(
         refresh_city_fact(view, grid, stations, shape, f"{root}/gold/fct_{shape}_forecast_cities")
     planned = calendar.partition_calendar(products, F.lit(as_of).cast("date"))
     writers.overwrite_table(planned, f"{root}/gold/partition_calendar")
-    checked = quality.verify_gold({f"fct_{shape}_forecast": view for shape, view in views.items()})
+    loaded = None if whole else F.col("cycle_date") >= F.date_sub(F.lit(as_of).cast("date"), LOAD_DAYS[rule])
+    measured = {
+        shape: profiles.refresh(
+            view, f"{root}/audit/profile_{shape}", ("weather_model", *spec.FACT_PARTITIONS), loaded, quality.measured_gold
+        )
+        for shape, view in views.items()
+    }
+    checked = quality.gold_verdicts({f"fct_{shape}_forecast": profiles.merged(m) for shape, m in measured.items()})
     audit = quality.gold_audit_row(
         checked, dag_id="daily_run", run_id=as_of, logical_date=as_of, model_name="all", layer_type="gold"
     )

@@ -350,6 +350,15 @@ _EVOLVED = (
 ORACLE["schema_evolve"] = _with(
     f"""SELECT {_EVOLVED}, CASE WHEN forecast_date >= '2026-03-24' THEN CAST(t / CAST(1000 AS DOUBLE) AS FLOAT) END AS q FROM raw_upper"""
 )
+_BROAD = "forecast_date BETWEEN '2026-03-23' AND '2026-03-24'"
+_THOUSANDTH = "t / CAST(1000 AS DOUBLE)"
+ORACLE["schema_widen"] = _with(
+    f"""SELECT {COLS["upper"]},
+  CASE WHEN {_BROAD} THEN CAST(step_hours AS BIGINT) * 1000000000 ELSE CAST(step_hours AS BIGINT) END AS n,
+  CASE WHEN {_BROAD} THEN {_THOUSANDTH} ELSE CAST(CAST({_THOUSANDTH} AS FLOAT) AS DOUBLE) END AS q,
+  CASE WHEN {_BROAD} THEN CAST(t AS DOUBLE) ELSE CAST(step_hours AS DOUBLE) END AS w
+FROM raw_upper"""
+)
 ORACLE["schema_strict"] = ORACLE["parquet_export"]
 ORACLE["product_filter"] = _with(
     """SELECT model, forecast_date, forecast_cycle, step_hours, lat_i, lon_i, gh, t FROM raw_upper
@@ -589,6 +598,7 @@ ORACLE["profile_rollup"] = _with(
   CAST(greatest(max(t2m), max(d2m), max(msl), max(tp)) AS DOUBLE) AS max_metric_value
 FROM raw_surface"""
 )
+ORACLE["profile_incremental"] = ORACLE["profile_rollup"]
 ORACLE["coord_rule"] = _with(
     "\nUNION ALL\n".join(
         f"""SELECT '{c}' AS column_name, min({c}) AS min_value, max({c}) AS max_value, CAST({lo} AS DOUBLE) AS rule_min,

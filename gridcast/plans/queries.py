@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from gridcast import spec
 from gridcast.functions import hash_key
-from gridcast.operators import calendar, dims, events, facts, ingest, quality, unified, writers
+from gridcast.operators import calendar, dims, events, facts, ingest, profiles, quality, unified, writers
 from gridcast.operators.staging import geo_guard, recent_window, region_box, stage
 from gridcast.plans import flows, inputs
 from gridcast.plans.inputs import AS_OF, EARLIER_STAMP, ORDINAL, STAMP
 from gridcast.session import configure, work_path
-from gridcast.sources import describe, listing, seeds, tables
+from gridcast.sources import describe, footers, listing, seeds, tables
 from gridcast.streaming.jobs import load_arrivals_stream, load_fact_stream, stream_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -270,6 +270,22 @@ def schema_evolve(spark, sf_dir):
     return tables.read_raw(spark, path, UPPER)
 
 
+@query("schema_widen")
+def schema_widen(spark, sf_dir):
+    """Three deliveries: the second brings wider types, the third the first's again; all can be read back."""
+    path = work_path(spark, "schema_widen")
+    rows = inputs.raw(spark, sf_dir, UPPER).drop("model")
+    narrow = {"n": F.col("step_hours"), "q": (F.col("t") / 1000).cast("float"), "w": F.col("step_hours")}
+    broad = {"n": F.col("step_hours").cast("bigint") * 10**9, "q": F.col("t") / 1000, "w": F.col("t")}
+    day = F.col("forecast_date")
+    for taken, extra in ((day < "2026-03-23", narrow), (day.between("2026-03-23", "2026-03-24"), broad), (day > "2026-03-24", narrow)):
+        known = writers.stored_schema(spark, path) or spec.raw_schema(UPPER)
+        batch = ingest.evolve_to(rows.where(taken).withColumns(extra), known)
+        writers.keep_schema(spark, path, batch.schema)
+        writers.append_partitions(batch, path)
+    return tables.read_raw(spark, path, UPPER)
+
+
 @query("schema_strict")
 def schema_strict(spark, sf_dir):
     rows = inputs.raw(spark, sf_dir, SPREAD).drop("model")
@@ -408,7 +424,7 @@ def fact_append_hwm(spark, sf_dir):
     def load(model):
         path = work_path(spark, f"fact_append_hwm_{model}")
         writers.append_partitions(_loaded(_fact(spark, sf_dir, UPPER, model, EARLIER_STAMP)), path, spec.FACT_PARTITIONS)
-        target = spark.read.parquet(path)
+        target = footers.partition_rows(spark, path, spec.FACT_PARTITIONS)
         new = facts.rows_above_mark(_fact(spark, sf_dir, UPPER, model), target, AS_OF, days=7)
         writers.append_partitions(new, path, spec.FACT_PARTITIONS)
         return spark.read.parquet(path).select(*spec.fact_columns(UPPER))
@@ -690,6 +706,18 @@ def profile_rollup(spark, sf_dir):
     return quality.profile_rollup(inputs.raw(spark, sf_dir, SURFACE).drop("model"))
 
 
+@query("profile_incremental")
+def profile_incremental(spark, sf_dir):
+    """The roll-up from a profile kept per partition; the second delivery adds to one day and brings later ones."""
+    path, profile = (work_path(spark, f"profile_incremental_{n}") for n in ("raw", "profile"))
+    rows = inputs.raw(spark, sf_dir, SURFACE).drop("model")
+    early = (F.col("forecast_date") < "2026-03-24") | ((F.col("forecast_date") == "2026-03-24") & (F.col("step_hours") < 300))
+    for delivery, stale in ((early, None), (~early, F.col("forecast_date") >= "2026-03-24")):
+        writers.append_partitions(rows.where(delivery), path)
+        kept = profiles.refresh(tables.read_raw(spark, path, SURFACE), profile, stale=stale)
+    return profiles.rollup(kept)
+
+
 @query("coord_rule")
 def coord_rule(spark, sf_dir):
     return quality.coordinate_rules(quality.profile_rollup(inputs.raw(spark, sf_dir, UPPER).drop("model")))
@@ -786,7 +814,7 @@ def read_back(spark, sf_dir):
     path = work_path(spark, "read_back")
     rows = inputs.raw(spark, sf_dir, UPPER).drop("model")
     writers.append_partitions(rows, path)
-    return quality.read_back(rows, tables.read_raw(spark, path, UPPER), spec.RAW_PARTITIONS)
+    return quality.read_back(rows, footers.read_pushed(spark, path, spec.raw_schema(UPPER)), spec.RAW_PARTITIONS)
 
 
 # -------------------------------------------------- calendar, retention, events

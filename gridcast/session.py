@@ -16,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Joins whose build side turns out small per task skip the sort.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Counts come from footers where a table is read through sources.footers.
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 _own_shared: str | None = None

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcast import spec
+from gridcast.operators.ingest import wider
 from gridcast.operators.writers import stored_schema
 
 
@@ -18,10 +19,14 @@ def read_raw(
     The schema is declared, so nothing is inferred and the date stays text. ``since`` is an
     ISO date compared with the partition column: it prunes partitions, which a filter on
     the derived cycle_date could not. Columns that loads added to the table come after the
-    declared ones (see ``writers.keep_schema``).
+    declared ones, and those that loads widened have the wider type (see ``writers.keep_schema``).
     """
-    declared = spec.raw_schema(shape)
-    added = [f for f in stored_schema(spark, path) or () if f.name not in declared.names]
+    stored = stored_schema(spark, path) or T.StructType()
+    noted = {f.name: f.dataType for f in stored}
+    declared = T.StructType(
+        [T.StructField(f.name, wider(f.dataType, noted.get(f.name, f.dataType), f.name)) for f in spec.raw_schema(shape)]
+    )
+    added = [f for f in stored if f.name not in declared.names]
     df = spark.read.schema(T.StructType([*declared, *added])).parquet(path)
     df = df.select(*declared.names, *[f.name for f in added])
     return df.where(F.col("forecast_date") >= since) if since else df

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridcast import spec
-from gridcast.operators import dims, ingest, writers
+from gridcast.operators import dims, ingest, quality, writers
 from gridcast.operators.events import coalesce_events, coalesce_from_first
 from gridcast.operators.staging import stage
 from gridcast.plans import flows, inputs
@@ -237,6 +237,12 @@ def test_daily_run(spark, sf_dir, fresh):
     assert {n: count(f"gold/{n}") for n in first} == first  # nothing is added twice
     assert {s: count(f"gold/fct_{s}_forecast_cities") for s in spec.SHAPES} == cities
     assert count("audit/gold") == 2
+    # The second run measured the newest cycles only; its check says what one over all rows says, and one made anew.
+    again = flows.daily_run(spark, root, instant, "2026-03-26", inputs.STAMP)
+    views = {s: {p.model: f"{root}/gold/{p.fact}" for p in spec.PRODUCTS if p.published and p.shape == s} for s in spec.SHAPES}
+    scanned = quality.verify_gold({f"fct_{s}_forecast": flows.unified_view(spark, v, s) for s, v in views.items()}).collect()
+    assert again.collect() == scanned
+    assert flows.daily_run(spark, root, instant, "2026-03-26", inputs.STAMP, recheck=True).collect() == scanned
     dates = {p["forecast_date"] for p in writers.partition_dirs(spark, f"{root}/raw/gfs_upper", spec.RAW_PARTITIONS)}
     assert dates and min(dates) >= "2026-03-24"
 
