@@ -10,6 +10,10 @@ Where no arc crosses from one character to the next (as between words, and betwe
 spaces), the lattice falls into independent stretches. All stretches of a batch go through both passes together, one
 place at a time, so the work is in arrays.
 
+A long text goes through in parts of some BATCH_CHARS characters, cut at places that no arc crosses. Draws depend on the
+place in the whole text, so the parts' pieces are those of the whole. Only a stretch without such a place, as one
+character repeated without end, stays in one part.
+
 Lossless: a space in front is added and taken away again, characters without a piece become byte pieces, and so does a
 literal U+2581, the vocabulary's sign for a space. Null gives null, an empty text no pieces. Equal rows get equal pieces.
 """
@@ -31,6 +35,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 13
 BATCH_CHARS = 1 << 18
+CUT_CHARS = 1 << 12  # places looked at together for a cut
 SPACE = "▁"
 STOP = "\0"
 ONE = 1 << 30
@@ -140,10 +145,46 @@ class Lattice:
                 piece[i, 0] = self.byte_id[data[0]] if len(data) == 1 else -1 - c
         return weight, piece, np.cumsum(crossed)[:-1] > 0
 
-    def sample(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All pieces of the texts one after another, and the number of pieces of each."""
-        points = np.frombuffer("".join([STOP + " " + t if t else STOP for t in texts]).encode("utf-32-le"), np.uint32).astype(np.int64)
-        starts = np.cumsum([0] + [len(t) + 2 if t else 1 for t in texts])
+    def open_places(self, text: str, low: int, high: int) -> np.ndarray:
+        """The places above `low`, up to `high`, that no arc of the text crosses; place c lies in front of character c.
+        `low` must be `longest` or more, so that no arc from the space in front of a text matters."""
+        start = low - self.longest
+        points = np.frombuffer(text[start : high + self.longest].encode("utf-32-le"), np.uint32).astype(np.int64)
+        crossed = self.arcs(points)[2]
+        places = np.arange(low + 1, min(high, len(text)) + 1)
+        return places[~crossed[places - 1 - start]]
+
+    def cut(self, text: str, low: int) -> int:
+        """Where a part of a text that begins at `low` ends: the last place within BATCH_CHARS that no arc crosses, or else
+        the first behind."""
+        aim, floor = low + BATCH_CHARS, low + self.longest
+        for high in range(aim, floor, -CUT_CHARS):
+            places = self.open_places(text, max(floor, high - CUT_CHARS), high)
+            if len(places):
+                return int(places[-1])
+        for at in range(aim, len(text), CUT_CHARS):
+            places = self.open_places(text, at, at + CUT_CHARS)
+            if len(places):
+                return int(places[0])
+        return len(text)
+
+    def sample_long(self, text: str, key: np.ndarray) -> np.ndarray:
+        """The pieces of one text of any length, in memory for some BATCH_CHARS characters; `key` holds its key."""
+        out, start = [], 0
+        while start < len(text):
+            end = len(text) if len(text) - start <= BATCH_CHARS else self.cut(text, start)
+            out.append(self.sample([text[start:end]], key, np.array([start + 1 if start else 0]))[0].astype(np.int32))
+            start = end
+        return np.concatenate(out)
+
+    def sample(self, texts: list[str], keys: np.ndarray, offsets: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All pieces of the texts one after another, and the number of pieces of each.
+
+        Where `offsets` is above 0, a text is the part of a longer one that lies so far behind its space in front."""
+        offsets = np.zeros(len(texts), np.int64) if offsets is None else offsets
+        heads = [STOP if not t or o else STOP + " " for t, o in zip(texts, offsets.tolist())]
+        points = np.frombuffer("".join([h + t for h, t in zip(heads, texts)]).encode("utf-32-le"), np.uint32).astype(np.int64)
+        starts = np.cumsum([0] + [len(h) + len(t) for h, t in zip(heads, texts)])
         points[starts[:-1]] = 0x110000  # in front of each text; no arc crosses it
         weight, piece, crossed = self.arcs(points)
         stop = np.zeros(len(points), bool)
@@ -158,7 +199,7 @@ class Lattice:
         real = ~stop[opens]
         opens, length = opens[real], length[real]
         doc = np.searchsorted(starts, opens, "right") - 1
-        seeds = mix(keys[doc] + (opens - starts[doc]).astype(np.uint64) * GOLD)
+        seeds = mix(keys[doc] + (opens - starts[doc] + offsets[doc]).astype(np.uint64) * GOLD)
         sizes, steps = np.zeros(len(opens), np.int64), []
         live, left, step = np.arange(len(opens)), length.copy(), 0
         while len(live):
@@ -215,9 +256,10 @@ class Lattice:
             chance[at, : k - 1] = np.rint(total[:, :-1] / total[:, -1:] * ONE)
         return chance
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         texts = self.texts
-        return b"".join([texts[i] for i in ids])[1:].decode("utf-8", "replace")
+        parts = (b"".join([texts[i] for i in ids[k : k + BATCH_CHARS].tolist()]) for k in range(0, len(ids), BATCH_CHARS))
+        return b"".join(parts)[1:].decode("utf-8", "replace")
 
 
 def _uniform(seeds: np.ndarray, step: int) -> np.ndarray:
@@ -246,7 +288,12 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
                 part = batch.slice(start, stop - start)
                 start = stop
                 texts = part.column("text").to_pylist()
-                ids, sizes = lattice.sample([t or "" for t in texts], part.column("_seed").to_numpy().view(np.uint64))
+                keys = part.column("_seed").to_numpy().view(np.uint64)
+                if len(texts) == 1 and len(texts[0] or "") > BATCH_CHARS:
+                    ids = lattice.sample_long(texts[0], keys)
+                    sizes = [len(ids)]
+                else:
+                    ids, sizes = lattice.sample([t or "" for t in texts], keys)
                 offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
                 pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)), mask=pa.array([t is None for t in texts]))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pieces], names=["doc_id", "text", "pieces"])
@@ -269,7 +316,7 @@ def decode(encoded: DataFrame, pieces: str = "pieces", model: str = MODEL) -> Da
                 column = part.column(pieces)
                 ends, flat = column.offsets.to_pylist(), column.values
                 texts = [
-                    None if gone else lattice.decode(flat[i:j].to_numpy().tolist()) for gone, i, j in zip(column.is_null().to_pylist(), ends, ends[1:])
+                    None if gone else lattice.decode(flat[i:j].to_numpy()) for gone, i, j in zip(column.is_null().to_pylist(), ends, ends[1:])
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 

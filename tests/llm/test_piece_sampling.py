@@ -1,5 +1,6 @@
 import collections
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -38,6 +39,52 @@ def test_the_batch_does_not_matter(lattice):
     assert alone == [ids[i:j].tolist() for i, j in zip(ends, ends[1:])]
 
 
+LONG = {
+    "words": "The quick brown fox, jumps over it. " * 40,
+    "no spaces": "日本語のテキスト🙂ñé" * 120,
+    "one character": "x" * 3000,
+    "spaces": " " * 2500 + "end",
+    "mixed": "a" * 900 + " 日本 " * 200 + "\x00▁" * 100 + "z" * 700,
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+@pytest.mark.parametrize("size", [64, 257, 1000])
+def test_parts_of_a_long_text_have_its_pieces(lattice, monkeypatch, name, size):
+    key, text = np.array([77], np.uint64), LONG[name]
+    whole = lattice.sample([text], key)[0].tolist()
+    monkeypatch.setattr(p, "BATCH_CHARS", size)
+    monkeypatch.setattr(p, "CUT_CHARS", 50)
+    assert lattice.sample_long(text, key).tolist() == whole
+    assert lattice.decode(np.array(whole)) == text
+    ends = [0]
+    while ends[-1] < len(text) and len(text) - ends[-1] > size:
+        ends.append(lattice.cut(text, ends[-1]))
+    if name in ("words", "no spaces"):
+        assert len(ends) > 1 and max(np.diff(ends)) <= size
+
+
+def test_a_long_text_needs_memory_for_a_part(lattice):
+    text = "The quick brown fox jumps over the lazy dog, and 日本. " * 75_000  # 4 million characters, a gigabyte at once
+    tracemalloc.start()
+    try:
+        ids = lattice.sample_long(text, np.array([5], np.uint64))
+        sampled = tracemalloc.get_traced_memory()[1]
+        assert lattice.decode(ids) == text
+    finally:
+        tracemalloc.stop()
+    assert sampled < 200 << 20
+
+
+def test_a_long_row_among_short_ones(spark):
+    text = "many words of a very long text, line by line\n" * 9_000
+    docs = spark.createDataFrame([(1, "short", 0), (2, text, 0), (None, text, 0), (4, None, 0)], SCHEMA).coalesce(1)
+    got = p.round_trip(docs).collect()
+    assert len(text) > p.BATCH_CHARS and all(r.lossless for r in got) and len(got) == 4
+    long = {r.doc_id: r.pieces for r in got}
+    assert long[2] != long[None] and len(long[2]) > 9_000 and long[4] is None
+
+
 @pytest.mark.parametrize("text", ["hello", "atan", "  ab"])
 def test_frequencies_follow_the_weights(lattice, text):
     words = {x.replace(p.SPACE, " "): i for i, (x, _, k) in enumerate(p.load_pieces()) if k == "piece"}
