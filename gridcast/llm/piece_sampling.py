@@ -114,11 +114,11 @@ class Lattice:
         self.texts = [bytes([bytes_of[i]]) if k == "byte" else p.replace(SPACE, " ").encode() if k == "piece" else b"" for i, (p, _, k) in enumerate(pieces)]
 
     def arcs(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each character and length: log weight (-inf without an arc) and piece of the arc that ends with the
+        """Of each length and character: log weight (-inf without an arc) and piece of the arc that ends with the
         character; whether an arc crosses from it to the next one. A piece of -1 - c is code point c as bytes."""
         n = len(points)
-        weight = np.full((n, self.longest), -np.inf, np.float32)
-        piece = np.zeros((n, self.longest), np.int32)
+        weight = np.full((self.longest, n), -np.inf, np.float32)
+        piece = np.zeros((self.longest, n), np.int32)
         letters = self.trie.letter[points]
         crossed = np.zeros(n + 1, np.int32)
         start, states, size = np.arange(n), np.zeros(n, np.int64), 0
@@ -132,17 +132,17 @@ class Lattice:
             ids = self.trie.piece[states]
             whole = np.flatnonzero(ids >= 0)
             end = start[whole] + size - 1
-            weight[end, size - 1] = self.weight[ids[whole]]
-            piece[end, size - 1] = ids[whole]
+            weight[size - 1, end] = self.weight[ids[whole]]
+            piece[size - 1, end] = ids[whole]
             if size > 1:
                 crossed[start[whole]] += 1  # starts of one length differ, and so do ends
                 crossed[end] -= 1
-        for i in np.flatnonzero(weight[:, 0] == -np.inf).tolist():
+        for i in np.flatnonzero(weight[0] == -np.inf).tolist():
             c = int(points[i])
             if c < 0x110000:
                 data = chr(c).encode()
-                weight[i, 0] = len(data) * self.worst
-                piece[i, 0] = self.byte_id[data[0]] if len(data) == 1 else -1 - c
+                weight[0, i] = len(data) * self.worst
+                piece[0, i] = self.byte_id[data[0]] if len(data) == 1 else -1 - c
         return weight, piece, np.cumsum(crossed)[:-1] > 0
 
     def open_places(self, text: str, low: int, high: int) -> np.ndarray:
@@ -205,8 +205,12 @@ class Lattice:
         while len(live):
             at = opens[live] + left - 1
             drawn = _uniform(seeds[live], step)
-            taken = (chance[at] <= drawn[:, None]).sum(1)
-            steps.append((live, piece[at, taken]))
+            taken, longer, size = np.zeros(len(at), np.int64), np.arange(len(at)), 0
+            while len(longer):  # the last of the cumulated chances is above any draw
+                longer = longer[chance[size, at[longer]] <= drawn[longer]]
+                size += 1
+                taken[longer] = size
+            steps.append((live, piece[taken, at]))
             sizes[live] += 1
             left = left - taken - 1
             more = left > 0
@@ -232,10 +236,12 @@ class Lattice:
         return out, per_doc
 
     def forward(self, weight: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """For each character, the cumulated chances (in parts of ONE) of the lengths of the arc that ends a path to it.
+        """Of each length and character, the cumulated chance (in parts of ONE) that the arc which ends a path to the
+        character is no longer.
 
         `place` counts the characters since the stretch began; all stretches advance together, one place at a time.
         """
+        longest = len(weight)
         chance = np.full(weight.shape, ONE, np.int32)
         reach = np.zeros(len(place))
         order = np.argsort(place.astype(np.uint16) if place.max(initial=0) < 65536 else place, kind="stable")
@@ -243,17 +249,17 @@ class Lattice:
         for e, (i, j) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
             at = order[i:j]
             if e == 0:
-                reach[at] = weight[at, 0]
+                reach[at] = weight[0, at]
                 continue
-            k = min(e + 1, self.longest)
-            x = weight[at, :k].astype(np.float64)
-            before = min(e, k)
-            x[:, :before] += reach[at[:, None] - 1 - np.arange(before)]
-            top = x.max(1)
-            x = np.exp((x - top[:, None]).astype(np.float32))
-            total = np.cumsum(x, axis=1, dtype=np.float64)
-            reach[at] = top + np.log(total[:, -1])
-            chance[at, : k - 1] = np.rint(total[:, :-1] / total[:, -1:] * ONE)
+            k = min(e + 1, longest)
+            x = np.take(weight[:k], at, axis=1).astype(np.float64)
+            for size in range(min(e, k)):
+                x[size] += reach[at - 1 - size]
+            top = x.max(0)
+            x = np.exp((x - top).astype(np.float32))
+            total = np.cumsum(x, axis=0, dtype=np.float64)
+            reach[at] = top + np.log(total[-1])
+            chance[: k - 1, at] = np.rint(total[:-1] / total[-1] * ONE)
         return chance
 
     def decode(self, ids: np.ndarray) -> str:
