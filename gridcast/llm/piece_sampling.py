@@ -34,7 +34,7 @@ from gridcast.llm.blocks import mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 13
-BATCH_CHARS = 1 << 18
+BATCH_CHARS = 1 << 17
 CUT_CHARS = 1 << 12  # places looked at together for a cut
 SPACE = "▁"
 STOP = "\0"
