@@ -18,7 +18,7 @@ from gridcast.llm import mixing, ngram_join, piece_sampling, quality_classifier,
 from gridcast.session import shared_dir
 
 # A stage that hands whole rows to Python takes them in batches of so many bytes.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
