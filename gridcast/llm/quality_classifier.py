@@ -6,12 +6,18 @@ logistic regression on feature differences without an intercept. The ranking has
 the quantile of the training scores that leaves the labelled share of zeros below, moved to the widest gap within half
 a percent of the rows. The reported score is the logistic function of the distance to it, so 0.5 is the threshold.
 
-The fit takes a bounded sample of labelled rows (`SAMPLE`, the first by a hash of the id) and a bounded number of
-random pairs (`PAIRS`); features are counts over bytes and words of the whole text, made for a batch of documents at a
-time. Scoring is one pass without a shuffle.
+The fit takes every labelled row and every pair of a row of label 1 with one of label 0, without making the pairs. A
+pair's loss is a smooth function of its two scores, so that each row is replaced by weights on the four nodes next to
+its score (cubic interpolation) and the sums over pairs become sums over pairs of nodes. One pass over the rows gives
+counts and moments per node, from which a Newton step follows; nodes lie an eighth apart, wider far from zero, which
+leaves an error below 1e-6 of a pair's loss and bounds their number whatever the number of rows. The threshold comes
+from all training scores, ranked in range partitions.
+
+Features are counts over bytes and words of the whole text, made for a batch of documents at a time and kept as a table
+of fourteen numbers a document for the passes of the fit. Scoring is one pass without a shuffle.
 
 Null and empty texts have all features 0. Labels that are null are left out; a document with several labels counts once
-for each. Where one of the two labels is missing from the sample, every score is 0.5.
+for each. Where one of the two labels is missing, every score is 0.5.
 """
 
 from __future__ import annotations
@@ -21,15 +27,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.llm import blocks as B
+from gridcast.session import work_path
 
-SAMPLE = 20_000
-PAIRS = 60_000
 RIDGE = 1e-3
 STEPS = 30
+# Nodes of the scores: node k lies at WIDE * sinh(k * STEP / WIDE), the last ones beyond any score that the ridge allows.
+STEP, WIDE, LAST_NODE = 1 / 8, 64.0, 8192
 
 FEATURES = (
     "log_words", "short", "symbols", "bangs", "bars", "capitals", "digits", "non_ascii", "repeats", "distinct",
@@ -95,45 +102,175 @@ class Ranking:
     weights: np.ndarray
     threshold: float
 
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        """Scores without the threshold, column by column: a row's score doesn't depend on the batch it comes in."""
+        total = np.zeros(len(x))
+        for k, w in enumerate(self.weights):
+            total += (x[:, k] - self.center[k]) / self.scale[k] * w
+        return total
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        raw = ((x - self.center) / self.scale) @ self.weights - self.threshold
-        return 1 / (1 + np.exp(-np.clip(raw, -500, 500)))
-
-
-def fit(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, seed: int = 5) -> Ranking:
-    """Newton's method on the logistic loss of feature differences between documents of label 1 and of label 0."""
-    width = x.shape[1] if x.ndim == 2 else len(FEATURES)
-    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    if not len(good) or not len(bad):
-        return Ranking(np.zeros(width), np.ones(width), np.zeros(width), 0.0)
-    center, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
-    z = (x - center) / scale
-    draw = np.random.default_rng(seed)
-    if len(good) * len(bad) <= pairs:
-        a, b = np.repeat(good, len(bad)), np.tile(bad, len(good))
-    else:
-        a, b = draw.choice(good, pairs), draw.choice(bad, pairs)
-    d = z[a] - z[b]
-    w = np.zeros(width)
+        return 1 / (1 + np.exp(-np.clip(self.raw(x) - self.threshold, -500, 500)))
+
+
+NO_RANKING = Ranking(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(len(FEATURES)), 0.0)
+_UPPER = np.triu_indices(len(FEATURES))
+_MOMENTS = 1 + len(FEATURES) + len(_UPPER[0])
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+
+
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
+
 
-    def loss(w: np.ndarray) -> float:
-        return float(np.logaddexp(0, -(d @ w)).mean() + RIDGE * (w @ w) / 2)
+def _on_nodes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each score the first of its four nodes (from 0) and its weights on them."""
+    at = np.clip(np.arcsinh(raw / WIDE) * (WIDE / STEP), -LAST_NODE, LAST_NODE)
+    low = np.floor(at)
+    f = at - low
+    weights = np.stack([-f * (f - 1) * (f - 2) / 6, (f * f - 1) * (f - 2) / 2, -f * (f + 1) * (f - 2) / 2, f * (f * f - 1) / 6])
+    return low.astype(np.int64) + LAST_NODE, weights
 
+
+def _node_scores(nodes: np.ndarray) -> np.ndarray:
+    return WIDE * np.sinh((nodes - LAST_NODE - 1) * (STEP / WIDE))
+
+
+def node_sums(examples: DataFrame, ranking: Ranking, total: int) -> DataFrame:
+    """Per label and node: the weight, the sum and the products of the standardised features of the rows on it.
+
+    A task's sums are rounded to a power of two below which sums over all rows have no digits, so that adding them up is
+    exact and doesn't depend on the order in which tasks end.
+    """
+    unit = 2.0 ** (np.ceil(np.log2(8.0 * total)) - 52)
+
+    def summed(batches):
+        table = np.zeros((2, 2 * LAST_NODE + 5, _MOMENTS))
+        for batch in batches:
+            x, label, n = _matrix(batch.column("x")), batch.column("_label").to_numpy(), batch.column("_n").to_numpy()
+            if not len(x):
+                continue
+            z = (x - ranking.center) / ranking.scale
+            moments = np.concatenate([np.ones((len(z), 1)), z, z[:, _UPPER[0]] * z[:, _UPPER[1]]], axis=1) * n[:, None]
+            first, weights = _on_nodes(ranking.raw(x))
+            cell = label * table.shape[1] + first
+            order = np.argsort(cell, kind="stable")
+            starts = np.flatnonzero(np.r_[True, np.diff(cell[order]) != 0])
+            moments, into = moments[order], cell[order][starts]
+            for k in range(4):
+                table.reshape(-1, _MOMENTS)[into + k] += np.add.reduceat(moments * weights[k][order, None], starts)
+        label, node = np.nonzero(table.any(axis=2))
+        sums = np.round(table[label, node] / unit) * unit
+        arrays = [pa.array(label.astype(np.int32)), pa.array(node.astype(np.int32)), *map(pa.array, np.ascontiguousarray(sums.T))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["_label", "node", *names])
+
+    names = [f"m{k}" for k in range(_MOMENTS)]
+    parts = examples.select("_label", "_n", "x").mapInArrow(summed, "_label int, node int, " + ", ".join(f"{m} double" for m in names))
+    return parts.groupBy("_label", "node").agg(*[F.sum(m).alias(m) for m in names])
+
+
+def pair_loss(sums: np.ndarray, label: np.ndarray, node: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean logistic loss over all pairs with the ridge, its slope and its curvature, from the sums per node."""
+    width = len(w)
+    order = np.lexsort((node, label))
+    sums, at = sums[order], _node_scores(node[order])
+    bad = np.count_nonzero(label == 0)
+    n, v = sums[:, 0], sums[:, 1 : 1 + width]
+    square = np.zeros((len(sums), width, width))
+    square[:, _UPPER[0], _UPPER[1]] = sums[:, 1 + width :]
+    square[:, _UPPER[1], _UPPER[0]] = sums[:, 1 + width :]
+    pairs = n[:bad].sum() * n[bad:].sum()
+    loss, slope, curve = 0.0, np.zeros(width), np.zeros((width, width))
+    for i in range(bad, len(sums), 256):  # nodes of label 1 against all of label 0
+        good = slice(i, i + 256)
+        d = at[good, None] - at[None, :bad]
+        wrong = 1 / (1 + np.exp(np.clip(d, -500, 500)))  # how likely the pair still stands the wrong way round
+        steep = wrong * (1 - wrong)
+        loss += n[good] @ np.logaddexp(0, -d) @ n[:bad]
+        slope += (n[good] @ wrong) @ v[:bad] - (wrong @ n[:bad]) @ v[good]
+        cross = v[good].T @ steep @ v[:bad]
+        curve += np.tensordot(steep @ n[:bad], square[good], 1) + np.tensordot(n[good] @ steep, square[:bad], 1) - cross - cross.T
+    return loss / pairs + RIDGE * (w @ w) / 2, slope / pairs + RIDGE * w, curve / pairs + RIDGE * np.eye(width)
+
+
+def fit(examples: DataFrame) -> Ranking:
+    """Newton's method on the logistic loss of all pairs of a row of label 1 and one of label 0.
+
+    `examples` has x, _label and _n, how often a row counts, and is read once a step.
+    """
+    n, width = F.col("_n"), len(FEATURES)
+    each = [F.get("x", F.lit(k)) for k in range(width)]
+    found = examples.agg(
+        *[F.coalesce(F.sum(F.when(F.col("_label") == k, n)), F.lit(0)).alias(f"rows_{k}") for k in (0, 1)],
+        *[F.sum(x * n).alias(f"sum_{k}") for k, x in enumerate(each)],
+        *[F.sum(x * x * n).alias(f"square_{k}") for k, x in enumerate(each)],
+    ).first()
+    bad, total = found.rows_0, found.rows_0 + found.rows_1
+    if not bad or bad == total:
+        return NO_RANKING
+    mean = np.array([found[f"sum_{k}"] for k in range(width)]) / total
+    spread = np.sqrt(np.maximum(np.array([found[f"square_{k}"] for k in range(width)]) / total - mean**2, 0))
+    # Six digits, as the last ones of a sum depend on the order of its tasks.
+    center, scale = (np.array([float(f"{v:.6g}") for v in a]) for a in (mean, np.maximum(spread, 1e-6)))
+
+    def at(w: np.ndarray):
+        # As many rows as nodes with scores on them, two labels each.
+        rows = node_sums(examples, Ranking(center, scale, w, 0.0), total).toArrow()
+        sums = np.stack([rows.column(f"m{k}").to_numpy() for k in range(_MOMENTS)], axis=1)
+        return pair_loss(sums, rows.column("_label").to_numpy(), rows.column("node").to_numpy(), w)
+
+    w = np.zeros(width)
+    was, slope, curve = at(w)
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))  # how likely the pair still stands the wrong way round
-        slope = -(d * p[:, None]).mean(0) + RIDGE * w
-        curve = (d * (p * (1 - p))[:, None]).T @ d / len(d) + RIDGE * np.eye(width)
-        step, was = np.linalg.solve(curve, slope), loss(w)
-        length = 1.0
-        while loss(w - length * step) > was and length > 1e-6:
+        step, length = np.linalg.solve(curve, slope), 1.0
+        new = at(w - step)
+        while new[0] > was + 1e-7 and length > 1e-6:  # less is within the error of the nodes
             length /= 2
+            new = at(w - length * step)
         w = w - length * step
-        if np.abs(length * step).max() < 1e-8:
+        was, slope, curve = new
+        if np.abs(length * step).max() < 1e-6:
             break
-    raw = np.sort(z @ w)
-    around = np.arange(max(1, len(bad) - len(raw) // 200), min(len(raw) - 1, len(bad) + len(raw) // 200) + 1)
-    k = around[np.argmax(raw[around] - raw[around - 1])]
-    return Ranking(center, scale, w, float((raw[k - 1] + raw[k]) / 2))
+    ranking = Ranking(center, scale, w, 0.0)
+    return Ranking(center, scale, w, widest_gap(examples, ranking, bad, total))
+
+
+def widest_gap(examples: DataFrame, ranking: Ranking, bad: int, total: int) -> float:
+    """The middle of the widest gap between neighbouring scores that has `bad` rows below it, give or take half a percent.
+
+    Equal scores are one row, so none gathers; ranks are running counts within range partitions, of which only the
+    bounds and counts are collected.
+    """
+    spark = examples.sparkSession
+
+    def scored(batches):
+        for batch in batches:
+            yield pa.record_batch({"raw": pa.array(ranking.raw(_matrix(batch.column("x")))), "_n": batch.column("_n")})
+
+    values = examples.select("x", "_n").mapInArrow(scored, "raw double, _n long").groupBy("raw").agg(F.sum("_n").alias("n"))
+    path = work_path(spark, "ranking_scores")
+    values.repartitionByRange("raw").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    values = spark.read.parquet(path)
+    parts = sorted(values.groupBy("part").agg(F.min("raw").alias("least"), F.max("raw").alias("most"), F.sum("n").alias("n")).collect(), key=lambda r: r.least)
+    ahead, last, known = 0, None, []
+    for p in parts:
+        known.append((p.part, ahead, last))
+        ahead, last = ahead + p.n, p.most
+    along = Window.partitionBy("part").orderBy("raw")
+    before = F.col("ahead") + F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    ranked = values.join(F.broadcast(spark.createDataFrame(known, "part int, ahead long, last double")), "part").select(
+        "raw", before.alias("before"), F.coalesce(F.lag("raw").over(along), F.col("last")).alias("previous")
+    )
+    low, high = max(1, bad - total // 200), min(total - 1, bad + total // 200)
+    gap = F.struct(F.col("raw") - F.col("previous"), -F.col("before"), ((F.col("raw") + F.col("previous")) / 2).alias("middle"))
+    best = ranked.agg(
+        F.max(F.when(F.col("before").between(low, high), gap)).alias("gap"),
+        F.max(F.when(F.col("before") <= low, F.col("raw"))).alias("tie"),  # all those ranks have one score
+    ).first()
+    return float(best.tie if best.gap is None else best.gap.middle)
 
 
 def held_out(key: Column) -> Column:
@@ -141,29 +278,33 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Ranking:
-    """A ranking from at most `sample` labelled rows that aren't held out."""
+def feature_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of `docs`: its id as `_id` and its features as `x`."""
+    rows = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+
+    def made(batches):
+        for batch in batches:
+            yield pa.record_batch({"_id": batch.column("_id"), "x": _lists(_features_of(batch.column("text")))})
+
+    return rows.mapInArrow(made, f"_id {rows.schema['_id'].dataType.simpleString()}, x array<double>")
+
+
+def learn(rows: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Ranking:
+    """A ranking from all of `rows` (see `feature_rows`) that are labelled and aren't held out."""
     known = labels.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label")).where(
         F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id"))
     )
-    drawn = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample)
-    with_text = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")).join(
-        F.broadcast(drawn),  # at most `sample` rows of two numbers
-        F.col("_key") == F.col("_id"),
-    )
+    counted = known.groupBy("_id", "_label").agg(F.count(F.lit(1)).alias("_n"))
+    # In a fixed order within tasks, so that a second run gets the same sums.
+    examples = rows.join(counted, "_id").sortWithinPartitions("_id", "_label", "x").select("_label", "_n", "x")
+    path = work_path(rows.sparkSession, "ranking_examples")
+    examples.write.parquet(path)
+    return fit(rows.sparkSession.read.parquet(path))
 
-    def made(batches):
-        for batch in batches:
-            x = _features_of(batch.column("text"))
-            yield pa.record_batch(
-                {"_id": batch.column("_id"), "_label": batch.column("_label"), "x": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))}
-            )
 
-    kind = known.schema["_id"].dataType.simpleString()
-    rows = with_text.select("_id", "_label", "text").mapInArrow(made, f"_id {kind}, _label int, x array<double>")
-    # repeated rows of one id can be more than the sample asked for
-    rows = rows.orderBy(F.xxhash64("_id"), "_id", "_label", "x").limit(sample).collect()
-    return fit(np.array([r.x for r in rows]).reshape(-1, len(FEATURES)), np.array([r._label for r in rows]))
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Ranking:
+    """A ranking from all labelled documents that aren't held out."""
+    return learn(feature_rows(docs.where(~held_out(F.col(key))), key, text), labels, key, label)
 
 
 def score_documents(docs: DataFrame, ranking: Ranking, text: str = "text") -> DataFrame:
@@ -180,10 +321,16 @@ def score_documents(docs: DataFrame, ranking: Ranking, text: str = "text") -> Da
     return docs.select(*names).mapInArrow(scored, schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, score, predicted (1 from score 0.5 on)."""
-    ranking = train(docs, labels, key, text, label, sample)
-    scored = score_documents(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), ranking)
-    return scored.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted")
-    )
+    path = work_path(docs.sparkSession, "ranking_features")
+    feature_rows(docs, key, text).write.parquet(path)  # the texts are read once, for the fit and the scores
+    rows = docs.sparkSession.read.parquet(path)
+    ranking = learn(rows, labels, key, label)
+
+    def scored(batches):
+        for batch in batches:
+            yield pa.record_batch({"doc_id": batch.column("_id"), "score": pa.array(ranking.score(_matrix(batch.column("x"))))})
+
+    scores = rows.mapInArrow(scored, f"doc_id {rows.schema['_id'].dataType.simpleString()}, score double")
+    return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -44,3 +44,46 @@ def test_features_do_not_depend_on_the_batch():
     column = pa.array([t.encode() for _, t, _ in texts(40)] + [b"", b"\n"], pa.binary())
     alone = np.concatenate([q._features_of(column.slice(i, 1)) for i in range(len(column))])
     assert np.allclose(q._features_of(column), alone) and not alone[-2].any()
+
+
+def brute(x, label):
+    """The ranking from every pair, made one by one."""
+    center, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
+    z = (x - center) / scale
+    d = (z[label == 1][:, None] - z[label == 0][None]).reshape(-1, x.shape[1])
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))
+        curve = (d * (p * (1 - p))[:, None]).T @ d / len(d) + q.RIDGE * np.eye(len(w))
+        w = w - np.linalg.solve(curve, q.RIDGE * w - (d * p[:, None]).mean(0))
+    raw, bad = np.sort(z @ w), np.count_nonzero(label == 0)
+    k = max(range(max(1, bad - len(raw) // 200), min(len(raw) - 1, bad + len(raw) // 200) + 1), key=lambda k: raw[k] - raw[k - 1])
+    return w, (raw[k - 1] + raw[k]) / 2
+
+
+def test_every_labelled_row_and_every_pair_counts(spark):
+    draw = np.random.default_rng(1)
+    words = ["stone", "Tree", "BUY", "42", "a", "#!", "|", "river.", "née"]
+    rows, labels = [], []
+    for i in range(1200):
+        good = int(draw.random() < 0.4)
+        share = np.r_[np.full(4, 1.0 + 0.5 * good), np.full(5, 1.5 - 0.5 * good)]
+        rows.append((i, " ".join(draw.choice(words, draw.integers(5, 60), p=share / share.sum())), "x"))
+        labels += [(i, good)] * (1 + (i % 10 == 0))
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")
+    learnt = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    x = q._features_of(pa.array([rows[i][1].encode() for i, _ in learnt], pa.binary()))
+    label = np.array([y for _, y in learnt])
+    assert label.sum() * (1 - label).sum() > 60_000
+    weights, threshold = brute(x, label)
+    got = q.train(docs, known)
+    assert np.allclose(got.weights, weights, atol=1e-4) and np.isclose(got.threshold, threshold, atol=1e-4)
+
+
+def test_threshold_among_equal_scores(spark):
+    x = np.zeros((600, len(q.FEATURES)))
+    x[:, 0] = np.repeat([1.0, 2.0, 4.0], [100, 400, 100])
+    rows = [(0, 1, r.tolist()) for r in x]
+    examples = spark.createDataFrame(rows, "_label int, _n long, x array<double>")
+    ranking = q.Ranking(np.zeros(len(q.FEATURES)), np.ones(len(q.FEATURES)), np.eye(len(q.FEATURES))[0], 0.0)
+    assert [q.widest_gap(examples, ranking, bad, 600) for bad in (99, 300, 502, 505)] == [1.5, 2.0, 3.0, 4.0]
