@@ -218,13 +218,17 @@ def touched_partitions(table: DataFrame, batch: DataFrame, partition_by: Sequenc
 
     The least and the greatest first partition value of the batch prune the scan, a null-safe semi join on the touched
     values then takes exactly those partitions. Both are the same for one touched partition and for a backfill of years.
+    The batch is read once for them: there are as many as partitions it writes, which the driver lists anyway.
     """
     first = partition_by[0]
     values = batch.select(*partition_by).distinct()
-    low, high = (values.agg(f(first).alias("v")).scalar() for f in (F.min, F.max))
+    touched = values.toArrow()
+    values = batch.sparkSession.createDataFrame(touched, values.schema)
+    known = touched.column(first).drop_null().to_pylist()
+    low, high = (F.lit(f(known, default=None)) for f in (min, max))
     near = table.where(F.col(first).between(low, high) | F.col(first).isNull())
     same = [F.col(f"t.{c}").eqNullSafe(F.col(f"b.{c}")) for c in partition_by]
-    return near.alias("t").join(values.alias("b"), reduce(lambda a, b: a & b, same), "left_semi")
+    return near.alias("t").join(F.broadcast(values).alias("b"), reduce(lambda a, b: a & b, same), "left_semi")
 
 
 def _unmatched(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

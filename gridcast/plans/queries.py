@@ -968,27 +968,40 @@ def stream_ingest(spark, sf_dir):
 
 @query("stream_ingest_cuts")
 def stream_ingest_cuts(spark, sf_dir):
-    """The same deliveries by arrival: a run after each, and one run over all files in several micro-batches."""
+    """The same deliveries by arrival: a run after each, and one run over all files in several micro-batches.
+
+    Both read the same raw table. Streams that don't wait for each other run at once.
+    """
     stored = ("delivery", *ORDINAL)
     arrival = [F.desc("delivery"), *FIRST]
     stamp = F.when(F.col("delivery") == 0, F.lit(EARLIER_STAMP)).otherwise(F.lit(STAMP)).cast("timestamp")
-
-    def load(model, cut):
-        raw_path, fact_path, checkpoint = (work_path(spark, f"cuts_{cut}_{n}_{model}") for n in ("raw", "fact", "checkpoint"))
-
-        def run(extra):
-            stream = stream_raw(spark, raw_path, UPPER, files_per_trigger=20 if cut == "files" else None, extra=extra)
-            load_arrivals_stream(stream, model, UPPER, fact_path, checkpoint, arrival, stored, stamp).awaitTermination()
-
-        for number, delivery in enumerate(_deliveries(spark, sf_dir, model)):
-            delivery = delivery.withColumn("delivery", F.lit(number))
-            extra = ", ".join(f"{n} {t}" for n, t in delivery.select(*stored).dtypes)
-            writers.append_partitions(delivery, raw_path)
-            if cut == "deliveries" or number == 1:
-                run(extra)
-        return spark.read.parquet(fact_path).select(*spec.fact_columns(UPPER)).withColumn("cut", F.lit(cut))
-
-    return _each(UPPER, lambda model: load(model, "deliveries").unionByName(load(model, "files")))
+    cuts = ("deliveries", "files")
+    raw_paths = {model: work_path(spark, f"cuts_raw_{model}") for model in spec.MODELS}
+    places = {(m, c): tuple(work_path(spark, f"cuts_{c}_{n}_{m}") for n in ("fact", "checkpoint")) for m in spec.MODELS for c in cuts}
+
+    def deliver(model, number):
+        delivery = _deliveries(spark, sf_dir, model)[number].withColumn("delivery", F.lit(number))
+        writers.append_partitions(delivery, raw_paths[model])
+        return ", ".join(f"{n} {t}" for n, t in delivery.select(*stored).dtypes)
+
+    def start(model, cut, extra):
+        stream = stream_raw(spark, raw_paths[model], UPPER, files_per_trigger=20 if cut == "files" else None, extra=extra)
+        return load_arrivals_stream(stream, model, UPPER, *places[model, cut], arrival, stored, stamp)
+
+    for number in range(2):
+        extra = {model: deliver(model, number) for model in spec.MODELS}
+        running = [start(m, c, extra[m]) for m, c in places if c == "deliveries" or number == 1]
+        try:
+            for stream in running:
+                stream.awaitTermination()
+        finally:
+            for stream in running:  # if one failed
+                stream.stop()
+
+    def loaded(model, cut):
+        return spark.read.parquet(places[model, cut][0]).select(*spec.fact_columns(UPPER)).withColumn("cut", F.lit(cut))
+
+    return _each(UPPER, lambda model: loaded(model, cuts[0]).unionByName(loaded(model, cuts[1])))
 
 
 # ------------------------------------------------------------ reference data

@@ -8,7 +8,7 @@ from gridcast import spec
 from gridcast.operators import dims, ingest, quality, writers
 from gridcast.operators.events import coalesce_events, coalesce_from_first
 from gridcast.operators.staging import stage
-from gridcast.plans import flows, inputs
+from gridcast.plans import flows, inputs, queries
 from gridcast.plans.views import register_views
 from gridcast.sources.tables import read_raw
 from gridcast.streaming.jobs import refresh_windows, windows_from_first
@@ -265,3 +265,25 @@ def test_daily_run(spark, sf_dir, fresh):
         flows.refresh_city_fact(forecast, points, dims.stations(spark), spec.UPPER, path)
     city = spark.read.parquet(path)
     assert city.count() == city.select("unique_key").distinct().count()
+
+
+def test_both_cuts_read_one_raw_table(spark, sf_dir, monkeypatch):
+    """Each delivery of a model is written once, and streams that don't wait for each other run at once."""
+    written, active, append, start = [], [], writers.append_partitions, queries.load_arrivals_stream
+
+    def counted(df, path, *args, **kwargs):
+        written.append(path)
+        append(df, path, *args, **kwargs)
+
+    def started(*args):
+        stream = start(*args)
+        active.append(stream)
+        return stream
+
+    monkeypatch.setattr(writers, "append_partitions", counted)
+    monkeypatch.setattr(queries, "load_arrivals_stream", started)
+    got = queries.QUERIES["stream_ingest_cuts"](spark, sf_dir)
+    raw = [p for p in written if "raw" in p]
+    assert len(raw) == 6 and len(set(raw)) == 3 and len(active) == 9 and not any(s.isActive for s in active)
+    sides = [got.where(F.col("cut") == c).drop("cut") for c in ("deliveries", "files")]
+    assert sides[0].count() > 0 and sides[0].exceptAll(sides[1]).isEmpty() and sides[1].exceptAll(sides[0]).isEmpty()

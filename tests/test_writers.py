@@ -92,6 +92,15 @@ def test_touched_partitions_prune_and_match_null(spark, table):
     assert "PartitionFilters: [(((d" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_touched_partitions_read_the_batch_once(spark, table, fresh):
+    """The rows they give don't read the batch again, whatever it costs to make; a batch without rows touches none."""
+    path = fresh()
+    spark.createDataFrame([("a", 6, 0, 0), ("a", 6, 1, 0)], DDL).write.parquet(path)
+    found = writers.touched_partitions(read(spark, table), spark.read.parquet(path), PART)
+    assert found.count() == 1 and not any(path in f for f in found.inputFiles())
+    assert writers.touched_partitions(read(spark, table), spark.createDataFrame([], DDL), PART).count() == 0
+
+
 @pytest.mark.parametrize("load", ["merge", "delete_insert"])
 def test_rows_with_null_partition_values_stay(spark, fresh, load):
     path = fresh()
