@@ -7,10 +7,10 @@ the quantile of the training scores that leaves the labelled share of zeros belo
 a percent of the rows. The reported score is the logistic function of the distance to it, so 0.5 is the threshold.
 
 The fit takes every labelled row and every pair of a row of label 1 with one of label 0, without making the pairs. A
-pair's loss is a smooth function of its two scores, so that each row is replaced by weights on the four nodes next to
-its score (cubic interpolation) and the sums over pairs become sums over pairs of nodes. One pass over the rows gives
-counts and moments per node, from which a Newton step follows; nodes lie an eighth apart, wider far from zero, which
-leaves an error below 1e-6 of a pair's loss and bounds their number whatever the number of rows. The threshold comes
+pair's loss is a smooth function of its two scores, so that each row is replaced by weights on the six nodes next to
+its score (interpolation of degree five) and the sums over pairs become sums over pairs of nodes. One pass over the rows
+gives counts and moments per node, from which a Newton step follows; nodes lie an eighth apart, wider far from zero,
+which leaves an error of some 1e-8 of a pair's loss and bounds their number whatever the number of rows. The threshold comes
 from all training scores, ranked in range partitions.
 
 Features are counts over bytes and words of the whole text, made for a batch of documents at a time and kept as a table
@@ -37,6 +37,7 @@ RIDGE = 1e-3
 STEPS = 30
 # Nodes of the scores: node k lies at WIDE * sinh(k * STEP / WIDE), the last ones beyond any score that the ridge allows.
 STEP, WIDE, LAST_NODE = 1 / 8, 64.0, 8192
+_NEAR = range(-2, 4)  # a score's nodes, from the one at or below it
 
 FEATURES = (
     "log_words", "short", "symbols", "bangs", "bars", "capitals", "digits", "non_ascii", "repeats", "distinct",
@@ -127,16 +128,15 @@ def _lists(x: np.ndarray) -> pa.Array:
 
 
 def _on_nodes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each score the first of its four nodes (from 0) and its weights on them."""
+    """Of each score the first of its nodes (from 0) and its weights on them."""
     at = np.clip(np.arcsinh(raw / WIDE) * (WIDE / STEP), -LAST_NODE, LAST_NODE)
     low = np.floor(at)
-    f = at - low
-    weights = np.stack([-f * (f - 1) * (f - 2) / 6, (f * f - 1) * (f - 2) / 2, -f * (f + 1) * (f - 2) / 2, f * (f * f - 1) / 6])
-    return low.astype(np.int64) + LAST_NODE, weights
+    weights = [np.prod([(at - low - m) / (k - m) for m in _NEAR if m != k], axis=0) for k in _NEAR]
+    return low.astype(np.int64) + LAST_NODE, np.stack(weights)
 
 
 def _node_scores(nodes: np.ndarray) -> np.ndarray:
-    return WIDE * np.sinh((nodes - LAST_NODE - 1) * (STEP / WIDE))
+    return WIDE * np.sinh((nodes - LAST_NODE + _NEAR[0]) * (STEP / WIDE))
 
 
 def node_sums(examples: DataFrame, ranking: Ranking, total: int) -> DataFrame:
@@ -148,7 +148,7 @@ def node_sums(examples: DataFrame, ranking: Ranking, total: int) -> DataFrame:
     unit = 2.0 ** (np.ceil(np.log2(8.0 * total)) - 52)
 
     def summed(batches):
-        table = np.zeros((2, 2 * LAST_NODE + 5, _MOMENTS))
+        table = np.zeros((2, 2 * LAST_NODE + len(_NEAR), _MOMENTS))
         for batch in batches:
             x, label, n = _matrix(batch.column("x")), batch.column("_label").to_numpy(), batch.column("_n").to_numpy()
             if not len(x):
@@ -160,7 +160,7 @@ def node_sums(examples: DataFrame, ranking: Ranking, total: int) -> DataFrame:
             order = np.argsort(cell, kind="stable")
             starts = np.flatnonzero(np.r_[True, np.diff(cell[order]) != 0])
             moments, into = moments[order], cell[order][starts]
-            for k in range(4):
+            for k in range(len(_NEAR)):
                 table.reshape(-1, _MOMENTS)[into + k] += np.add.reduceat(moments * weights[k][order, None], starts)
         label, node = np.nonzero(table.any(axis=2))
         sums = np.round(table[label, node] / unit) * unit
@@ -206,15 +206,14 @@ def fit(examples: DataFrame) -> Ranking:
     found = examples.agg(
         *[F.coalesce(F.sum(F.when(F.col("_label") == k, n)), F.lit(0)).alias(f"rows_{k}") for k in (0, 1)],
         *[F.sum(x * n).alias(f"sum_{k}") for k, x in enumerate(each)],
-        *[F.sum(x * x * n).alias(f"square_{k}") for k, x in enumerate(each)],
     ).first()
     bad, total = found.rows_0, found.rows_0 + found.rows_1
     if not bad or bad == total:
         return NO_RANKING
-    mean = np.array([found[f"sum_{k}"] for k in range(width)]) / total
-    spread = np.sqrt(np.maximum(np.array([found[f"square_{k}"] for k in range(width)]) / total - mean**2, 0))
-    # Six digits, as the last ones of a sum depend on the order of its tasks.
-    center, scale = (np.array([float(f"{v:.6g}") for v in a]) for a in (mean, np.maximum(spread, 1e-6)))
+    # Ten digits, as the last ones of a sum depend on the order of its tasks.
+    center = np.array([float(f"{found[f'sum_{k}'] / total:.10g}") for k in range(width)])
+    apart = examples.agg(*[F.sum((x - float(c)) * (x - float(c)) * n) for x, c in zip(each, center)]).first()
+    scale = np.array([float(f"{max((v / total) ** 0.5, 1e-6):.10g}") for v in apart])
 
     def at(w: np.ndarray):
         # As many rows as nodes with scores on them, two labels each.

@@ -77,7 +77,7 @@ def test_every_labelled_row_and_every_pair_counts(spark):
     assert label.sum() * (1 - label).sum() > 60_000
     weights, threshold = brute(x, label)
     got = q.train(docs, known)
-    assert np.allclose(got.weights, weights, atol=1e-4) and np.isclose(got.threshold, threshold, atol=1e-4)
+    assert np.allclose(got.weights, weights, atol=1e-7) and np.isclose(got.threshold, threshold, atol=1e-7)
 
 
 def test_threshold_among_equal_scores(spark):
