@@ -7,7 +7,9 @@ and hash bucket), never in one row per position. All hashes are 64-bit polynomia
 
 from __future__ import annotations
 
+import ctypes
 import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,46 @@ _INVERSE = {b: pow(b, -1, 2**64) for b in (BASE, SECOND)}
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def give_back() -> None:
+    """Hands the memory that a worker has freed back to the system, where the C library can (glibc)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def by_batch(made: Callable) -> Callable:
+    """`made` for mapInArrow. A worker waits for the next stage with all it has freed, so it gives that back at the end."""
+
+    def through(batches: Iterator) -> Iterator:
+        yield from made(batches)
+        give_back()
+
+    return through
+
+
+def by_group(made: Callable) -> Callable:
+    """`made` for applyInArrow on large groups, see `by_batch`."""
+
+    def through(table: pa.Table) -> pa.Table:
+        out = made(table)
+        give_back()
+        return out
+
+    return through
+
+
+def by_cogroup(made: Callable) -> Callable:
+    """`made` for applyInArrow on cogrouped tables, see `by_batch`."""
+
+    def through(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = made(left, right)
+        give_back()
+        return out
+
+    return through
+
+
 def in_blocks(docs: DataFrame, block_bytes: int, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> tuple[DataFrame, int, int]:
     """(rows of block, doc_id, text as bytes, a hash of it and the carried columns; number of blocks; number of rows).
 

@@ -129,7 +129,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int, key: str, text: s
                 names=["id", "text_hash", "node", "grams", "bands"],
             )
 
-    return source.mapInArrow(made, "id long, text_hash long, node binary, grams long, bands array<long>")
+    return source.mapInArrow(B.by_batch(made), "id long, text_hash long, node binary, grams long, bands array<long>")
 
 
 def _common_counts(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:

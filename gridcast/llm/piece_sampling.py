@@ -21,15 +21,17 @@ literal U+2581, the vocabulary's sign for a space. Null gives null, an empty tex
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.blocks import mix
+from gridcast.llm.blocks import by_batch, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
@@ -278,10 +280,8 @@ def _lattice(pieces: Pieces, alpha: float) -> Lattice:
     return Lattice(pieces, alpha)
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
-    """`doc_id`, `text` and `pieces` (array of ids) for each row of `docs`."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), F.col(key)).alias("_seed"))
+def _encoding(shared: Broadcast, alpha: float) -> Callable:
+    """Batches of doc_id, text and _seed to batches of doc_id, text and pieces."""
 
     def made(batches):
         lattice = _lattice(shared.value, alpha)
@@ -304,18 +304,14 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
                 pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)), mask=pa.array([t is None for t in texts]))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pieces], names=["doc_id", "text", "pieces"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(made, f"doc_id {kind}, text string, pieces array<int>")
+    return made
 
 
-def decode(encoded: DataFrame, pieces: str = "pieces", model: str = MODEL) -> DataFrame:
-    """`encoded` and `decoded`: the text of the pieces, null for null."""
-    shared = encoded.sparkSession.sparkContext.broadcast(load_pieces(model))
-    names = [c for c in encoded.columns if c != "decoded"]
-    schema = encoded.select(*names).schema.add("decoded", "string")
+def _decoding(shared: Broadcast, alpha: float, names: list[str], pieces: str) -> Callable:
+    """Batches of the columns `names` to batches of these and decoded."""
 
     def made(batches):
-        lattice = _lattice(shared.value, ALPHA)
+        lattice = _lattice(shared.value, alpha)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
@@ -326,10 +322,36 @@ def decode(encoded: DataFrame, pieces: str = "pieces", model: str = MODEL) -> Da
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
-    return encoded.select(*names).mapInArrow(made, schema)
+    return made
+
+
+def _seeded(docs: DataFrame, key: str, text: str, seed: int) -> tuple[DataFrame, str]:
+    """(doc_id, text, _seed; schema of the encoded rows)"""
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), F.col(key)).alias("_seed"))
+    return rows, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string, pieces array<int>"
+
+
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
+    """`doc_id`, `text` and `pieces` (array of ids) for each row of `docs`."""
+    shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
+    rows, schema = _seeded(docs, key, text, seed)
+    return rows.mapInArrow(by_batch(_encoding(shared, alpha)), schema)
+
+
+def decode(encoded: DataFrame, pieces: str = "pieces", model: str = MODEL) -> DataFrame:
+    """`encoded` and `decoded`: the text of the pieces, null for null."""
+    shared = encoded.sparkSession.sparkContext.broadcast(load_pieces(model))
+    names = [c for c in encoded.columns if c != "decoded"]
+    schema = encoded.select(*names).schema.add("decoded", "string")
+    return encoded.select(*names).mapInArrow(by_batch(_decoding(shared, ALPHA, names, pieces)), schema)
 
 
 def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
-    """One row per row of `docs`: doc_id, pieces, n_pieces, lossless (whether decoding gives the text back)."""
-    both = decode(encode(docs, key, text, model, alpha, seed), model=model)
+    """One row per row of `docs`: doc_id, pieces, n_pieces, lossless (whether decoding gives the text back).
+
+    `encode` and `decode` in one worker a task, with one vocabulary: one after the other each would have its own."""
+    shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
+    rows, schema = _seeded(docs, key, text, seed)
+    encoded, decoded = _encoding(shared, alpha), _decoding(shared, alpha, ["doc_id", "text", "pieces"], "pieces")
+    both = rows.mapInArrow(by_batch(lambda batches: decoded(encoded(batches))), f"{schema}, decoded string")
     return both.select("doc_id", "pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))

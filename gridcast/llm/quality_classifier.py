@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.llm import blocks as B
-from gridcast.session import work_path
+from gridcast.session import literal_table, work_path
 
 RIDGE = 1e-3
 STEPS = 30
@@ -168,7 +168,7 @@ def node_sums(examples: DataFrame, ranking: Ranking, total: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(arrays, names=["_label", "node", *names])
 
     names = [f"m{k}" for k in range(_MOMENTS)]
-    parts = examples.select("_label", "_n", "x").mapInArrow(summed, "_label int, node int, " + ", ".join(f"{m} double" for m in names))
+    parts = examples.select("_label", "_n", "x").mapInArrow(B.by_batch(summed), "_label int, node int, " + ", ".join(f"{m} double" for m in names))
     return parts.groupBy("_label", "node").agg(*[F.sum(m).alias(m) for m in names])
 
 
@@ -249,7 +249,7 @@ def widest_gap(examples: DataFrame, ranking: Ranking, bad: int, total: int) -> f
         for batch in batches:
             yield pa.record_batch({"raw": pa.array(ranking.raw(_matrix(batch.column("x")))), "_n": batch.column("_n")})
 
-    values = examples.select("x", "_n").mapInArrow(scored, "raw double, _n long").groupBy("raw").agg(F.sum("_n").alias("n"))
+    values = examples.select("x", "_n").mapInArrow(B.by_batch(scored), "raw double, _n long").groupBy("raw").agg(F.sum("_n").alias("n"))
     path = work_path(spark, "ranking_scores")
     values.repartitionByRange("raw").withColumn("part", F.spark_partition_id()).write.parquet(path)
     values = spark.read.parquet(path)
@@ -258,9 +258,11 @@ def widest_gap(examples: DataFrame, ranking: Ranking, bad: int, total: int) -> f
     for p in parts:
         known.append((p.part, ahead, last))
         ahead, last = ahead + p.n, p.most
+    # As part of the plan: createDataFrame would start Python workers of another kind on every executor.
+    ahead_of = literal_table(spark, ["part", "ahead", "last"], known).select("part", F.col("ahead").cast("long"), F.col("last").cast("double"))
     along = Window.partitionBy("part").orderBy("raw")
     before = F.col("ahead") + F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    ranked = values.join(F.broadcast(spark.createDataFrame(known, "part int, ahead long, last double")), "part").select(
+    ranked = values.join(F.broadcast(ahead_of), "part").select(
         "raw", before.alias("before"), F.coalesce(F.lag("raw").over(along), F.col("last")).alias("previous")
     )
     low, high = max(1, bad - total // 200), min(total - 1, bad + total // 200)
@@ -285,7 +287,7 @@ def feature_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         for batch in batches:
             yield pa.record_batch({"_id": batch.column("_id"), "x": _lists(_features_of(batch.column("text")))})
 
-    return rows.mapInArrow(made, f"_id {rows.schema['_id'].dataType.simpleString()}, x array<double>")
+    return rows.mapInArrow(B.by_batch(made), f"_id {rows.schema['_id'].dataType.simpleString()}, x array<double>")
 
 
 def learn(rows: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Ranking:
@@ -317,7 +319,7 @@ def score_documents(docs: DataFrame, ranking: Ranking, text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(ranking.score(_features_of(column)))], names=[*names, "_score"])
 
     schema = docs.select(*names).schema.add("_score", "double")
-    return docs.select(*names).mapInArrow(scored, schema)
+    return docs.select(*names).mapInArrow(B.by_batch(scored), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
@@ -331,5 +333,5 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         for batch in batches:
             yield pa.record_batch({"doc_id": batch.column("_id"), "score": pa.array(ranking.score(_matrix(batch.column("x"))))})
 
-    scores = rows.mapInArrow(scored, f"doc_id {rows.schema['_id'].dataType.simpleString()}, score double")
+    scores = rows.mapInArrow(B.by_batch(scored), f"doc_id {rows.schema['_id'].dataType.simpleString()}, score double")
     return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

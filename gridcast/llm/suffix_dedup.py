@@ -425,25 +425,32 @@ def _cover(table: pa.Table, answers: pa.Table, data: np.ndarray, offsets: np.nda
     return covered
 
 
+def _per_document(marked: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of marked bytes of each document; a block has less than 2 GB."""
+    total = np.zeros(len(marked) + 1, np.int32)
+    np.cumsum(marked, out=total[1:])
+    return (total[offsets[1:]] - total[offsets[:-1]]).astype(np.int64)
+
+
 def _cut(table: pa.Table, answers: pa.Table, keep_text: bool) -> pa.Table:
     table = B.in_order(table)
     data, offsets = B.flat(table)
     covered = _cover(table, answers, data, offsets)
-    gone = np.cumsum(covered)[:-1] > 0
-    total = np.r_[0, np.cumsum(gone)]
-    n_removed = total[offsets[1:]] - total[offsets[:-1]]
+    gone = np.cumsum(covered, dtype=np.int32)[:-1] > 0
+    del covered
+    n_removed = _per_document(gone, offsets)
     opens = gone.copy()
     opens[1:] &= ~gone[:-1]
     opens[offsets[:-1][offsets[:-1] < len(data)]] |= gone[offsets[:-1][offsets[:-1] < len(data)]]
-    runs = np.r_[0, np.cumsum(opens)]
+    n_spans = _per_document(opens, offsets)
     texts = []
     for i, j, k in zip(offsets[:-1].tolist(), offsets[1:].tolist(), n_removed.tolist()):
         texts.append((data[i:j][~gone[i:j]] if k else data[i:j]).tobytes())
     out = {
         "doc_id": table.column("doc_id"),
         "n_bytes": pa.array(np.diff(offsets)),
-        "n_removed": pa.array(n_removed.astype(np.int64)),
-        "n_spans": pa.array((runs[offsets[1:]] - runs[offsets[:-1]]).astype(np.int64)),
+        "n_removed": pa.array(n_removed),
+        "n_spans": pa.array(n_spans),
         "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
     }
     if keep_text:
@@ -462,7 +469,7 @@ def _sample(tables):
 
 def _splitters(rows: DataFrame, n: int, ranges: int) -> list[bytes]:
     few = rows if n <= SAMPLE_DOCS else rows.sample(fraction=SAMPLE_DOCS / n, seed=7)
-    drawn = sorted(r.s for r in few.select("doc_id", "text").mapInArrow(_sample, "s binary").limit(4 * SAMPLE_DOCS * SAMPLE_EACH).collect())
+    drawn = sorted(r.s for r in few.select("doc_id", "text").mapInArrow(B.by_batch(_sample), "s binary").limit(4 * SAMPLE_DOCS * SAMPLE_EACH).collect())
     return sorted({bytes(drawn[len(drawn) * i // ranges]) for i in range(1, ranges)}) if drawn else []
 
 
@@ -483,15 +490,15 @@ def remove_repeats(
         *_, doc, gram = _all_anchors(data, offsets)
         return B.marks_of(table.column("block")[0].as_py(), gram, doc, n_blocks)
 
-    states = in_rows.applyInArrow(marks, B.MARKS).groupBy("bucket").applyInArrow(lambda t: B.states_of(t, hot), B.STATES)
+    states = in_rows.applyInArrow(B.by_group(marks), B.MARKS).groupBy("bucket").applyInArrow(B.by_group(lambda t: B.states_of(t, hot)), B.STATES)
 
     def send(table: pa.Table, back: pa.Table) -> pa.Table:
         if not table.num_rows:
             raise ValueError("hashes of a block that isn't there")
         return _send_runs(table, back, n_blocks, splitters)
 
-    runs = rows.groupBy("block").cogroup(states.groupBy("block")).applyInArrow(send, RUNS)
-    answers = runs.groupBy("range", "kind").applyInArrow(_merge_range, ANSWERS)
+    runs = rows.groupBy("block").cogroup(states.groupBy("block")).applyInArrow(B.by_cogroup(send), RUNS)
+    answers = runs.groupBy("range", "kind").applyInArrow(B.by_group(_merge_range), ANSWERS)
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * keep_text
     out += "".join(f", _c_{c} {kind}" for c, kind in docs.dtypes if c in carry)
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda t, s: _cut(t, s, keep_text), out)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(B.by_cogroup(lambda t, s: _cut(t, s, keep_text)), out)

@@ -103,3 +103,11 @@ def test_frequencies_follow_the_weights(lattice, text):
     for path, w in weight.items():
         share = w / total
         assert abs(seen[path] / n - share) < 5 * math.sqrt(share / n) + 1e-3
+
+
+def test_one_worker_a_task_encodes_and_decodes(spark):
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(ODD)] + [(50, None, 1)], SCHEMA)
+    once = p.round_trip(docs)
+    assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    apart = p.decode(p.encode(docs)).collect()
+    assert {r.doc_id: (r.pieces, r.lossless) for r in once.collect()} == {r.doc_id: (r.pieces, r.decoded == r.text) for r in apart}

@@ -87,3 +87,17 @@ def test_threshold_among_equal_scores(spark):
     examples = spark.createDataFrame(rows, "_label int, _n long, x array<double>")
     ranking = q.Ranking(np.zeros(len(q.FEATURES)), np.ones(len(q.FEATURES)), np.eye(len(q.FEATURES))[0], 0.0)
     assert [q.widest_gap(examples, ranking, bad, 600) for bad in (99, 300, 502, 505)] == [1.5, 2.0, 3.0, 4.0]
+
+
+def test_the_threshold_starts_no_other_python_workers(spark, monkeypatch):
+    """createDataFrame would: its rows go through workers of RDDs, beside those of DataFrames."""
+    x = np.zeros((8, len(q.FEATURES)))
+    x[:, 0] = [0.1, 0.3, 0.7, 1.9, 2.0, 2.1, 2.2, 1e-7]
+    examples = spark.createDataFrame([(0, 2**33, r.tolist()) for r in x], "_label int, _n long, x array<double>").repartition(3)
+    ranking = q.Ranking(np.zeros(len(q.FEATURES)), np.ones(len(q.FEATURES)), np.eye(len(q.FEATURES))[0], 0.0)
+
+    def none(*_, **__):
+        raise AssertionError("rows from the driver")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", none)
+    assert q.widest_gap(examples, ranking, 4 * 2**33, 8 * 2**33) == (0.7 + 1.9) / 2

@@ -1,4 +1,7 @@
 import random
+import re
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -87,3 +90,34 @@ def test_blocks_are_shuffled_once(spark):
     plan.collect()
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("ReusedExchange") == 2
+
+
+def test_a_cut_takes_few_bytes_for_each_of_the_text(spark):
+    n = 1 << 20
+    text = np.random.default_rng(2).integers(97, 123, n, np.uint8).tobytes()
+    table = pa.table({"doc_id": [1, 2], "order": [1, 2], "text": pa.array([text[:9], text[9:]], pa.binary())})
+    answers = pa.table({"kind": pa.array([], pa.int32()), "answers": pa.array([], pa.binary())})
+    suffix_dedup._cut(table, answers, True)
+    tracemalloc.start()
+    out = suffix_dedup._cut(table, answers, True)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.column("n_bytes").to_pylist() == [9, n - 9] and out.column("n_removed").to_pylist() == out.column("n_spans").to_pylist() == [0, 0]
+    assert most < 15 * n
+
+
+def test_workers_give_back_what_they_have_freed(monkeypatch):
+    def resident():
+        return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) >> 10
+
+    np.ones(30 << 17)  # from here on glibc keeps arrays of up to 30 MB in its heap
+    arrays = [np.ones(1 << 17) for _ in range(200)]
+    kept = arrays[::40]
+    del arrays
+    before = resident()
+    B.give_back()
+    assert len(kept) == 5 and before - resident() > 100
+    told = []
+    monkeypatch.setattr(B, "give_back", lambda: told.append(1))
+    assert list(B.by_batch(lambda batches: (2 * b for b in batches))([1, 2])) == [2, 4] and told == [1]
+    assert B.by_group(lambda t: -t)(1) == -1 and B.by_cogroup(lambda t, s: t + s)(1, 2) == 3 and told == [1, 1, 1]
